@@ -1,0 +1,5 @@
+"""Nothing of its own: the model is a bounded batch.
+
+``patient_rows`` and ``appointment_rows`` are row-by-row expressions and take a streaming table as
+they take a batch one; key resolution and metrics need the whole table.
+"""
