@@ -42,7 +42,7 @@ def dates_as_text(df: DataFrame) -> DataFrame:
 
 
 def outcome(spark: SparkSession, sf_dir: str) -> whole.Outcome:
-    return whole.clean_tables(dirty.tables(spark, sf_dir), SETTINGS)
+    return whole.clean_tables(dirty.tables(spark, sf_dir), SETTINGS, write_between=True)
 
 
 def before_after(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,17 +160,24 @@ _parents_with("fn_phone_digits", "telefono", fn.phone_digits)
 _parents_with("fn_phone_gate", "telefono", lambda c: fn.phone_gate(fn.phone_digits(c), 10, 15))
 _dates_with("fn_parse_date", lambda c: fn.parse_date(c).cast("string"))
 _dates_with("fn_strict_iso_date", fn.strict_iso_date)
-_dates_with("fn_age_at", lambda c: fn.age_at(fn.parse_date(c), SETTINGS.reference_date))
-_dates_with(
-    "fn_age_bounded",
-    lambda c: fn.age_bounded(fn.age_at(fn.parse_date(c), SETTINGS.reference_date)),
-)
-_dates_with("fn_date_key", lambda c: fn.date_key(fn.parse_date(c)))
 _parents_with("fn_try_int", "edad", fn.try_int)
 _children_with("fn_try_double", "costo", fn.try_double)
 _children_with("fn_text_normalize", "especialidad", fn.text_normalize)
 
 
+def _parsed_with(name: str, value) -> None:
+    def build(spark, sf_dir):
+        parsed = _dates(spark, sf_dir).withColumn("parsed", fn.parse_date(F.col("raw")))
+        return parsed.select("table", ROW, "raw", value(F.col("parsed")).alias("value"))
+
+    QUERIES[name] = build
+
+
+_parsed_with("fn_age_at", lambda c: fn.age_at(c, SETTINGS.reference_date))
+_parsed_with("fn_age_bounded", lambda c: fn.age_bounded(fn.age_at(c, SETTINGS.reference_date)))
+_parsed_with("fn_date_key", fn.date_key)
+
+
 @query("fn_email_normalize")
 def fn_email_normalize(spark, sf_dir):
     """Words of the documents that hold an at sign, with their count and clean form."""
@@ -210,7 +217,7 @@ def fn_row_signature(spark, sf_dir):
 def _parent_rule(name: str, rule: k.Rule) -> None:
     def build(spark, sf_dir):
         rows = patient_rows(dirty.parents(spark, sf_dir), SETTINGS, only={rule.rule_id})
-        return explode_issues(rows)
+        return explode_issues(rows, k.PARENT_TABLE, k.PARENT_KEY, SETTINGS)
 
     QUERIES[name] = build
 
@@ -218,7 +225,7 @@ def _parent_rule(name: str, rule: k.Rule) -> None:
 def _child_rule(name: str, rule: k.Rule) -> None:
     def build(spark, sf_dir):
         rows = appointment_rows(dirty.children(spark, sf_dir), SETTINGS, only={rule.rule_id})
-        return explode_issues(rows)
+        return explode_issues(rows, k.CHILD_TABLE, k.CHILD_KEY, SETTINGS)
 
     QUERIES[name] = build
 

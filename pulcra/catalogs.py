@@ -55,7 +55,7 @@ SPANISH_MONTHS = {
     "diciembre": 12,
 }
 
-# --- patterns (Java regular expressions) ---------------------------------------------------
+# --- patterns (Java regular expressions); recovered dates lie in the years 1900 to 2100 ---------------------------------------------------
 
 # Every character Python's str.strip() removes.
 WHITESPACE = (
@@ -65,12 +65,11 @@ WHITESPACE = (
 )
 EMAIL_PATTERN = r"(?i)^[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}$"
 ISO_DATE_PATTERN = r"^(?!0000)\d{4}-\d{1,2}-(\d{1,2}| [1-9])$"
-SPANISH_DATE_PATTERN = r"(?i)^(\d{1,2})[\s\-/]*(?:de\s*)?([a-z]{3,10})[\s\-/]*(?:de\s*)?(\d{4})$"
-SWAPPED_DATE_PATTERN = r"^\s*\+?0*(\d{4})\s*-\s*\+?0*(\d{1,2})\s*-\s*\+?0*(\d{1,2})\s*$"
+SPANISH_DATE_PATTERN = r"(?i)^(\d{1,2})[\s\-/]*(?:de\s*)?([a-z]{3,10})[\s\-/]*(?:de\s*)?(19\d\d|20\d\d|2100)$"
+SWAPPED_DATE_PATTERN = r"^\s*\+?0*(19\d\d|20\d\d|2100)\s*-\s*\+?0*(\d{1,2})\s*-\s*\+?0*(\d{1,2})\s*$"
 INTEGER_PATTERN = r"^[+-]?\d+(_\d+)*(\.0+)?$"
 DECIMAL_PATTERN = r"^[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?$"
 INFINITY_PATTERN = r"(?i)^[+-]?inf(inity)?$"
-RECOVERABLE_YEARS = (1900, 2100)
 
 # --- table and column names ----------------------------------------------------------------
 

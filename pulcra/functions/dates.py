@@ -9,35 +9,33 @@ from pyspark.sql import functions as F
 
 from pulcra.catalogs import (
     ISO_DATE_PATTERN,
-    RECOVERABLE_YEARS,
     SPANISH_DATE_PATTERN,
     SPANISH_MONTHS,
     SWAPPED_DATE_PATTERN,
 )
+from pulcra.functions.literals import lookup_constant
 from pulcra.functions.text import strip
 
 
 def _calendar_date(year: Column, month: Column, day: Column) -> Column:
-    return F.concat_ws("-", year, month, day).try_cast("date")
+    """Date of three texts; ``concat`` is null if one of them is, ``concat_ws`` would skip it."""
+    return F.concat(year, F.lit("-"), month, F.lit("-"), day).try_cast("date")
 
 
 def _iso(text: Column) -> Column:
-    return F.when(text.rlike(ISO_DATE_PATTERN), F.replace(text, F.lit(" "), F.lit("")).try_cast("date"))
+    compact = F.replace(text, F.lit(" "), F.lit(""))
+    return F.when(text.rlike(ISO_DATE_PATTERN), compact.try_cast("date"))
 
 
 def _spanish(text: Column) -> Column:
     day, month, year = (F.regexp_extract(text, SPANISH_DATE_PATTERN, i) for i in (1, 2, 3))
-    pairs = [F.lit(part) for entry in SPANISH_MONTHS.items() for part in entry]
-    number = F.try_element_at(F.create_map(*pairs), F.lower(month))
-    usable = number.isNotNull() & year.try_cast("int").between(*RECOVERABLE_YEARS)
-    return F.when(usable, _calendar_date(year, number.cast("string"), day))
+    number = lookup_constant(SPANISH_MONTHS, F.lower(month))
+    return _calendar_date(year, number.cast("string"), day)
 
 
 def _swapped(text: Column) -> Column:
     year, day, month = (F.regexp_extract(text, SWAPPED_DATE_PATTERN, i) for i in (1, 2, 3))
-    return F.when(
-        year.try_cast("int").between(*RECOVERABLE_YEARS), _calendar_date(year, month, day)
-    )
+    return _calendar_date(year, month, day)
 
 
 def parse_date(value: Column) -> Column:
@@ -59,9 +57,8 @@ def age_at(birth: Column, reference: date) -> Column:
     Month and day are compared as such: someone born on 29 February is one year older from
     1 March on in common years, which ``months_between`` sees differently.
     """
-    before_birthday = (F.month(birth) > reference.month) | (
-        (F.month(birth) == reference.month) & (F.dayofmonth(birth) > reference.day)
-    )
+    day_of_year = F.month(birth) * 100 + F.dayofmonth(birth)
+    before_birthday = day_of_year > reference.month * 100 + reference.day
     return F.lit(reference.year) - F.year(birth) - before_birthday.cast("int")
 
 

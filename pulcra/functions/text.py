@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pulcra.catalogs import EMAIL_PATTERN, WHITESPACE
+from pulcra.functions.literals import lookup_constant
 
 
 def strip(value: Column) -> Column:
@@ -21,8 +22,7 @@ def text_normalize(value: Column) -> Column:
 
 def normalize_catalog(value: Column, catalog: Mapping[str, str]) -> Column:
     """Canonical value of a raw text, null where the catalog does not know it."""
-    pairs = [F.lit(part) for entry in catalog.items() for part in entry]
-    return F.try_element_at(F.create_map(*pairs), F.lower(strip(value)))
+    return lookup_constant(catalog, F.lower(strip(value)))
 
 
 def email_valid(value: Column) -> Column:

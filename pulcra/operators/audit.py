@@ -14,11 +14,11 @@ from pulcra.catalogs import (
     REPORT_COMPLETENESS_COLUMNS,
     SEVERITY_RANK,
 )
+from pulcra.functions.literals import lookup_constant
 from pulcra.operators.rules import ISSUE_COLUMNS, with_issue_order
 
 
-def _literal_map(values: dict) -> Column:
-    return F.create_map(*[F.lit(part) for entry in values.items() for part in entry])
+_SEVERITY_NAMES = {rank: name for name, rank in SEVERITY_RANK.items()}
 
 
 def issues_by_severity(issues: DataFrame) -> DataFrame:
@@ -27,8 +27,8 @@ def issues_by_severity(issues: DataFrame) -> DataFrame:
 
 def issues_by_rule(issues: DataFrame) -> DataFrame:
     """``rule_id, count, severity``: the highest severity seen for the rule."""
-    rank = F.try_element_at(_literal_map(SEVERITY_RANK), F.col("severity"))
-    name = F.element_at(_literal_map({n: s for s, n in SEVERITY_RANK.items()}), F.col("_rank"))
+    rank = lookup_constant(SEVERITY_RANK, F.col("severity"))
+    name = lookup_constant(_SEVERITY_NAMES, F.col("_rank"))
     return (
         issues.groupBy("rule_id")
         .agg(F.count(F.lit(1)).alias("count"), F.max(rank).alias("_rank"))
@@ -53,7 +53,7 @@ def rule_totals(issues: DataFrame) -> DataFrame:
     The first issue is a minimum, which combines before the shuffle, so a rule that wrote most of
     the trail is no burden. One row per rule comes out.
     """
-    rank = F.try_element_at(_literal_map(SEVERITY_RANK), F.col("severity"))
+    rank = lookup_constant(SEVERITY_RANK, F.col("severity"))
     record = F.struct("issue_order", *ISSUE_COLUMNS)
     return (
         with_issue_order(issues)
@@ -91,7 +91,6 @@ def rule_impact(totals: DataFrame, k: int = 10) -> DataFrame:
     Table and column come from the rule's evidence; without one they show as ``?`` and ``-``.
     """
     actions = {rule.rule_id: rule.action for _, rule in ISSUE_ORDER}
-    names = _literal_map({n: s for s, n in SEVERITY_RANK.items()})
     shown = evidence(totals).select("rule_id", "table", "column")
     return (
         top_rules(totals, k)
@@ -102,10 +101,9 @@ def rule_impact(totals: DataFrame, k: int = 10) -> DataFrame:
             F.coalesce("table", F.lit("?")).alias("table"),
             F.coalesce("column", F.lit("-")).alias("column"),
             F.coalesce(
-                F.try_element_at(_literal_map(actions), F.col("rule_id")),
-                F.lit("Evento de auditoría"),
+                lookup_constant(actions, F.col("rule_id")), F.lit("Evento de auditoría")
             ).alias("action"),
-            F.element_at(names, F.col("severity_rank")).alias("severity"),
+            lookup_constant(_SEVERITY_NAMES, F.col("severity_rank")).alias("severity"),
             "count",
         )
     )
@@ -114,7 +112,7 @@ def rule_impact(totals: DataFrame, k: int = 10) -> DataFrame:
 def completeness_delta(compared: DataFrame) -> DataFrame:
     """Change of completeness per key column in percentage points, in report order."""
     places = {f"{t}|{c}": i for i, (t, c) in enumerate(REPORT_COMPLETENESS_COLUMNS, 1)}
-    place = F.try_element_at(_literal_map(places), F.concat_ws("|", "table", "column"))
+    place = lookup_constant(places, F.concat_ws("|", "table", "column"))
     return (
         compared.where("metric_name = 'completeness_pct' and before is not null and after is not null")
         .withColumn("place", place)

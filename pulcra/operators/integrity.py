@@ -19,7 +19,7 @@ from pulcra.catalogs import (
 )
 from pulcra.config import JoinLimits
 from pulcra.operators.lookup import lookup_join
-from pulcra.operators.rules import explode_issues, issue, violated
+from pulcra.operators.rules import issue_rows
 
 
 def foreign_key_counts(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
@@ -87,15 +87,15 @@ def remaining_status_issues(valid: DataFrame) -> DataFrame:
     unknown = F.col("estado_cita").isNotNull() & ~F.col("estado_cita").isin(
         list(STATUS_CATALOG.values())
     )
-    record = issue(STATUS_REMAINING, CHILD_TABLE, original=F.col("estado_cita"))
-    return explode_issues(valid.select(violated([(unknown, record)]).alias("_issues")))
+    return issue_rows(
+        valid.where(unknown), STATUS_REMAINING, CHILD_TABLE, CHILD_KEY, original="estado_cita"
+    )
 
 
 def repeated_key_issue(valid: DataFrame, pk: str = CHILD_KEY) -> DataFrame:
     """At most one issue for the whole table: some key still occurs twice."""
     repeated = valid.groupBy(pk).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1)
-    record = issue(KEY_DUP_AFTER, CHILD_TABLE, row_id=F.lit("TABLE"), column=pk)
-    return repeated.select(record.alias("i")).select("i.*")
+    return issue_rows(repeated, KEY_DUP_AFTER, CHILD_TABLE, pk, row_id="'TABLE'")
 
 
 def validate_cross_references(
@@ -110,10 +110,7 @@ def validate_cross_references(
         .withColumn("rejection_reason", F.lit(ORPHAN.reason))
         .withColumn("rejection_rule_id", F.lit(ORPHAN.rule_id))
     )
-    orphan_issues = rejected.select(
-        issue(ORPHAN, CHILD_TABLE, original=F.col(PARENT_KEY)).alias("i")
-    ).select("i.*")
-    issues = orphan_issues
+    issues = issue_rows(rejected, ORPHAN, CHILD_TABLE, CHILD_KEY, original=PARENT_KEY)
     if "estado_cita" in valid.columns:
         issues = issues.unionByName(remaining_status_issues(valid))
     if CHILD_KEY in valid.columns:

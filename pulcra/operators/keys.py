@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulcra.catalogs import KEY_CONFLICT, KEY_EXACT, KEY_MISSING, ROW_ID
+from pulcra.catalogs import KEY_CONFLICT, KEY_EXACT, KEY_MISSING, ROW_ID, Rule
 from pulcra.config import JoinLimits
 from pulcra.functions import row_fingerprint, strip
 from pulcra.operators.lookup import lookup_join
-from pulcra.operators.rules import issue
+from pulcra.operators.rules import Violation
 
 
 def key_missing(pk: str) -> Column:
@@ -79,12 +79,6 @@ def resolve_pk_duplicates(
     return marked.withColumn("key_rule", rule).drop("_keeper", "_differs")
 
 
-def key_violations(table: str, pk: str) -> list[tuple[Column, Column]]:
-    """Conditions and issue records of the three key rules on rows that carry ``key_rule``."""
-    return [
-        (
-            F.col("key_rule") == rule.rule_id,
-            issue(rule, table, original=F.col(pk), column=pk),
-        )
-        for rule in (KEY_MISSING, KEY_CONFLICT, KEY_EXACT)
-    ]
+def key_violations(pk: str, rules: list[Rule]) -> list[Violation]:
+    """Violations of the key rules, for rows that carry ``key_rule``."""
+    return [Violation(rule, f"key_rule = '{rule.rule_id}'", original=pk) for rule in rules]

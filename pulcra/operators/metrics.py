@@ -39,32 +39,31 @@ GLOBAL_COMPLETENESS = "completeness_global_pct"
 GLOBAL_ROWS = "row_count_total"
 GLOBAL_FK = "referential_integrity_fk_valid_pct_among_non_null"
 
-RowCheck = Callable[[DataFrame, Settings], Column]
 
 
 @dataclass(frozen=True)
 class MetricSpec:
-    """What to measure in one table. ``validity`` maps a metric name to a row condition."""
+    """What to measure in one table.
+
+    ``derived`` computes helper columns once per row; ``validity`` maps a metric name to a
+    condition over them, ``consistency`` gives the conditions for a pair of values being present
+    and being consistent.
+    """
 
     table: str
     pk: str
     columns: list[str]
-    validity: Mapping[str, RowCheck] = field(default_factory=dict)
-    consistency: Callable[[DataFrame, Settings], tuple[Column, Column]] | None = None
-
+    derived: Callable[[DataFrame], dict[str, Column]]
+    validity: Mapping[str, Callable[[Settings], Column]] = field(default_factory=dict)
+    consistency: Callable[[Settings], tuple[Column, Column]] | None = None
 
-def _phone_ok(df: DataFrame, settings: Settings) -> Column:
-    length = F.char_length(phone_digits(text_or_null(df, "telefono")))
-    return length.between(settings.phone_min_digits, settings.phone_max_digits)
 
-
-def _age_consistency(df: DataFrame, settings: Settings) -> tuple[Column, Column]:
+def _age_consistency(settings: Settings) -> tuple[Column, Column]:
     """Pair present, pair consistent; the derived age is not bounded here, and an age that is no
     number counts as inconsistent."""
-    given = text_or_null(df, "edad")
-    derived = age_at(as_date(df, "fecha_nacimiento"), settings.reference_date)
-    pair = given.isNotNull() & derived.isNotNull()
-    close = F.abs(try_double(given) - derived) <= settings.age_tolerance_years
+    derived = age_at(F.col("_date"), settings.reference_date)
+    pair = F.col("_age_text").isNotNull() & F.col("_date").isNotNull()
+    close = F.abs(F.col("_age") - derived) <= settings.age_tolerance_years
     return pair, pair & F.coalesce(close, F.lit(False))
 
 
@@ -72,16 +71,22 @@ PARENT_METRICS = MetricSpec(
     table=PARENT_TABLE,
     pk=PARENT_KEY,
     columns=PARENT_COLUMNS,
+    derived=lambda df: {
+        "_date": as_date(df, "fecha_nacimiento"),
+        "_sex": normalize_catalog(text_or_null(df, "sexo"), SEX_CATALOG),
+        "_email_ok": email_valid(text_or_null(df, "email")),
+        "_digits": F.char_length(phone_digits(text_or_null(df, "telefono"))),
+        "_age_text": text_or_null(df, "edad"),
+        "_age": try_double(text_or_null(df, "edad")),
+    },
     validity={
-        "fecha_nacimiento_validity_pct": lambda df, s: as_date(df, "fecha_nacimiento").isNotNull(),
-        "sexo_validity_pct": lambda df, s: normalize_catalog(
-            text_or_null(df, "sexo"), SEX_CATALOG
-        ).isNotNull(),
-        "email_validity_pct": lambda df, s: email_valid(text_or_null(df, "email")),
-        "telefono_validity_pct": _phone_ok,
-        "edad_validity_pct": lambda df, s: try_double(text_or_null(df, "edad")).between(
-            s.age_min, s.age_max
+        "fecha_nacimiento_validity_pct": lambda s: F.col("_date").isNotNull(),
+        "sexo_validity_pct": lambda s: F.col("_sex").isNotNull(),
+        "email_validity_pct": lambda s: F.col("_email_ok"),
+        "telefono_validity_pct": lambda s: F.col("_digits").between(
+            s.phone_min_digits, s.phone_max_digits
         ),
+        "edad_validity_pct": lambda s: F.col("_age").between(s.age_min, s.age_max),
     },
     consistency=_age_consistency,
 )
@@ -89,12 +94,15 @@ CHILD_METRICS = MetricSpec(
     table=CHILD_TABLE,
     pk=CHILD_KEY,
     columns=CHILD_COLUMNS,
+    derived=lambda df: {
+        "_date": as_date(df, "fecha_cita"),
+        "_status": normalize_catalog(text_or_null(df, "estado_cita"), STATUS_CATALOG),
+        "_amount": try_double(text_or_null(df, "costo")),
+    },
     validity={
-        "fecha_cita_validity_pct": lambda df, s: as_date(df, "fecha_cita").isNotNull(),
-        "estado_cita_validity_pct": lambda df, s: normalize_catalog(
-            text_or_null(df, "estado_cita"), STATUS_CATALOG
-        ).isNotNull(),
-        "costo_validity_pct": lambda df, s: try_double(text_or_null(df, "costo")) >= 0,
+        "fecha_cita_validity_pct": lambda s: F.col("_date").isNotNull(),
+        "estado_cita_validity_pct": lambda s: F.col("_status").isNotNull(),
+        "costo_validity_pct": lambda s: F.col("_amount") >= 0,
     },
 )
 
@@ -125,10 +133,10 @@ def column_measures(df: DataFrame, spec: MetricSpec, settings: Settings) -> Data
     Shares of validity are taken of all rows, not only of those with a value.
     """
     present = [c for c in spec.columns if c in df.columns]
-    conditions = {name: check(df, settings) for name, check in spec.validity.items()}
+    conditions = {name: check(settings) for name, check in spec.validity.items()}
     if spec.consistency is not None:
-        conditions["_pair"], conditions["_close"] = spec.consistency(df, settings)
-    wide = df.agg(
+        conditions["_pair"], conditions["_close"] = spec.consistency(settings)
+    wide = df.withColumns(spec.derived(df)).agg(
         F.count(F.lit(1)).alias("_rows"),
         *[F.count(F.col(c)).alias(f"_n_{c}") for c in present],
         *[F.count(F.when(cond, 1)).alias(f"_v_{name}") for name, cond in conditions.items()],

@@ -27,6 +27,8 @@ from pulcra.functions import (
     strict_iso_date,
     try_double,
 )
+from pulcra.functions.frames import text_or_null
+from pulcra.functions.literals import lookup_constant
 
 Check = Callable[[Column], Column]
 
@@ -97,15 +99,10 @@ def _items(df: DataFrame, section: str, names: list[str]) -> DataFrame:
     return df.select(F.inline(F.array(*records)))
 
 
-def date_anomalies(df: DataFrame, column: str, prefix: str) -> dict[str, Column]:
-    """Aggregates: texts that are not ISO, those of them recovered otherwise, those lost."""
-    if column not in df.columns:
-        zero = F.sum(F.lit(0))
-        return {f"{prefix}_{n}": F.coalesce(zero, F.lit(0)) for n in
-                ("invalid_raw", "recovered_by_swap", "final_null")}
-    value = F.col(column).cast("string")
-    not_iso = value.isNotNull() & ~strict_iso_date(value)
-    parsed = parse_date(value)
+def date_anomalies(prefix: str) -> dict[str, Column]:
+    """Aggregates over ``_not_iso`` and ``_parsed``: texts that are not ISO, those of them
+    recovered otherwise, those lost."""
+    not_iso, parsed = F.col("_not_iso"), F.col("_parsed")
     return {
         f"{prefix}_invalid_raw": _count_where(not_iso),
         f"{prefix}_recovered_by_swap": _count_where(not_iso & parsed.isNotNull()),
@@ -122,7 +119,14 @@ def repeated_rows(df: DataFrame, by: list[str], name: str) -> DataFrame:
 def counts(df: DataFrame, spec: ProfileSpec) -> DataFrame:
     """``section, item, value`` of everything one pass without a shuffle can count."""
     missing = [c for c in spec.columns if c in df.columns]
-    anomalies = date_anomalies(df, spec.date_column, spec.date_column)
+    date_text = text_or_null(df, spec.date_column)
+    df = df.withColumns(
+        {
+            "_not_iso": date_text.isNotNull() & ~strict_iso_date(date_text),
+            "_parsed": parse_date(date_text),
+        }
+    )
+    anomalies = date_anomalies(spec.date_column)
     for name, (column, condition) in spec.anomalies.items():
         if column in df.columns:
             value = F.col(column).cast("string")
@@ -223,8 +227,7 @@ def profile_dataset(tables: Mapping[str, DataFrame]) -> DataFrame:
 def top_missing(profile: DataFrame, specs: tuple[ProfileSpec, ...], k: int = 5) -> DataFrame:
     """The k columns with most nulls of each table, ties in the table's column order."""
     places = {f"{s.table}|{c}": i for s in specs for i, c in enumerate(s.columns)}
-    pairs = [F.lit(part) for entry in places.items() for part in entry]
-    place = F.try_element_at(F.create_map(*pairs), F.concat_ws("|", "table", "item"))
+    place = lookup_constant(places, F.concat_ws("|", "table", "item"))
     ranking = Window.partitionBy("table").orderBy(F.desc("value"), place)
     return (
         profile.where("section = 'missing_counts'")

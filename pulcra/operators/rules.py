@@ -1,62 +1,117 @@
-"""Audit rules: each violated rule of a row becomes one issue record."""
+"""Audit rules: each violated rule of a row becomes one issue record.
+
+Rows carry an array of short records (rule id and the two values). Texts that a rule always
+writes are added when the array is exploded, so they are neither shuffled nor stored per row.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pulcra.catalogs import ISSUE_ORDER, ROW_ID, Rule
+from pulcra.config import Settings
+from pulcra.functions.literals import lookup_constant, sql_literal
 
 ISSUE_COLUMNS = [
     "table", "row_id", "rule_id", "severity", "column", "original_value", "clean_value", "detail",
 ]
-ISSUE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ISSUE_COLUMNS])
+_RECORD = "struct<rule_id:string,original_value:string,clean_value:string>"
 
 
-def issue(
-    rule: Rule,
-    table: str,
-    *,
-    original: Column | None = None,
-    clean: Column | None = None,
-    column: str | None = None,
-    row_id: Column | None = None,
-    **values: object,
-) -> Column:
-    """Issue record of one row; ``values`` fill the places in the rule's detail text."""
-    null = F.lit(None)
-    fields = {
-        "table": F.lit(table),
-        "row_id": F.col(ROW_ID) if row_id is None else row_id,
-        "rule_id": F.lit(rule.rule_id),
-        "severity": F.lit(rule.severity),
-        "column": F.lit(column or rule.column),
-        "original_value": null if original is None else original,
-        "clean_value": null if clean is None else clean,
-        "detail": F.lit(rule.detail.format(**values)),
+@dataclass(frozen=True)
+class Violation:
+    """A rule, the SQL condition under which a row violates it, and the values to record."""
+
+    rule: Rule
+    when: str
+    original: str = "NULL"
+    clean: str = "NULL"
+
+    def sql(self) -> str:
+        return (
+            f"CASE WHEN {self.when} THEN named_struct("
+            f"'rule_id', {sql_literal(self.rule.rule_id)}, "
+            f"'original_value', CAST({self.original} AS STRING), "
+            f"'clean_value', CAST({self.clean} AS STRING)) END"
+        )
+
+
+def violated(violations: Iterable[Violation], only: Collection[str] | None = None) -> Column:
+    """Array with one entry per rule: its record where the condition holds, else null.
+
+    Rules outside ``only`` are not evaluated at all.
+    """
+    chosen = [v.sql() for v in violations if only is None or v.rule.rule_id in only]
+    return F.expr(f"CAST(array({', '.join(chosen)}) AS array<{_RECORD}>)")
+
+
+def with_rule_texts(
+    records: DataFrame, table: str, key_column: str, settings: Settings
+) -> DataFrame:
+    """Issue rows from ``row_id, rule_id, original_value, clean_value``."""
+    rules = [rule for owner, rule in ISSUE_ORDER if owner == table]
+    values = {
+        "tolerance": settings.age_tolerance_years,
+        "low": settings.phone_min_digits,
+        "high": settings.phone_max_digits,
+        "reference_date": settings.reference_date,
+    }
+    fixed = {
+        "severity": {r.rule_id: r.severity for r in rules},
+        "column": {r.rule_id: r.column or key_column for r in rules},
+        "detail": {r.rule_id: r.detail.format(**values) for r in rules},
     }
-    return F.struct(*[value.cast("string").alias(name) for name, value in fields.items()])
+    texts = {name: lookup_constant(by_rule, F.col("rule_id")) for name, by_rule in fixed.items()}
+    return records.withColumns({"table": F.lit(table), **texts}).select(*ISSUE_COLUMNS)
 
 
-def violated(violations: Sequence[tuple[Column, Column]]) -> Column:
-    """Array of the issue records whose condition holds, in the given order."""
-    if not violations:
-        return F.array().cast(T.ArrayType(ISSUE_SCHEMA))
-    return F.array_compact(F.array(*[F.when(cond, record) for cond, record in violations]))
+def explode_issues(
+    df: DataFrame,
+    table: str,
+    key_column: str,
+    settings: Settings = Settings(),
+    records: Column | str = "_issues",
+) -> DataFrame:
+    """One issue row per record of the rows' arrays.
+
+    Nulls are dropped here and not where the array is built: for a bare array column Spark infers
+    a size filter and pushes a second copy of all rules below the cleaning steps.
+    """
+    long = df.select(
+        F.col(ROW_ID).cast("string").alias("row_id"), F.inline(F.array_compact(records))
+    )
+    return with_rule_texts(long, table, key_column, settings)
 
 
-def explode_issues(df: DataFrame, column: str = "_issues") -> DataFrame:
-    return df.select(F.inline(column))
+def issue_rows(
+    df: DataFrame,
+    rule: Rule,
+    table: str,
+    key_column: str,
+    *,
+    original: str = "NULL",
+    row_id: str = ROW_ID,
+    settings: Settings = Settings(),
+) -> DataFrame:
+    """One issue of the rule for every row given."""
+    records = df.selectExpr(
+        f"CAST({row_id} AS STRING) AS row_id",
+        f"{sql_literal(rule.rule_id)} AS rule_id",
+        f"CAST({original} AS STRING) AS original_value",
+        "CAST(NULL AS STRING) AS clean_value",
+    )
+    return with_rule_texts(records, table, key_column, settings)
 
 
 def with_issue_order(issues: DataFrame) -> DataFrame:
     """Add ``issue_order``: table and rule stage, then input position within the stage."""
     stages = {f"{table}|{rule.rule_id}": n for n, (table, rule) in enumerate(ISSUE_ORDER, 1)}
-    pairs = [F.lit(part) for entry in stages.items() for part in entry]
-    stage = F.try_element_at(F.create_map(*pairs), F.concat_ws("|", "table", "rule_id"))
+    stage = lookup_constant(stages, F.concat_ws("|", "table", "rule_id"))
     return issues.withColumn(
-        "issue_order", F.struct(stage.alias("stage"), F.col("row_id").try_cast("bigint").alias("row"))
+        "issue_order",
+        F.struct(stage.alias("stage"), F.col("row_id").try_cast("bigint").alias("row")),
     )

@@ -24,14 +24,9 @@ from pulcra.catalogs import (
 from pulcra.config import JoinLimits, Settings
 from pulcra.functions import normalize_catalog, text_normalize, try_double
 from pulcra.functions.frames import as_date, text_or_null
-from pulcra.operators.keys import key_missing, resolve_pk_duplicates
-from pulcra.operators.rules import explode_issues, issue, violated
-from pulcra.plans.tables import (
-    Cleaned,
-    rejection_reason,
-    wanted,
-    with_row_id,
-)
+from pulcra.operators.keys import key_missing, key_violations, resolve_pk_duplicates
+from pulcra.operators.rules import Violation, explode_issues, violated
+from pulcra.plans.tables import Cleaned, rejection_reason, with_row_id
 
 REPLACED = ["fecha_cita", "estado_cita", "costo"]
 TRIMMED = ["medico", "especialidad", "ciudad"]
@@ -78,50 +73,35 @@ def appointment_rows(
         .when(F.col("costo") < 0, AMOUNT_NEGATIVE.rule_id),
     )
 
-    def record(rule, **fields):
-        return issue(rule, CHILD_TABLE, **fields)
-
-    keyed = F.coalesce(F.col("reject_rule") != KEY_MISSING.rule_id, F.lit(True))
+    keyed = f"coalesce(reject_rule != '{KEY_MISSING.rule_id}', true)"
     violations = [
-        (
-            KEY_MISSING,
-            ~keyed,
-            record(KEY_MISSING, original=F.col(CHILD_KEY), column=CHILD_KEY),
-        ),
-        (
+        Violation(KEY_MISSING, f"NOT {keyed}", original=CHILD_KEY),
+        Violation(
             EVENT_DATE_INVALID,
-            keyed & F.col("fecha_cita_original").isNotNull() & F.col("fecha_cita").isNull(),
-            record(EVENT_DATE_INVALID, original=F.col("fecha_cita_original")),
+            f"{keyed} AND fecha_cita_original IS NOT NULL AND fecha_cita IS NULL",
+            original="fecha_cita_original",
         ),
-        (
+        Violation(
             EVENT_DATE_FUTURE,
-            keyed & (F.col("fecha_cita") > F.lit(settings.reference_date)),
-            record(
-                EVENT_DATE_FUTURE,
-                original=F.col("fecha_cita_original"),
-                clean=F.col("fecha_cita"),
-                reference_date=settings.reference_date,
-            ),
+            f"{keyed} AND fecha_cita > DATE '{settings.reference_date}'",
+            original="fecha_cita_original",
+            clean="fecha_cita",
         ),
     ]
     if "estado_cita" in given:
         violations.append(
-            (
+            Violation(
                 STATUS_UNRECOGNIZED,
-                keyed & F.col("estado_cita_original").isNotNull() & F.col("estado_cita").isNull(),
-                record(STATUS_UNRECOGNIZED, original=F.col("estado_cita_original")),
+                f"{keyed} AND estado_cita_original IS NOT NULL AND estado_cita IS NULL",
+                original="estado_cita_original",
             )
         )
     if "costo" in given:
         violations += [
-            (
-                rule,
-                F.col("reject_rule") == rule.rule_id,
-                record(rule, original=F.col("costo_original")),
-            )
+            Violation(rule, f"reject_rule = '{rule.rule_id}'", original="costo_original")
             for rule in (AMOUNT_NON_NUMERIC, AMOUNT_NEGATIVE)
         ]
-    return rows.withColumn("_issues", violated(wanted(violations, only)))
+    return rows.withColumn("_issues", violated(violations, only))
 
 
 def compared_columns(df: DataFrame) -> list[str]:
@@ -158,7 +138,7 @@ def resolve_appointments(
     )
 
 
-def split_appointments(resolved: DataFrame) -> Cleaned:
+def split_appointments(resolved: DataFrame, settings: Settings = Settings()) -> Cleaned:
     """Clean rows, rejected rows and issues of a resolved table.
 
     Rejected rows show what the rule that dropped them saw: raw values where the key is missing,
@@ -194,15 +174,10 @@ def split_appointments(resolved: DataFrame) -> Cleaned:
         )
         .drop(*scratch)
     )
-    key_records = [
-        (
-            F.col("key_rule") == r.rule_id,
-            issue(r, CHILD_TABLE, original=F.col(CHILD_KEY), column=CHILD_KEY),
-        )
-        for r in (KEY_CONFLICT, KEY_EXACT)
-    ]
-    all_issues = F.concat("_issues", violated(key_records))
-    issues = explode_issues(resolved.select(all_issues.alias("_issues")))
+    of_keys = key_violations(CHILD_KEY, [KEY_CONFLICT, KEY_EXACT])
+    issues = explode_issues(
+        resolved, CHILD_TABLE, CHILD_KEY, settings, F.concat("_issues", violated(of_keys))
+    )
     return Cleaned(clean, rejected, issues)
 
 
@@ -214,9 +189,8 @@ def clean_appointments(
     only: Collection[str] | None = None,
     limits: JoinLimits = JoinLimits(),
 ) -> Cleaned:
-    return split_appointments(
-        resolve_appointments(df, settings, order_by=order_by, only=only, limits=limits)
-    )
+    resolved = resolve_appointments(df, settings, order_by=order_by, only=only, limits=limits)
+    return split_appointments(resolved, settings)
 
 
 def rejected_appointments(initial: DataFrame, orphans: DataFrame) -> DataFrame:

@@ -14,6 +14,9 @@ from pulcra.catalogs import (
     BIRTH_INVALID,
     DERIVED_AGE_UNREASONABLE,
     EMAIL_INVALID,
+    KEY_CONFLICT,
+    KEY_EXACT,
+    KEY_MISSING,
     PARENT_KEY,
     PARENT_TABLE,
     PHONE_LENGTH,
@@ -34,14 +37,8 @@ from pulcra.functions import (
 )
 from pulcra.functions.frames import as_date, text_or_null
 from pulcra.operators.keys import key_violations, resolve_pk_duplicates
-from pulcra.operators.rules import explode_issues, issue, violated
-from pulcra.plans.tables import (
-    KEY_REJECTS,
-    Cleaned,
-    rejection_reason,
-    wanted,
-    with_row_id,
-)
+from pulcra.operators.rules import Violation, explode_issues, issue_rows, violated
+from pulcra.plans.tables import Cleaned, rejection_reason, with_row_id
 
 REPLACED = ["sexo", "fecha_nacimiento", "edad", "email", "telefono"]
 
@@ -91,7 +88,6 @@ def patient_rows(
     write issues. Works on batch and streaming tables alike.
     """
     tolerance = settings.age_tolerance_years
-    has_sex = "sexo" in df.columns
     rows = _with_originals(df)
     rows = rows.withColumns(
         {
@@ -121,72 +117,45 @@ def patient_rows(
         ),
     )
 
-    def record(rule, **fields):
-        return issue(rule, PARENT_TABLE, **fields)
-
-    with_birth = F.concat(
-        F.coalesce("edad_original", F.lit("NULL")),
-        F.lit(" (nació: "),
-        F.coalesce(F.col("fecha_nacimiento").cast("string"), F.lit("NULL")),
-        F.lit(")"),
+    with_birth = (
+        "concat(coalesce(edad_original, 'NULL'), ' (nació: ',"
+        " coalesce(CAST(fecha_nacimiento AS STRING), 'NULL'), ')')"
     )
     violations = [
-        (
+        Violation(
             BIRTH_INVALID,
-            F.col("fecha_nacimiento_original").isNotNull() & F.col("fecha_nacimiento").isNull(),
-            record(BIRTH_INVALID, original=F.col("fecha_nacimiento_original")),
+            "fecha_nacimiento_original IS NOT NULL AND fecha_nacimiento IS NULL",
+            original="fecha_nacimiento_original",
         ),
-        (
+        Violation(
             DERIVED_AGE_UNREASONABLE,
-            F.col("_derived").isNotNull() & F.col("edad_derivada").isNull(),
-            record(DERIVED_AGE_UNREASONABLE, original=F.col("_derived")),
+            "_derived IS NOT NULL AND edad_derivada IS NULL",
+            original="_derived",
         ),
-        (
-            AGE_OUT_OF_RANGE,
-            F.col("edad_limpia").isNotNull() & F.col("_ranged").isNull(),
-            record(AGE_OUT_OF_RANGE, original=F.col("edad_limpia")),
+        Violation(
+            AGE_OUT_OF_RANGE, "edad_limpia IS NOT NULL AND _ranged IS NULL", original="edad_limpia"
         ),
-        (
+        Violation(
             AGE_FILLED,
-            F.col("_ranged").isNull() & F.col("edad_derivada").isNotNull(),
-            record(AGE_FILLED, original=with_birth, clean=F.col("edad"), tolerance=tolerance),
-        ),
-        (
-            AGE_INCONSISTENT,
-            F.col("edad_inconsistente"),
-            record(AGE_INCONSISTENT, original=with_birth, clean=F.col("edad"), tolerance=tolerance),
+            "_ranged IS NULL AND edad_derivada IS NOT NULL",
+            original=with_birth,
+            clean="edad",
         ),
+        Violation(AGE_INCONSISTENT, "edad_inconsistente", original=with_birth, clean="edad"),
     ]
-    if has_sex:
-        violations.append(
-            (
-                SEX_UNRECOGNIZED,
-                F.col("sexo_original").isNotNull() & F.col("sexo").isNull(),
-                record(SEX_UNRECOGNIZED, original=F.col("sexo_original")),
-            )
-        )
-    if "email_original" in rows.columns:
-        violations.append(
-            (
-                EMAIL_INVALID,
-                F.col("email_original").isNotNull() & F.col("email").isNull(),
-                record(EMAIL_INVALID, original=F.col("email_original")),
-            )
-        )
-    if "telefono_original" in rows.columns:
-        violations.append(
-            (
-                PHONE_LENGTH,
-                F.col("_digits").isNotNull() & F.col("telefono").isNull(),
-                record(
-                    PHONE_LENGTH,
-                    original=F.col("telefono_original"),
-                    low=settings.phone_min_digits,
-                    high=settings.phone_max_digits,
-                ),
-            )
-        )
-    return rows.withColumn("_issues", violated(wanted(violations, only))).drop(
+    given = {
+        "sexo": Violation(
+            SEX_UNRECOGNIZED, "sexo_original IS NOT NULL AND sexo IS NULL", original="sexo_original"
+        ),
+        "email": Violation(
+            EMAIL_INVALID, "email_original IS NOT NULL AND email IS NULL", original="email_original"
+        ),
+        "telefono": Violation(
+            PHONE_LENGTH, "_digits IS NOT NULL AND telefono IS NULL", original="telefono_original"
+        ),
+    }
+    violations += [violation for column, violation in given.items() if column in df.columns]
+    return rows.withColumn("_issues", violated(violations, only)).drop(
         "_derived", "_ranged", "_digits"
     )
 
@@ -218,23 +187,26 @@ def resolve_patients(
     )
 
 
-def split_patients(resolved: DataFrame, *, sex_given: bool = True) -> Cleaned:
+def split_patients(
+    resolved: DataFrame, settings: Settings = Settings(), *, sex_given: bool = True
+) -> Cleaned:
     """Clean rows, rejected rows and issues of a resolved table."""
-    clean = resolved.where("key_rule is null").drop("key_rule", "_issues")
-    rejects = [rule.rule_id for rule in KEY_REJECTS]
+    clean = resolved.where("key_rule IS NULL").drop("key_rule", "_issues")
+    rejects = [KEY_MISSING, KEY_CONFLICT]
     rejected = (
-        resolved.where(F.col("key_rule").isin(rejects))
-        .withColumn("rejection_reason", rejection_reason(F.col("key_rule"), KEY_REJECTS))
+        resolved.where(F.col("key_rule").isin([rule.rule_id for rule in rejects]))
+        .withColumn("rejection_reason", rejection_reason(F.col("key_rule"), rejects))
         .withColumnRenamed("key_rule", "rejection_rule_id")
         .drop("_issues")
     )
-    all_issues = F.concat("_issues", violated(key_violations(PARENT_TABLE, PARENT_KEY)))
-    issues = explode_issues(resolved.select(all_issues.alias("_issues")))
+    of_keys = key_violations(PARENT_KEY, [KEY_MISSING, KEY_CONFLICT, KEY_EXACT])
+    issues = explode_issues(
+        resolved, PARENT_TABLE, PARENT_KEY, settings, F.concat("_issues", violated(of_keys))
+    )
     if not sex_given:
-        missing = resolved.sparkSession.range(1).select(
-            issue(SEX_MISSING, PARENT_TABLE, row_id=F.lit("TABLE")).alias("i")
-        )
-        issues = missing.select("i.*").unionByName(issues)
+        one = resolved.sparkSession.range(1)
+        absent = issue_rows(one, SEX_MISSING, PARENT_TABLE, PARENT_KEY, row_id="'TABLE'")
+        issues = absent.unionByName(issues)
     return Cleaned(clean, rejected, issues)
 
 
@@ -247,4 +219,4 @@ def clean_patients(
     limits: JoinLimits = JoinLimits(),
 ) -> Cleaned:
     resolved = resolve_patients(df, settings, order_by=order_by, only=only, limits=limits)
-    return split_patients(resolved, sex_given="sexo" in df.columns)
+    return split_patients(resolved, settings, sex_given="sexo" in df.columns)

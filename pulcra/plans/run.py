@@ -55,9 +55,12 @@ def clean_tables(
     raw_parents, raw_children = tables[PARENT_TABLE], tables[CHILD_TABLE]
     parents = split_patients(
         keep(resolve_patients(raw_parents, settings, limits=limits)),
+        settings,
         sex_given="sexo" in raw_parents.columns,
     )
-    children = split_appointments(keep(resolve_appointments(raw_children, settings, limits=limits)))
+    children = split_appointments(
+        keep(resolve_appointments(raw_children, settings, limits=limits)), settings
+    )
     checked = validate_cross_references(parents.clean, children.clean, limits)
     return Outcome(
         parents=parents.clean,

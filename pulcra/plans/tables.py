@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-from pulcra.catalogs import KEY_CONFLICT, KEY_MISSING, ROW_ID, Rule
+from pulcra.catalogs import ROW_ID, Rule
+from pulcra.functions.literals import lookup_constant
 from pulcra.operators.numbering import number_rows
 
 
@@ -31,20 +30,5 @@ def with_row_id(df: DataFrame, order_by: list[str] | None = None) -> DataFrame:
     return number_rows(df, order_by, ROW_ID, start=0)
 
 
-def wanted(
-    violations: list[tuple[Rule, Column, Column]], only: Collection[str] | None
-) -> list[tuple[Column, Column]]:
-    """Keep the rules asked for; the others are not evaluated at all."""
-    return [
-        (condition, record)
-        for rule, condition, record in violations
-        if only is None or rule.rule_id in only
-    ]
-
-
 def rejection_reason(rule_id: Column, rules: list[Rule]) -> Column:
-    pairs = [F.lit(part) for rule in rules for part in (rule.rule_id, rule.reason)]
-    return F.try_element_at(F.create_map(*pairs), rule_id)
-
-
-KEY_REJECTS = [KEY_MISSING, KEY_CONFLICT]
+    return lookup_constant({rule.rule_id: rule.reason for rule in rules}, rule_id)
