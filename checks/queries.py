@@ -388,9 +388,11 @@ def _profile_part(name: str, pick) -> None:
     QUERIES[name] = build
 
 
-def _counted(section: str, like: str = "%"):
+def _counted(section: str, *named: str):
     def pick(df, spec):
-        found = profile.counts(df, spec).where(f"section = '{section}' and item like '{like}'")
+        found = profile.counts(df, spec).where(F.col("section") == section)
+        if named:
+            found = found.where(F.col("item").isin(*named))
         return found.select("item", "value")
 
     return pick
@@ -406,11 +408,15 @@ _profile_part("profile_row_count", _counted("row_count"))
 _profile_part("profile_missing", _counted("missing_counts"))
 _profile_part("profile_exact_dups", _duplicates("exact_duplicate_rows"))
 _profile_part("profile_pk_dups", _duplicates("pk_duplicate_rows"))
-_profile_part("profile_date_anomalies", _counted("format_anomalies", "fecha%"))
-_profile_part("profile_catalog_invalid", _counted("format_anomalies", "%o_invalid"))
-_profile_part("profile_email_invalid", _counted("format_anomalies", "email%"))
-_profile_part("profile_phone_invalid", _counted("format_anomalies", "telefono%"))
-_profile_part("profile_amount_anomalies", _counted("format_anomalies", "costo%"))
+_profile_part("profile_date_anomalies", _counted(
+    "format_anomalies",
+    *[f"{c}_{n}" for c in ("fecha_nacimiento", "fecha_cita")
+      for n in ("invalid_raw", "recovered_by_swap", "final_null")],
+))
+_profile_part("profile_catalog_invalid", _counted("format_anomalies", "sexo_invalid", "estado_cita_invalid"))
+_profile_part("profile_email_invalid", _counted("format_anomalies", "email_invalid"))
+_profile_part("profile_phone_invalid", _counted("format_anomalies", "telefono_invalid"))
+_profile_part("profile_amount_anomalies", _counted("format_anomalies", "costo_non_numeric", "costo_negative"))
 _profile_part("profile_cardinality", lambda df, spec: profile.cardinality(df, spec.categorical))
 
 
