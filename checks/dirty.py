@@ -10,15 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pulcra.catalogs import CHILD_TABLE, PARENT_TABLE
+from pulcra.session import tune
 from pulcra.sources.readers import type_keys
 
 
 def _iso(d: str) -> str:
-    return f"date_format({d}, 'yyyy-MM-dd')"
+    return f"CAST({d} AS STRING)"
 
 
 def _swapped(d: str, otherwise: str) -> str:
-    return f"CASE WHEN day({d}) > 12 THEN date_format({d}, 'yyyy-dd-MM') ELSE '{otherwise}' END"
+    swapped = f"concat(substr({_iso(d)}, 1, 5), substr({_iso(d)}, 9, 2), substr({_iso(d)}, 5, 3))"
+    return f"CASE WHEN day({d}) > 12 THEN {swapped} ELSE '{otherwise}' END"
 
 
 def _copied(table: DataFrame, key: str, every: int, rest: int) -> DataFrame:
@@ -27,7 +29,7 @@ def _copied(table: DataFrame, key: str, every: int, rest: int) -> DataFrame:
 
 
 def raw_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    customer = tune(spark).read.parquet(f"{sf_dir}/customer.parquet")
     rows = _copied(customer, "c_custkey", 97, 5).selectExpr(
         "k", "copy", "c_name", "c_nationkey",
         "DATE '1895-01-01' + CAST((k * 7919) % 48000 AS INT) AS b",
@@ -57,7 +59,7 @@ def raw_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_children(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = tune(spark).read.parquet(f"{sf_dir}/orders.parquet")
     rows = _copied(orders, "o_orderkey", 89, 6).selectExpr(
         "k", "copy", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority",
         "CAST(o_orderdate AS DATE) + CAST(8000 + (k * 13) % 3000 AS INT) AS f",

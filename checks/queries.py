@@ -322,19 +322,19 @@ def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("dedup_keep_first")
 def dedup_keep_first(spark, sf_dir):
-    return _resolved(spark, sf_dir).where("key_rule is null").select(ROW, k.CHILD_KEY)
+    return _resolved(spark, sf_dir).where("drop_rule IS NULL").select(ROW, k.CHILD_KEY)
 
 
 @query("dedup_conflicts")
 def dedup_conflicts(spark, sf_dir):
-    rows = _resolved(spark, sf_dir).where(F.col("key_rule") == k.KEY_CONFLICT.rule_id)
-    return rows.drop("key_rule")
+    rows = _resolved(spark, sf_dir).where(F.col("drop_rule") == k.KEY_CONFLICT.rule_id)
+    return rows.drop("drop_rule")
 
 
 @query("dedup_exact_dropped")
 def dedup_exact_dropped(spark, sf_dir):
-    rows = _resolved(spark, sf_dir).where(F.col("key_rule") == k.KEY_EXACT.rule_id)
-    return rows.drop("key_rule")
+    rows = _resolved(spark, sf_dir).where(F.col("drop_rule") == k.KEY_EXACT.rule_id)
+    return rows.drop("drop_rule")
 
 
 @query("validate_cross_refs")

@@ -121,7 +121,7 @@ def resolve_appointments(
     only: Collection[str] | None = None,
     limits: JoinLimits = JoinLimits(),
 ) -> DataFrame:
-    """All rows with clean values, ``_issues``, ``reject_rule`` and ``key_rule``.
+    """All rows with clean values, ``_issues`` and ``drop_rule``.
 
     Rows that are rejected for themselves take no part in duplicate resolution.
     """
@@ -133,7 +133,7 @@ def resolve_appointments(
         pk=CHILD_KEY,
         compare=compared_columns(df),
         allow_missing=False,
-        taking_part=F.col("reject_rule").isNull(),
+        earlier="reject_rule",
         limits=limits,
     )
 
@@ -145,21 +145,21 @@ def split_appointments(resolved: DataFrame, settings: Settings = Settings()) ->
     the raw amount, and texts before trimming where they were dropped earlier than that step.
     """
     trimmed = [c for c in TRIMMED if c in resolved.columns]
-    scratch = ["_issues", "reject_rule", "key_rule", *[f"_{c}" for c in trimmed]]
-    clean = resolved.where("reject_rule is null and key_rule is null").drop(*scratch)
+    scratch = ["_issues", "drop_rule", *[f"_{c}" for c in trimmed]]
+    clean = resolved.where("drop_rule IS NULL").drop(*scratch)
 
-    rule = F.coalesce("reject_rule", "key_rule")
-    no_key = F.col("reject_rule") == KEY_MISSING.rule_id
+    rule = F.col("drop_rule")
+    no_key = rule == KEY_MISSING.rule_id
     shown = {c: F.coalesce(F.when(no_key, F.col(f"{c}_original")), F.col(c).cast("string"))
              for c in ("fecha_cita", "estado_cita") if f"{c}_original" in resolved.columns}
     if "costo_original" in resolved.columns:
         shown["costo"] = F.col("costo_original")
     shown |= {
-        c: F.when(F.col("reject_rule").isNotNull(), F.col(f"_{c}")).otherwise(F.col(c))
+        c: F.when(rule != KEY_CONFLICT.rule_id, F.col(f"_{c}")).otherwise(F.col(c))
         for c in trimmed
     }
     shown |= {
-        c: F.when(~F.coalesce(no_key, F.lit(False)), F.col(c))
+        c: F.when(~no_key, F.col(c))
         for c in resolved.columns
         if c.endswith("_original")
     }

@@ -177,7 +177,7 @@ def resolve_patients(
     only: Collection[str] | None = None,
     limits: JoinLimits = JoinLimits(),
 ) -> DataFrame:
-    """All rows with clean values, ``_issues`` and ``key_rule``."""
+    """All rows with clean values, ``_issues`` and ``drop_rule``."""
     df = with_row_id(df, order_by)
     return resolve_pk_duplicates(
         patient_rows(df, settings, only),
@@ -191,12 +191,12 @@ def split_patients(
     resolved: DataFrame, settings: Settings = Settings(), *, sex_given: bool = True
 ) -> Cleaned:
     """Clean rows, rejected rows and issues of a resolved table."""
-    clean = resolved.where("key_rule IS NULL").drop("key_rule", "_issues")
+    clean = resolved.where("drop_rule IS NULL").drop("drop_rule", "_issues")
     rejects = [KEY_MISSING, KEY_CONFLICT]
     rejected = (
-        resolved.where(F.col("key_rule").isin([rule.rule_id for rule in rejects]))
-        .withColumn("rejection_reason", rejection_reason(F.col("key_rule"), rejects))
-        .withColumnRenamed("key_rule", "rejection_rule_id")
+        resolved.where(F.col("drop_rule").isin([rule.rule_id for rule in rejects]))
+        .withColumn("rejection_reason", rejection_reason(F.col("drop_rule"), rejects))
+        .withColumnRenamed("drop_rule", "rejection_rule_id")
         .drop("_issues")
     )
     of_keys = key_violations(PARENT_KEY, [KEY_MISSING, KEY_CONFLICT, KEY_EXACT])

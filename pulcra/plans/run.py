@@ -25,6 +25,7 @@ from pulcra.plans.appointments import (
     split_appointments,
 )
 from pulcra.plans.patients import resolve_patients, split_patients
+from pulcra.session import tune
 from pulcra.sources import sinks
 from pulcra.sources.readers import check_contract
 
@@ -153,7 +154,7 @@ def run(
     roll-ups and summary, ``star/`` the star schema as Parquet.
     """
     check_contract(tables)
-    spark = tables[PARENT_TABLE].sparkSession
+    spark = tune(tables[PARENT_TABLE].sparkSession)
     processed, reports, warehouse = (f"{output}/{d}" for d in ("processed", "reports", "star"))
 
     profiled = materialize(profile.profile_dataset(tables))
