@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pulcra.catalogs import CHILD_TABLE, PARENT_TABLE
 from pulcra.session import tune
-from pulcra.sources.readers import type_keys
+from pulcra.sources.readers import spread, type_keys
 
 
 def _iso(d: str) -> str:
@@ -25,7 +25,7 @@ def _swapped(d: str, otherwise: str) -> str:
 
 def _copied(table: DataFrame, key: str, every: int, rest: int) -> DataFrame:
     copies = f"explode(CASE WHEN {key} % {every} = {rest} THEN array(0, 1) ELSE array(0) END)"
-    return table.selectExpr("*", f"{key} AS k", f"{copies} AS copy")
+    return spread(table, key).selectExpr("*", f"{key} AS k", f"{copies} AS copy")
 
 
 def raw_parents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,6 +32,7 @@ from pulcra.functions import (
     try_double,
 )
 from pulcra.functions.frames import as_date, text_or_null
+from pulcra.functions.literals import inline_structs, sql_literal, sql_struct
 from pulcra.operators.integrity import foreign_key_counts
 
 METRIC_KEY = ["scope", "table", "column", "metric_name"]
@@ -108,22 +109,17 @@ CHILD_METRICS = MetricSpec(
 
 
 def _measure(
-    scope: str,
-    table: str | None,
-    column: str | None,
-    name: str,
-    num: Column,
-    den: Column | None = None,
-) -> Column:
+    scope: str, table: str | None, column: str | None, name: str, num: str, den: str | None = None
+) -> str:
     """A measure record; without a denominator the metric is the bare sum."""
-    return F.struct(
-        F.lit(scope).alias("scope"),
-        F.lit(table).cast("string").alias("table"),
-        F.lit(column).cast("string").alias("column"),
-        F.lit(name).alias("metric_name"),
-        num.cast("bigint").alias("num"),
-        (F.lit(None) if den is None else den).cast("bigint").alias("den"),
-        F.lit(den is not None).alias("is_share"),
+    return sql_struct(
+        scope=sql_literal(scope),
+        table=sql_literal(table),
+        column=sql_literal(column),
+        metric_name=sql_literal(name),
+        num=f"CAST({num} AS BIGINT)",
+        den=f"CAST({den or 'NULL'} AS BIGINT)",
+        is_share="true" if den else "false",
     )
 
 
@@ -141,21 +137,21 @@ def column_measures(df: DataFrame, spec: MetricSpec, settings: Settings) -> Data
         *[F.count(F.col(c)).alias(f"_n_{c}") for c in present],
         *[F.count(F.when(cond, 1)).alias(f"_v_{name}") for name, cond in conditions.items()],
     )
-    rows, table = F.col("_rows"), spec.table
+    rows, table = "_rows", spec.table
     records = [_measure("global", None, None, GLOBAL_ROWS, rows)]
     for c in present:
-        filled = F.col(f"_n_{c}")
+        filled = f"_n_{c}"
         records.append(
-            _measure("table_column", table, c, "completeness_pct", filled, F.greatest(rows, F.lit(1)))
+            _measure("table_column", table, c, "completeness_pct", filled, "greatest(_rows, 1)")
         )
         records.append(_measure("global", None, None, GLOBAL_COMPLETENESS, filled, rows))
     for name in spec.validity:
-        records.append(_measure("table", table, None, name, F.col(f"_v_{name}"), rows))
+        records.append(_measure("table", table, None, name, f"_v_{name}", rows))
     if spec.consistency is not None:
-        pairs, close = F.col("_v__pair"), F.col("_v__close")
+        pairs, close = "_v__pair", "_v__close"
         records.append(_measure("table", table, None, "edad_consistency_pct", close, pairs))
         records.append(_measure("table", table, None, "edad_consistency_pair_count", pairs))
-    return wide.select(F.inline(F.array(*records)))
+    return wide.select(inline_structs(records))
 
 
 def key_measures(df: DataFrame, spec: MetricSpec) -> DataFrame:
@@ -165,10 +161,8 @@ def key_measures(df: DataFrame, spec: MetricSpec) -> DataFrame:
     else:
         groups = df.groupBy(spec.pk).agg(F.count(F.lit(1)).alias("n"))
         wide = groups.agg(F.count(spec.pk).alias("_keys"), F.coalesce(F.sum("n"), F.lit(0)).alias("_rows"))
-    record = _measure(
-        "table", spec.table, None, "pk_uniqueness_pct", F.col("_keys"), F.col("_rows")
-    )
-    return wide.select(F.inline(F.array(record)))
+    record = _measure("table", spec.table, None, "pk_uniqueness_pct", "_keys", "_rows")
+    return wide.select(inline_structs([record]))
 
 
 def foreign_key_measures(
@@ -183,14 +177,14 @@ def foreign_key_measures(
             F.coalesce(F.sum(F.when(F.col("known"), F.col("n"))), F.lit(0)).alias("_valid"),
             F.coalesce(F.sum("n"), F.lit(0)).alias("_given"),
         )
-    valid, given = F.col("_valid"), F.col("_given")
+    valid, given = "_valid", "_given"
     records = [
         _measure("table", table, None, "fk_valid_pct_among_non_null", valid, given),
         _measure("table", table, None, "fk_valid_pair_count", valid),
         _measure("table", table, None, "fk_non_null_count", given),
         _measure("global", None, None, GLOBAL_FK, valid, given),
     ]
-    return wide.select(F.inline(F.array(*records)))
+    return wide.select(inline_structs(records))
 
 
 def dataset_measures(tables: Mapping[str, DataFrame], settings: Settings) -> DataFrame:

@@ -28,7 +28,12 @@ from pulcra.functions import (
     try_double,
 )
 from pulcra.functions.frames import text_or_null
-from pulcra.functions.literals import lookup_constant
+from pulcra.functions.literals import (
+    inline_structs,
+    lookup_constant,
+    sql_literal,
+    sql_struct,
+)
 
 Check = Callable[[Column], Column]
 
@@ -90,13 +95,16 @@ def _count_where(condition: Column) -> Column:
     return F.count(F.when(condition, 1))
 
 
-def _items(df: DataFrame, section: str, names: list[str]) -> DataFrame:
-    """One row of counts to one row per count."""
-    records = [
-        F.struct(F.lit(section).alias("section"), F.lit(n).alias("item"), F.col(n).alias("value"))
-        for n in names
-    ]
-    return df.select(F.inline(F.array(*records)))
+def _items(df: DataFrame, records: list[tuple[str, str, str]]) -> DataFrame:
+    """One row of counts to one row per ``(section, item, column)``."""
+    return df.select(
+        inline_structs(
+            [
+                sql_struct(section=sql_literal(section), item=sql_literal(item), value=column)
+                for section, item, column in records
+            ]
+        )
+    )
 
 
 def date_anomalies(prefix: str) -> dict[str, Column]:
@@ -141,20 +149,7 @@ def counts(df: DataFrame, spec: ProfileSpec) -> DataFrame:
     records = [("row_count", "rows", "rows")]
     records += [("missing_counts", c, f"_{c}") for c in missing]
     records += [("format_anomalies", name, name) for name in anomalies]
-    return wide.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(section).alias("section"),
-                        F.lit(item).alias("item"),
-                        F.col(source).alias("value"),
-                    )
-                    for section, item, source in records
-                ]
-            )
-        )
-    )
+    return _items(wide, records)
 
 
 def duplicate_counts(df: DataFrame, spec: ProfileSpec) -> DataFrame:
@@ -162,21 +157,22 @@ def duplicate_counts(df: DataFrame, spec: ProfileSpec) -> DataFrame:
     exact = repeated_rows(
         df, [c for c in df.columns if c != ROW_ID], "exact_duplicate_rows"
     )
-    out = _items(exact, "duplicate_counts", ["exact_duplicate_rows"])
+    section = "duplicate_counts"
+    out = _items(exact, [(section, "exact_duplicate_rows", "exact_duplicate_rows")])
     if spec.pk in df.columns:
         keys = repeated_rows(df, [spec.pk], "pk_duplicate_rows")
     else:
         keys = df.agg(F.count(F.when(F.lit(False), 1)).alias("pk_duplicate_rows"))
-    return out.unionByName(_items(keys, "duplicate_counts", ["pk_duplicate_rows"]))
+    return out.unionByName(_items(keys, [(section, "pk_duplicate_rows", "pk_duplicate_rows")]))
 
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """``column, value, count`` of the non-null values of each column, in one shuffle."""
     present = [c for c in columns if c in df.columns]
     records = [
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in present
+        sql_struct(column=sql_literal(c), value=f"CAST(`{c}` AS STRING)") for c in present
     ]
-    long = df.select(F.inline(F.array(*records)))
+    long = df.select(inline_structs(records))
     return (
         long.where("value is not null")
         .groupBy("column", "value")

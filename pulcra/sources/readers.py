@@ -109,6 +109,16 @@ def read_document(spark: SparkSession, path: str, *, limit: int = 0) -> dict[str
     return tables
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hand an input with fewer splits than cores to all cores, by hash of a unique key.
+
+    Small tables often are one file with one row group, which a single task would read and clean.
+    Inputs with splits enough are returned as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def number_parquet_rows(spark: SparkSession, path: str) -> DataFrame:
     """A Parquet table with ``source_row_id``: files in name order, rows as stored in each.
 
