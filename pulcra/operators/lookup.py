@@ -55,6 +55,10 @@ def _broadcast_size(table: DataFrame, key: str) -> int:
     return size["n"] * _ROW_BYTES + (size["key_bytes"] or 0)
 
 
+def _slot(value: Column) -> Column:
+    return F.pmod(F.xxhash64(value), F.lit(_SPREAD))
+
+
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
@@ -73,12 +77,14 @@ def lookup_join(
     * Up to ``limits.broadcast_bytes`` it is broadcast and ``rows`` are not shuffled at all.
     * Beyond, keys above ``limits.hot_rows`` are broadcast (there are at most
       ``rows / hot_rows`` of them) and the other keys are joined through a shuffle. Rows with a
-      hot or a null key cannot match in that shuffle, so they are spread evenly over it.
+      hot or a null key cannot match in that shuffle, so a second join column taken from the row
+      id spreads them over it. For other rows that column is a function of the key on both sides;
+      a constant there would be folded away by the optimizer and leave the hot key in one task.
     """
     table = materialize(lookup)
     payload = [c for c in table.columns if c not in (lookup_key, weight)]
-    keyed = rows.withColumn("_key", key)
     table = table.withColumnRenamed(lookup_key, "_key")
+    keyed = rows.withColumn("_key", key.cast(table.schema["_key"].dataType))
     if _broadcast_size(table, "_key") <= limits.broadcast_bytes:
         return keyed.join(F.broadcast(table.drop(weight)), "_key", "left").drop("_key")
 
@@ -86,13 +92,12 @@ def lookup_join(
         "_key", F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in payload]
     )
     cold = table.where(F.col(weight) <= limits.hot_rows).select(
-        "_key", F.lit(0).cast("bigint").alias("_slot"), *payload
+        "_key", _slot(F.col("_key")).alias("_slot"), *payload
     )
-    elsewhere = F.pmod(F.xxhash64(row_id), F.lit(_SPREAD)) + 1
     matchless = F.col("_hot").isNotNull() | F.col("_key").isNull()
     joined = (
         keyed.join(F.broadcast(hot), "_key", "left")
-        .withColumn("_slot", F.when(matchless, elsewhere).otherwise(F.lit(0).cast("bigint")))
+        .withColumn("_slot", F.when(matchless, _slot(row_id)).otherwise(_slot(F.col("_key"))))
         .join(cold, ["_key", "_slot"], "left")
     )
     return joined.select(

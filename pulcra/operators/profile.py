@@ -171,7 +171,7 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     present = [c for c in columns if c in df.columns]
     records = [
         sql_struct(column=sql_literal(c), value=f"CAST(`{c}` AS STRING)") for c in present
-    ]
+    ] or [sql_struct(column=sql_literal(None), value=sql_literal(None))]
     long = df.select(inline_structs(records))
     return (
         long.where("value is not null")
