@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +16,7 @@ from pulcra.config import JoinLimits
 # Room that one broadcast row takes beside its key: a few fixed-width fields and overhead.
 _ROW_BYTES = 96
 _SPREAD = 1 << 20
+_scope: ContextVar[str] = ContextVar("work_tables", default="kept")
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -28,7 +32,7 @@ def work_folder(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="pulcra-")
         context.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/pulcra-{context.applicationId}"
+    return f"{base.rstrip('/')}/pulcra-{context.applicationId}/{_scope.get()}"
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -41,10 +45,21 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_work_tables(spark: SparkSession) -> None:
-    """Delete this application's intermediate tables; frames read from them become unusable."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(work_folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+@contextmanager
+def work_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables made inside the block when it ends.
+
+    Results must be written within the block; frames that still read those tables are unusable
+    afterwards. Tables made elsewhere are not touched.
+    """
+    token = _scope.set(uuid.uuid4().hex)
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(work_folder(spark))
+    try:
+        yield
+    finally:
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+        _scope.reset(token)
 
 
 def _broadcast_size(table: DataFrame, key: str) -> int:

@@ -17,7 +17,7 @@ from pulcra.catalogs import (
 from pulcra.config import JoinLimits, Settings
 from pulcra.operators import audit, metrics, profile
 from pulcra.operators.integrity import validate_cross_references
-from pulcra.operators.lookup import drop_work_tables, materialize
+from pulcra.operators.lookup import materialize, work_tables
 from pulcra.plans import star as star_schema
 from pulcra.plans.appointments import (
     rejected_appointments,
@@ -128,16 +128,19 @@ def table_rows(before: Mapping[str, DataFrame], after: Mapping[str, DataFrame])
 
 def summary_document(summary: DataFrame, by_rule: DataFrame) -> DataFrame:
     """One nested row: a map per section, and the severity of each rule."""
-    pair = F.struct("name", "value")
-    sections = summary.groupBy("section").agg(F.map_from_entries(F.collect_list(pair)).alias("values"))
-    numbers = sections.groupBy().agg(
-        F.map_from_entries(F.collect_list(F.struct("section", "values"))).alias("sections")
+    sections = summary.groupBy("section").agg(
+        F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("values")
     )
-    severities = by_rule.groupBy().agg(
-        F.map_from_entries(F.collect_list(F.struct("rule_id", "severity"))).alias("severity_by_rule")
+    rows = sections.unionByName(by_rule.select("rule_id", "severity"), allowMissingColumns=True)
+    section, severity = F.struct("section", "values"), F.struct("rule_id", "severity")
+    return rows.groupBy().agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("section").isNotNull(), section))).alias(
+            "sections"
+        ),
+        F.map_from_entries(F.collect_list(F.when(F.col("rule_id").isNotNull(), severity))).alias(
+            "severity_by_rule"
+        ),
     )
-    one = F.lit(1).alias("_one")
-    return numbers.select("*", one).join(severities.select("*", one), "_one").drop("_one")
 
 
 def run(
@@ -155,6 +158,19 @@ def run(
     """
     check_contract(tables)
     spark = tune(tables[PARENT_TABLE].sparkSession)
+    with work_tables(spark):
+        _write_all(tables, output, settings, file_format, limits)
+    return spark.read.parquet(f"{output}/reports/quality_summary")
+
+
+def _write_all(
+    tables: Mapping[str, DataFrame],
+    output: str,
+    settings: Settings,
+    file_format: str,
+    limits: JoinLimits,
+) -> None:
+    spark = tables[PARENT_TABLE].sparkSession
     processed, reports, warehouse = (f"{output}/{d}" for d in ("processed", "reports", "star"))
 
     profiled = materialize(profile.profile_dataset(tables))
@@ -210,5 +226,3 @@ def run(
     sinks.write_table(summary.coalesce(1), f"{reports}/quality_summary", "parquet")
     summary = spark.read.parquet(f"{reports}/quality_summary")
     sinks.write_json(summary_document(summary, by_rule), f"{reports}/quality_summary_json")
-    drop_work_tables(spark)
-    return summary

@@ -34,8 +34,7 @@ def rows_of(table):
 def difference(df, con, sql: str) -> str | None:
     """None if both give the same, else what differs."""
     names, kinds, rows = rows_of(df.toArrow())
-    result = con.execute(sql)
-    table = result.to_arrow_table() if hasattr(result, "to_arrow_table") else result.fetch_arrow_table()
+    table = con.sql(sql).to_arrow_table()
     other_names, other_kinds, other_rows = rows_of(table)
     if names != other_names:
         return f"columns {names} / {other_names}"
@@ -47,3 +46,34 @@ def difference(df, con, sql: str) -> str | None:
         odd = {n: (kinds[n], other_kinds[n]) for n in names if kinds[n] != other_kinds[n]}
         return f"types {odd}"
     return None
+
+
+def main() -> int:
+    import sys
+    from pathlib import Path
+
+    sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+    import __spark_entry__ as driver
+    from pyspark.sql import SparkSession
+
+    sf_dir, names = sys.argv[1], sys.argv[2:]
+    spark = (
+        SparkSession.builder.master("local[8]")
+        .config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.driver.memory", "8g")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    con, queries, sql = connect(sf_dir), driver.queries(), driver.oracle_sql()
+    failed = 0
+    for name in names or queries:
+        found = difference(queries[name](spark, sf_dir), con, sql[name])
+        failed += found is not None
+        print(name, found or "same", flush=True)
+    print(f"{failed} differ")
+    return failed
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())
