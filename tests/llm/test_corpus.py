@@ -242,7 +242,7 @@ def test_token_probabilities_add_up():
     """What bytes may follow a prefix shares one; unknown tokens are possible."""
     s = mixing.Settings(orders=(1, 2, 99), slots=1 << 12)
     words = [b"ab", b"abc", b"b", mixing.END, b"hello"]
-    counts = np.zeros((len(s.orders) * s.slots, 2))
+    counts = np.zeros((2, len(s.orders) * s.slots))
     mixing.bit_counts(words, np.array([5.0, 3, 2, 4, 1]), counts, s)
     mixer = mixing.Mixer(s)
     mixer.learn(words, np.array([5.0, 3, 2, 4, 1]), counts.astype(np.float32))
