@@ -17,23 +17,30 @@ from checks.queries import QUERIES
 
 HEADLINE = [
     "fn_parse_date",
+    "fn_truncate_text",
     "rule_age_inconsistent",
+    "rule_event_date_future",
     "clean_parent",
     "clean_child",
     "dedup_keep_first",
     "join_fk_anti",
     "validate_cross_refs",
     "profile_dataset",
+    "profile_top_values",
     "metrics_long",
+    "metric_before_after",
     "issues_by_rule",
+    "report_rule_impact",
     "star_fact",
+    "star_dim_catalog",
+    "quality_summary",
 ]
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bench")

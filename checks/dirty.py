@@ -40,10 +40,10 @@ def raw_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN k % 211 = 7 THEN NULL ELSE CAST(k AS STRING) END AS id_paciente",
         "c_name AS nombre",
         f"""CASE k % 10 WHEN 0 THEN {_swapped('b', '1959-06-33')}
-              WHEN 1 THEN concat(day(b), ' de ', element_at({months}, month(b)), ' de ', year(b))
+              WHEN 1 THEN concat(day(b), CASE WHEN k % 3 = 0 THEN '\u00a0de ' ELSE ' de ' END, element_at({months}, month(b)), ' de ', year(b))
               WHEN 2 THEN CASE WHEN k % 20 = 2 THEN 'invalid' ELSE '' END
               WHEN 3 THEN NULL ELSE {_iso('b')} END AS fecha_nacimiento""",
-        """CASE WHEN k % 101 = 0 THEN 'abc' WHEN k % 3 = 0 THEN NULL
+        """CASE WHEN k % 101 = 0 THEN 'abc' WHEN k % 101 = 1 THEN '99999999999999999999' WHEN k % 3 = 0 THEN NULL
               WHEN k % 3 = 1 THEN CAST(2026 - year(b) AS STRING)
               ELSE CAST((k * 31) % 140 AS STRING) END AS edad""",
         """CASE k % 8 WHEN 0 THEN 'M' WHEN 1 THEN 'Female' WHEN 2 THEN ' male ' WHEN 3 THEN 'X'

@@ -8,16 +8,15 @@ from __future__ import annotations
 
 import re
 
+from pulcra.catalogs import SPANISH_MONTHS
+from pulcra.catalogs import WHITESPACE as WS
+
 REF = "DATE '2026-03-18'"
-WS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0"
 EMAIL = r"(?i)^[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}$"
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-MONTHS = {
-    1: ("ene", "enero"), 2: ("feb", "febrero"), 3: ("mar", "marzo"), 4: ("abr", "abril"),
-    5: ("may", "mayo"), 6: ("jun", "junio"), 7: ("jul", "julio"), 8: ("ago", "agosto"),
-    9: ("sep", "septiembre", "set", "setiembre"), 10: ("oct", "octubre"),
-    11: ("nov", "noviembre"), 12: ("dic", "diciembre"),
-}
+MONTHS = {m: sorted(n for n, v in SPANISH_MONTHS.items() if v == m) for m in range(1, 13)}
+# White space inside dates, for this engine's patterns.
+BLANK = r"\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
 
 def strip(x: str) -> str:
@@ -30,7 +29,7 @@ def iso(x: str) -> str:
 
 def parse_date(x: str) -> str:
     text = strip(x)
-    spanish = r"(?i)^(\d{1,2})[\s\-/]*(?:de\s*)?([a-z]{3,10})[\s\-/]*(?:de\s*)?(\d{4})$"
+    spanish = rf"(?i)^(\d{{1,2}})[{BLANK}\-/]*(?:de[{BLANK}]*)?([a-z]{{3,10}})[{BLANK}\-/]*(?:de[{BLANK}]*)?(\d{{4}})$"
     month = f"lower(regexp_extract({text}, '{spanish}', 2))"
     number = " ".join(
         f"WHEN {month} IN ({', '.join(repr(n) for n in names)}) THEN '{m}'" for m, names in MONTHS.items()
@@ -109,11 +108,11 @@ SELECT k + copy * 100000000 AS source_row_id,
   c_name AS nombre,
   CASE k % 10
     WHEN 0 THEN CASE WHEN day(b) > 12 THEN CAST(year(b) AS STRING) || '-' || lpad(CAST(day(b) AS STRING),2,'0') || '-' || lpad(CAST(month(b) AS STRING),2,'0') ELSE '1959-06-33' END
-    WHEN 1 THEN CAST(day(b) AS STRING) || ' de ' || CASE month(b) WHEN 1 THEN 'enero' WHEN 2 THEN 'feb' WHEN 3 THEN 'marzo' WHEN 4 THEN 'abr' WHEN 5 THEN 'mayo' WHEN 6 THEN 'jun' WHEN 7 THEN 'julio' WHEN 8 THEN 'ago' WHEN 9 THEN 'set' WHEN 10 THEN 'oct' WHEN 11 THEN 'NOV' ELSE 'diciembre' END || ' de ' || CAST(year(b) AS STRING)
+    WHEN 1 THEN CAST(day(b) AS STRING) || (CASE WHEN k % 3 = 0 THEN '\u00a0de ' ELSE ' de ' END) || CASE month(b) WHEN 1 THEN 'enero' WHEN 2 THEN 'feb' WHEN 3 THEN 'marzo' WHEN 4 THEN 'abr' WHEN 5 THEN 'mayo' WHEN 6 THEN 'jun' WHEN 7 THEN 'julio' WHEN 8 THEN 'ago' WHEN 9 THEN 'set' WHEN 10 THEN 'oct' WHEN 11 THEN 'NOV' ELSE 'diciembre' END || ' de ' || CAST(year(b) AS STRING)
     WHEN 2 THEN CASE WHEN k % 20 = 2 THEN 'invalid' ELSE '' END
     WHEN 3 THEN NULL
     ELSE CAST(year(b) AS STRING) || '-' || lpad(CAST(month(b) AS STRING),2,'0') || '-' || lpad(CAST(day(b) AS STRING),2,'0') END AS fecha_nacimiento,
-  CASE WHEN k % 101 = 0 THEN 'abc' WHEN k % 3 = 0 THEN NULL WHEN k % 3 = 1 THEN CAST(2026 - year(b) AS STRING) ELSE CAST((k * 31) % 140 AS STRING) END AS edad,
+  CASE WHEN k % 101 = 0 THEN 'abc' WHEN k % 101 = 1 THEN '99999999999999999999' WHEN k % 3 = 0 THEN NULL WHEN k % 3 = 1 THEN CAST(2026 - year(b) AS STRING) ELSE CAST((k * 31) % 140 AS STRING) END AS edad,
   CASE k % 8 WHEN 0 THEN 'M' WHEN 1 THEN 'Female' WHEN 2 THEN ' male ' WHEN 3 THEN 'X' WHEN 4 THEN '' WHEN 5 THEN NULL WHEN 6 THEN 'hombre' ELSE 'MUJER' END AS sexo,
   CASE k % 6 WHEN 0 THEN NULL WHEN 1 THEN 'bad-email' WHEN 2 THEN '  ' ELSE ' User.' || CAST(k AS STRING) || '@Example.com ' END AS email,
   CASE k % 7 WHEN 0 THEN NULL WHEN 1 THEN '123' WHEN 2 THEN 'abc' WHEN 3 THEN '1234567890123456' ELSE '317-' || lpad(CAST(k AS STRING),7,'0') END AS telefono,
@@ -269,7 +268,7 @@ ISSUES = {
     "sexo": issue("resolved_p", P, "sexo", "R_SEXO_UNRECOGNIZED", "warning", "sexo IS NOT NULL AND sexo_n IS NULL", "sexo", "Valor de sexo no mapeado al catálogo (M/F)."),
     "birth": issue("resolved_p", P, "fecha_nacimiento", "R_FECHA_NAC_INVALID", "warning", "fecha_nacimiento IS NOT NULL AND birth IS NULL", "fecha_nacimiento", "Fecha de nacimiento no parseable (formato esperado YYYY-MM-DD)."),
     "derived": issue("resolved_p", P, "edad_derivada", "R_EDAD_DERIVADA_UNREASONABLE", "warning", "derived IS NOT NULL AND edad_derivada IS NULL", "derived", "Edad derivada fuera de rango razonable (0-120)."),
-    "range": issue("resolved_p", P, "edad", "R_EDAD_PROVIDED_OUT_OF_RANGE", "warning", "edad_limpia IS NOT NULL AND ranged IS NULL", "edad_limpia", "Edad provista fuera de rango razonable (0-120)."),
+    "range": issue("resolved_p", P, "edad", "R_EDAD_PROVIDED_OUT_OF_RANGE", "warning", f"regexp_matches({strip('edad')}, '^[+-]?\\d+(\\.0+)?$') AND ranged IS NULL", "coalesce(CAST(edad_limpia AS VARCHAR), edad)", "Edad provista fuera de rango razonable (0-120)."),
     "filled": issue("resolved_p", P, "edad", "R_EDAD_FILLED_FROM_DERIVADA", "info", "ranged IS NULL AND edad_derivada IS NOT NULL", BIRTH_TEXT, "Se completó edad usando edad derivada (tolerancia=±2).", "edad_n"),
     "inconsistent": issue("resolved_p", P, "edad", "R_EDAD_INCONSISTENT_WITH_DERIVED", "warning", "abs(ranged - edad_derivada) > 2", BIRTH_TEXT, "Inconsistencia entre edad provista y derivada > 2 años.", "edad_n"),
     "email": issue("resolved_p", P, "email", "R_EMAIL_INVALID", "warning", "email IS NOT NULL AND email_n IS NULL", "email", "Email no cumple formato válido; se establece NULL."),
@@ -531,7 +530,10 @@ GENERIC_RESOLVED = f"""(SELECT t.*, CASE WHEN g.sigs > 1 THEN 'conflict' WHEN g.
 
 BODIES: dict[str, str] = {
     "src_row_provenance": "SELECT row_number() OVER (ORDER BY source_row_id) - 1 AS source_row_id, source_row_id AS input_key, id_cita FROM raw_c",
-    "src_limit_first_n": "SELECT * FROM typed_c WHERE source_row_id < 500",
+    "src_limit_first_n": "SELECT * FROM typed_c ORDER BY source_row_id LIMIT 500",
+    "src_key_typing_double": "SELECT o_orderkey AS source_row_id, CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey * 1000 END AS id_paciente FROM orders",
+    "fn_phone_digits_double": "SELECT o_orderkey AS source_row_id, CAST(o_orderkey + 3170000000 AS VARCHAR) AS value FROM orders",
+    "src_numbered_table": "SELECT file_row_number AS source_row_id, o_orderkey, o_custkey FROM (SELECT row_number() OVER () - 1 AS file_row_number, o_orderkey, o_custkey FROM orders) o",
     "src_key_typing": f"""SELECT 'pacientes' AS "table", source_row_id, {try_int('id_paciente')} AS id_paciente, CAST(NULL AS VARCHAR) AS id_cita, CAST(NULL AS VARCHAR) AS raw_id_cita FROM raw_p
 UNION ALL SELECT 'citas_medicas', source_row_id, {try_int('id_paciente')}, {strip('id_cita')}, id_cita FROM raw_c""",
     "contract_required_columns": union(
@@ -539,6 +541,7 @@ UNION ALL SELECT 'citas_medicas', source_row_id, {try_int('id_paciente')}, {stri
         f"SELECT '{C}', 'costo', false, 0",
     ),
     "export_clean_parent": f"SELECT {EXPORT_P} FROM clean_p",
+    "sink_read_back": f"SELECT {EXPORT_P} FROM clean_p",
     "export_clean_child": f"SELECT {EXPORT_C} FROM clean_c",
     "quality_summary": union(
         "SELECT 'global_before' AS section, metric_name AS name, before AS value FROM compared WHERE scope = 'global'",
@@ -559,7 +562,7 @@ UNION ALL SELECT 'citas_medicas', source_row_id, {try_int('id_paciente')}, {stri
     "fn_catalog_normalize": values("raw_p", "sexo", sex("sexo")),
     "fn_catalog_status": values("raw_c", "estado_cita", status("estado_cita")),
     "fn_email_valid": values("raw_p", "email", email_ok("email")),
-    "fn_email_normalize": f"SELECT word, count(*) AS n, {email('word')} AS value FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) w WHERE contains(word, '@') GROUP BY word",
+    "fn_email_normalize": f"SELECT word, count(*) AS n, {email('word')} AS value FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents UNION ALL SELECT email FROM raw_p) w GROUP BY word",
     "fn_phone_digits": values("raw_p", "telefono", digits("telefono")),
     "fn_phone_gate": values("raw_p", "telefono", phone("telefono")),
     "fn_parse_date": date_values("CAST(parsed AS VARCHAR)"),
@@ -567,6 +570,7 @@ UNION ALL SELECT 'citas_medicas', source_row_id, {try_int('id_paciente')}, {stri
     "fn_age_at": date_values(age("parsed")),
     "fn_age_bounded": date_values(f"CASE WHEN {age('parsed')} BETWEEN 0 AND 120 THEN {age('parsed')} END"),
     "fn_date_key": date_values(date_key("parsed")),
+    "fn_date_key_text": date_values(date_key(f"(CASE WHEN regexp_matches({strip('raw')}, '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') THEN try_cast({strip('raw')} AS DATE) WHEN regexp_matches({strip('raw')}, '^\\d{{8}}$') THEN try_cast(substr({strip('raw')}, 1, 4) || '-' || substr({strip('raw')}, 5, 2) || '-' || substr({strip('raw')}, 7) AS DATE) END)")),
     "fn_date_key_parts": f"SELECT {date_key('d')} AS fecha_key, count(*) AS n, CAST(d AS VARCHAR) AS fecha_date, CAST(year(d) AS INT) AS ano, CAST(month(d) AS INT) AS mes, CAST(day(d) AS INT) AS dia FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders) o GROUP BY d",
     "fn_try_int": values("raw_p", "edad", try_int("edad")),
     "fn_try_double": values("raw_c", "costo", try_double("costo")),

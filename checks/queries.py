@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,9 @@ from pulcra import catalogs as k
 from pulcra import functions as fn
 from pulcra.config import Settings
 from pulcra.operators import audit, integrity, metrics, profile
+from pulcra.functions.frames import as_text
 from pulcra.operators.keys import resolve_pk_duplicates
+from pulcra.operators.lookup import work_folder
 from pulcra.operators.rules import explode_issues
 from pulcra.plans import run as whole
 from pulcra.plans import star as star_schema
@@ -78,6 +81,40 @@ def src_key_typing(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
+@query("src_key_typing_double")
+def src_key_typing_double(spark, sf_dir):
+    """Keys of a floating point column, most of them beyond ten million."""
+    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        F.col("o_orderkey").alias(ROW), ((F.col("o_orderkey") * 1000.0) + F.col("o_orderkey") % 2 / 4).alias("id_paciente")
+    )
+    return readers.type_keys(rows, k.PARENT_TABLE)
+
+
+@query("fn_phone_digits_double")
+def fn_phone_digits_double(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        F.col("o_orderkey").alias(ROW), (F.col("o_orderkey") + 3.17e9).alias("telefono")
+    )
+    return rows.select(ROW, fn.phone_digits(as_text(rows, "telefono")).alias("value"))
+
+
+@query("src_numbered_table")
+def src_numbered_table(spark, sf_dir):
+    """A given table read through the numbering source."""
+    path = f"{sf_dir}/orders.parquet"
+    return readers.number_parquet_rows(spark, path).select(ROW, "o_orderkey", "o_custkey")
+
+
+@query("sink_read_back")
+def sink_read_back(spark, sf_dir):
+    """Rows of an exported table after it was written as CSV and read again."""
+    clean = clean_patients(dirty.parents(spark, sf_dir), SETTINGS).clean
+    out = dates_as_text(sinks.export_columns(clean, k.PARENT_EXPORT_COLUMNS))
+    path = f"{work_folder(spark)}/export-{uuid.uuid4().hex}"
+    sinks.write_table(out, path)
+    return spark.read.schema(out.schema).csv(path, header=True, escape='"', multiLine=True)
+
+
 @query("contract_required_columns")
 def contract_required_columns(spark, sf_dir):
     given = dirty.tables(spark, sf_dir)
@@ -176,17 +213,17 @@ def _parsed_with(name: str, value) -> None:
 _parsed_with("fn_age_at", lambda c: fn.age_at(c, SETTINGS.reference_date))
 _parsed_with("fn_age_bounded", lambda c: fn.age_bounded(fn.age_at(c, SETTINGS.reference_date)))
 _parsed_with("fn_date_key", fn.date_key)
+_dates_with("fn_date_key_text", fn.date_key_of_text)
 
 
 @query("fn_email_normalize")
 def fn_email_normalize(spark, sf_dir):
-    """Words of the documents that hold an at sign, with their count and clean form."""
+    """All words of the documents and all raw addresses of the parents: count and clean form."""
     words = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
         F.explode(F.split("text", " ")).alias("word")
     )
-    counted = words.where(F.contains("word", F.lit("@"))).groupBy("word").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    raw = dirty.raw_parents(spark, sf_dir).select(F.col("email").alias("word"))
+    counted = words.unionByName(raw).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     return counted.select("word", "n", fn.email_normalize(F.col("word")).alias("value"))
 
 

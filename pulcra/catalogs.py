@@ -65,8 +65,9 @@ WHITESPACE = (
 )
 EMAIL_PATTERN = r"(?i)^[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}$"
 ISO_DATE_PATTERN = r"^(?!0000)\d{4}-\d{1,2}-(\d{1,2}| [1-9])$"
-SPANISH_DATE_PATTERN = r"(?i)^(\d{1,2})[\s\-/]*(?:de\s*)?([a-z]{3,10})[\s\-/]*(?:de\s*)?(19\d\d|20\d\d|2100)$"
-SWAPPED_DATE_PATTERN = r"^\s*\+?0*(19\d\d|20\d\d|2100)\s*-\s*\+?0*(\d{1,2})\s*-\s*\+?0*(\d{1,2})\s*$"
+# White space inside dates is any Unicode one; digits are ASCII.
+SPANISH_DATE_PATTERN = r"(?iU)^([0-9]{1,2})[\s\-/]*(?:de\s*)?([a-z]{3,10})[\s\-/]*(?:de\s*)?(19[0-9]{2}|20[0-9]{2}|2100)$"
+SWAPPED_DATE_PATTERN = r"(?U)^\s*\+?0*(19[0-9]{2}|20[0-9]{2}|2100)\s*-\s*\+?0*([0-9]{1,2})\s*-\s*\+?0*([0-9]{1,2})\s*$"
 INTEGER_PATTERN = r"^[+-]?\d+(_\d+)*(\.0+)?$"
 DECIMAL_PATTERN = r"^[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?$"
 INFINITY_PATTERN = r"(?i)^[+-]?inf(inity)?$"

@@ -9,7 +9,7 @@ from pulcra.functions.dates import (
     parse_date,
     strict_iso_date,
 )
-from pulcra.functions.numbers import try_double, try_int
+from pulcra.functions.numbers import int_text, try_double, try_int
 from pulcra.functions.rows import row_fingerprint, row_signature
 from pulcra.functions.text import (
     email_normalize,
@@ -41,5 +41,6 @@ __all__ = [
     "text_normalize",
     "truncate_text",
     "try_double",
+    "int_text",
     "try_int",
 ]

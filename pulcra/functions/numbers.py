@@ -24,6 +24,11 @@ def try_int(value: Column) -> Column:
     return F.when(text.rlike(INTEGER_PATTERN), whole.try_cast("bigint"))
 
 
+def int_text(value: Column) -> Column:
+    """Whether a value is a whole number of any size; ``try_int`` is null beyond bigint."""
+    return F.coalesce(strip(value.cast("string")).rlike(INTEGER_PATTERN), F.lit(False))
+
+
 def try_double(value: Column) -> Column:
     """Decimal or scientific text as double; infinities are numbers, ``nan`` is null."""
     text = strip(value.cast("string"))

@@ -50,20 +50,25 @@ def rejected_counts(parents: DataFrame, children: DataFrame) -> DataFrame:
 def rule_totals(issues: DataFrame) -> DataFrame:
     """Per rule: count, place of its first issue in the audit trail, that issue, severity rank.
 
-    The first issue is a minimum, which combines before the shuffle, so a rule that wrote most of
-    the trail is no burden. One row per rule comes out.
+    Counts and the smallest place are of fixed width, so they are aggregated by hashing and combine
+    before the shuffle; the texts of the few first issues, one per rule, are then looked up.
     """
     rank = lookup_constant(SEVERITY_RANK, F.col("severity"))
-    record = F.struct("issue_order", *ISSUE_COLUMNS)
-    return (
-        with_issue_order(issues)
-        .groupBy("rule_id")
-        .agg(
-            F.count(F.lit(1)).alias("count"),
-            F.max(rank).alias("severity_rank"),
-            F.min(record).alias("first_issue"),
-        )
+    order = F.col("issue_order")
+    # Stage and row as one number: an issue without a row is the first of its stage.
+    key = F.shiftleft(F.coalesce(order["stage"], F.lit(0)).cast("bigint"), 48) + F.coalesce(order["row"] + 1, F.lit(0))
+    placed = with_issue_order(issues).withColumn("_place", key)
+    totals = placed.groupBy("rule_id").agg(
+        F.count(F.lit(1)).alias("count"),
+        F.max(rank).alias("severity_rank"),
+        F.min("_place").alias("_first"),
     )
+    # As many rows as there are rules, which are a fixed list.
+    few = F.broadcast(totals.withColumnRenamed("rule_id", "_rule"))
+    first = placed.join(few, (F.col("rule_id") == F.col("_rule")) & (F.col("_place") == F.col("_first")))
+    # Few rows are left: one per rule, or some that share a place.
+    record = F.min(F.struct("issue_order", *ISSUE_COLUMNS)).alias("first_issue")
+    return first.groupBy("rule_id", "count", "severity_rank").agg(record)
 
 
 def top_rules(totals: DataFrame, k: int = 10) -> DataFrame:

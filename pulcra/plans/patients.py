@@ -33,6 +33,7 @@ from pulcra.functions import (
     normalize_catalog,
     phone_digits,
     phone_gate,
+    int_text,
     try_int,
 )
 from pulcra.functions.frames import as_date, text_or_null
@@ -94,6 +95,8 @@ def patient_rows(
             "sexo": normalize_catalog(text_or_null(df, "sexo"), SEX_CATALOG),
             "fecha_nacimiento": as_date(df, "fecha_nacimiento"),
             "edad_limpia": try_int(F.col("edad_original")),
+            # Ages beyond bigint are whole numbers too, and out of range.
+            "_whole_age": int_text(F.col("edad_original")),
         }
     )
     rows = contact_columns(rows, settings)
@@ -133,7 +136,7 @@ def patient_rows(
             original="_derived",
         ),
         Violation(
-            AGE_OUT_OF_RANGE, "edad_limpia IS NOT NULL AND _ranged IS NULL", original="edad_limpia"
+            AGE_OUT_OF_RANGE, "_whole_age AND _ranged IS NULL", original="coalesce(CAST(edad_limpia AS STRING), edad_original)"
         ),
         Violation(
             AGE_FILLED,
@@ -156,7 +159,7 @@ def patient_rows(
     }
     violations += [violation for column, violation in given.items() if column in df.columns]
     return rows.withColumn("_issues", violated(violations, only)).drop(
-        "_derived", "_ranged", "_digits"
+        "_derived", "_ranged", "_whole_age", "_digits"
     )
 
 

@@ -19,6 +19,7 @@ from pulcra.catalogs import (
     ROW_ID,
 )
 from pulcra.functions import strip, try_int
+from pulcra.functions.frames import as_text
 from pulcra.operators.lookup import lookup_join
 
 _COLUMN_ORDER = {PARENT_TABLE: PARENT_COLUMNS, CHILD_TABLE: CHILD_COLUMNS}
@@ -28,15 +29,18 @@ def type_keys(df: DataFrame, table: str) -> DataFrame:
     """Whole-number parent keys and trimmed child keys; the latter only beside a parent key."""
     if PARENT_KEY not in df.columns:
         return df
-    typed = df.withColumn(PARENT_KEY, try_int(F.col(PARENT_KEY)))
+    typed = df.withColumn(PARENT_KEY, try_int(as_text(df, PARENT_KEY)))
     if table == CHILD_TABLE and CHILD_KEY in df.columns:
         typed = typed.withColumn(CHILD_KEY, strip(F.col(CHILD_KEY).cast("string")))
     return typed
 
 
 def first_rows(df: DataFrame, limit: int) -> DataFrame:
-    """The first ``limit`` rows by input position; 0 means all."""
-    return df.where(F.col(ROW_ID) < limit) if limit > 0 else df
+    """The first ``limit`` rows by input position, however those are numbered; 0 means all.
+
+    Every task keeps its own first rows only.
+    """
+    return df.orderBy(ROW_ID).limit(limit) if limit > 0 else df
 
 
 def contract(tables: Mapping[str, DataFrame]) -> list[tuple[str, str, bool]]:
@@ -87,8 +91,13 @@ def read_document(spark: SparkSession, path: str, *, limit: int = 0) -> dict[str
     A single JSON document cannot be split, so one task parses it. Use ``read_tables`` for data
     that does not fit that.
     """
-    opening = spark.read.text(path).where(F.trim("value") != "").first()
-    if opening is None or not opening["value"].lstrip("﻿ \t").startswith("{"):
+    # One character of the first line that is not blank; a document may be a single line.
+    start = F.substring(F.regexp_replace(F.substring("value", 1, 4096), r"^[\ufeff\s]+", ""), 1, 1)
+    lines = spark.read.text(path).select(start.alias("value"), F.input_file_name().alias("file"))
+    opening = lines.where("value != ''").first()
+    if lines.select("file").distinct().limit(2).count() > 1:
+        raise ValueError("a document is one file; use read_tables for folders")
+    if opening is None or opening["value"] != "{":
         raise ValueError("the document must be one JSON object with a key per table")
     document = spark.read.json(path, multiLine=True, primitivesAsString=True)
     tables = {}
@@ -142,6 +151,13 @@ def number_parquet_rows(spark: SparkSession, path: str) -> DataFrame:
     return placed.select((F.col("_offset") + F.col("_at")).alias(ROW_ID), *rows.columns)
 
 
+def check_row_ids(rows: DataFrame, table: str) -> None:
+    """Refuse given row ids that are null or repeated: which duplicate stays depends on them."""
+    ids = rows.groupBy(F.col(ROW_ID).cast("bigint").alias(ROW_ID)).agg(F.count(F.lit(1)).alias("n"))
+    if ids.where(F.col(ROW_ID).isNull() | (F.col("n") > 1)).limit(1).count():
+        raise ValueError(f"{ROW_ID} of {table!r} must be unique and not null")
+
+
 def read_tables(
     spark: SparkSession, paths: Mapping[str, str], *, file_format: str = "parquet", limit: int = 0
 ) -> dict[str, DataFrame]:
@@ -155,14 +171,17 @@ def read_tables(
             rows = spark.read.parquet(path)
             if ROW_ID not in rows.columns:
                 rows = number_parquet_rows(spark, path)
+            else:
+                check_row_ids(rows, table)
         else:
             rows = spark.read.json(path, primitivesAsString=True)
             if ROW_ID not in rows.columns:
                 raise ValueError(f"rows of {table!r} need {ROW_ID}: lines have no position of their own")
+            check_row_ids(rows, table)
         order = [c for c in _COLUMN_ORDER.get(table, []) if c in rows.columns]
         rest = [c for c in rows.columns if c not in order and c != ROW_ID]
         rows = rows.select(
-            F.col(ROW_ID).cast("bigint"), *[F.col(c).cast("string") for c in order + rest]
+            F.col(ROW_ID).cast("bigint"), *[as_text(rows, c).alias(c) for c in order + rest]
         )
         tables[table] = type_keys(first_rows(rows, limit), table)
     check_contract(tables)

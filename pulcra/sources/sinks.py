@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def export_columns(df: DataFrame, canonical: list[str]) -> DataFrame:
@@ -22,11 +21,3 @@ def write_table(df: DataFrame, path: str, file_format: str = "csv") -> None:
 def write_json(df: DataFrame, path: str) -> None:
     """A few nested rows as JSON Lines, nulls kept."""
     df.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
-
-
-def json_text(df: DataFrame, column: str) -> DataFrame:
-    return df.select(F.to_json(column, {"ignoreNullFields": "false"}).alias("value"))
-
-
-def write_text(df: DataFrame, path: str) -> None:
-    df.coalesce(1).write.mode("overwrite").text(path)

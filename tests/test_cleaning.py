@@ -9,16 +9,16 @@ from pulcra.plans.patients import clean_patients, patient_rows
 
 def test_sample_patients(patients):
     df = patients(
-        (1, "Ana", "2000-01-01", None, "Female", "bad-email", "123", "Bogotá"),
-        (2, "Carlos", "invalid", "30", "X", "b@b.com", "3171234567", "Cali"),
-        (3, "María", "2000-01-01", "10", "Male", "c@c.com", "317-123-4567", "Medellín"),
+        (1, "Ines", "1984-07-19", None, "Female", "no at sign", "55", "Tunja"),
+        (2, "Pavel", "31/31", "42", "Q", "p.r@mail.org", "6015550142", "Leticia"),
+        (3, "Noor", "1950-12-02", "20", "Male", "noor@x.co", "601-555-0199", "Mocoa"),
     )
     done = clean_patients(df)
     rows = {r["id_paciente"]: r for r in done.clean.collect()}
     assert done.rejected.count() == 0 and len(rows) == 3
-    assert (rows[1]["email"], rows[1]["telefono"], rows[1]["edad"]) == (None, None, 26)
-    assert (rows[2]["edad"], rows[2]["sexo"], rows[2]["fecha_nacimiento"]) == (30, None, None)
-    assert (rows[3]["edad"], rows[3]["edad_inconsistente"], rows[3]["telefono"]) == (26, True, "3171234567")
+    assert (rows[1]["email"], rows[1]["telefono"], rows[1]["edad"]) == (None, None, 41)
+    assert (rows[2]["edad"], rows[2]["sexo"], rows[2]["fecha_nacimiento"]) == (42, None, None)
+    assert (rows[3]["edad"], rows[3]["edad_inconsistente"], rows[3]["telefono"]) == (75, True, "6015550199")
     issues = {(r["row_id"], r["rule_id"]): r for r in done.issues.collect()}
     assert set(issues) == {
         ("0", "R_EDAD_FILLED_FROM_DERIVADA"),
@@ -29,7 +29,7 @@ def test_sample_patients(patients):
         ("2", "R_EDAD_INCONSISTENT_WITH_DERIVED"),
     }
     filled = issues[("0", "R_EDAD_FILLED_FROM_DERIVADA")]
-    assert filled["original_value"] == "NULL (nació: 2000-01-01)" and filled["clean_value"] == "26"
+    assert filled["original_value"] == "NULL (nació: 1984-07-19)" and filled["clean_value"] == "41"
     assert filled["detail"] == "Se completó edad usando edad derivada (tolerancia=±2)."
 
 

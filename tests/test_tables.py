@@ -15,10 +15,10 @@ from pulcra.plans.run import run
 from pulcra.plans.star import build_star, repeated_keys, row_counts, unmatched_facts
 from pulcra.sources import readers
 
-GOOD = (1, "A", "2000-01-01", None, "Male", "a@a.com", "1234567890", "Bogotá")
+GOOD = (1, "Ruth", "1991-05-06", None, "Male", "ruth@mail.org", "6015550100", "Pasto")
 
 
-def visit(key, parent, day="2022-02-14", doctor="Dr. X", cost="100", state="Completada", kind="Cardiología"):
+def visit(key, parent, day="2023-06-08", doctor="Dra. Vega", cost="80", state="Completada", kind="Cardiología"):
     return (key, parent, day, kind, doctor, cost, state)
 
 
@@ -96,7 +96,7 @@ def test_star(patients, visits):
     assert as_dict(row_counts(star), "table", "row_count") == {
         ("dim_paciente",): 2, ("dim_medico",): 3, ("dim_especialidad",): 2, ("dim_fecha",): 2, ("fact_citas",): 4,
     }
-    assert as_dict(star.dim_medico, "medico_nombre", "medico_key") == {("UNKNOWN",): 0, ("Dr. A",): 1, ("Dr. X",): 2}
+    assert as_dict(star.dim_medico, "medico_nombre", "medico_key") == {("UNKNOWN",): 0, ("Dr. A",): 1, ("Dra. Vega",): 2}
     facts = {r["id_cita"]: r for r in star.fact_citas.collect()}
     assert [facts["c"][k] for k in ("fecha_key", "medico_key", "especialidad_key")] == [0, 0, 0]
     assert (facts["a"]["fecha_key"], facts["a"]["medico_key"], facts["d"]["medico_key"]) == (20220214, 2, 0)
