@@ -10,10 +10,9 @@ import pytest
 from compare import connect, difference
 
 import __spark_entry__ as driver
-from checks.oracle import ORACLE
-from checks.queries import QUERIES
 from checks import dirty
-from checks.queries import SETTINGS
+from checks.oracle import ORACLE
+from checks.queries import QUERIES, SETTINGS
 from pulcra.operators import metrics
 from pulcra.plans.appointments import appointment_rows, resolve_appointments
 

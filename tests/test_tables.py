@@ -99,7 +99,7 @@ def test_star(patients, visits):
     assert as_dict(star.dim_medico, "medico_nombre", "medico_key") == {("UNKNOWN",): 0, ("Dr. A",): 1, ("Dra. Vega",): 2}
     facts = {r["id_cita"]: r for r in star.fact_citas.collect()}
     assert [facts["c"][k] for k in ("fecha_key", "medico_key", "especialidad_key")] == [0, 0, 0]
-    assert (facts["a"]["fecha_key"], facts["a"]["medico_key"], facts["d"]["medico_key"]) == (20220214, 2, 0)
+    assert (facts["a"]["fecha_key"], facts["a"]["medico_key"], facts["d"]["medico_key"]) == (20230608, 2, 0)
     assert {r["orphan_rows"] for r in unmatched_facts(star).collect()} == {0}
     assert {r["duplicate_rows"] for r in repeated_keys(star).collect()} == {0}
 
