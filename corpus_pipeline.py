@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pulcra.llm.apportion import mixed_documents
 from pulcra.llm.language_mixture import keep_identified
 from pulcra.llm.line_frequency import remove_common_lines_rejects
+from pulcra.llm.near_text import keep_first
 from pulcra.llm.packing import pack_documents
-from pulcra.llm.simhash_pivot import keep_first
 from pulcra.operators.lookup import materialize
 
 

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from pulcra.config import JoinLimits
-from pulcra.llm import apportion, line_frequency, pq_dedup, simhash_pivot
+from pulcra.llm import apportion, line_frequency, near_text, pq_dedup, simhash_pivot
 from pulcra.llm import context_mixing as mixing
 from pulcra.llm.common import components, without
 
@@ -109,11 +109,34 @@ def test_simhash_of_random_fingerprints_loses_no_link(spark):
 
 
 def test_keep_first(docs):
-    kept = simhash_pivot.keep_first(docs)
+    kept = near_text.keep_first(docs)
     assert kept.columns == docs.columns
     ids = [r["doc_id"] for r in kept.collect()]
     assert {0, 1, 2, 3} <= set(ids) and not set(range(1000, 1040, 2)) & set(ids)
-    assert simhash_pivot.keep_first(docs.limit(0)).count() == 0
+    assert near_text.keep_first(docs.limit(0)).count() == 0
+
+
+def test_similar_texts_meet_and_others_stay_apart(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    rows, groups_of = [], []
+    for g in range(60):
+        base = [word() for _ in range(300)]
+        for c in range(1 + g % 5):
+            text = list(base)
+            for at in rng.sample(range(300), 0 if not c else 4):
+                text[at] = word()
+            rows.append((len(rows), " ".join(text)))
+            groups_of.append(g)
+        half = base[:150] + [word() for _ in range(150)]  # a third in common
+        rows.append((len(rows), " ".join(half)))
+        groups_of.append(1000 + g)
+    found = {r["doc_id"]: r["component_id"] for r in near_text.near_texts(spark.createDataFrame(rows, "doc_id long, text string"), near_text.Settings(cell_rows=20, block=32)).collect()}
+    first = {}
+    for i, g in enumerate(groups_of):
+        first.setdefault(g, i)
+    assert sum(found[i] == first[g] for i, g in enumerate(groups_of)) >= 0.99 * len(rows)
+    assert all(found[i] == i for i, g in enumerate(groups_of) if g >= 1000)
 
 
 def plain_links(vectors, threshold):
