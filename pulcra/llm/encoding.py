@@ -13,15 +13,19 @@ import re
 from functools import cache
 from struct import pack
 
-
 # Characters that the tokenizers' patterns take as white space.
 _WIDE = [0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 SPACE = r"\t-\r \x85\xa0" + "".join(map(chr, _WIDE))
+# A tokenizer's pattern always parts a letter from the mark behind it. These are surely letters and
+# marks, so words are remembered without the marks that end them.
+_LETTER, _MARK = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", ".,;:!?|)"
+_WORD = rf"[{_LETTER}]+(?![^{_MARK}{SPACE}])"
+_END = rf"(?<=[{_LETTER}])[{_MARK}]+(?![^{SPACE}])"
 # White space is dropped: chunks are what lies between.
-DROPPED = rf"[^{SPACE}]+"
+DROPPED = rf"{_WORD}|{_END}|[^{SPACE}]+"
 # One blank belongs to the word behind it; other white space stands alone.
-LEADING = rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
-REMEMBERED = 1_000_000  # chunks, about 200 bytes each
+LEADING = rf" ?{_WORD}|{_END}| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
+REMEMBERED = 400_000  # chunks, about 200 bytes each
 
 
 class Encoder:

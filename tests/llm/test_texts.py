@@ -50,7 +50,7 @@ def test_ids_of_remembered_chunks_are_those_of_whole_texts(texts, name, chunks):
 
 
 @settings(deadline=None)
-@given(st.text(alphabet="a'sB1 .\n\t\u00a0\u3000\u0301\x1c é<|>", max_size=40))
+@given(st.text(alphabet="a'sB1 .,!|\n\t\u00a0\u3000\u0301\x1c é<|>", max_size=40))
 def test_ids_of_random_texts(text):
     for name, chunks in (("word_bpe_49k.json", DROPPED), ("byte_bpe_50k.json", LEADING)):
         path = public_tokenizers.path(name)
