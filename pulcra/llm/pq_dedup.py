@@ -26,14 +26,14 @@ from pulcra.operators.lookup import lookup_join, materialize
 @dataclass(frozen=True)
 class Settings:
     threshold: float = 0.9
-    list_rows: int = 256  # vectors of a list, about
+    list_rows: int = 1024  # vectors of a list, about
     most_lists: int = 4096
     sample_per_list: int = 16  # the sample has at most most_lists times as many vectors
     subspaces: int = 8
     codewords: int = 256
     rounds: int = 6
-    probe_sigma: float = 5.0  # how far a partner may lean towards another centroid, see ``probed``
-    block: int = 1024
+    probe_sigma: float = 2.5  # how far a partner may lean towards another centroid, see ``probed``
+    block: int = 2048
 
 
 @dataclass(frozen=True)
@@ -90,14 +90,14 @@ def probed(rows: np.ndarray, index: Index, s: Settings) -> np.ndarray:
     return gap <= lean * across + 1e-9
 
 
-def _matrix(batch: pa.RecordBatch | pa.Table, column: str, dims: int) -> np.ndarray:
-    return np.frombuffer(b"".join(batch[column].to_pylist()), np.float64).reshape(-1, dims)
+def _matrix(table_: pa.Table, dims: int, kind: str) -> np.ndarray:
+    return unit(np.frombuffer(b"".join(table_["vector"].to_pylist()), kind).reshape(-1, dims))
 
 
-def _coded(classes: DataFrame, shared, dims: int, s: Settings) -> tuple[DataFrame, DataFrame]:
+def _coded(classes: DataFrame, shared, dims: int, kind: str, s: Settings) -> tuple[DataFrame, DataFrame]:
     def rows_of(batch: pa.RecordBatch) -> np.ndarray:
         flat = batch.column("vector").flatten().to_numpy(zero_copy_only=False)
-        return unit(flat.reshape(-1, dims))
+        return flat.reshape(-1, dims)
 
     def raw(rows: np.ndarray) -> pa.Array:
         return pa.array([r.tobytes() for r in rows], pa.binary())
@@ -105,21 +105,23 @@ def _coded(classes: DataFrame, shared, dims: int, s: Settings) -> tuple[DataFram
     def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
-            rows = rows_of(batch)
+            given = rows_of(batch)
+            rows = unit(given)
             own = (rows @ index.centroids.T).argmax(axis=1)
             left = rows - index.centroids[own]
             codes = np.stack([_nearest(left[:, p], book) for p, book in zip(index.parts, index.codebooks)], axis=1).astype(np.uint8)
             coded = np.concatenate([book[codes[:, m]] for m, book in enumerate(index.codebooks)], axis=1)
             error = np.linalg.norm(left - coded, axis=1)
-            yield pa.record_batch([pa.array(own.astype(np.int64)), batch.column("node"), raw(codes), pa.array(error), raw(rows), batch.column("n")], ["_cell", "node", "code", "error", "vector", "n"])
+            yield pa.record_batch([pa.array(own.astype(np.int64)), batch.column("node"), raw(codes), pa.array(error), raw(given.astype(kind)), batch.column("n")], ["_cell", "node", "code", "error", "vector", "n"])
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = rows_of(batch)
+            given = rows_of(batch)
+            rows, given = unit(given), given.astype(kind)
             for at in range(0, len(rows), 1024):
                 i, lists = np.nonzero(probed(rows[at : at + 1024], shared.value, s))
                 nodes = batch.column("node").slice(at, 1024).take(pa.array(i))
-                yield pa.record_batch([pa.array(lists.astype(np.int64)), nodes, raw(rows[at + i])], ["_cell", "node", "vector"])
+                yield pa.record_batch([pa.array(lists.astype(np.int64)), nodes, raw(given[at + i])], ["_cell", "node", "vector"])
 
     own = classes.select("node", "vector", "n")
     return (
@@ -128,7 +130,7 @@ def _coded(classes: DataFrame, shared, dims: int, s: Settings) -> tuple[DataFram
     )
 
 
-def _links(classes: DataFrame, dims: int, s: Settings) -> DataFrame:
+def _links(classes: DataFrame, dims: int, kind: str, s: Settings) -> DataFrame:
     """(node, low, links): in each tile the smallest node reached and the vectors linked."""
     count = classes.count()
     lists = min(s.most_lists, max(1, count // s.list_rows))
@@ -136,14 +138,14 @@ def _links(classes: DataFrame, dims: int, s: Settings) -> DataFrame:
     sample = classes.orderBy(F.xxhash64("node")).limit(take).select("vector").toArrow()
     rows = unit(sample["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dims))
     shared = classes.sparkSession.sparkContext.broadcast(fit(rows, lists, s))
-    home, probe = _coded(classes, shared, dims, s)
+    home, probe = _coded(classes, shared, dims, kind, s)
 
     def compare(key: tuple, home: pa.Table, probe: pa.Table) -> pa.Table:
         a, b = home["node"].to_numpy(), probe["node"].to_numpy()
         links, low_a, low_b = np.zeros(len(b), np.int64), a, b
         if len(a) and len(b):
             index = shared.value
-            x, y = _matrix(home, "vector", dims), _matrix(probe, "vector", dims)
+            x, y = _matrix(home, dims, kind), _matrix(probe, dims, kind)
             codes = np.frombuffer(b"".join(home["code"].to_pylist()), np.uint8).reshape(len(a), -1)
             rough = np.repeat((y @ index.centroids[key[0].as_py()])[:, None], len(a), axis=1)
             for m, (part, book) in enumerate(zip(index.parts, index.codebooks)):
@@ -180,9 +182,11 @@ def near_vectors(vectors: DataFrame, s: Settings = Settings()) -> DataFrame:
     rows = rows.withColumn("node", F.when(F.col("vector").isNotNull(), F.xxhash64("vector")))
     grouped = rows.where("node IS NOT NULL").groupBy("node", "vector").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("first"))
     classes = materialize(grouped.withColumn("dims", F.size("vector")))
+    # Vectors travel as they were given, half as wide if they are single precision.
+    kind = "<f4" if vectors.schema["embedding"].dataType.elementType.typeName() == "float" else "<f8"
     found = None
     for (dims,) in classes.select("dims").distinct().orderBy("dims").collect():
-        own = _links(classes.where(F.col("dims") == dims), dims, s)
+        own = _links(classes.where(F.col("dims") == dims), dims, kind, s)
         found = own if found is None else found.unionByName(own)
     spark = vectors.sparkSession
     links = materialize(found) if found is not None else spark.createDataFrame([], "node long, low long, links long")
