@@ -12,6 +12,7 @@ import os
 import re
 from functools import cache
 from struct import pack
+from unicodedata import is_normalized
 
 # Characters that the tokenizers' patterns take as white space.
 _WIDE = [0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -40,6 +41,7 @@ class Encoder:
         self.tokenizer.no_padding()
         self.chunks = re.compile(chunks).findall
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.lowers = self.tokenizer.normalizer is not None and self.tokenizer.normalizer.normalize_str("A") == "a"
         self.remembered, self.known = remembered, {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
@@ -49,8 +51,15 @@ class Encoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if any(s in text for s in self.special):
-            return self._ids([text])[0]
+        given = text
+        if self.lowers:
+            # The tokenizer lowers A-Z itself, behind its normal form. If that changes nothing either
+            # way, a word and its capitalised form can be remembered as one.
+            lowered = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+            if is_normalized("NFC", text) and is_normalized("NFC", lowered):
+                text = lowered
+        if any(s in given or s in text for s in self.special):
+            return self._ids([given])[0]
         parts, known = self.chunks(text), self.known
         try:
             return b"".join(map(known.__getitem__, parts))
