@@ -3,8 +3,9 @@
 Texts that share 0.8 of their shingles differ in up to about sixteen fingerprint bits. At that radius
 distances to references no longer tell texts apart, as they differ by less between any two texts. So
 besides the pivot cells of ``simhash_pivot``, which find the closest texts, fingerprints meet in
-tables of sampled bits; each keeps its nearest few there, and a signature of minimal shingle hashes
-decides whether two texts are similar enough.
+tables of sampled bits. Every pair of a cell within the radius is decided there, by signatures of
+minimal shingle hashes, unless both are already joined by way of others; so a tile gives one edge a
+text at most, and no partner is left out.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +25,7 @@ from pyspark.sql.functions import arrow_udf
 from pulcra.llm.common import components, without
 from pulcra.llm.simhash_pivot import Settings as PivotSettings
 from pulcra.llm.simhash_pivot import fingerprint, linked
-from pulcra.llm.tiles import tiles
+from pulcra.llm.tiles import self_tiles
 from pulcra.operators.lookup import lookup_join, materialize
 
 
@@ -32,49 +34,52 @@ class Settings:
     shingle: int = 5
     similarity: float = 0.8
     slack: float = 0.02  # of the similarity that a signature estimates
-    hashes: int = 256
     radius: int = 16
     cell_rows: int = 1000  # fingerprints that a cell of a table should hold, about
     same_bit: float = 0.86  # chance of one bit to agree in similar texts; sets the number of tables
-    nearest: int = 3  # partners kept by each fingerprint in each tile; components join the others
     block: int = 2048
 
 
-def _multipliers(count: int) -> tuple[np.ndarray, np.ndarray]:
-    draw = lambda name: np.array([xxhash.xxh64_intdigest(f"{name} {k}") for k in range(count)], np.uint64)
+HASHES = 256  # in a signature, two bits of each
+SIGNATURE = HASHES // 4  # bytes
+_LOW_BITS = np.uint64(0x5555555555555555)
+
+
+@cache
+def _multipliers() -> tuple[np.ndarray, np.ndarray]:
+    draw = lambda name: np.array([xxhash.xxh64_intdigest(f"{name} {k}") for k in range(HASHES)], np.uint64)
     return draw("times") | np.uint64(1), draw("plus")
 
 
 def signature(text: str | None, s: Settings = Settings()) -> bytes:
-    """One byte of the smallest hash of any shingle, for each of ``hashes`` hash functions."""
+    """Two bits of the smallest hash of any shingle, for each of ``HASHES`` hash functions."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     count = max(1, len(words) - s.shingle + 1)
-    times, plus = _multipliers_of(s.hashes)
-    least = np.full(s.hashes, 2**64 - 1, np.uint64)
+    times, plus = _multipliers()
+    least = np.full(HASHES, 2**64 - 1, np.uint64)
     for at in range(0, count, 1024):
         part = [xxhash.xxh64_intdigest(b" ".join(words[i : i + s.shingle])) for i in range(at, min(at + 1024, count))]
         hashed = np.unique(np.array(part, np.uint64))
         np.minimum(least, (hashed[:, None] * times + plus).min(axis=0), out=least)
-    return (least >> np.uint64(24)).astype(np.uint8).tobytes()
-
-
-_known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    two = (least >> np.uint64(24)).astype(np.uint8) & 3
+    return (two.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8).tobytes()
 
 
-def _multipliers_of(count: int) -> tuple[np.ndarray, np.ndarray]:
-    if count not in _known:
-        _known[count] = _multipliers(count)
-    return _known[count]
+def signatures(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Signatures as rows of eight unsigned 64-bit integers."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, SIGNATURE // 8)
 
 
-def similarity(a: bytes, b: bytes) -> float:
-    """Estimated share of common shingles; one byte in 256 agrees by chance."""
-    same = (np.frombuffer(a, np.uint8) == np.frombuffer(b, np.uint8)).mean()
-    return float((same - 1 / 256) / (1 - 1 / 256))
+def similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Estimated share of common shingles, row by row; two bits in four agree by chance."""
+    differ = a ^ b
+    other = np.bitwise_count((differ | differ >> np.uint64(1)) & _LOW_BITS).sum(axis=1, dtype=np.int64)
+    return 1 - other / HASHES / 0.75
 
 
 def _tables(classes: DataFrame, bits: int, count: int) -> DataFrame:
-    """The cell of each fingerprint in each table: table number and sampled bits."""
+    """The rows of ``classes`` (node first) once for each table, with ``_cell``: table number and
+    sampled bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         picks = [np.random.default_rng(1000 + t).permutation(64)[:bits].astype(np.uint64) for t in range(count)]
@@ -84,32 +89,68 @@ def _tables(classes: DataFrame, bits: int, count: int) -> DataFrame:
                 cell = np.full(len(fps), t, np.int64)
                 for bit in pick:
                     cell = cell * 2 + ((fps.view(np.uint64) >> bit) & np.uint64(1)).astype(np.int64)
-                yield pa.record_batch([pa.array(cell), batch.column(0)], ["_cell", "node"])
+                yield pa.record_batch([pa.array(cell), *batch.columns], ["_cell", *batch.schema.names])
 
-    return classes.select("node").mapInArrow(run, "_cell long, node long")
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in classes.schema)
+    return classes.mapInArrow(run, f"_cell long, {fields}")
 
 
-def candidates(classes: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """Pairs (u, v) of fingerprints within the radius that meet in a table: the nearest of each."""
+def _join(roots: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Roots after the items x and y were joined pairwise: the smallest index of each group."""
+    up = roots.tolist()
+    for a, b in zip(x.tolist(), y.tolist()):
+        while up[a] != a:
+            a = up[a]
+        while up[b] != b:
+            b = up[b]
+        up[max(a, b)] = min(a, b)
+    roots = np.array(up)
+    while (roots != (further := roots[roots])).any():
+        roots = further
+    return roots
+
+
+def groups_in_tile(nodes: np.ndarray, sigs: np.ndarray, home: np.ndarray, probe: np.ndarray, s: Settings) -> np.ndarray:
+    """Roots of all nodes (sorted, distinct) when home and probe (places in nodes) are compared.
+
+    Each pair within the radius is decided by its signatures or joined already when its turn comes.
+    Rows decide their nearest partner first, then ever more pairs at a time: in a large group few
+    decisions join all of it.
+    """
+    roots = np.arange(len(nodes))
+    for at in range(0, len(probe) if len(home) else 0, 256):
+        own = probe[at : at + 256]
+        far = np.bitwise_count(nodes[own].view(np.uint64)[:, None] ^ nodes[home].view(np.uint64)[None, :])
+        far[own[:, None] == home[None, :]] = 255
+        i, k, take = np.arange(len(own)), far.argmin(axis=1), 1024
+        while True:
+            i, k = (x[far[i, k] <= s.radius] for x in (i, k))
+            good = similarity(sigs[own[i]], sigs[home[k]]) >= s.similarity - s.slack
+            roots = _join(roots, own[i[good]], home[k[good]])
+            far[i, k] = 255
+            i, k = np.nonzero((far <= s.radius) & (roots[own][:, None] != roots[home][None, :]))
+            if not len(i):
+                break
+            spread = max(1, len(i) // take)
+            i, k, take = i[::spread], k[::spread], 2 * take
+    return roots
+
+
+def table_edges(classes: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """Edges (u, v) that join all similar texts that meet in a table; ``classes``: node, sig."""
     bits = max(1, round(math.log2(max(classes.count(), 2) / s.cell_rows)))
     count = math.ceil(4 / s.same_bit**bits)
 
-    def compare(key: tuple, home: pa.Table, probe: pa.Table) -> pa.Table:
-        a, b = np.sort(home["node"].to_numpy()), probe["node"].to_numpy()
-        found = []
-        if len(a):
-            for at in range(0, len(b), 256):
-                own = b[at : at + 256]
-                far = np.bitwise_count(own.view(np.uint64)[:, None] ^ a.view(np.uint64)[None, :])
-                far[own[:, None] == a[None, :]] = 255
-                take = min(s.nearest, len(a))
-                near = np.argpartition(far, take - 1, axis=1)[:, :take]
-                i, k = np.nonzero(np.take_along_axis(far, near, axis=1) <= s.radius)
-                found.append((own[i], a[near[i, k]]))
-        u, v = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64),) * 2
-        return pa.table({"u": np.maximum(u, v), "v": np.minimum(u, v)})
+    def compare(tile: pa.Table) -> pa.Table:
+        tile = tile.sort_by("node")
+        nodes, own = tile["node"].to_numpy(), tile["_own"].to_numpy()
+        home, probe = (np.flatnonzero(own == tile[side][0].as_py()) for side in ("_home", "_probe"))
+        roots = groups_in_tile(nodes, signatures(tile["sig"]), home, probe, s)
+        moved = np.flatnonzero(roots != np.arange(len(nodes)))
+        return pa.table({"u": nodes[moved], "v": nodes[roots[moved]]})
 
-    return tiles(_tables(classes, bits, count), _tables(classes, bits, count), s.block).applyInArrow(compare, "u long, v long").distinct()
+    rows, sizes = _tables(classes, bits, count), _tables(classes.select("node"), bits, count)
+    return self_tiles(rows, sizes, s.block).applyInArrow(compare, "u long, v long")
 
 
 def near_texts(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -123,20 +164,18 @@ def near_texts(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
         return pa.StructArray.from_arrays([fps, pa.array([signature(t, s) for t in given], pa.binary())], ["fp", "sig"])
 
     rows = materialize(docs.select("doc_id", read("text").alias("r")).select("doc_id", "r.*"))
-    grouped = rows.groupBy(F.col("fp").alias("node")).agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("rows"), F.any_value("sig").alias("sig"))
+    grouped = rows.groupBy(F.col("fp").alias("node")).agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("rows"), F.min("sig").alias("sig"))
     classes = materialize(grouped)
-    close = linked(classes, PivotSettings(shingle=s.shingle))
-    pairs = materialize(close.unionByName(candidates(classes, s)).distinct())
+    signed = materialize(linked(classes, PivotSettings(shingle=s.shingle)).distinct())
 
     @arrow_udf("double")
     def compare(a: pa.Array, b: pa.Array) -> pa.Array:
-        return pa.array([similarity(x, y) for x, y in zip(a.to_pylist(), b.to_pylist())], pa.float64())
+        return pa.array(similarity(signatures(a), signatures(b)), pa.float64())
 
-    signed = pairs
     for side in ("u", "v"):
         signed = signed.join(classes.select(F.col("node").alias(side), F.col("sig").alias(f"sig_{side}")), side)
-    edges = signed.where(compare("sig_u", "sig_v") >= s.similarity - s.slack).select("u", "v")
-    roots = components(edges)
+    close = signed.where(compare("sig_u", "sig_v") >= s.similarity - s.slack).select("u", "v")
+    roots = components(close.unionByName(table_edges(classes.select("node", "sig"), s)))
     rooted = classes.drop("sig").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     lookup = rooted.join(ids, "root").select("node", "rows", "component_id")

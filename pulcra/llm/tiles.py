@@ -9,10 +9,12 @@ from __future__ import annotations
 
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 
+from pulcra.operators.lookup import materialize
+
 TILE = ["_cell", "_home", "_probe"]
 
 
@@ -33,6 +35,21 @@ def tiles(home: DataFrame, probe: DataFrame, block: int) -> PandasCogroupedOps:
     return left.groupBy(*TILE).cogroup(right.groupBy(*TILE))
 
 
+def self_tiles(rows: DataFrame, cells: DataFrame, block: int) -> GroupedData:
+    """``rows`` grouped by tile, to be compared with each other; ``cells`` has their ``_cell`` alone.
+
+    A tile holds the rows of two blocks of a cell, or of one; ``_own`` is the block of a row,
+    ``_home`` and ``_probe`` are the tile's. Each pair of rows of a cell meets in one tile.
+    """
+    sizes = cells.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_blocks"))
+    # Written first: the few large cells are then known to be few, and rows stay where they are.
+    known = rows.join(materialize(sizes.where("_blocks > 1")), "_cell", "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
+    dealt = known.withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
+    dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).drop("_blocks")
+    placed = dealt.withColumn("_home", F.least("_own", "_other")).withColumn("_probe", F.greatest("_own", "_other"))
+    return placed.drop("_other").groupBy(*TILE)
+
+
 def smallest_reachable(home: np.ndarray, probe: np.ndarray, pairs: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """For the nodes of both sides the smallest node they reach through the pairs (home, probe)."""
     i, j = pairs

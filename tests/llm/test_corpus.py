@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -139,6 +140,44 @@ def test_similar_texts_meet_and_others_stay_apart(spark):
     assert all(found[i] == i for i, g in enumerate(groups_of) if g >= 1000)
 
 
+def test_signatures_estimate_similarity():
+    rng = random.Random(3)
+    for share in (0.5, 0.8, 0.95):
+        estimates = []
+        for _ in range(20):
+            words = [str(rng.random()) for _ in range(400)]
+            cut = round(400 * 2 * share / (1 + share))  # of 400 shingles on either side
+            other = words[:cut] + [str(rng.random()) for _ in range(400 - cut)]
+            a, b = ([set(zip(*(x[k:] for k in range(5)))) for x in (words, other)])
+            exact = len(a & b) / len(a | b)
+            sigs = near_text.signatures(pa.array([near_text.signature(" ".join(x)) for x in (words, other)]))
+            estimates.append(near_text.similarity(sigs[:1], sigs[1:])[0] - exact)
+        assert abs(np.mean(estimates)) < 0.02 and np.std(estimates) < 0.06
+
+
+@pytest.mark.parametrize("block", [2048, 16])
+def test_no_partner_is_left_out(spark, block):
+    """One large crowd of fingerprints within the radius whose texts form several groups: each
+    node's nearest partners are often of another group."""
+    rng = random.Random(11)
+    centre, sig, nodes = rng.getrandbits(63), {}, set()
+    while len(nodes) < 150:
+        nodes.add(centre ^ sum(1 << b for b in rng.sample(range(63), rng.randrange(1, 9))))
+    nodes = sorted(nodes)
+    kinds = [bytes(rng.randrange(256) for _ in range(near_text.SIGNATURE)) for _ in range(6)]
+    sig = {n: rng.choice(kinds) for n in nodes}
+    links = [(i, j) for i in range(len(nodes)) for j in range(i) if sig[nodes[i]] == sig[nodes[j]] and (nodes[i] ^ nodes[j]).bit_count() <= 16]
+    own, least = groups(len(nodes), links), {}
+    for i, r in enumerate(own):
+        least.setdefault(r, nodes[i])
+    # One sampled bit and many tables: every pair meets.
+    classes = spark.createDataFrame([(n, sig[n]) for n in nodes], "node long, sig binary")
+    edges = near_text.table_edges(classes, near_text.Settings(same_bit=0.2, block=block))
+    assert edges.where("u = v").count() == 0
+    found = {r["node"]: r["root"] for r in components(edges).collect()}
+    assert [found.get(n, n) for n in nodes] == [least[r] for r in own]
+
+
 def plain_links(vectors, threshold):
     unit = []
     for v in vectors:
