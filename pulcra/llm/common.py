@@ -15,12 +15,20 @@ from pulcra.operators.lookup import materialize
 # A word as the result contracts define it, for Java's patterns and for Python's.
 WORD = r"[^\x20\x09-\x0D]+"
 ID_BYTES = 96  # of one id in a broadcast hash table
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def in_small_batches(docs: DataFrame) -> DataFrame:
+    """The same rows; their session then hands whole texts to Python in batches of a few megabytes
+    instead of ten thousand rows. A longer text is a batch of its own."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return docs
+
+
 def n_words(text: Column) -> Column:
     """Words of a text; none of a null one."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from pulcra.llm.common import in_fold, table, texts_of
+from pulcra.llm.common import in_fold, in_small_batches, table, texts_of
 
 SLOTS = 1 << 16  # hashed trigrams; the model has SLOTS numbers for each language
 UNKNOWN = "und"
@@ -78,7 +78,7 @@ def language_counts(labelled: DataFrame) -> DataFrame:
             slots = np.flatnonzero(counts)
             yield pa.record_batch([pa.array([lang] * len(slots), pa.string()), pa.array(slots), pa.array(counts[slots])], ["lang", "slot", "n"])
 
-    rows = labelled.select("lang", "text").where("lang IS NOT NULL AND text IS NOT NULL")
+    rows = in_small_batches(labelled).select("lang", "text").where("lang IS NOT NULL AND text IS NOT NULL")
     return rows.mapInArrow(count, "lang string, slot long, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from pulcra.llm.common import WORD, table, without
+from pulcra.llm.common import WORD, in_small_batches, table, without
 from pulcra.operators.lookup import materialize
 
 _words = re.compile(WORD).findall
@@ -95,7 +95,7 @@ def marked(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     Texts are counted once for a host however often they are repeated, so exact copies do not use
     up a line's limit.
     """
-    found = docs.select("doc_id", "source", row_key(F.col("source"), F.col("text")).alias("_key"), counted(F.col("text")).alias("c"))
+    found = in_small_batches(docs).select("doc_id", "source", row_key(F.col("source"), F.col("text")).alias("_key"), counted(F.col("text")).alias("c"))
     rows = materialize(found.select("doc_id", F.xxhash64(F.col("source").isNull(), "source").alias("_host"), "_key", "c.*"))
     texts = rows.groupBy("_key", "_host").agg(F.min("doc_id").alias("_doc"), F.any_value("lines").alias("lines"))
     lines = texts.select("_key", "_host", "_doc", F.explode("lines").alias("l"))

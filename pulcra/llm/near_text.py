@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from pulcra.llm.common import components, without
+from pulcra.llm.common import components, in_small_batches, without
 from pulcra.llm.simhash_pivot import Settings as PivotSettings
 from pulcra.llm.simhash_pivot import fingerprint, linked
 from pulcra.llm.tiles import self_tiles
@@ -163,7 +163,7 @@ def near_texts(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
         fps = pa.array([fingerprint(t, s.shingle) for t in given], pa.int64())
         return pa.StructArray.from_arrays([fps, pa.array([signature(t, s) for t in given], pa.binary())], ["fp", "sig"])
 
-    rows = materialize(docs.select("doc_id", read("text").alias("r")).select("doc_id", "r.*"))
+    rows = materialize(in_small_batches(docs).select("doc_id", read("text").alias("r")).select("doc_id", "r.*"))
     grouped = rows.groupBy(F.col("fp").alias("node")).agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("rows"), F.min("sig").alias("sig"))
     classes = materialize(grouped)
     signed = materialize(linked(classes, PivotSettings(shingle=s.shingle)).distinct())

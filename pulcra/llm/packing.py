@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulcra.llm.common import table, texts_of
+from pulcra.llm.common import in_small_batches, table, texts_of
 from pulcra.llm.encoding import LEADING, encoder
 from pulcra.operators.lookup import materialize
 
@@ -86,7 +86,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, settings: Settings = Settings(
             yield pa.record_batch([pa.array(c, kind) for c, (_, kind) in zip(columns, fields)], [n for n, _ in fields])
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, schema)
+    return in_small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, schema)
 
 
 def pack(pieces: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from pulcra.llm.common import components, table
+from pulcra.llm.common import components, in_small_batches, table
 from pulcra.llm.tiles import smallest_reachable, tiles
 from pulcra.operators.lookup import lookup_join, materialize
 
@@ -56,7 +56,7 @@ def fingerprints(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     def simhash(texts: pa.Array) -> pa.Array:
         return pa.array([fingerprint(t, size) for t in texts.to_pylist()], pa.int64())
 
-    return docs.select("doc_id", simhash("text").alias("fp"))
+    return in_small_batches(docs).select("doc_id", simhash("text").alias("fp"))
 
 
 def references(count: int) -> np.ndarray:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulcra.llm.common import table, texts_of
+from pulcra.llm.common import in_small_batches, table, texts_of
 
 BLANK = "▁"  # how the vocabulary writes a blank
 
@@ -107,7 +107,7 @@ def count_tokens(docs: DataFrame, path: str, settings: Settings = Settings()) ->
     are read. Longer ones become overlapping chunks that are dealt out anew, so one huge text is
     encoded by many tasks; their counts are added up by row, also if a doc_id or row repeats.
     """
-    rows = docs.select("doc_id", "text")
+    rows = in_small_batches(docs).select("doc_id", "text")
     long = F.char_length("text") > settings.chunk
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

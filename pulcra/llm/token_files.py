@@ -19,7 +19,7 @@ import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from pulcra.llm.common import table
+from pulcra.llm.common import in_small_batches, table
 from pulcra.llm.encoding import DROPPED, encoder
 from pulcra.operators.lookup import work_folder
 
@@ -70,7 +70,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, chunks: str
     """
     spark, mark = docs.sparkSession, np.array([end], "<u4").tobytes()
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranges = docs.select(docs.doc_id.cast("long").alias("doc_id"), "text").repartitionByRange(count, "doc_id").sortWithinPartitions("doc_id", "text")
+    ranges = in_small_batches(docs).select(docs.doc_id.cast("long").alias("doc_id"), "text").repartitionByRange(count, "doc_id").sortWithinPartitions("doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, files, total = TaskContext.get().partitionId(), None, 0
