@@ -14,6 +14,8 @@ from functools import cache
 from struct import pack
 from unicodedata import is_normalized
 
+import numpy as np
+
 # Characters that the tokenizers' patterns take as white space.
 _WIDE = [0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 SPACE = r"\t-\r \x85\xa0" + "".join(map(chr, _WIDE))
@@ -26,6 +28,7 @@ _END = rf"(?<=[{_LETTER}])[{_MARK}]+(?![^{SPACE}])"
 DROPPED = rf"{_WORD}|{_END}|[^{SPACE}]+"
 # One blank belongs to the word behind it; other white space stands alone.
 LEADING = rf" ?{_WORD}|{_END}| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
+BLANK = "\u0120"  # how byte-level vocabularies write a blank
 REMEMBERED = 400_000  # chunks, about 200 bytes each
 
 
@@ -43,11 +46,28 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.lowers = self.tokenizer.normalizer is not None and self.tokenizer.normalizer.normalize_str("A") == "a"
         self.remembered, self.known = remembered, {}
+        # Tokens that end a word, or else that begin with its blank: where words of letters part.
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.ends = bool(suffix)
+        vocabulary = self.tokenizer.get_vocab()
+        self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.edge[[i for t, i in vocabulary.items() if (t.endswith(suffix) if suffix else t[:1] == BLANK)]] = True
+        self.word = re.compile(rf"{'' if suffix else ' '}[{_LETTER}]+").fullmatch
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)  # without offsets
         return [pack(f"<{len(ids)}I", *ids) for ids in (x.ids for x in found)]
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters alone, encoded as one text and parted by its tokens."""
+        ids = np.frombuffer(self._ids([(" " if self.ends else "").join(words)])[0], "<u4")
+        at = np.flatnonzero(self.edge[ids])
+        bounds = [0, *(at + 1).tolist()] if self.ends else [*at.tolist(), len(ids)]
+        if len(bounds) != len(words) + 1 or bounds[0] != 0 or bounds[-1] != len(ids):
+            return self._ids(words)
+        data = ids.tobytes()
+        return [data[4 * a : 4 * b] for a, b in zip(bounds, bounds[1:])]
+
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
@@ -67,10 +87,13 @@ class Encoder:
             pass
         if len(known) > self.remembered:
             known.clear()
-        missing = list({p for p in parts if p not in known})
-        for at in range(0, len(missing), 10_000):
-            some = missing[at : at + 10_000]
-            known.update(zip(some, self._ids(some)))
+        missing = {p for p in parts if p not in known}
+        words = [p for p in missing if self.word(p)]
+        others = list(missing.difference(words))
+        for some, ids in ((words, self._words), (others, self._ids)):
+            for at in range(0, len(some), 1000):
+                part = some[at : at + 1000]
+                known.update(zip(part, ids(part)))
         return b"".join(map(known.__getitem__, parts))
 
 
