@@ -98,6 +98,6 @@ class Encoder:
 
 
 @cache
-def encoder(path: str, chunks: str) -> Encoder:
+def encoder(path: str, chunks: str, remembered: int = REMEMBERED) -> Encoder:
     """One per worker process; what it remembers serves its later tasks too."""
-    return Encoder(path, chunks)
+    return Encoder(path, chunks, remembered)

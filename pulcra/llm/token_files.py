@@ -4,6 +4,8 @@ Documents are dealt out by ranges of doc_id. Each task writes the ids of its ran
 lengths; the ranges' token counts, one number a range, give every range its base by a prefix sum,
 and a second job writes the offsets. A task writes under a name of its own and renames at the end,
 so a task that is repeated after the loss of an executor leaves one whole file.
+
+Ids are written with as many bytes as the vocabulary needs: 16 bits if every id fits, else 32.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import cache
 from itertools import accumulate
 
 import numpy as np
@@ -25,6 +28,7 @@ from pulcra.operators.lookup import work_folder
 
 NO_ID = -(1 << 63)  # stands for a null doc_id in the files
 END = 1
+REMEMBERED = 1_000_000  # words, about 200 bytes each: the writers hold little else
 
 
 def _place(folder: str, name: str) -> tuple[pyarrow.fs.FileSystem, str]:
@@ -61,20 +65,29 @@ def part(number: int, what: str) -> str:
     return f"part-{number:06d}.{what}"
 
 
+@cache
+def id_kind(tokenizer: str, end: int = END) -> str:
+    """The unsigned integers that hold every id of a vocabulary and the end id."""
+    from tokenizers import Tokenizer
+
+    largest = max(end, *Tokenizer.from_file(tokenizer).get_vocab().values())
+    return "<u2" if largest < 1 << 16 else "<u4"
+
+
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, chunks: str = DROPPED, end: int = END) -> DataFrame:
-    """Write ids (``.ids``, unsigned 32 bit), doc ids and offsets (``.docs``, ``.offsets``, 64 bit)
+    """Write ids (``.ids``, as ``id_kind`` says), doc ids and offsets (``.docs``, ``.offsets``, 64 bit)
     in ascending doc_id order; returns the parts as (part, base).
 
     Null texts are empty and have the end id only. Null doc_ids come first; documents of one doc_id
     are ordered by text. Every other column is left out. An empty table gives no part.
     """
-    spark, mark = docs.sparkSession, np.array([end], "<u4").tobytes()
+    spark, mark, kind = docs.sparkSession, np.array([end], "<u4").tobytes(), id_kind(tokenizer, end)
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranges = in_small_batches(docs).select(docs.doc_id.cast("long").alias("doc_id"), "text").repartitionByRange(count, "doc_id").sortWithinPartitions("doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, files, total = TaskContext.get().partitionId(), None, 0
-        encode = encoder(tokenizer, chunks).encode
+        encode = encoder(tokenizer, chunks, REMEMBERED).encode
         for batch in batches:
             if files is None:
                 files = [_Writer(folder, part(number, what)) for what in ("ids", "docs", "lengths")]
@@ -82,7 +95,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, chunks: str
             for text in batch.column(1).to_pylist():
                 ids = encode(text) + mark
                 lengths.append(len(ids) // 4)
-                files[0].stream.write(ids)
+                files[0].stream.write(np.frombuffer(ids, "<u4").astype(kind).tobytes())
             files[1].stream.write(batch.column(0).fill_null(NO_ID).to_numpy().astype("<i8").tobytes())
             files[2].stream.write(np.array(lengths, "<u8").tobytes())
             total += sum(lengths)
@@ -110,18 +123,21 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, chunks: str
 
 
 def read_token_files(parts: DataFrame, folder: str, batch: int = 4096) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document, from the files alone."""
+    """(doc_id, start, n_tokens, ids_crc32) of every document, from the files alone.
+
+    A file's size tells how wide its ids are; sums are taken of 32-bit ids whatever it is."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for given in batches:
             for number in given.column(0).to_pylist():
-                ids = mapped(folder, part(number, "ids"), "<u4")
                 offsets = mapped(folder, part(number, "offsets"), "<u8")
                 names = mapped(folder, part(number, "docs"), "<i8")
                 local = (offsets - offsets[0]).astype(np.int64)
+                flat = mapped(folder, part(number, "ids"), "u1")
+                ids = flat.view(f"<u{len(flat) // local[-1]}")
                 for at in range(0, len(names), batch):
                     to = min(at + batch, len(names))
-                    sums = [zlib.crc32(memoryview(ids[local[i] : local[i + 1]])) for i in range(at, to)]
+                    sums = [zlib.crc32(ids[local[i] : local[i + 1]].astype("<u4").tobytes()) for i in range(at, to)]
                     own = pa.array(names[at:to], mask=np.asarray(names[at:to] == NO_ID))
                     yield pa.record_batch(
                         [own, pa.array(offsets[at:to].astype(np.int64)), pa.array(np.diff(local[at : to + 1])), pa.array(sums, pa.int64())],
@@ -136,5 +152,5 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     folder = f"{work_folder(spark)}/tokens-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
-    parts = write_token_files(docs, folder, public_tokenizers.path("word_bpe_49k.json"))
-    return read_token_files(parts, folder)
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return read_token_files(write_token_files(docs, folder, tokenizer), folder)
