@@ -18,7 +18,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the rules, or consist of lines that too many others hold, go."""
+    """Lines that too many others hold go, and documents that fail the rules or consist of such lines."""
     return remove_common_lines_rejects(docs)
 
 

@@ -250,6 +250,25 @@ def test_line_rules(spark, docs):
     assert line_frequency.marked(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("limits", [JoinLimits(), JoinLimits(broadcast_bytes=0), JoinLimits(broadcast_bytes=0, hot_rows=1)])
+def test_common_lines_leave_kept_documents(docs, limits):
+    """All but the first document lose the shared line, wherever and however it stands in them."""
+    own = lambda i: " ".join(f"own{i}x{k}" for k in range(60))
+    texts = [f"{own(i)}\n Shared  LINE here\n\nlast {i}\nshared line here" for i in range(30)]
+    rows = [(5000 + i, t, "en", "src1", 7, 1, 2, 3, 0.5) for i, t in enumerate(texts)]
+    rows += [(5100, texts[4], "en", "src1", 7, 1, 2, 3, 0.5), (5101, texts[4], "en", "other", 7, 1, 2, 3, 0.5)]
+    given = docs.unionByName(docs.sparkSession.createDataFrame(rows, docs.schema))
+    kept = line_frequency.remove_common_lines_rejects(given, limits=limits)
+    assert kept.schema == given.schema
+    found = {r["doc_id"]: (r["text"], r["n_chars"]) for r in kept.where("doc_id >= 5000").collect()}
+    assert found.pop(5000) == (texts[0], 7) and found.pop(5101) == (texts[4], 7)
+    without_it = [f"{own(i)}\n\nlast {i}" for i in range(30)]
+    expected = {5000 + i: t for i, t in enumerate(without_it) if i} | {5100: without_it[4]}
+    assert found == {d: (t, len(t)) for d, t in expected.items()}
+    left = {r["doc_id"]: r["n_words_left"] for r in line_frequency.marked(given).where("doc_id > 5000").collect()}
+    assert all(left[d] == len(t.split()) for d, t in expected.items())
+
+
 def test_sainte_lague_is_highest_quotients():
     rng = random.Random(4)
     for _ in range(200):
