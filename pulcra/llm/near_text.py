@@ -1,11 +1,13 @@
 """The near-duplicate stage of the pipeline: SimHash candidates, verified on five-word shingles.
 
-Texts that share 0.8 of their shingles differ in up to about sixteen fingerprint bits. At that radius
+Texts that share 0.8 of their shingles differ in up to about eighteen fingerprint bits. At that radius
 distances to references no longer tell texts apart, as they differ by less between any two texts. So
 besides the pivot cells of ``simhash_pivot``, which find the closest texts, fingerprints meet in
-tables of sampled bits. Every pair of a cell within the radius is decided there, by signatures of
-minimal shingle hashes, unless both are already joined by way of others; so a tile gives one edge a
-text at most, and no partner is left out.
+tables of sampled bits. Every pair of a cell within the radius is looked at there by signatures of
+minimal shingle hashes, unless both are already joined by way of others: clearly similar texts are
+joined, clearly other ones are not, and pairs near the threshold are decided by their shingles. Of
+those a tile first passes on a few a text; where more are left it is looked at again, with a larger
+allowance and what has been joined meanwhile, until none is left. So no partner is left out.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
@@ -33,11 +35,13 @@ from pulcra.operators.lookup import lookup_join, materialize
 class Settings:
     shingle: int = 5
     similarity: float = 0.8
-    slack: float = 0.02  # of the similarity that a signature estimates
-    radius: int = 16
+    margin: float = 0.15  # five standard errors of an estimate; pairs nearer are decided by shingles
+    radius: int = 18
     cell_rows: int = 1000  # fingerprints that a cell of a table should hold, about
-    same_bit: float = 0.86  # chance of one bit to agree in similar texts; sets the number of tables
+    same_bit: float = 0.8486  # chance of one bit to agree at a similarity of 0.8: 1 - acos(2s / (1 + s)) / pi
+    recall: float = 0.99  # of such pairs within the radius meet in a table; sets the number of tables
     block: int = 2048
+    pairs: int = 2  # near the threshold that a tile passes on at first, for each text
 
 
 HASHES = 256  # in a signature, two bits of each
@@ -51,15 +55,31 @@ def _multipliers() -> tuple[np.ndarray, np.ndarray]:
     return draw("times") | np.uint64(1), draw("plus")
 
 
-def signature(text: str | None, s: Settings = Settings()) -> bytes:
-    """Two bits of the smallest hash of any shingle, for each of ``HASHES`` hash functions."""
+def _shingles(text: str | None, s: Settings) -> Iterator[np.ndarray]:
+    """Hashes of the runs of words, part by part; a shorter text is one run."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     count = max(1, len(words) - s.shingle + 1)
-    times, plus = _multipliers()
-    least = np.full(HASHES, 2**64 - 1, np.uint64)
     for at in range(0, count, 1024):
         part = [xxhash.xxh64_intdigest(b" ".join(words[i : i + s.shingle])) for i in range(at, min(at + 1024, count))]
-        hashed = np.unique(np.array(part, np.uint64))
+        yield np.unique(np.array(part, np.uint64))
+
+
+def shingle_set(text: str | None, s: Settings = Settings()) -> bytes:
+    """All distinct shingle hashes in order, eight bytes each."""
+    return np.unique(np.concatenate(list(_shingles(text, s)))).tobytes()
+
+
+def exact_similarity(a: bytes, b: bytes) -> float:
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / (len(x) + len(y) - both)
+
+
+def signature(text: str | None, s: Settings = Settings()) -> bytes:
+    """Two bits of the smallest hash of any shingle, for each of ``HASHES`` hash functions."""
+    times, plus = _multipliers()
+    least = np.full(HASHES, 2**64 - 1, np.uint64)
+    for hashed in _shingles(text, s):
         np.minimum(least, (hashed[:, None] * times + plus).min(axis=0), out=least)
     two = (least >> np.uint64(24)).astype(np.uint8) & 3
     return (two.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8).tobytes()
@@ -77,6 +97,26 @@ def similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return 1 - other / HASHES / 0.75
 
 
+def missed(bits: int, count: int, s: Settings) -> float:
+    """Share of the pairs within the radius that meet in none of ``count`` tables of ``bits`` sampled
+    bits, over the binomial distribution of differing bits at the threshold."""
+    differ = range(min(s.radius, 64) + 1)
+    chance = np.array([math.comb(64, d) * (1 - s.same_bit) ** d * s.same_bit ** (64 - d) for d in differ])
+    meet = np.array([math.comb(64 - d, bits) / math.comb(64, bits) for d in differ])
+    return float(chance @ (1 - meet) ** count / chance.sum())
+
+
+def table_count(bits: int, s: Settings) -> int:
+    """The smallest number of tables that gives the recall."""
+    low, high = 0, 1
+    while missed(bits, high, s) > 1 - s.recall:
+        low, high = high, 2 * high
+    while high - low > 1:
+        half = (low + high) // 2
+        low, high = (half, high) if missed(bits, half, s) > 1 - s.recall else (low, half)
+    return high
+
+
 def _tables(classes: DataFrame, bits: int, count: int) -> DataFrame:
     """The rows of ``classes`` (node first) once for each table, with ``_cell``: table number and
     sampled bits."""
@@ -110,47 +150,104 @@ def _join(roots: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return roots
 
 
-def groups_in_tile(nodes: np.ndarray, sigs: np.ndarray, home: np.ndarray, probe: np.ndarray, s: Settings) -> np.ndarray:
-    """Roots of all nodes (sorted, distinct) when home and probe (places in nodes) are compared.
+SURE, NEAR, LEFT = 0, 1, 2  # an edge; a pair to be decided by shingles; a cell (u) that has more of those
+
 
-    Each pair within the radius is decided by its signatures or joined already when its turn comes.
-    Rows decide their nearest partner first, then ever more pairs at a time: in a large group few
-    decisions join all of it.
+def groups_in_tile(nodes: np.ndarray, sigs: np.ndarray, home: np.ndarray, probe: np.ndarray, s: Settings, roots: np.ndarray, allowed: int) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Roots of all nodes (sorted, distinct) when home and probe (places in nodes) are compared, places
+    of the pairs near the threshold (two rows), and whether there are more of them.
+
+    ``roots`` are places of what is joined already. Each pair within the radius is looked at by its
+    signatures or joined already when its turn comes. Rows look at their nearest partner first, then
+    at ever more pairs at a time: in a large group few decisions join all of it.
     """
-    roots = np.arange(len(nodes))
+    near, more = [np.empty((2, 0), int)], False
     for at in range(0, len(probe) if len(home) else 0, 256):
         own = probe[at : at + 256]
         far = np.bitwise_count(nodes[own].view(np.uint64)[:, None] ^ nodes[home].view(np.uint64)[None, :])
         far[own[:, None] == home[None, :]] = 255
-        i, k, take = np.arange(len(own)), far.argmin(axis=1), 1024
+        far[roots[own][:, None] == roots[home][None, :]] = 255
+        i, k, take, unsure = np.arange(len(own)), far.argmin(axis=1), 1024, []
         while True:
             i, k = (x[far[i, k] <= s.radius] for x in (i, k))
-            good = similarity(sigs[own[i]], sigs[home[k]]) >= s.similarity - s.slack
+            alike = similarity(sigs[own[i]], sigs[home[k]])
+            good = alike >= s.similarity + s.margin
             roots = _join(roots, own[i[good]], home[k[good]])
+            open_ = ~good & (alike >= s.similarity - s.margin)
+            unsure.append(np.stack([own[i[open_]], home[k[open_]]]))
             far[i, k] = 255
             i, k = np.nonzero((far <= s.radius) & (roots[own][:, None] != roots[home][None, :]))
             if not len(i):
                 break
             spread = max(1, len(i) // take)
             i, k, take = i[::spread], k[::spread], 2 * take
-    return roots
-
-
-def table_edges(classes: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """Edges (u, v) that join all similar texts that meet in a table; ``classes``: node, sig."""
+        pairs = np.concatenate(unsure, axis=1)
+        pairs = pairs[:, roots[pairs[0]] != roots[pairs[1]]]
+        if pairs.shape[1] > allowed * len(own):
+            # A choice by hash is the same in every tile, and mixes all groups.
+            u, v = np.sort(nodes[pairs], axis=0).view(np.uint64)
+            mixed = (u * np.uint64(0x9E3779B97F4A7C15) ^ v) * np.uint64(0xBF58476D1CE4E5B9)
+            mixed = (mixed ^ mixed >> np.uint64(31)) * np.uint64(0x94D049BB133111EB)
+            pairs, more = pairs[:, np.argsort(mixed)[: allowed * len(own)]], True
+        near.append(pairs)
+    pairs = np.concatenate(near, axis=1)
+    return roots, pairs[:, roots[pairs[0]] != roots[pairs[1]]], more
+
+
+def table_pairs(classes: DataFrame, s: Settings, allowed: int, cells: DataFrame | None = None) -> DataFrame:
+    """(u, v, kind) of what meets in a table, in all cells or in ``cells``; ``classes``: node, sig, root."""
     bits = max(1, round(math.log2(max(classes.count(), 2) / s.cell_rows)))
-    count = math.ceil(4 / s.same_bit**bits)
+    count = table_count(bits, s)
 
     def compare(tile: pa.Table) -> pa.Table:
         tile = tile.sort_by("node")
         nodes, own = tile["node"].to_numpy(), tile["_own"].to_numpy()
         home, probe = (np.flatnonzero(own == tile[side][0].as_py()) for side in ("_home", "_probe"))
-        roots = groups_in_tile(nodes, signatures(tile["sig"]), home, probe, s)
-        moved = np.flatnonzero(roots != np.arange(len(nodes)))
-        return pa.table({"u": nodes[moved], "v": nodes[roots[moved]]})
+        _, first, group = np.unique(tile["root"].to_numpy(), return_index=True, return_inverse=True)
+        roots, near, more = groups_in_tile(nodes, signatures(tile["sig"]), home, probe, s, first[group], allowed)
+        moved = np.flatnonzero(roots != first[group])
+        low, high = np.unique(np.sort(nodes[near], axis=0), axis=1)
+        cell = tile["_cell"].to_numpy()[: int(more)]
+        kinds = np.repeat(np.array([SURE, NEAR, LEFT], np.int32), [len(moved), len(low), len(cell)])
+        return pa.table({"u": np.concatenate([nodes[moved], high, cell]), "v": np.concatenate([nodes[roots[moved]], low, cell]), "kind": kinds})
 
     rows, sizes = _tables(classes, bits, count), _tables(classes.select("node"), bits, count)
-    return self_tiles(rows, sizes, s.block).applyInArrow(compare, "u long, v long")
+    if cells is not None:
+        rows, sizes = (x.join(cells, "_cell", "left_semi") for x in (rows, sizes))
+    return self_tiles(rows, sizes, s.block).applyInArrow(compare, "u long, v long, kind int")
+
+
+def table_edges(classes: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """Edges (u, v) that join all clearly similar texts that meet in a table; ``classes``: node, sig."""
+    return table_pairs(classes.withColumn("root", F.col("node")), s, s.pairs).where(F.col("kind") == SURE).select("u", "v")
+
+
+def _row_key() -> Column:
+    return F.xxhash64("doc_id", F.col("doc_id").isNull(), "text")
+
+
+def similar_pairs(pairs: DataFrame, docs: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
+    """Of written pairs (u, v) of classes those whose texts share enough shingles.
+
+    The shingles of each class in question are written once, those of the row that stands for it.
+    """
+    nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
+    asked = materialize(nodes.join(classes.select("node", F.col("found.key").alias("_key")), "node"))
+
+    @arrow_udf("binary")
+    def sets(texts: pa.Array) -> pa.Array:
+        return pa.array([shingle_set(t, s) for t in texts.to_pylist()], pa.binary())
+
+    @arrow_udf("double")
+    def share(a: pa.Array, b: pa.Array) -> pa.Array:
+        return pa.array([exact_similarity(x, y) for x, y in zip(a.to_pylist(), b.to_pylist())], pa.float64())
+
+    own = in_small_batches(docs).select("text", _row_key().alias("_key")).join(asked, "_key")
+    # Equal rows of one doc_id are the same text.
+    held = materialize(own.select("node", sets("text").alias("held")).groupBy("node").agg(F.any_value("held").alias("held")))
+    for side in ("u", "v"):
+        pairs = pairs.join(held.select(F.col("node").alias(side), F.col("held").alias(f"held_{side}")), side)
+    return pairs.where(share("held_u", "held_v") >= s.similarity).select("u", "v")
 
 
 def near_texts(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -163,9 +260,12 @@ def near_texts(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
         fps = pa.array([fingerprint(t, s.shingle) for t in given], pa.int64())
         return pa.StructArray.from_arrays([fps, pa.array([signature(t, s) for t in given], pa.binary())], ["fp", "sig"])
 
-    rows = materialize(in_small_batches(docs).select("doc_id", read("text").alias("r")).select("doc_id", "r.*"))
-    grouped = rows.groupBy(F.col("fp").alias("node")).agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("rows"), F.min("sig").alias("sig"))
+    rows = materialize(in_small_batches(docs).select("doc_id", read("text").alias("r"), _row_key().alias("key")).select("doc_id", "key", "r.*"))
+    # One row stands for all of a fingerprint, with its signature.
+    one = F.min(F.struct("sig", "key")).alias("found")
+    grouped = rows.groupBy(F.col("fp").alias("node")).agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("rows"), one)
     classes = materialize(grouped)
+    signs = classes.select("node", F.col("found.sig").alias("sig"))
     signed = materialize(linked(classes, PivotSettings(shingle=s.shingle)).distinct())
 
     @arrow_udf("double")
@@ -173,13 +273,35 @@ def near_texts(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
         return pa.array(similarity(signatures(a), signatures(b)), pa.float64())
 
     for side in ("u", "v"):
-        signed = signed.join(classes.select(F.col("node").alias(side), F.col("sig").alias(f"sig_{side}")), side)
-    close = signed.where(compare("sig_u", "sig_v") >= s.similarity - s.slack).select("u", "v")
-    roots = components(close.unionByName(table_edges(classes.select("node", "sig"), s)))
-    rooted = classes.drop("sig").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        signed = signed.join(signs.select(F.col("node").alias(side), F.col("sig").alias(f"sig_{side}")), side)
+    alike = compare("sig_u", "sig_v")
+    kind = F.when(alike >= s.similarity + s.margin, SURE).when(alike >= s.similarity - s.margin, NEAR)
+    signed = signed.select("u", "v", kind.alias("kind"))
+    allowed = s.pairs
+    found = materialize(table_pairs(signs.withColumn("root", F.col("node")), s, allowed).unionByName(signed))
+    edges = found.where(F.col("kind") == SURE).select("u", "v")
+    while True:
+        roots = components(edges)
+        near = found.where(F.col("kind") == NEAR).select("u", "v").distinct()
+        for side in ("u", "v"):
+            near = near.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}")), side, "left")
+        apart = F.coalesce("root_u", "u") != F.coalesce("root_v", "v")
+        near = materialize(near.where(apart).select("u", "v"))
+        if not near.isEmpty():
+            edges = materialize(edges.unionByName(similar_pairs(near, docs, classes, s)))
+            roots = components(edges)
+        cells = materialize(found.where(F.col("kind") == LEFT).select(F.col("u").alias("_cell")).distinct())
+        if cells.isEmpty():
+            break
+        # Pairs that were refused come again, but each turn passes on eight times as many.
+        allowed *= 8
+        rooted = signs.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        found = materialize(table_pairs(rooted.select("node", "sig", "root"), s, allowed, cells))
+        edges = materialize(edges.unionByName(found.where(F.col("kind") == SURE).select("u", "v")))
+    rooted = classes.drop("found").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     lookup = rooted.join(ids, "root").select("node", "rows", "component_id")
-    return lookup_join(rows.drop("sig"), lookup, key=F.col("fp"), lookup_key="node", weight="rows", row_id=F.coalesce("doc_id", "fp"))
+    return lookup_join(rows.drop("sig", "key"), lookup, key=F.col("fp"), lookup_key="node", weight="rows", row_id=F.coalesce("doc_id", "fp"))
 
 
 def keep_first(docs: DataFrame, s: Settings = Settings()) -> DataFrame:

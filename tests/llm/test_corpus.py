@@ -155,6 +155,57 @@ def test_signatures_estimate_similarity():
         assert abs(np.mean(estimates)) < 0.02 and np.std(estimates) < 0.06
 
 
+@pytest.mark.parametrize("allowed", [2, 1000])
+def test_pairs_near_the_threshold_are_decided_by_shingles(spark, allowed):
+    """Families whose members share 0.72 to 0.88 of their shingles with the first, against brute force."""
+    rng, rows = random.Random(21), []
+    for _ in range(60):
+        base = [f"w{rng.getrandbits(40)}" for _ in range(400)]
+        rows.append((len(rows), " ".join(base)))
+        for _ in range(3):
+            share = rng.uniform(0.72, 0.88)
+            cut = round(396 * (1 - share) / (1 + share))  # of 396 shingles that change
+            rows.append((len(rows), " ".join([*base[: 400 - cut], *(f"w{rng.getrandbits(40)}" for _ in range(cut))])))
+    held = [set(zip(*(t.split()[k:] for k in range(5)))) for _, t in rows]
+    alike = lambda i, j: len(held[i] & held[j]) / len(held[i] | held[j])
+    pairs = [(i, j) for i in range(len(rows)) for j in range(i - i % 4, i)]
+    assert sum(0.78 <= alike(i, j) <= 0.85 for i, j in pairs) > 50
+    links = [(i, j) for i, j in pairs if alike(i, j) >= 0.8]
+    own, least = groups(len(rows), links), {}
+    for i, r in enumerate(own):
+        least.setdefault(r, i)
+    s = near_text.Settings(pairs=allowed)
+    found = {r["doc_id"]: r["component_id"] for r in near_text.near_texts(spark.createDataFrame(rows, "doc_id long, text string"), s).collect()}
+    # None is joined wrongly; up to one in a hundred differs in more bits or meets nowhere.
+    assert all(own[found[i]] == own[i] for i, _ in rows)
+    assert sum(found[i] != least[own[i]] for i, _ in rows) <= 0.02 * len(rows)
+
+
+def test_many_pairs_near_the_threshold_are_passed_on_in_turns():
+    """Unlike texts with similar signatures: every pair is passed on in the end, none twice a turn."""
+    rng = np.random.default_rng(4)
+    nodes = np.unique(rng.integers(0, 1 << 12, 120))
+    sig = rng.integers(0, 256, near_text.SIGNATURE, dtype=np.uint8)
+    sigs = np.tile(sig, (len(nodes), 1))
+    for row in sigs:
+        row[rng.choice(near_text.SIGNATURE, 6, replace=False)] ^= 85
+    sigs = sigs.view(np.uint64)
+    places, s = np.arange(len(nodes)), near_text.Settings(margin=0.3, similarity=0.9)
+    few = near_text.groups_in_tile(nodes, sigs, places, places, s, places, 2)
+    assert few[2] and few[1].shape[1] == 2 * len(nodes)
+    roots, pairs, more = near_text.groups_in_tile(nodes, sigs, places, places, s, places, 1000)
+    assert not more and (roots == places).all()
+    assert len(set(map(tuple, np.sort(pairs, axis=0).T.tolist()))) == len(nodes) * (len(nodes) - 1) // 2
+
+
+@pytest.mark.parametrize("n", [10**k for k in range(3, 10)])
+def test_number_of_tables_gives_the_recall(n):
+    s = near_text.Settings()
+    bits = max(1, round(math.log2(n / s.cell_rows)))
+    count = near_text.table_count(bits, s)
+    assert near_text.missed(bits, count, s) <= 1 - s.recall < near_text.missed(bits, count - 1, s)
+
+
 @pytest.mark.parametrize("block", [2048, 16])
 def test_no_partner_is_left_out(spark, block):
     """One large crowd of fingerprints within the radius whose texts form several groups: each
