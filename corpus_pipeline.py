@@ -13,7 +13,7 @@ from pulcra.operators.lookup import materialize
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a main language go."""
+    """Documents without an identified language go."""
     return keep_identified(spark, docs)
 
 

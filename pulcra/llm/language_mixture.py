@@ -30,9 +30,8 @@ class Settings:
     smoothing: float = 0.1
     rounds: int = 40
     settled: float = 1e-3
-    least_share: float = 0.01  # smaller shares of the first fit are dropped together
+    least_share: float = 0.01  # smaller shares of the first fit go together if none of them is worth its price
     overlap: float = 3.0  # a letter takes part in three trigrams: their likelihoods count a third
-    keep_share: float = 0.5  # pipeline: the main language must make up this share
 
 
 @cache
@@ -116,17 +115,21 @@ def _fit(chances: np.ndarray, counts: np.ndarray, shares: np.ndarray, s: Setting
 def mixture(counts: np.ndarray, model: Model, s: Settings = Settings()) -> tuple[list[int], np.ndarray]:
     """Language indices and their shares.
 
-    From all languages, those of a negligible share go at once; then the smallest one goes as long
+    From all languages, those of a small share go at once if all of them together add no more to the
+    likelihood than the price of one, so that none would be kept; then the smallest one goes as long
     as the penalised likelihood does not fall.
     """
     slots = np.flatnonzero(counts)
     counts = counts[slots].astype(float)
     chances = model.chances[slots].astype(float)
     count = len(model.languages)
-    shares, _ = _fit(chances, counts, np.full(count, 1 / count), s)
-    chosen = np.flatnonzero(shares >= min(s.least_share, shares.max()))
-    shares, fit = _fit(chances[:, chosen], counts, shares[chosen] / shares[chosen].sum(), s)
     price = 0.5 * np.log(max(counts.sum(), 2))
+    chosen = np.arange(count)
+    shares, fit = _fit(chances, counts, np.full(count, 1 / count), s)
+    large = np.flatnonzero(shares >= min(s.least_share, shares.max()))
+    fewer, fit_fewer = _fit(chances[:, large], counts, shares[large] / shares[large].sum(), s)
+    if fit_fewer + price >= fit:
+        chosen, shares, fit = large, fewer, fit_fewer
     while len(chosen) > 1:
         rest = np.delete(np.arange(len(chosen)), int(shares.argmin()))
         fewer, fit_fewer = _fit(chances[:, chosen[rest]], counts, shares[rest] / shares[rest].sum(), s)
@@ -174,9 +177,7 @@ def op1_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Documents with a main language; those without a letter or without a language that makes up
-    ``keep_share`` go."""
+    """Documents with an identified language, however many share the text; those without a letter go."""
     model = learn(training_rows(docs), settings)
     marked = docs.withColumn("_found", identify(spark, F.col("text"), model, settings))
-    good = (F.col("_found.lang_pred") != UNKNOWN) & (F.col("_found.score") >= settings.keep_share)
-    return marked.where(good).drop("_found")
+    return marked.where(F.col("_found.lang_pred") != UNKNOWN).drop("_found")

@@ -122,6 +122,30 @@ def test_mixture_of_two_languages(spark):
     assert set(found) == {"en", "fr"} and abs(found["en"] - 0.67) < 0.1
 
 
+def test_small_share_of_a_long_text_is_kept():
+    rng = np.random.default_rng(6)
+    chances = rng.dirichlet(np.full(500, 0.3), size=4).T
+    model = lang.Model(["a", "b", "c", "d"], np.concatenate([chances, np.full((lang.SLOTS - 500, 4), 1e-9)]).astype(np.float32))
+    counts = np.zeros(lang.SLOTS, int)
+    counts[:500] = rng.multinomial(995_000, chances[:, 0]) + rng.multinomial(5_000, chances[:, 2])
+    chosen, shares = lang.mixture(counts, model)
+    assert chosen == [0, 2] and abs(shares[1] - 0.005) < 0.001
+    alone, _ = lang.mixture(np.r_[rng.multinomial(10_000, chances[:, 1]), np.zeros(lang.SLOTS - 500, int)], model)
+    assert alone == [1]
+
+
+def test_text_of_three_languages_stays(spark):
+    docs = documents(spark, "/root/testdata/sf0.01")
+    long = {r["lang"]: r["text"] for r in docs.where("length(text) > 2000 AND lang IS NOT NULL").collect()}
+    parts = [long[x][:n] for x, n in zip(sorted(long), (1600, 1400, 1000))]
+    assert len(parts) == 3
+    mixed = spark.createDataFrame([(-5, " ".join(parts), None, None, None)], docs.schema)
+    given = docs.unionByName(mixed)
+    main = mixed.select(lang.identify(spark, F.col("text"), lang.learn(lang.training_rows(given))).alias("p")).first()["p"]
+    assert len(main["languages"]) == 3 and main["score"] < 0.5
+    assert lang.keep_identified(spark, given).where("doc_id = -5").count() == 1
+
+
 def test_language_of_odd_texts(spark, odd_documents):
     model = lang.learn(odd_documents)
     found = odd_documents.select("text", lang.identify(spark, F.col("text"), model).alias("p")).collect()
