@@ -385,6 +385,15 @@ def test_token_probabilities_add_up():
     assert mixing.token_scores([b"x" * 5000], model, s)[0] < -100
 
 
+def test_slots_count_past_32_bits(spark):
+    s = mixing.Settings(orders=(1, 99), slots=1 << 10)
+    words = spark.createDataFrame([(b"ab", 3_000_000_000), (b"ac", 3_000_000_001), (b"b", 7)], "token binary, n long").repartition(3)
+    expected = np.zeros((2, len(s.orders) * s.slots))
+    mixing.bit_counts([b"ab", b"ac", b"b"], np.array([3e9, 3e9 + 1, 7]), expected, s)
+    found = {block: mixing._unpacked(data) for block, data in mixing.count_bits(words, s).collect()}
+    assert expected.max() > 2**32 and (found[0] == expected).all()
+
+
 def test_held_out_score_per_known_token_is_near_the_base(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = mixing.score_documents(docs).where("held_out AND n_known = n_tokens").agg(F.sum("base_score"), F.sum("score")).first()
