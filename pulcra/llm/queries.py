@@ -12,6 +12,7 @@ from pulcra.llm.oracle import ORACLE
 from pulcra.llm.packing import op9_best_fit_packing
 from pulcra.llm.pq_dedup import op2_product_quantisation
 from pulcra.llm.simhash_pivot import op5_simhash_pivots
+from pulcra.llm.spelling_variants import op11_spelling_variants
 from pulcra.llm.token_counts import op8_token_counts
 from pulcra.llm.token_files import op4_token_files
 
@@ -28,5 +29,6 @@ QUERIES = {
         op8_token_counts,
         op9_best_fit_packing,
         op10_context_mixing,
+        op11_spelling_variants,
     )
 }
