@@ -22,8 +22,7 @@ class JoinLimits:
     """When a lookup table is broadcast, and which keys count as hot beyond that.
 
     ``broadcast_bytes`` bounds a lookup that is sent to every executor whole.
-    ``hot_rows`` is the number of rows from which one key gets its own treatment: at most
-    ``rows / hot_rows`` keys can reach it, which bounds the hot part of a larger lookup.
+    ``hot_rows`` is the number of rows from which one key is dealt over several tasks.
     """
 
     broadcast_bytes: int = 64 * 1024 * 1024

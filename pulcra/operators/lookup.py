@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -10,25 +11,30 @@ from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulcra.config import JoinLimits
 
-# Room that one broadcast row takes beside its key: a few fixed-width fields and overhead.
+# Room that one broadcast row takes beside its values.
 _ROW_BYTES = 96
+# Keys fall into so many buckets, each with one number of slots: that table is bounded by this and
+# not by the data, whatever the number of hot keys.
+BUCKETS = 1 << 16
 _SPREAD = 1 << 20
+_GRAIN = 4
 _scope: ContextVar[str] = ContextVar("work_tables", default="kept")
 
 
 def work_folder(spark: SparkSession) -> str:
     """Folder for intermediate tables that every executor and a restarted stage can read.
 
-    It lies below ``spark.checkpoint.dir``. A folder of this machine is made up only for a local
-    session that names none.
+    It lies below ``spark.checkpoint.dir``. A folder of this machine is made up only where driver and
+    executors are one process, and no folder is named.
     """
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if base is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="pulcra-")
         context.setCheckpointDir(base)
@@ -62,16 +68,54 @@ def work_tables(spark: SparkSession) -> Iterator[None]:
         _scope.reset(token)
 
 
-def _broadcast_size(table: DataFrame, key: str) -> int:
-    size = table.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.octet_length(F.col(key).cast("string"))).alias("key_bytes"),
-    ).first()
-    return size["n"] * _ROW_BYTES + (size["key_bytes"] or 0)
+def _value_size(name: str, kind: T.DataType) -> Column:
+    """Bytes of a value, about; texts and arrays by what they hold."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(name), F.lit(0))
+    if isinstance(kind, (T.ArrayType, T.MapType)):
+        fixed = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.NumericType)
+        return F.greatest(F.size(name), F.lit(0)) * (8 if fixed else 32)
+    return F.lit(16)
 
 
-def _slot(value: Column) -> Column:
-    return F.pmod(F.xxhash64(value), F.lit(_SPREAD))
+def broadcast_size(table: DataFrame) -> int:
+    """Bytes that a written table would take on every executor."""
+    size = F.lit(_ROW_BYTES)
+    for field in table.schema.fields:
+        size += _value_size(field.name, field.dataType)
+    return table.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0]
+
+
+def _bucket(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
+def hot_buckets(table: DataFrame, weight: str, limits: JoinLimits) -> DataFrame:
+    """``_bucket, _slots`` of the buckets with a hot key: some slots for every ``limits.hot_rows``
+    rows of its heaviest key, so that they even out over tasks. At most ``BUCKETS`` rows of two
+    integers."""
+    slots = F.ceil(F.max(weight) * _GRAIN / limits.hot_rows).cast("int")
+    heavy = table.where(F.col(weight) > limits.hot_rows)
+    return heavy.groupBy(_bucket(F.col("_key")).alias("_bucket")).agg(slots.alias("_slots"))
+
+
+def slot_join(rows: DataFrame, table: DataFrame, weight: str, row_id: Column, limits: JoinLimits) -> DataFrame:
+    """Left join of ``rows`` and ``table`` on ``_key`` through a shuffle in which no key is hot.
+
+    Lookup rows of a bucket with a hot key are copied to several slots, and the rows of that bucket
+    are dealt over those by their row id; every other bucket has one slot. A row meets exactly one
+    copy. Rows without a key match nothing and are dealt over a wide range of slots.
+    """
+    hot = F.broadcast(materialize(hot_buckets(table, weight, limits)))
+    slots = F.coalesce("_slots", F.lit(1))
+    copies = F.explode(F.sequence(F.lit(0), slots - 1)).alias("_slot")
+    payload = [c for c in table.columns if c not in ("_key", weight)]
+    copied = table.withColumn("_bucket", _bucket(F.col("_key"))).join(hot, "_bucket", "left").select("_key", copies, *payload)
+    wide = F.when(F.col("_key").isNull(), F.lit(_SPREAD)).otherwise(slots)
+    dealt = rows.withColumn("_bucket", _bucket(F.col("_key"))).join(hot, "_bucket", "left")
+    dealt = dealt.withColumn("_slot", F.pmod(F.xxhash64(row_id), wide).cast("int")).drop("_bucket", "_slots")
+    # Named, so that the planner does not take a shuffle for a broadcast on its own estimate.
+    return dealt.join(copied.hint("merge"), ["_key", "_slot"], "left").drop("_key", "_slot")
 
 
 def lookup_join(
@@ -83,38 +127,20 @@ def lookup_join(
     weight: str,
     row_id: Column,
     limits: JoinLimits = JoinLimits(),
+    written: bool = False,
 ) -> DataFrame:
-    """Left join of ``rows`` to ``lookup``, which has one row per key and fixed-width payload.
+    """Left join of ``rows`` to ``lookup``, which has one row per key.
 
     ``weight`` names the lookup column that tells how many of ``rows`` carry the key; it and the
-    key are dropped from the result. ``lookup`` is written first, so that its size is known:
-
-    * Up to ``limits.broadcast_bytes`` it is broadcast and ``rows`` are not shuffled at all.
-    * Beyond, keys above ``limits.hot_rows`` are broadcast (there are at most
-      ``rows / hot_rows`` of them) and the other keys are joined through a shuffle. Rows with a
-      hot or a null key cannot match in that shuffle, so a second join column taken from the row
-      id spreads them over it. For other rows that column is a function of the key on both sides;
-      a constant there would be folded away by the optimizer and leave the hot key in one task.
+    key are dropped from the result. ``lookup`` is written first, unless it is said to be
+    ``written`` already, so that its size is known. Up to ``limits.broadcast_bytes`` it is
+    broadcast and ``rows`` are not shuffled at all. Beyond, both sides are shuffled by key and slot,
+    see :func:`slot_join`; nothing is broadcast there that grows with the data.
     """
-    table = materialize(lookup)
-    payload = [c for c in table.columns if c not in (lookup_key, weight)]
+    table = lookup if written else materialize(lookup)
     table = table.withColumnRenamed(lookup_key, "_key")
     keyed = rows.withColumn("_key", key.cast(table.schema["_key"].dataType))
-    if _broadcast_size(table, "_key") <= limits.broadcast_bytes:
+    if broadcast_size(table) <= limits.broadcast_bytes:
         return keyed.join(F.broadcast(table.drop(weight)), "_key", "left").drop("_key")
-
-    hot = table.where(F.col(weight) > limits.hot_rows).select(
-        "_key", F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in payload]
-    )
-    cold = table.where(F.col(weight) <= limits.hot_rows).select(
-        "_key", _slot(F.col("_key")).alias("_slot"), *payload
-    )
-    matchless = F.col("_hot").isNotNull() | F.col("_key").isNull()
-    joined = (
-        keyed.join(F.broadcast(hot), "_key", "left")
-        .withColumn("_slot", F.when(matchless, _slot(row_id)).otherwise(_slot(F.col("_key"))))
-        .join(cold, ["_key", "_slot"], "left")
-    )
-    return joined.select(
-        *rows.columns, *[F.coalesce(F.col(f"_hot_{c}"), F.col(c)).alias(c) for c in payload]
-    )
+    payload = [c for c in table.columns if c not in ("_key", weight)]
+    return slot_join(keyed, table, weight, row_id, limits).select(*rows.columns, *payload)

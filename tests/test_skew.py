@@ -1,6 +1,8 @@
 """Key resolution, orphans and lookups against brute force where one key holds a third of all rows."""
 
+import io
 from collections import defaultdict
+from contextlib import redirect_stdout
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 from pulcra.config import JoinLimits
 from pulcra.operators.integrity import mark_orphans
 from pulcra.operators.keys import resolve_pk_duplicates
-from pulcra.operators.lookup import lookup_join
+from pulcra.operators.lookup import BUCKETS, broadcast_size, hot_buckets, lookup_join
 from pulcra.operators.numbering import number_rows
 
 SHUFFLED = JoinLimits(broadcast_bytes=0, hot_rows=50)
@@ -94,6 +96,42 @@ def test_hot_keys_are_spread(spark):
     assert sum(sizes) == 4000 and max(sizes) < 1500
 
 
+def test_many_hot_keys(spark):
+    """The hot part is above the broadcast limit too; every row meets its key once and no plan
+    broadcasts the lookup."""
+    rows = spark.range(6000).select(
+        F.col("id").alias("source_row_id"), F.when(F.col("id") % 11 > 0, F.concat(F.lit("key"), F.col("id") % 40)).alias("key")
+    )
+    lookup = rows.where("key IS NOT NULL").groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.concat(F.lit("of "), "key").alias("found"))
+    limits = JoinLimits(broadcast_bytes=0, hot_rows=10)
+    out = lookup_join(rows, lookup, key=F.col("key"), lookup_key="key", weight="n", row_id=F.col("source_row_id"), limits=limits)
+    assert out.columns == ["source_row_id", "key", "found"]
+    got = out.collect()
+    assert len(got) == 6000 and len({r["source_row_id"] for r in got}) == 6000
+    assert all(r["found"] == (None if r["key"] is None else f"of {r['key']}") for r in got)
+    text = io.StringIO()
+    with redirect_stdout(text):
+        out.explain()
+    sides = [line for line in text.getvalue().splitlines() if "BroadcastExchange" in line or "SortMergeJoin" in line]
+    # Both broadcasts are the table of slots, two integers a bucket.
+    assert any("SortMergeJoin [_key" in s for s in sides)
+    assert all("input[0, int" in s for s in sides if "BroadcastExchange" in s)
+
+
+def test_slots_are_bounded(spark):
+    """However many keys are hot, the table of slots has at most one row a bucket."""
+    table = spark.range(100_000).select(F.col("id").alias("_key"), F.lit(50).alias("n"))
+    found = hot_buckets(table, "n", JoinLimits(hot_rows=10))
+    assert found.columns == ["_bucket", "_slots"] and found.count() <= BUCKETS
+    assert found.select(F.max("_slots")).first()[0] == 20
+
+
+def test_size_counts_texts_and_arrays(spark):
+    table = spark.createDataFrame([("x" * 1000, [1] * 500, 1)], "k string, a array<long>, n long")
+    assert broadcast_size(table) > 1000 + 500 * 8
+    assert broadcast_size(table.limit(0)) == 0
+
+
 def test_numbering(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v")).repartition(7)
     out = number_rows(df, ["v"], "n", start=0)
