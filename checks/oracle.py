@@ -628,6 +628,14 @@ UNION ALL SELECT 'citas_medicas', source_row_id, {try_int('id_paciente')}, {stri
     "metric_completeness": union(*BEFORE["complete"]),
     "metric_completeness_global": union(*BEFORE["rows"], *BEFORE["complete_global"]),
     "metric_pk_uniqueness": union(*BEFORE["key_p"], *BEFORE["key_c"]),
+    "metric_completeness_counts": union(*[
+        f"SELECT '{t}' AS \"table\", '{x}' AS \"column\", count({x}) AS non_null_count, CAST(count({x}) AS DOUBLE) / greatest(count(*), 1) AS completeness_pct FROM {s}"
+        for t, s, names in ((P, "before_p", P_COLUMNS), (C, "before_c", C_COLUMNS)) for x in names
+    ]),
+    "metric_pk_counts": union(*[
+        f"SELECT '{t}' AS \"table\", count(DISTINCT {x}) AS unique_pk_count, count(*) - count(DISTINCT coalesce(CAST({x} AS VARCHAR), 'no key')) AS duplicate_pk_rows, {share(f'count(DISTINCT {x})', 'count(*)')} AS pk_uniqueness_pct FROM {s}"
+        for t, s, x in ((P, "before_p", "id_paciente"), (C, "before_c", "id_cita"))
+    ]),
     "metric_validity_parent": union(*BEFORE["valid_p"]),
     "metric_validity_child": union(*BEFORE["valid_c"]),
     "metric_age_consistency": union(*BEFORE["age"]),

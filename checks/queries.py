@@ -45,7 +45,7 @@ def dates_as_text(df: DataFrame) -> DataFrame:
 
 
 def outcome(spark: SparkSession, sf_dir: str) -> whole.Outcome:
-    return whole.clean_tables(dirty.tables(spark, sf_dir), SETTINGS, write_between=True)
+    return whole.clean_tables(dirty.tables(spark, sf_dir), SETTINGS)
 
 
 def before_after(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,14 +139,10 @@ def quality_summary(spark, sf_dir):
     given = dirty.tables(spark, sf_dir)
     done = outcome(spark, sf_dir)
     after = {k.PARENT_TABLE: done.parents, k.CHILD_TABLE: done.children}
-    return whole.quality_summary(
-        metrics.compare_metrics(given, after, SETTINGS),
-        audit.issues_by_rule(done.issues),
-        audit.issues_by_severity(done.issues),
-        audit.rejected_counts(done.parents_rejected, done.children_rejected),
-        whole.table_rows(given, after),
-        star_schema.row_counts(star_schema.build_star(done.parents, done.children)),
-    )
+    compared = metrics.compare_metrics(given, after, SETTINGS)
+    built = star_schema.build_star(done.parents, done.children)
+    _, rows = star_schema.publish_star(spark, built, f"{work_folder(spark)}/star-{uuid.uuid4().hex}")
+    return whole.quality_summary(compared, done, rows)
 
 
 @query("star_row_counts")
@@ -427,7 +423,7 @@ def _profile_part(name: str, pick) -> None:
 
 def _counted(section: str, *named: str):
     def pick(df, spec):
-        found = profile.counts(df, spec).where(F.col("section") == section)
+        found = profile.counts(df, spec, [section])
         if named:
             found = found.where(F.col("item").isin(*named))
         return found.select("item", "value")
@@ -435,16 +431,14 @@ def _counted(section: str, *named: str):
     return pick
 
 
-def _duplicates(item: str):
-    return lambda df, spec: (
-        profile.duplicate_counts(df, spec).where(F.col("item") == item).select("item", "value")
-    )
+def _duplicates(count):
+    return lambda df, spec: count(df, spec).select("item", "value")
 
 
 _profile_part("profile_row_count", _counted("row_count"))
 _profile_part("profile_missing", _counted("missing_counts"))
-_profile_part("profile_exact_dups", _duplicates("exact_duplicate_rows"))
-_profile_part("profile_pk_dups", _duplicates("pk_duplicate_rows"))
+_profile_part("profile_exact_dups", _duplicates(profile.exact_duplicates))
+_profile_part("profile_pk_dups", _duplicates(profile.key_duplicates))
 _profile_part("profile_date_anomalies", _counted(
     "format_anomalies",
     *[f"{c}_{n}" for c in ("fecha_nacimiento", "fecha_cita")
@@ -509,6 +503,24 @@ def metric_pk_uniqueness(spark, sf_dir):
     return metrics.add_up(parts[0].unionByName(parts[1]))
 
 
+@query("metric_completeness_counts")
+def metric_completeness_counts(spark, sf_dir):
+    """Filled cells beside their share, read from the measures of one pass per table."""
+    given = dirty.tables(spark, sf_dir)
+    parts = [
+        metrics.column_measures(given[spec.table], spec, SETTINGS)
+        for spec in (metrics.PARENT_METRICS, metrics.CHILD_METRICS)
+    ]
+    return metrics.completeness_counts(parts[0].unionByName(parts[1]))
+
+
+@query("metric_pk_counts")
+def metric_pk_counts(spark, sf_dir):
+    """Distinct keys and rows beyond the first of a key, of both tables, from the key pass."""
+    given = dirty.tables(spark, sf_dir)
+    return metrics.key_counts(metrics.key_pass(given[k.PARENT_TABLE], given[k.CHILD_TABLE]))
+
+
 @query("metric_validity_parent")
 def metric_validity_parent(spark, sf_dir):
     parents = dirty.parents(spark, sf_dir)
@@ -556,12 +568,12 @@ def issues_all(spark, sf_dir):
 
 @query("issues_by_severity")
 def issues_by_severity(spark, sf_dir):
-    return audit.issues_by_severity(outcome(spark, sf_dir).issues)
+    return audit.issues_by_severity(outcome(spark, sf_dir).totals)
 
 
 @query("issues_by_rule")
 def issues_by_rule(spark, sf_dir):
-    return audit.issues_by_rule(outcome(spark, sf_dir).issues)
+    return audit.issues_by_rule(outcome(spark, sf_dir).totals)
 
 
 @query("rejected_counts")
@@ -582,18 +594,18 @@ def report_top_nulls(spark, sf_dir):
 
 @query("report_top_rules")
 def report_top_rules(spark, sf_dir):
-    totals = audit.rule_totals(outcome(spark, sf_dir).issues)
+    totals = audit.rule_totals(outcome(spark, sf_dir).totals)
     return audit.top_rules(totals).select("rank", "rule_id", "count")
 
 
 @query("report_evidence")
 def report_evidence(spark, sf_dir):
-    return audit.evidence(audit.rule_totals(outcome(spark, sf_dir).issues))
+    return audit.evidence(audit.rule_totals(outcome(spark, sf_dir).totals))
 
 
 @query("report_rule_impact")
 def report_rule_impact(spark, sf_dir):
-    return audit.rule_impact(audit.rule_totals(outcome(spark, sf_dir).issues))
+    return audit.rule_impact(audit.rule_totals(outcome(spark, sf_dir).totals))
 
 
 @query("report_completeness_delta")

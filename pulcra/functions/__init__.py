@@ -10,7 +10,7 @@ from pulcra.functions.dates import (
     strict_iso_date,
 )
 from pulcra.functions.numbers import int_text, try_double, try_int
-from pulcra.functions.rows import row_fingerprint, row_signature
+from pulcra.functions.rows import row_fingerprint, row_signature, value_fingerprint
 from pulcra.functions.text import (
     email_normalize,
     email_valid,
@@ -43,4 +43,5 @@ __all__ = [
     "try_double",
     "int_text",
     "try_int",
+    "value_fingerprint",
 ]

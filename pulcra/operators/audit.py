@@ -1,4 +1,8 @@
-"""Roll-ups of the audit trail and of metrics for reports."""
+"""Roll-ups of the audit trail and of metrics for reports.
+
+A trail has one row per issue. The totals that a run takes while it writes its tables, one row per
+table and rule with a ``count``, give the same roll-ups without a look at the trail.
+"""
 
 from __future__ import annotations
 
@@ -21,8 +25,14 @@ from pulcra.operators.rules import ISSUE_COLUMNS, with_issue_order
 _SEVERITY_NAMES = {rank: name for name, rank in SEVERITY_RANK.items()}
 
 
+def _counted(issues: DataFrame) -> Column:
+    """Issues of a trail, or of its totals, whose rows stand for ``count`` issues each."""
+    n = F.sum("count") if "count" in issues.columns else F.count(F.lit(1))
+    return n.alias("count")
+
+
 def issues_by_severity(issues: DataFrame) -> DataFrame:
-    return issues.groupBy("severity").agg(F.count(F.lit(1)).alias("count"))
+    return issues.groupBy("severity").agg(_counted(issues))
 
 
 def issues_by_rule(issues: DataFrame) -> DataFrame:
@@ -31,7 +41,7 @@ def issues_by_rule(issues: DataFrame) -> DataFrame:
     name = lookup_constant(_SEVERITY_NAMES, F.col("_rank"))
     return (
         issues.groupBy("rule_id")
-        .agg(F.count(F.lit(1)).alias("count"), F.max(rank).alias("_rank"))
+        .agg(_counted(issues), F.max(rank).alias("_rank"))
         .select("rule_id", "count", name.alias("severity"))
     )
 
@@ -59,13 +69,13 @@ def rule_totals(issues: DataFrame) -> DataFrame:
     key = F.shiftleft(F.coalesce(order["stage"], F.lit(0)).cast("bigint"), 48) + F.coalesce(order["row"] + 1, F.lit(0))
     placed = with_issue_order(issues).withColumn("_place", key)
     totals = placed.groupBy("rule_id").agg(
-        F.count(F.lit(1)).alias("count"),
+        _counted(issues),
         F.max(rank).alias("severity_rank"),
         F.min("_place").alias("_first"),
     )
     # As many rows as there are rules, which are a fixed list.
     few = F.broadcast(totals.withColumnRenamed("rule_id", "_rule"))
-    first = placed.join(few, (F.col("rule_id") == F.col("_rule")) & (F.col("_place") == F.col("_first")))
+    first = placed.drop("count").join(few, (F.col("rule_id") == F.col("_rule")) & (F.col("_place") == F.col("_first")))
     # Few rows are left: one per rule, or some that share a place.
     record = F.min(F.struct("issue_order", *ISSUE_COLUMNS)).alias("first_issue")
     return first.groupBy("rule_id", "count", "severity_rank").agg(record)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from typing import NamedTuple
+from typing import Any, NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulcra.catalogs import (
@@ -18,8 +18,9 @@ from pulcra.catalogs import (
     STATUS_REMAINING,
 )
 from pulcra.config import JoinLimits
-from pulcra.operators.lookup import lookup_join
-from pulcra.operators.rules import issue_rows
+from pulcra.operators.keysets import is_whole, key_words, mark_members, small_set
+from pulcra.operators.lookup import lookup_join, write_observed
+from pulcra.operators.rules import Violation, issue_rows, trail_measures, violated
 
 
 def foreign_key_counts(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
@@ -46,7 +47,17 @@ def mark_orphans(
     row_id: str = ROW_ID,
     limits: JoinLimits = JoinLimits(),
 ) -> DataFrame:
-    """Add ``is_orphan``: the foreign key is null or no parent has it."""
+    """Add ``is_orphan``: the foreign key is null or no parent has it.
+
+    Whole-number keys of the parents make a set of bits. As long as that may be broadcast, children
+    are read once and not shuffled. For other keys, and larger sets, the children's keys are counted
+    first and only the unknown ones are looked up.
+    """
+    if is_whole(child, fk) and is_whole(parent, pk):
+        known = small_set(key_words(parent, pk), limits)
+        if known is not None:
+            marked = mark_members(child, fk, known, "_member")
+            return marked.withColumn("is_orphan", ~F.col("_member")).drop("_member")
     unknown = (
         foreign_key_counts(child, fk, parent, pk)
         .where(~F.col("known"))
@@ -66,29 +77,52 @@ def mark_orphans(
     ).drop("_unknown")
 
 
+def foreign_key_totals(
+    child: DataFrame, fk: str, parent: DataFrame, pk: str, limits: JoinLimits = JoinLimits()
+) -> DataFrame:
+    """One row: ``valid`` children, whose parent exists, of those ``given`` a foreign key."""
+    if is_whole(child, fk) and is_whole(parent, pk):
+        known = small_set(key_words(parent, pk), limits)
+        if known is not None:
+            marked = mark_members(child.select(fk), fk, known, "_member")
+            return marked.agg(F.count(F.when(F.col("_member"), 1)).alias("valid"), F.count(fk).alias("given"))
+    return foreign_key_counts(child, fk, parent, pk).agg(
+        F.coalesce(F.sum(F.when(F.col("known"), F.col("n"))), F.lit(0)).alias("valid"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("given"),
+    )
+
+
 def foreign_key_integrity(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """One row: children with a foreign key, those whose parent exists, and their share."""
-    valid = F.coalesce(F.sum(F.when(F.col("known"), F.col("n"))), F.lit(0))
-    present = F.coalesce(F.sum("n"), F.lit(0))
-    return foreign_key_counts(child, fk, parent, pk).agg(
-        valid.alias("fk_valid_pair_count"),
-        present.alias("fk_non_null_count"),
-        F.try_divide(valid, present).alias("fk_valid_pct_among_non_null"),
+    return foreign_key_totals(child, fk, parent, pk).select(
+        F.col("valid").alias("fk_valid_pair_count"),
+        F.col("given").alias("fk_non_null_count"),
+        F.try_divide("valid", "given").alias("fk_valid_pct_among_non_null"),
     )
 
 
 class CrossCheck(NamedTuple):
+    """Children by verdict. ``seen`` holds what writing them has counted: ``valid``, ``orphans`` and
+    the values of :func:`trail_measures` for the issues."""
+
     valid: DataFrame
     rejected: DataFrame
     issues: DataFrame
+    seen: dict[str, Any]
+
+
+# Verdicts on a child, the folders of the checked table.
+VALID, ODD_STATUS, ORPHANED = "valid", "odd_status", "orphan"
+_VERDICT = "_verdict"
+
+
+def _status_unknown() -> Column:
+    return F.col("estado_cita").isNotNull() & ~F.col("estado_cita").isin(list(STATUS_CATALOG.values()))
 
 
 def remaining_status_issues(valid: DataFrame) -> DataFrame:
-    unknown = F.col("estado_cita").isNotNull() & ~F.col("estado_cita").isin(
-        list(STATUS_CATALOG.values())
-    )
     return issue_rows(
-        valid.where(unknown), STATUS_REMAINING, CHILD_TABLE, CHILD_KEY, original="estado_cita"
+        valid.where(_status_unknown()), STATUS_REMAINING, CHILD_TABLE, CHILD_KEY, original="estado_cita"
     )
 
 
@@ -101,18 +135,39 @@ def repeated_key_issue(valid: DataFrame, pk: str = CHILD_KEY) -> DataFrame:
 def validate_cross_references(
     parents: DataFrame, children: DataFrame, limits: JoinLimits = JoinLimits()
 ) -> CrossCheck:
-    """Split children into valid ones and orphans, and check what cleaning has promised."""
+    """Split children into valid ones and orphans, and check what cleaning has promised.
+
+    The children are read once, or twice where the parents' keys are no small set. The judged rows
+    are written once, in a folder per verdict; valid rows, rejects and issues read their folders alone.
+    """
     marked = mark_orphans(children, PARENT_KEY, parents, PARENT_KEY, limits=limits)
-    valid = marked.where(~F.col("is_orphan")).drop("is_orphan")
-    rejected = (
-        marked.where("is_orphan")
-        .drop("is_orphan")
-        .withColumn("rejection_reason", F.lit(ORPHAN.reason))
-        .withColumn("rejection_rule_id", F.lit(ORPHAN.rule_id))
+    odd = _status_unknown() if "estado_cita" in children.columns else F.lit(False)
+    verdict = F.when(F.col("is_orphan"), ORPHANED).when(odd, ODD_STATUS).otherwise(VALID)
+    marked = marked.withColumn(_VERDICT, verdict).drop("is_orphan")
+    of = [Violation(ORPHAN, f"{_VERDICT} = '{ORPHANED}'", original=PARENT_KEY)]
+    if "estado_cita" in children.columns:
+        of.append(Violation(STATUS_REMAINING, f"{_VERDICT} = '{ODD_STATUS}'", original="estado_cita"))
+    records = [F.get(violated(of), F.lit(k)) for k in range(len(of))]
+    orphans = F.count(F.when(F.col(_VERDICT) == ORPHANED, 1))
+    measures = {"orphans": orphans, "valid": F.count(F.lit(1)) - orphans, **trail_measures(records)}
+    checked, seen = write_observed(marked, measures, by=_VERDICT)
+
+    def judged(*verdicts: str) -> DataFrame:
+        return checked.where(F.col(_VERDICT).isin(*verdicts)).drop(_VERDICT)
+
+    valid, orphaned = judged(VALID, ODD_STATUS), judged(ORPHANED)
+    rejected = orphaned.withColumn("rejection_reason", F.lit(ORPHAN.reason)).withColumn(
+        "rejection_rule_id", F.lit(ORPHAN.rule_id)
     )
-    issues = issue_rows(rejected, ORPHAN, CHILD_TABLE, CHILD_KEY, original=PARENT_KEY)
-    if "estado_cita" in valid.columns:
-        issues = issues.unionByName(remaining_status_issues(valid))
-    if CHILD_KEY in valid.columns:
-        issues = issues.unionByName(repeated_key_issue(valid))
-    return CrossCheck(valid, rejected, issues)
+    issues = issue_rows(orphaned, ORPHAN, CHILD_TABLE, CHILD_KEY, original=PARENT_KEY)
+    if "estado_cita" in children.columns:
+        odd_rows = issue_rows(
+            judged(ODD_STATUS), STATUS_REMAINING, CHILD_TABLE, CHILD_KEY, original="estado_cita"
+        )
+        issues = issues.unionByName(odd_rows)
+    if CHILD_KEY in children.columns:
+        # At most one row, which is looked for once.
+        repeated, found = write_observed(repeated_key_issue(valid), {"n": F.count(F.lit(1))})
+        issues = issues.unionByName(repeated)
+        seen = seen | {"repeated_key": found["n"]}
+    return CrossCheck(valid, rejected, issues, seen)

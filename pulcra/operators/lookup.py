@@ -5,11 +5,12 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 from contextvars import ContextVar
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,6 +52,23 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_observed(
+    df: DataFrame, measures: Mapping[str, Column], *, path: str | None = None, by: str | None = None
+) -> tuple[DataFrame, dict[str, Any]]:
+    """Write a table as :func:`materialize` does, and take aggregates of its rows in the same pass.
+
+    The aggregates belong to the writing stage, whose partitions count once however often a task is
+    tried, so they hold for the rows that the table has. ``by`` partitions the files by a column;
+    filters on it then skip the other folders.
+    """
+    seen = Observation()
+    observed = df.observe(seen, *[value.alias(name) for name, value in measures.items()])
+    path = path or f"{work_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    writer = observed.write.mode("overwrite")
+    (writer.partitionBy(by) if by else writer).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns), seen.get
+
+
 @contextmanager
 def work_tables(spark: SparkSession) -> Iterator[None]:
     """Delete the intermediate tables made inside the block when it ends.

@@ -3,12 +3,17 @@
 Every metric is a sum over a sum (or a bare sum). A measure carries the two numbers; measures of
 different tables and passes are united, added up per metric and divided at the end, so that
 dataset-wide metrics need no second look at the tables.
+
+A measured side (before, after) is a handful of such sums. ``measure_states`` writes them once;
+metrics, their comparison and the counts beside the shares are all read from there, and states of
+parts of a table add up to those of the whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +28,7 @@ from pulcra.catalogs import (
     SEX_CATALOG,
     STATUS_CATALOG,
 )
-from pulcra.config import Settings
+from pulcra.config import JoinLimits, Settings
 from pulcra.functions import (
     age_at,
     email_valid,
@@ -33,9 +38,12 @@ from pulcra.functions import (
 )
 from pulcra.functions.frames import as_date, text_or_null
 from pulcra.functions.literals import inline_structs, sql_literal, sql_struct
-from pulcra.operators.integrity import foreign_key_counts
+from pulcra.operators.integrity import foreign_key_totals
+from pulcra.operators.keysets import is_whole, key_words, mark_members, set_totals, small_set
+from pulcra.operators.lookup import materialize
 
 METRIC_KEY = ["scope", "table", "column", "metric_name"]
+COUNTS = "count"  # scope of counts beside the metrics, which are no metrics of the long form
 GLOBAL_COMPLETENESS = "completeness_global_pct"
 GLOBAL_ROWS = "row_count_total"
 GLOBAL_FK = "referential_integrity_fk_valid_pct_among_non_null"
@@ -154,52 +162,137 @@ def column_measures(df: DataFrame, spec: MetricSpec, settings: Settings) -> Data
     return wide.select(inline_structs(records))
 
 
+def _key_totals(groups: DataFrame, key: str, n: str) -> DataFrame:
+    """``_keys, _groups, _rows`` of one row per key: distinct keys, the same with null as a key, rows."""
+    return groups.agg(
+        F.count(key).alias("_keys"),
+        F.count(F.lit(1)).alias("_groups"),
+        F.coalesce(F.sum(n), F.lit(0)).alias("_rows"),
+    )
+
+
+def _key_records(table: str, keys: str, groups: str, rows: str) -> list[str]:
+    return [
+        _measure("table", table, None, "pk_uniqueness_pct", keys, rows),
+        _measure(COUNTS, table, None, "unique_pk_count", keys),
+        _measure(COUNTS, table, None, "duplicate_pk_rows", f"({rows} - {groups})"),
+    ]
+
+
+def _foreign_key_records(table: str, valid: str, given: str) -> list[str]:
+    return [
+        _measure("table", table, None, "fk_valid_pct_among_non_null", valid, given),
+        _measure("table", table, None, "fk_valid_pair_count", valid),
+        _measure("table", table, None, "fk_non_null_count", given),
+        _measure("global", None, None, GLOBAL_FK, valid, given),
+    ]
+
+
 def key_measures(df: DataFrame, spec: MetricSpec) -> DataFrame:
     """Distinct non-null keys over rows. Reads the key column only and shuffles keys, not rows."""
     if spec.pk not in df.columns:
-        wide = df.sparkSession.range(1).select(F.lit(0).alias("_keys"), F.lit(0).alias("_rows"))
+        zero = F.lit(0)
+        wide = df.sparkSession.range(1).select(*[zero.alias(c) for c in ("_keys", "_groups", "_rows")])
+    elif is_whole(df, spec.pk):
+        wide = set_totals(key_words(df, spec.pk))
     else:
-        groups = df.groupBy(spec.pk).agg(F.count(F.lit(1)).alias("n"))
-        wide = groups.agg(F.count(spec.pk).alias("_keys"), F.coalesce(F.sum("n"), F.lit(0)).alias("_rows"))
-    record = _measure("table", spec.table, None, "pk_uniqueness_pct", "_keys", "_rows")
-    return wide.select(inline_structs([record]))
+        wide = _key_totals(df.groupBy(spec.pk).agg(F.count(F.lit(1)).alias("n")), spec.pk, "n")
+    return wide.select(inline_structs(_key_records(spec.table, "_keys", "_groups", "_rows")))
 
 
 def foreign_key_measures(
     child: DataFrame, parent: DataFrame, table: str = CHILD_TABLE, fk: str = PARENT_KEY, pk: str = PARENT_KEY
 ) -> DataFrame:
     if fk not in child.columns:
-        wide = child.sparkSession.range(1).select(F.lit(0).alias("_valid"), F.lit(0).alias("_given"))
+        wide = child.sparkSession.range(1).select(F.lit(0).alias("valid"), F.lit(0).alias("given"))
     else:
         if pk not in parent.columns:
             parent = parent.select(F.lit(None).cast(child.schema[fk].dataType).alias(pk))
-        wide = foreign_key_counts(child, fk, parent, pk).agg(
-            F.coalesce(F.sum(F.when(F.col("known"), F.col("n"))), F.lit(0)).alias("_valid"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("_given"),
-        )
-    valid, given = "_valid", "_given"
-    records = [
-        _measure("table", table, None, "fk_valid_pct_among_non_null", valid, given),
-        _measure("table", table, None, "fk_valid_pair_count", valid),
-        _measure("table", table, None, "fk_non_null_count", given),
-        _measure("global", None, None, GLOBAL_FK, valid, given),
-    ]
-    return wide.select(inline_structs(records))
+        wide = foreign_key_totals(child, fk, parent, pk)
+    return wide.select(inline_structs(_foreign_key_records(table, "valid", "given")))
+
+
+def _key_rows(df: DataFrame, keys: list[tuple[str, str, str]], kinds: Mapping[str, str]) -> DataFrame:
+    """One row per row and key column: a column per key domain, null in the others', and the side."""
+    records = []
+    for domain, column, side in keys:
+        values = {d: f"CAST({column if d == domain else 'NULL'} AS {kind})" for d, kind in kinds.items()}
+        records.append(sql_struct(domain=sql_literal(domain), side=sql_literal(side), **values))
+    return df.select(inline_structs(records))
+
+
+def key_pass(parents: DataFrame, children: DataFrame, limits: JoinLimits = JoinLimits()) -> DataFrame:
+    """What ``key_measures`` of both tables and ``foreign_key_measures`` give, from one look at the
+    key columns of each table.
+
+    Whole-number parent keys are a set of bits; if that may be broadcast, children are counted by
+    their own key alone, with their foreign key looked up on the way. Else a parent key and the
+    children that name it meet in the group of that key, so foreign keys take no join. Rows combine
+    before the shuffle in both, so a key that most children share is one record a task.
+    """
+    of_parents = _key_records(PARENT_TABLE, "_p_keys", "_p_groups", "_p_rows")
+    of_children = _key_records(CHILD_TABLE, "_c_keys", "_c_groups", "_c_rows")
+    of_children += _foreign_key_records(CHILD_TABLE, "_valid", "_given")
+    words = materialize(key_words(parents, PARENT_KEY)) if is_whole(parents, PARENT_KEY) else None
+    known = small_set(words, limits) if words is not None else None
+    if known is None:
+        return _meeting_keys(parents, children).select(inline_structs(of_parents + of_children))
+    marked = mark_members(children.select(CHILD_KEY, PARENT_KEY), PARENT_KEY, known, "_member")
+    groups = marked.groupBy(CHILD_KEY).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(PARENT_KEY).alias("given"),
+        F.count(F.when(F.col("_member"), 1)).alias("valid"),
+    )
+    total = lambda n: F.coalesce(F.sum(n), F.lit(0))
+    counted = groups.agg(
+        F.count(CHILD_KEY).alias("_c_keys"),
+        F.count(F.lit(1)).alias("_c_groups"),
+        total("n").alias("_c_rows"),
+        total("valid").alias("_valid"),
+        total("given").alias("_given"),
+    )
+    measured = set_totals(words).toDF("_p_keys", "_p_groups", "_p_rows").select(inline_structs(of_parents))
+    return measured.unionByName(counted.select(inline_structs(of_children)))
+
+
+def _meeting_keys(parents: DataFrame, children: DataFrame) -> DataFrame:
+    kinds = {"parent_key": parents.schema[PARENT_KEY].dataType.simpleString(), "child_key": children.schema[CHILD_KEY].dataType.simpleString()}
+    of_parents = _key_rows(parents, [("parent_key", PARENT_KEY, "parent")], kinds)
+    of_children = _key_rows(children, [("parent_key", PARENT_KEY, "child"), ("child_key", CHILD_KEY, "child")], kinds)
+    n = lambda side: F.count(F.when(F.col("side") == side, 1)).alias(side)
+    groups = of_parents.unionByName(of_children).groupBy("domain", *kinds).agg(n("parent"), n("child"))
+    owner, known = F.col("domain") == "parent_key", F.col("parent") > 0
+    given = owner & F.col("parent_key").isNotNull()
+    total = lambda condition, n: F.coalesce(F.sum(F.when(condition, F.col(n))), F.lit(0))
+    return groups.agg(
+        F.count(F.when(given & known, 1)).alias("_p_keys"),
+        F.count(F.when(owner & known, 1)).alias("_p_groups"),
+        total(owner, "parent").alias("_p_rows"),
+        F.count(F.when(~owner & F.col("child_key").isNotNull(), 1)).alias("_c_keys"),
+        F.count(F.when(~owner, 1)).alias("_c_groups"),
+        total(~owner, "child").alias("_c_rows"),
+        total(given & known, "child").alias("_valid"),
+        total(given, "child").alias("_given"),
+    )
 
 
 def dataset_measures(tables: Mapping[str, DataFrame], settings: Settings) -> DataFrame:
+    """All measures of a dataset from two passes over each table: its columns, and its keys."""
     parents, children = tables[PARENT_TABLE], tables[CHILD_TABLE]
     parts = [
         column_measures(parents, PARENT_METRICS, settings),
-        key_measures(parents, PARENT_METRICS),
         column_measures(children, CHILD_METRICS, settings),
-        key_measures(children, CHILD_METRICS),
-        foreign_key_measures(children, parents),
     ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    alike = PARENT_KEY in parents.columns and {PARENT_KEY, CHILD_KEY} <= set(children.columns)
+    if alike and parents.schema[PARENT_KEY].dataType == children.schema[PARENT_KEY].dataType:
+        parts.append(key_pass(parents, children))
+    else:
+        parts += [
+            key_measures(parents, PARENT_METRICS),
+            key_measures(children, CHILD_METRICS),
+            foreign_key_measures(children, parents),
+        ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def add_up(measures: DataFrame, *by: str) -> DataFrame:
@@ -208,7 +301,8 @@ def add_up(measures: DataFrame, *by: str) -> DataFrame:
         F.col("is_share"), F.try_divide(F.col("num").cast("double"), F.col("den"))
     ).otherwise(F.col("num").cast("double"))
     return (
-        measures.groupBy(*by, *METRIC_KEY, "is_share")
+        measures.where(F.col("scope") != COUNTS)
+        .groupBy(*by, *METRIC_KEY, "is_share")
         .agg(F.sum("num").alias("num"), F.sum("den").alias("den"))
         .select(*by, *METRIC_KEY, value.alias("metric_value"))
     )
@@ -218,19 +312,50 @@ def quality_metrics(tables: Mapping[str, DataFrame], settings: Settings = Settin
     return add_up(dataset_measures(tables, settings))
 
 
-def compare_metrics(
-    before: Mapping[str, DataFrame],
-    after: Mapping[str, DataFrame],
-    settings: Settings = Settings(),
-) -> DataFrame:
+def measure_states(sides: Mapping[str, Mapping[str, DataFrame]], settings: Settings = Settings()) -> DataFrame:
+    """Written sums of every measure of each named side: ``side``, the metric's key, ``num, den``."""
+    measured = [dataset_measures(tables, settings).withColumn("side", F.lit(side)) for side, tables in sides.items()]
+    sums = reduce(DataFrame.unionByName, measured).groupBy("side", *METRIC_KEY, "is_share")
+    return materialize(sums.agg(F.sum("num").alias("num"), F.sum("den").alias("den")))
+
+
+def compare_states(states: DataFrame) -> DataFrame:
     """``scope, table, column, metric_name, before, after, delta``; null where a side has none."""
-    sides = dataset_measures(before, settings).withColumn("side", F.lit("before")).unionByName(
-        dataset_measures(after, settings).withColumn("side", F.lit("after"))
-    )
-    both = add_up(sides, "side").groupBy(*METRIC_KEY).agg(
+    both = add_up(states, "side").groupBy(*METRIC_KEY).agg(
         *[
             F.max(F.when(F.col("side") == side, F.col("metric_value"))).alias(side)
             for side in ("before", "after")
         ]
     )
     return both.withColumn("delta", F.col("after") - F.col("before"))
+
+
+def compare_metrics(
+    before: Mapping[str, DataFrame],
+    after: Mapping[str, DataFrame],
+    settings: Settings = Settings(),
+) -> DataFrame:
+    return compare_states(measure_states({"before": before, "after": after}, settings))
+
+
+def completeness_counts(measures: DataFrame, *by: str) -> DataFrame:
+    """``table, column, non_null_count, completeness_pct`` per column, from measures or states."""
+    shares = measures.where(F.col("metric_name") == "completeness_pct").groupBy(*by, "table", "column")
+    sums = shares.agg(F.sum("num").alias("non_null_count"), F.sum("den").alias("_rows"))
+    share = F.try_divide(F.col("non_null_count").cast("double"), F.col("_rows"))
+    return sums.select(*by, "table", "column", "non_null_count", share.alias("completeness_pct"))
+
+
+def key_counts(measures: DataFrame, *by: str) -> DataFrame:
+    """``table, unique_pk_count, duplicate_pk_rows, pk_uniqueness_pct``, from measures or states.
+
+    Duplicate rows are those beyond the first of each key, a missing key being a key of its own.
+    """
+    num = lambda name: F.sum(F.when(F.col("metric_name") == name, F.col("num")))
+    rows = F.sum(F.when(F.col("metric_name") == "pk_uniqueness_pct", F.col("den")))
+    names = ["pk_uniqueness_pct", "unique_pk_count", "duplicate_pk_rows"]
+    return measures.where(F.col("metric_name").isin(names)).groupBy(*by, "table").agg(
+        num("unique_pk_count").alias("unique_pk_count"),
+        num("duplicate_pk_rows").alias("duplicate_pk_rows"),
+        F.try_divide(num("pk_uniqueness_pct").cast("double"), rows).alias("pk_uniqueness_pct"),
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,6 +19,7 @@ from pulcra.catalogs import (
     SEX_CATALOG,
     STATUS_CATALOG,
 )
+from pulcra.config import JoinLimits
 from pulcra.functions import (
     email_valid,
     normalize_catalog,
@@ -26,6 +27,7 @@ from pulcra.functions import (
     phone_digits,
     strict_iso_date,
     try_double,
+    value_fingerprint,
 )
 from pulcra.functions.frames import text_or_null
 from pulcra.functions.literals import (
@@ -34,8 +36,11 @@ from pulcra.functions.literals import (
     sql_literal,
     sql_struct,
 )
+from pulcra.operators.keysets import is_whole, key_words, set_totals
+from pulcra.operators.lookup import lookup_join, write_observed
 
 Check = Callable[[Column], Column]
+COUNTED = ("row_count", "missing_counts", "format_anomalies")
 
 
 @dataclass(frozen=True)
@@ -124,9 +129,59 @@ def repeated_rows(df: DataFrame, by: list[str], name: str) -> DataFrame:
     return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias(name))
 
 
-def counts(df: DataFrame, spec: ProfileSpec) -> DataFrame:
-    """``section, item, value`` of everything one pass without a shuffle can count."""
-    missing = [c for c in spec.columns if c in df.columns]
+def repeated_wide_rows(
+    df: DataFrame,
+    columns: list[str],
+    name: str,
+    *,
+    fingerprint: Callable[[list[str]], tuple[Column, Column]] = value_fingerprint,
+    limits: JoinLimits = JoinLimits(),
+) -> DataFrame:
+    """What :func:`repeated_rows` gives over many columns, without shuffling them.
+
+    Rows are grouped by a 128-bit fingerprint. A fingerprint that occurs once is a row of its own;
+    only the others are looked at again: per group the least and the greatest value and the number
+    of nulls of each column, which combine before the shuffle, tell whether all its rows are equal.
+    Should a group hold different rows, these are grouped by their values.
+    """
+    if not columns:
+        return df.agg(F.greatest(F.count(F.lit(1)) - 1, F.lit(0)).alias(name))
+    first, second = fingerprint(columns)
+    marked = df.select(*columns, F.struct(first.alias("a"), second.alias("b")).alias("_print"))
+    prints = marked.groupBy("_print").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    prints, seen = write_observed(prints, {"rows": F.count(F.lit(1)), "beyond": F.sum(F.col("n") - 1)})
+    if not seen["rows"]:
+        return df.sparkSession.range(1).select(F.lit(0).cast("long").alias(name))
+
+    def members(of: DataFrame) -> DataFrame:
+        known = of.select(F.col("_print").alias("_known"), "n", F.lit(True).alias("_again"))
+        spread = F.monotonically_increasing_id()
+        joined = lookup_join(marked, known, key=F.col("_print"), lookup_key="_known", weight="n", row_id=spread, limits=limits)
+        return joined.where("_again").drop("_again")
+
+    differs = F.lit(False)
+    for c in columns:
+        given = F.count(c)
+        differs |= (given > 0) & (given < F.count(F.lit(1))) | F.coalesce(F.min(c) != F.max(c), F.lit(False))
+    looked = members(prints).groupBy("_print").agg(F.count(F.lit(1)).alias("n"), differs.alias("_differs"))
+    odd, found = write_observed(looked.where("_differs").select("_print", "n"), {"rows": F.count(F.lit(1)), "beyond": F.sum(F.col("n") - 1)})
+    equal = seen["beyond"] - (found["beyond"] or 0)
+    if not found["rows"]:
+        return df.sparkSession.range(1).select(F.lit(equal).cast("long").alias(name))
+    exact = repeated_rows(members(odd), columns, "_exact")
+    return exact.select((F.col("_exact") + F.lit(equal)).cast("long").alias(name))
+
+
+def counts(df: DataFrame, spec: ProfileSpec, sections: Collection[str] = COUNTED) -> DataFrame:
+    """``section, item, value`` of everything one pass without a shuffle can count.
+
+    What belongs to other sections than the chosen ones is not computed.
+    """
+    missing = [c for c in spec.columns if c in df.columns] if "missing_counts" in sections else []
+    if "format_anomalies" not in sections:
+        wide = df.agg(F.count(F.lit(1)).alias("rows"), *[_count_where(F.col(c).isNull()).alias(f"_{c}") for c in missing])
+        records = [("row_count", "rows", "rows")] if "row_count" in sections else []
+        return _items(wide, records + [("missing_counts", c, f"_{c}") for c in missing])
     date_text = text_or_null(df, spec.date_column)
     df = df.withColumns(
         {
@@ -146,24 +201,35 @@ def counts(df: DataFrame, spec: ProfileSpec) -> DataFrame:
         *[_count_where(F.col(c).isNull()).alias(f"_{c}") for c in missing],
         *[column.alias(name) for name, column in anomalies.items()],
     )
-    records = [("row_count", "rows", "rows")]
+    records = [("row_count", "rows", "rows")] if "row_count" in sections else []
     records += [("missing_counts", c, f"_{c}") for c in missing]
     records += [("format_anomalies", name, name) for name in anomalies]
     return _items(wide, records)
 
 
-def duplicate_counts(df: DataFrame, spec: ProfileSpec) -> DataFrame:
-    """``section, item, value``: exact duplicate rows and repeated keys (null is one key)."""
-    exact = repeated_rows(
-        df, [c for c in df.columns if c != ROW_ID], "exact_duplicate_rows"
-    )
-    section = "duplicate_counts"
-    out = _items(exact, [(section, "exact_duplicate_rows", "exact_duplicate_rows")])
-    if spec.pk in df.columns:
-        keys = repeated_rows(df, [spec.pk], "pk_duplicate_rows")
+def exact_duplicates(df: DataFrame, spec: ProfileSpec) -> DataFrame:
+    """``section, item, value``: rows beyond the first of equal ones."""
+    columns = [c for c in df.columns if c != ROW_ID]
+    name = "exact_duplicate_rows"
+    return _items(repeated_wide_rows(df, columns, name), [("duplicate_counts", name, name)])
+
+
+def key_duplicates(df: DataFrame, spec: ProfileSpec) -> DataFrame:
+    """``section, item, value``: rows beyond the first of each key (null is one key)."""
+    name = "pk_duplicate_rows"
+    if spec.pk in df.columns and is_whole(df, spec.pk):
+        totals = set_totals(key_words(df, spec.pk))
+        keys = totals.select((F.col("_rows") - F.col("_groups")).alias(name))
+    elif spec.pk in df.columns:
+        keys = repeated_rows(df, [spec.pk], name)
     else:
-        keys = df.agg(F.count(F.when(F.lit(False), 1)).alias("pk_duplicate_rows"))
-    return out.unionByName(_items(keys, [(section, "pk_duplicate_rows", "pk_duplicate_rows")]))
+        keys = df.agg(F.count(F.when(F.lit(False), 1)).alias(name))
+    return _items(keys, [("duplicate_counts", name, name)])
+
+
+def duplicate_counts(df: DataFrame, spec: ProfileSpec) -> DataFrame:
+    """``section, item, value``: exact duplicate rows and repeated keys."""
+    return exact_duplicates(df, spec).unionByName(key_duplicates(df, spec))
 
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -233,9 +299,15 @@ def top_missing(profile: DataFrame, specs: tuple[ProfileSpec, ...], k: int = 5)
     )
 
 
-def profile_document(df: DataFrame, spec: ProfileSpec) -> DataFrame:
-    """One nested row per table, for a JSON sink. Holds a few entries per column."""
-    long = profile_table(df, spec)
+def profile_document(df: DataFrame, spec: ProfileSpec, profiled: DataFrame | None = None) -> DataFrame:
+    """One nested row per table, for a JSON sink. Holds a few entries per column.
+
+    ``profiled`` is a written profile that holds the table's; without one the table is profiled.
+    """
+    if profiled is None:
+        long = profile_table(df, spec)
+    else:
+        long = profiled.where(F.col("table") == spec.table)
 
     def entries(section: str) -> Column:
         pair = F.struct("item", "value")

@@ -6,10 +6,12 @@ writes are added when the array is exploded, so they are neither shuffled nor st
 
 from __future__ import annotations
 
-from collections.abc import Collection, Iterable
+from collections.abc import Collection, Iterable, Mapping
 from dataclasses import dataclass
+from functools import reduce
+from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulcra.catalogs import ISSUE_ORDER, ROW_ID, Rule
@@ -50,7 +52,7 @@ def violated(violations: Iterable[Violation], only: Collection[str] | None = Non
 
 
 def with_rule_texts(
-    records: DataFrame, table: str, key_column: str, settings: Settings
+    records: DataFrame, table: str, key_column: str, settings: Settings, keep: Collection[str] = ()
 ) -> DataFrame:
     """Issue rows from ``row_id, rule_id, original_value, clean_value``."""
     rules = [rule for owner, rule in ISSUE_ORDER if owner == table]
@@ -66,7 +68,7 @@ def with_rule_texts(
         "detail": {r.rule_id: r.detail.format(**values) for r in rules},
     }
     texts = {name: lookup_constant(by_rule, F.col("rule_id")) for name, by_rule in fixed.items()}
-    return records.withColumns({"table": F.lit(table), **texts}).select(*ISSUE_COLUMNS)
+    return records.withColumns({"table": F.lit(table), **texts}).select(*ISSUE_COLUMNS, *keep)
 
 
 def explode_issues(
@@ -107,6 +109,49 @@ def issue_rows(
     return with_rule_texts(records, table, key_column, settings)
 
 
+def trail_measures(records: list[Column], row_id: str = ROW_ID) -> dict[str, Column]:
+    """Aggregates over rows: for each record column how many rows have one, and the first of them.
+
+    A record column belongs to one rule; so there are two values a rule, whatever the rows.
+    """
+    measures = {}
+    for k, record in enumerate(records):
+        first = F.struct(F.col(row_id).cast("bigint").alias("row"), record.alias("record"))
+        measures[f"issues_{k}"] = F.count(record)
+        measures[f"first_{k}"] = F.min(F.when(record.isNotNull(), first))
+    return measures
+
+
+def seen_totals(seen: Mapping[str, Any], table: str) -> list[tuple]:
+    """``(table, rule_id, row, original_value, clean_value, count)`` of the values that
+    :func:`trail_measures` gave, for rules with an issue."""
+    found = []
+    for name, count in seen.items():
+        if name.startswith("issues_") and count:
+            row, record = seen[name.replace("issues_", "first_")]
+            found.append((table, record["rule_id"], row, record["original_value"], record["clean_value"], count))
+    return found
+
+
+TOTALS = "table string, rule_id string, row bigint, original_value string, clean_value string, count bigint"
+
+
+def trail_totals(
+    spark: SparkSession, found: list[tuple], key_columns: Mapping[str, str], settings: Settings = Settings()
+) -> DataFrame:
+    """The audit trail cut down to the first issue of each table and rule, with ``count``.
+
+    The roll-ups take it in place of the trail. ``found`` is the few rows of :func:`seen_totals`;
+    an issue of a whole table has no row.
+    """
+    parts = []
+    for table, key_column in key_columns.items():
+        few = spark.createDataFrame([f for f in found if f[0] == table], TOTALS)
+        few = few.withColumn("row_id", F.coalesce(F.col("row").cast("string"), F.lit("TABLE")))
+        parts.append(with_rule_texts(few, table, key_column, settings, keep=["count"]))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def with_issue_order(issues: DataFrame) -> DataFrame:
     """Add ``issue_order``: table and rule stage, then input position within the stage."""
     stages = {f"{table}|{rule.rule_id}": n for n, (table, rule) in enumerate(ISSUE_ORDER, 1)}

@@ -31,6 +31,7 @@ from pulcra.plans.tables import Cleaned, rejection_reason, with_row_id
 REPLACED = ["fecha_cita", "estado_cita", "costo"]
 TRIMMED = ["medico", "especialidad", "ciudad"]
 REJECTS = [KEY_MISSING, AMOUNT_NON_NUMERIC, AMOUNT_NEGATIVE, KEY_CONFLICT]
+KEY_VIOLATIONS = key_violations(CHILD_KEY, [KEY_CONFLICT, KEY_EXACT])
 
 
 def appointment_rows(
@@ -174,9 +175,8 @@ def split_appointments(resolved: DataFrame, settings: Settings = Settings()) ->
         )
         .drop(*scratch)
     )
-    of_keys = key_violations(CHILD_KEY, [KEY_CONFLICT, KEY_EXACT])
     issues = explode_issues(
-        resolved, CHILD_TABLE, CHILD_KEY, settings, F.concat("_issues", violated(of_keys))
+        resolved, CHILD_TABLE, CHILD_KEY, settings, F.concat("_issues", violated(KEY_VIOLATIONS))
     )
     return Cleaned(clean, rejected, issues)
 

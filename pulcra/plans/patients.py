@@ -42,6 +42,8 @@ from pulcra.operators.rules import Violation, explode_issues, issue_rows, violat
 from pulcra.plans.tables import Cleaned, rejection_reason, with_row_id
 
 REPLACED = ["sexo", "fecha_nacimiento", "edad", "email", "telefono"]
+REJECTS = [KEY_MISSING, KEY_CONFLICT]
+KEY_VIOLATIONS = key_violations(PARENT_KEY, [KEY_MISSING, KEY_CONFLICT, KEY_EXACT])
 
 
 def _with_originals(df: DataFrame) -> DataFrame:
@@ -195,16 +197,14 @@ def split_patients(
 ) -> Cleaned:
     """Clean rows, rejected rows and issues of a resolved table."""
     clean = resolved.where("drop_rule IS NULL").drop("drop_rule", "_issues")
-    rejects = [KEY_MISSING, KEY_CONFLICT]
     rejected = (
-        resolved.where(F.col("drop_rule").isin([rule.rule_id for rule in rejects]))
-        .withColumn("rejection_reason", rejection_reason(F.col("drop_rule"), rejects))
+        resolved.where(F.col("drop_rule").isin([rule.rule_id for rule in REJECTS]))
+        .withColumn("rejection_reason", rejection_reason(F.col("drop_rule"), REJECTS))
         .withColumnRenamed("drop_rule", "rejection_rule_id")
         .drop("_issues")
     )
-    of_keys = key_violations(PARENT_KEY, [KEY_MISSING, KEY_CONFLICT, KEY_EXACT])
     issues = explode_issues(
-        resolved, PARENT_TABLE, PARENT_KEY, settings, F.concat("_issues", violated(of_keys))
+        resolved, PARENT_TABLE, PARENT_KEY, settings, F.concat("_issues", violated(KEY_VIOLATIONS))
     )
     if not sex_given:
         one = resolved.sparkSession.range(1)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -10,14 +11,20 @@ from pyspark.sql import functions as F
 
 from pulcra.catalogs import (
     CHILD_EXPORT_COLUMNS,
+    CHILD_KEY,
     CHILD_TABLE,
+    KEY_DUP_AFTER,
     PARENT_EXPORT_COLUMNS,
+    PARENT_KEY,
     PARENT_TABLE,
+    SEX_MISSING,
 )
 from pulcra.config import JoinLimits, Settings
 from pulcra.operators import audit, metrics, profile
 from pulcra.operators.integrity import validate_cross_references
-from pulcra.operators.lookup import materialize, work_tables
+from pulcra.operators.lookup import materialize, work_tables, write_observed
+from pulcra.operators.rules import seen_totals, trail_totals
+from pulcra.plans import appointments, patients
 from pulcra.plans import star as star_schema
 from pulcra.plans.appointments import (
     rejected_appointments,
@@ -25,50 +32,75 @@ from pulcra.plans.appointments import (
     split_appointments,
 )
 from pulcra.plans.patients import resolve_patients, split_patients
+from pulcra.plans.tables import resolved_measures
 from pulcra.session import tune
 from pulcra.sources import sinks
 from pulcra.sources.readers import check_contract
 
 
 class Outcome(NamedTuple):
-    """Clean tables, rejects and the audit trail of both tables."""
+    """Clean tables, rejects and the audit trail of both tables.
+
+    ``totals`` has the first issue and the count of every table and rule, ``before``, ``after`` and
+    ``rejected`` the rows per table; all were counted while the tables were written.
+    """
 
     parents: DataFrame
     children: DataFrame
     parents_rejected: DataFrame
     children_rejected: DataFrame
     issues: DataFrame
+    totals: DataFrame
+    before: dict[str, int]
+    after: dict[str, int]
+    rejected: dict[str, int]
 
 
 def clean_tables(
     tables: Mapping[str, DataFrame],
     settings: Settings = Settings(),
     limits: JoinLimits = JoinLimits(),
-    *,
-    write_between: bool = False,
 ) -> Outcome:
     """Clean both tables and reject children without a clean parent.
 
-    With ``write_between`` each table is resolved once and written; clean rows, rejects and
-    issues then read that table. Without it the plans stay lazy, which suits a single result.
+    Each table is resolved once and written; clean rows, rejects and issues read that table, and
+    what a run counts of them is counted in the same pass.
     """
-    keep = materialize if write_between else (lambda df: df)
     raw_parents, raw_children = tables[PARENT_TABLE], tables[CHILD_TABLE]
-    parents = split_patients(
-        keep(resolve_patients(raw_parents, settings, limits=limits)),
-        settings,
-        sex_given="sexo" in raw_parents.columns,
+    spark = raw_parents.sparkSession
+    resolved_parents, seen_parents = write_observed(
+        resolve_patients(raw_parents, settings, limits=limits),
+        resolved_measures(PARENT_TABLE, patients.KEY_VIOLATIONS, patients.REJECTS),
     )
-    children = split_appointments(
-        keep(resolve_appointments(raw_children, settings, limits=limits)), settings
+    sex_given = "sexo" in raw_parents.columns
+    parents = split_patients(resolved_parents, settings, sex_given=sex_given)
+    resolved_children, seen_children = write_observed(
+        resolve_appointments(raw_children, settings, limits=limits),
+        resolved_measures(CHILD_TABLE, appointments.KEY_VIOLATIONS, appointments.REJECTS),
     )
+    children = split_appointments(resolved_children, settings)
     checked = validate_cross_references(parents.clean, children.clean, limits)
+
+    found = seen_totals(seen_parents, PARENT_TABLE)
+    found += seen_totals(seen_children, CHILD_TABLE) + seen_totals(checked.seen, CHILD_TABLE)
+    if not sex_given:
+        found.append((PARENT_TABLE, SEX_MISSING.rule_id, None, None, None, 1))
+    if checked.seen.get("repeated_key"):
+        found.append((CHILD_TABLE, KEY_DUP_AFTER.rule_id, None, None, None, 1))
+    keys = {PARENT_TABLE: PARENT_KEY, CHILD_TABLE: CHILD_KEY}
     return Outcome(
         parents=parents.clean,
         children=checked.valid,
         parents_rejected=parents.rejected,
         children_rejected=rejected_appointments(children.rejected, checked.rejected),
         issues=parents.issues.unionByName(children.issues).unionByName(checked.issues),
+        totals=trail_totals(spark, found, keys, settings),
+        before={PARENT_TABLE: seen_parents["rows"], CHILD_TABLE: seen_children["rows"]},
+        after={PARENT_TABLE: seen_parents["kept"], CHILD_TABLE: checked.seen["valid"]},
+        rejected={
+            PARENT_TABLE: seen_parents["rejected"],
+            CHILD_TABLE: seen_children["rejected"] + checked.seen["orphans"],
+        },
     )
 
 
@@ -80,50 +112,29 @@ def _section(df: DataFrame, section: str, name: str, value: str) -> DataFrame:
     )
 
 
-def quality_summary(
-    compared: DataFrame,
-    by_rule: DataFrame,
-    by_severity: DataFrame,
-    rejected: DataFrame,
-    row_counts: DataFrame,
-    star_counts: DataFrame,
-) -> DataFrame:
-    """``section, name, value`` of a run; all inputs are small aggregates."""
+def quality_summary(compared: DataFrame, done: Outcome, star_rows: Mapping[str, int]) -> DataFrame:
+    """``section, name, value`` of a run, from the compared metrics and what the run has counted."""
     overall = compared.where("scope = 'global'")
     deltas = overall.where(F.col("metric_name") != metrics.GLOBAL_ROWS)
+    by_severity = audit.issues_by_severity(done.totals)
     total = by_severity.agg(F.sum("count").alias("value")).select(
         F.lit("total_issues").alias("name"), F.coalesce("value", F.lit(0)).alias("value")
     )
+    counted = [("rejected_counts", table, n) for table, n in done.rejected.items()]
+    counted += [("counts", f"before_{table}_rows", n) for table, n in done.before.items()]
+    counted += [("counts", f"after_{table}_rows", n) for table, n in done.after.items()]
+    counted += [("dwh", table, n) for table, n in star_rows.items()]
+    few = compared.sparkSession.createDataFrame(counted, "section string, name string, value long")
     parts = [
         _section(overall, "global_before", "metric_name", "before"),
         _section(overall, "global_after", "metric_name", "after"),
         _section(deltas, "improvement", "metric_name", "delta"),
-        _section(rejected, "rejected_counts", "table", "rejected_rows"),
         _section(total, "issue_stats", "name", "value"),
         _section(by_severity, "issues_by_severity", "severity", "count"),
-        _section(by_rule, "issues_by_rule", "rule_id", "count"),
-        _section(row_counts, "counts", "name", "rows"),
-        _section(star_counts, "dwh", "table", "row_count"),
+        _section(audit.issues_by_rule(done.totals), "issues_by_rule", "rule_id", "count"),
+        few.withColumn("value", F.col("value").cast("double")),
     ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-def table_rows(before: Mapping[str, DataFrame], after: Mapping[str, DataFrame]) -> DataFrame:
-    """``name, rows``: rows of each table before and after."""
-    parts = [
-        df.agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(f"{side}_{table}_rows").alias("name"), "rows"
-        )
-        for side, tables in (("before", before), ("after", after))
-        for table, df in tables.items()
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
 def summary_document(summary: DataFrame, by_rule: DataFrame) -> DataFrame:
@@ -154,7 +165,8 @@ def run(
     """Write every result of a run below ``output`` and return the summary.
 
     ``processed/`` holds clean and rejected rows and issues, ``reports/`` profile, metrics,
-    roll-ups and summary, ``star/`` the star schema as Parquet.
+    roll-ups and summary, ``star/`` the star schema as Parquet, read by ``star.read_star``; a star
+    with broken keys is refused and the last one stays.
     """
     check_contract(tables)
     spark = tune(tables[PARENT_TABLE].sparkSession)
@@ -174,39 +186,36 @@ def _write_all(
     processed, reports, warehouse = (f"{output}/{d}" for d in ("processed", "reports", "star"))
 
     profiled = materialize(profile.profile_dataset(tables))
-    documents = profile.profile_document(tables[PARENT_TABLE], profile.PARENT_PROFILE).unionByName(
-        profile.profile_document(tables[CHILD_TABLE], profile.CHILD_PROFILE)
-    )
-    sinks.write_json(documents, f"{reports}/profile_before")
+    specs = (profile.PARENT_PROFILE, profile.CHILD_PROFILE)
+    documents = [profile.profile_document(tables[spec.table], spec, profiled) for spec in specs]
+    sinks.write_json(documents[0].unionByName(documents[1]), f"{reports}/profile_before")
 
-    done = clean_tables(tables, settings, limits, write_between=True)
-    children = materialize(done.children)
-    issues = materialize(done.issues)
-    after = {PARENT_TABLE: done.parents, CHILD_TABLE: children}
+    done = clean_tables(tables, settings, limits)
 
     def export(df: DataFrame, name: str) -> None:
         sinks.write_table(df, f"{processed}/{name}", file_format)
 
     export(sinks.export_columns(done.parents, PARENT_EXPORT_COLUMNS), "pacientes_clean")
-    export(sinks.export_columns(children, CHILD_EXPORT_COLUMNS), "citas_medicas_clean")
+    export(sinks.export_columns(done.children, CHILD_EXPORT_COLUMNS), "citas_medicas_clean")
     export(done.parents_rejected, "pacientes_rejected")
     export(done.children_rejected, "citas_medicas_rejected")
-    export(issues, "data_quality_issues")
+    export(done.issues, "data_quality_issues")
 
-    compared = materialize(metrics.compare_metrics(tables, after, settings))
+    after = {PARENT_TABLE: done.parents, CHILD_TABLE: done.children}
+    states = metrics.measure_states({"before": tables, "after": after}, settings)
+    compared = materialize(metrics.compare_states(states))
     for side in ("before", "after"):
         long = compared.select(*metrics.METRIC_KEY, F.col(side).alias("metric_value"))
         sinks.write_table(long.coalesce(1), f"{reports}/{side}_quality_metrics", file_format)
+    sinks.write_table(metrics.completeness_counts(states, "side").coalesce(1), f"{reports}/completeness_counts", file_format)
+    sinks.write_table(metrics.key_counts(states, "side").coalesce(1), f"{reports}/key_counts", file_format)
 
-    star = star_schema.build_star(done.parents, children, limits)
-    for name, df in star._asdict().items():
-        sinks.write_table(df, f"{warehouse}/{name}", "parquet")
-    loaded = star_schema.Star(*[spark.read.parquet(f"{warehouse}/{name}") for name in star._fields])
+    star = star_schema.build_star(done.parents, done.children, limits)
+    _, star_rows = star_schema.publish_star(spark, star, warehouse)
 
-    by_rule = materialize(audit.issues_by_rule(issues))
-    totals = materialize(audit.rule_totals(issues))
+    totals = materialize(audit.rule_totals(done.totals))
     rollups = {
-        "top_nulls": profile.top_missing(profiled, (profile.PARENT_PROFILE, profile.CHILD_PROFILE)),
+        "top_nulls": profile.top_missing(profiled, specs),
         "top_rules": audit.top_rules(totals).select("rank", "rule_id", "count"),
         "evidence": audit.evidence(totals),
         "rule_impact": audit.rule_impact(totals),
@@ -215,14 +224,8 @@ def _write_all(
     for name, df in rollups.items():
         sinks.write_table(df.coalesce(1), f"{reports}/{name}", file_format)
 
-    summary = quality_summary(
-        compared,
-        by_rule,
-        audit.issues_by_severity(issues),
-        audit.rejected_counts(done.parents_rejected, done.children_rejected),
-        table_rows(tables, after),
-        star_schema.row_counts(loaded),
-    )
+    summary = quality_summary(compared, done, star_rows)
     sinks.write_table(summary.coalesce(1), f"{reports}/quality_summary", "parquet")
     summary = spark.read.parquet(f"{reports}/quality_summary")
+    by_rule = audit.issues_by_rule(done.totals)
     sinks.write_json(summary_document(summary, by_rule), f"{reports}/quality_summary_json")

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulcra.catalogs import CHILD_KEY, PARENT_KEY, ROW_ID
 from pulcra.config import JoinLimits
 from pulcra.functions import date_key, date_key_parts, text_normalize
 from pulcra.functions.frames import as_date
-from pulcra.operators.lookup import lookup_join
+from pulcra.operators.lookup import lookup_join, materialize, write_observed
 from pulcra.operators.numbering import number_rows
 
 UNKNOWN = "UNKNOWN"
+MANIFEST = "CURRENT"
 KEYS = {
     "dim_paciente": "paciente_key",
     "dim_medico": "medico_key",
@@ -44,16 +46,23 @@ def patient_dim(parents: DataFrame) -> DataFrame:
     )
 
 
+def catalog_names(children: DataFrame, columns: list[str]) -> DataFrame:
+    """``column, name, n``: known names of each column with usage, written. One look at the rows."""
+    pairs = [F.struct(F.lit(c).alias("column"), text_normalize(F.col(c)).alias("name")) for c in columns]
+    named = children.select(F.inline(F.array(*pairs)))
+    known = named.where(F.col("name").isNotNull() & (F.col("name") != UNKNOWN))
+    return materialize(known.groupBy("column", "name").agg(F.count(F.lit(1)).alias("n")))
+
+
+def numbered_members(names: DataFrame, column: str) -> DataFrame:
+    """``key, name, n``: the names of one column numbered from 1 in code-point order, written."""
+    of_column = names.where(F.col("column") == column).select("name", "n")
+    return materialize(number_rows(of_column, ["name"], "key").select(F.col("key").cast("int"), "name", "n"))
+
+
 def catalog_members(children: DataFrame, column: str) -> DataFrame:
-    """``key, name, n``: distinct known names numbered from 1 in code-point order, with usage."""
-    name = text_normalize(F.col(column))
-    names = (
-        children.select(name.alias("name"))
-        .where(F.col("name").isNotNull() & (F.col("name") != UNKNOWN))
-        .groupBy("name")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return number_rows(names, ["name"], "key").select(F.col("key").cast("int"), "name", "n")
+    """``key, name, n`` of one column, written."""
+    return numbered_members(catalog_names(children, [column]), column)
 
 
 def catalog_dim(members: DataFrame, key: str, name: str) -> DataFrame:
@@ -93,6 +102,7 @@ def with_catalog_key(
         weight="n",
         row_id=F.col(ROW_ID) if ROW_ID in children.columns else F.col(CHILD_KEY),
         limits=limits,
+        written=True,
     )
     return found.withColumn(key, F.coalesce("_found", F.lit(0))).drop("_found")
 
@@ -115,8 +125,8 @@ def appointment_fact(
 
 
 def build_star(parents: DataFrame, children: DataFrame, limits: JoinLimits = JoinLimits()) -> Star:
-    doctors = catalog_members(children, "medico")
-    specialties = catalog_members(children, "especialidad")
+    names = catalog_names(children, ["medico", "especialidad"])
+    doctors, specialties = numbered_members(names, "medico"), numbered_members(names, "especialidad")
     return Star(
         dim_paciente=patient_dim(parents),
         dim_medico=catalog_dim(doctors, "medico_key", "medico_nombre"),
@@ -176,3 +186,70 @@ def repeated_keys(star: Star) -> DataFrame:
                 )
             )
     return _union(parts)
+
+
+class BrokenStar(ValueError):
+    """A star schema that does not keep its keys."""
+
+
+def broken_keys(star: Star) -> list[str]:
+    """What is wrong with a star's keys, in words: at most one entry per key."""
+    lost = unmatched_facts(star).where("orphan_rows > 0").collect()
+    again = repeated_keys(star).where("duplicate_rows > 0").collect()
+    missing = _missing_keys(star).where("null_rows > 0").collect()
+    return (
+        [f"{r['orphan_rows']} facts without a row of {r['dimension']}" for r in lost]
+        + [f"{r['duplicate_rows']} repeated {r['columns']} in {r['table']}" for r in again]
+        + [f"{r['null_rows']} rows of {r['table']} without {r['columns']}" for r in missing]
+    )
+
+
+def _missing_keys(star: Star) -> DataFrame:
+    """``table, columns, null_rows`` of every primary key."""
+    parts = []
+    for name, keys in UNIQUE.items():
+        column = keys[0][0]
+        empty = getattr(star, name).agg(F.count(F.when(F.col(column).isNull(), 1)).alias("null_rows"))
+        parts.append(empty.select(F.lit(name).alias("table"), F.lit(column).alias("columns"), "null_rows"))
+    return _union(parts)
+
+
+def publish_star(spark: SparkSession, star: Star, folder: str) -> tuple[Star, dict[str, int]]:
+    """Load a star into ``folder`` if its keys hold; the star as loaded and its rows per table.
+
+    The tables go to a folder of their own below ``versions``, where their keys are checked as
+    written. Only then ``CURRENT`` is made to name that folder, in one step, so a reader sees the old
+    star or the new one. A star with broken keys raises :class:`BrokenStar` and leaves ``CURRENT``
+    as it was. Earlier versions stay; readers that have them open can go on.
+    """
+    version = f"versions/{uuid.uuid4().hex}"
+    loaded, rows = {}, {}
+    for name, df in star._asdict().items():
+        path = f"{folder}/{version}/{name}"
+        loaded[name], seen = write_observed(df, {"rows": F.count(F.lit(1))}, path=path)
+        rows[name] = seen["rows"]
+    written = Star(**loaded)
+    if broken := broken_keys(written):
+        raise BrokenStar("; ".join(broken))
+    _swap_text(spark, f"{folder}/{MANIFEST}", version)
+    return written, rows
+
+
+def read_star(spark: SparkSession, folder: str) -> Star:
+    """The star that was published last."""
+    version = spark.read.text(f"{folder}/{MANIFEST}").first()[0]
+    return Star(*[spark.read.parquet(f"{folder}/{version}/{name}") for name in Star._fields])
+
+
+def _swap_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a one-line file in one step, on any file system Spark can write to."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf)
+    draft = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    out = draft.getFileSystem(conf).create(draft)
+    out.write(bytearray(text.encode()))
+    out.close()
+    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(draft, target, overwrite)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pulcra.config import JoinLimits
 from pulcra.operators.integrity import mark_orphans
 from pulcra.operators.keys import resolve_pk_duplicates
+from pulcra.operators.keysets import key_words, mark_members, set_totals, small_set
 from pulcra.operators.lookup import BUCKETS, broadcast_size, hot_buckets, lookup_join
 from pulcra.operators.numbering import number_rows
 
@@ -75,6 +76,34 @@ def test_orphans(spark, limits):
     assert {r["source_row_id"]: r["is_orphan"] for r in out.collect()} == {i: fk not in known for i, fk in children}
 
 
+def test_key_sets(spark):
+    """Sets of whole numbers against Python's, with far, near, negative, repeated and missing keys."""
+    keys = [0, 1, 63, 64, 65, -1, -64, -65, 2**63 - 1, -(2**63), 7, 7, 7, None, None, *range(500, 900)]
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    words = key_words(df, "k")
+    given = [k for k in keys if k is not None]
+    assert tuple(set_totals(words).first()) == (len(set(given)), len(set(given)) + 1, len(keys))
+    assert tuple(set_totals(key_words(df.limit(0), "k")).first()) == (0, 0, 0)
+    probes = [*range(-200, 1000), 2**63 - 1, -(2**63), 2**62, None]
+    rows = spark.createDataFrame([(k, 1) for k in probes], "k long, word int")
+    found = mark_members(rows, "k", small_set(words), "known")
+    assert found.columns == ["k", "word", "known"]
+    assert {r["k"]: r["known"] for r in found.collect()} == {k: k in set(given) for k in probes}
+    assert small_set(words, JoinLimits(broadcast_bytes=100)) is None
+    dense = spark.range(64_000).withColumnRenamed("id", "k")
+    assert key_words(dense, "k").count() == 1000
+
+
+def test_known_children_are_not_shuffled(spark, tmp_path):
+    spark.range(5000).selectExpr("id AS source_row_id", "id % 700 AS fk").write.parquet(str(tmp_path / "c"))
+    child = spark.read.parquet(str(tmp_path / "c"))
+    out = mark_orphans(child, "fk", spark.range(600).withColumnRenamed("id", "pk"), "pk")
+    text = io.StringIO()
+    with redirect_stdout(text):
+        out.explain()
+    assert "hashpartitioning" not in text.getvalue() and out.where("is_orphan").count() == sum(i % 700 >= 600 for i in range(5000))
+
+
 def test_hot_keys_are_spread(spark):
     """In the shuffled join no task gets the hot key's rows alone."""
     rows = spark.range(4000).select(

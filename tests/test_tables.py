@@ -1,18 +1,21 @@
 """Integrity checks, profile, metrics, star schema, sources and the whole run."""
 
+import io
 import json
+from contextlib import redirect_stdout
 
 import pytest
 from pyspark.sql import functions as F
 
 from pulcra import Settings
 from pulcra.catalogs import CHILD_EXPORT_COLUMNS, CHILD_TABLE, PARENT_EXPORT_COLUMNS, PARENT_TABLE
+from pulcra.config import JoinLimits
 from pulcra.operators import audit, integrity, metrics, profile
 from pulcra.operators.rules import ISSUE_COLUMNS
 from pulcra.plans.appointments import clean_appointments
 from pulcra.plans.patients import clean_patients
-from pulcra.plans.run import run
-from pulcra.plans.star import build_star, repeated_keys, row_counts, unmatched_facts
+from pulcra.plans.run import clean_tables, run
+from pulcra.plans.star import BrokenStar, build_star, publish_star, read_star, repeated_keys, row_counts, unmatched_facts
 from pulcra.sources import readers
 
 GOOD = (1, "Ruth", "1991-05-06", None, "Male", "ruth@mail.org", "6015550100", "Pasto")
@@ -104,6 +107,103 @@ def test_star(patients, visits):
     assert {r["duplicate_rows"] for r in repeated_keys(star).collect()} == {0}
 
 
+def test_broken_star_is_refused(spark, patients, visits, tmp_path):
+    """A star with broken keys leaves the published one in place; earlier versions stay readable."""
+    folder = str(tmp_path / "star")
+    parents = clean_patients(patients(GOOD, (2, *GOOD[1:]))).clean
+    children = clean_appointments(visits(visit("a", 1), visit("b", 2, doctor="Dr. A"))).clean
+    star = build_star(parents, children)
+    first, rows = publish_star(spark, star, folder)
+    assert rows == {"dim_paciente": 2, "dim_medico": 3, "dim_especialidad": 2, "dim_fecha": 2, "fact_citas": 2}
+    orphan = star.fact_citas.withColumn("medico_key", F.lit(99))
+    broken = {
+        "2 facts without a row of dim_medico": {"fact_citas": orphan},
+        "2 facts without a row of dim_paciente": {"fact_citas": star.fact_citas.withColumn("paciente_key", F.lit(None).cast("long"))},
+        "1 repeated id_cita in fact_citas": {"fact_citas": star.fact_citas.withColumn("id_cita", F.lit("a"))},
+        "1 repeated medico_nombre in dim_medico": {"dim_medico": star.dim_medico.withColumn("medico_nombre", F.when(F.col("medico_key") > 0, "x"))},
+        "2 rows of fact_citas without id_cita": {"fact_citas": star.fact_citas.withColumn("id_cita", F.lit(None).cast("string"))},
+    }
+    for message, change in broken.items():
+        with pytest.raises(BrokenStar, match=message):
+            publish_star(spark, star._replace(**change), folder)
+        assert sorted(r["id_cita"] for r in read_star(spark, folder).fact_citas.collect()) == ["a", "b"]
+    more = clean_appointments(visits(visit("a", 1), visit("b", 2), visit("c", 2))).clean
+    publish_star(spark, build_star(parents, more), folder)
+    assert read_star(spark, folder).fact_citas.count() == 3 and first.fact_citas.count() == 2
+
+
+def test_run_totals_match_the_trail(spark, patients, visits):
+    """What a run counts while it writes equals the roll-ups of its audit trail."""
+    rows = [GOOD, GOOD, (2, None, "bad", "200", "X", "bad", "1", None), (2, "other", "bad", "abc", "X", "b", "1", None), (None, "n", None, None, None, None, None, None)]
+    kids = [visit("a", 1), visit("a", 1), visit("b", 999, state="Rara"), visit("c", None, cost="-1"), visit("d", 1, day="2040-01-01"), visit(None, 1), visit("e", 1, cost="x"), visit("f", 1), visit("f", 1, kind="Otra")]
+    for parents, children in (
+        (patients(*rows), visits(*kids)), (patients(*rows).drop("sexo"), visits(*kids).drop("estado_cita")),
+        (patients(*rows).limit(0), visits(*kids)), (patients(*rows).limit(0), visits(*kids).limit(0)),
+    ):
+        done = clean_tables({PARENT_TABLE: parents, CHILD_TABLE: children})
+        key = lambda df: sorted(map(str, df.collect()))
+        assert key(audit.issues_by_rule(done.totals)) == key(audit.issues_by_rule(done.issues))
+        assert key(audit.issues_by_severity(done.totals)) == key(audit.issues_by_severity(done.issues))
+        assert key(audit.rule_totals(done.totals)) == key(audit.rule_totals(done.issues))
+        assert done.after == {PARENT_TABLE: done.parents.count(), CHILD_TABLE: done.children.count()}
+        assert done.rejected == {PARENT_TABLE: done.parents_rejected.count(), CHILD_TABLE: done.children_rejected.count()}
+        assert done.before == {PARENT_TABLE: parents.count(), CHILD_TABLE: children.count()}
+
+
+def test_cross_check_reads_verdict_folders(spark, patients, visits):
+    parents = clean_patients(patients(GOOD)).clean
+    checked = integrity.validate_cross_references(parents, clean_appointments(visits(visit("a", 1), visit("b", 9), visit("c", 8))).clean)
+    assert (checked.seen["valid"], checked.seen["orphans"], checked.seen["repeated_key"]) == (1, 2, 0)
+    for df, verdict in ((checked.valid, "valid"), (checked.rejected, "orphan")):
+        text = io.StringIO()
+        with redirect_stdout(text):
+            df.explain("formatted")
+        assert text.getvalue().count("Scan parquet") == 2 and "PartitionFilters" in text.getvalue() and verdict in text.getvalue()
+        assert "_verdict" not in df.columns
+
+
+ODD = [("a", 1, None), ("a", 1, None), ("a", None, "1"), (None, 1, "a"), (None, None, None), (None, None, None), ("b", 2, ""), ("b", 2, None)]
+
+
+@pytest.mark.parametrize("limits", [JoinLimits(), JoinLimits(broadcast_bytes=0, hot_rows=2)], ids=["broadcast", "shuffled"])
+@pytest.mark.parametrize("strong", [True, False], ids=["fingerprints", "colliding fingerprints"])
+def test_repeated_wide_rows(spark, limits, strong):
+    rows = [*ODD * 3, *[("hot", 7, "x")] * 50, *[(str(i), i, None) for i in range(40)]]
+    df = spark.createDataFrame(rows, "a string, b long, c string")
+    weak = lambda columns: (F.pmod(F.xxhash64(*columns), F.lit(3)), F.lit(0))
+    with_print = {} if strong else {"fingerprint": weak}
+    found = profile.repeated_wide_rows(df, df.columns, "n", limits=limits, **with_print)
+    assert found.first()["n"] == len(rows) - len(set(rows))
+    assert profile.repeated_wide_rows(df.limit(0), df.columns, "n", limits=limits, **with_print).first()["n"] == 0
+    unique = spark.range(30).selectExpr("id AS a", "CAST(NULL AS STRING) AS b")
+    assert profile.repeated_wide_rows(unique, unique.columns, "n", limits=limits).first()["n"] == 0
+
+
+def test_key_pass_equals_separate_passes(spark):
+    parents = spark.createDataFrame([(1,), (1,), (2,), (None,), (None,), (3,)], "id_paciente long")
+    children = spark.createDataFrame([("x", 1), ("x", 1), ("y", 9), (None, None), (None, 3), ("z", None)], "id_cita string, id_paciente long")
+    for p, c in ((parents, children), (parents.limit(0), children), (parents, children.limit(0))):
+        one = metrics.key_pass(p, c)
+        met = metrics.key_pass(p, c, JoinLimits(broadcast_bytes=-1))
+        assert sorted(map(str, one.collect())) == sorted(map(str, met.collect()))
+        three = [metrics.key_measures(p, metrics.PARENT_METRICS), metrics.key_measures(c, metrics.CHILD_METRICS), metrics.foreign_key_measures(c, p)]
+        assert sorted(map(str, one.collect())) == sorted(map(str, three[0].unionByName(three[1]).unionByName(three[2]).collect()))
+    counts = {r["table"]: (r["unique_pk_count"], r["duplicate_pk_rows"]) for r in metrics.key_counts(metrics.key_pass(parents, children)).collect()}
+    assert counts == {PARENT_TABLE: (3, 2), CHILD_TABLE: (3, 2)}
+
+
+def test_states_add_up(spark, patients, visits):
+    """States of two halves of a dataset, added up, are the states of the whole."""
+    parents, children = patients(GOOD, (2, *GOOD[1:]), (3, None, None, "x", None, None, None, None)), visits(visit("a", 1), visit("b", 3, cost="-1"))
+    whole = metrics.dataset_measures({PARENT_TABLE: parents, CHILD_TABLE: children}, Settings())
+    halves = [
+        metrics.column_measures(parents.where(f"source_row_id % 2 = {k}"), metrics.PARENT_METRICS, Settings()) for k in (0, 1)
+    ]
+    filled = {(r["table"], r["column"]): r["non_null_count"] for r in metrics.completeness_counts(whole).collect()}
+    added = {(r["table"], r["column"]): r["non_null_count"] for r in metrics.completeness_counts(halves[0].unionByName(halves[1])).collect()}
+    assert added == {k: n for k, n in filled.items() if k[0] == PARENT_TABLE} and filled[PARENT_TABLE, "email"] == 2
+
+
 def document(tmp_path, content, name="in.json"):
     path = tmp_path / name
     path.write_text(content if isinstance(content, str) else json.dumps(content, ensure_ascii=False, indent=1))
@@ -177,4 +277,4 @@ def test_whole_run(spark, tmp_path):
     assert issues.columns == ISSUE_COLUMNS and issues.count() == 3
     summary = spark.read.json(f"{out}/reports/quality_summary_json").first()
     assert summary["severity_by_rule"]["R_ORPHAN_CITA"] == "error"
-    assert spark.read.parquet(f"{out}/star/fact_citas").where(F.col("medico_key") == 1).count() == 4
+    assert read_star(spark, f"{out}/star").fact_citas.where(F.col("medico_key") == 1).count() == 4
