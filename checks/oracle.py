@@ -559,6 +559,7 @@ UNION ALL SELECT 'citas_medicas', source_row_id, {try_int('id_paciente')}, {stri
         "SELECT 'dwh', \"table\", CAST(row_count AS DOUBLE) FROM star_counts",
     ),
     "star_row_counts": "SELECT * FROM star_counts",
+    "star_published_counts": "SELECT * FROM star_counts",
     "fn_catalog_normalize": values("raw_p", "sexo", sex("sexo")),
     "fn_catalog_status": values("raw_c", "estado_cita", status("estado_cita")),
     "fn_email_valid": values("raw_p", "email", email_ok("email")),

@@ -167,7 +167,7 @@ def validate_cross_references(
         issues = issues.unionByName(odd_rows)
     if CHILD_KEY in children.columns:
         # At most one row, which is looked for once.
-        repeated, found = write_observed(repeated_key_issue(valid), {"n": F.count(F.lit(1))})
-        issues = issues.unionByName(repeated)
-        seen = seen | {"repeated_key": found["n"]}
+        found = repeated_key_issue(valid).collect()
+        issues = issues.unionByName(children.sparkSession.createDataFrame(found, issues.schema))
+        seen = seen | {"repeated_key": len(found)}
     return CrossCheck(valid, rejected, issues, seen)

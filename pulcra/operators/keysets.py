@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulcra.config import JoinLimits
-from pulcra.operators.lookup import broadcast_size, materialize
+from pulcra.operators.lookup import write_sized
 
 _INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -44,10 +44,11 @@ def set_totals(words: DataFrame) -> DataFrame:
     return words.agg(keys.alias("_keys"), (keys + none).alias("_groups"), rows.alias("_rows"))
 
 
-def small_set(words: DataFrame, limits: JoinLimits = JoinLimits()) -> DataFrame | None:
-    """The written words of a set whose size allows to broadcast them, else nothing."""
-    known = materialize(words.where("word IS NOT NULL").select("word", "bits"))
-    return known if broadcast_size(known) <= limits.broadcast_bytes else None
+def small_set(words: DataFrame, limits: JoinLimits = JoinLimits(), size: int | None = None) -> DataFrame | None:
+    """The written words of a set whose size allows to broadcast them, else nothing. A written set
+    comes with its ``size``."""
+    known, size = write_sized(words) if size is None else (words, size)
+    return known.where("word IS NOT NULL") if size <= limits.broadcast_bytes else None
 
 
 def mark_members(df: DataFrame, key: str, known: DataFrame, name: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator, Mapping
+from collections.abc import Collection, Iterator, Mapping
 from contextlib import contextmanager
 from contextvars import ContextVar
 from typing import Any
@@ -53,16 +53,23 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def write_observed(
-    df: DataFrame, measures: Mapping[str, Column], *, path: str | None = None, by: str | None = None
+    df: DataFrame,
+    measures: Mapping[str, Column],
+    *,
+    path: str | None = None,
+    by: str | None = None,
+    drop: Collection[str] = (),
 ) -> tuple[DataFrame, dict[str, Any]]:
     """Write a table as :func:`materialize` does, and take aggregates of its rows in the same pass.
 
     The aggregates belong to the writing stage, whose partitions count once however often a task is
     tried, so they hold for the rows that the table has. ``by`` partitions the files by a column;
-    filters on it then skip the other folders.
+    filters on it then skip the other folders. Columns to ``drop`` are there for the aggregates and
+    not written.
     """
     seen = Observation()
-    observed = df.observe(seen, *[value.alias(name) for name, value in measures.items()])
+    observed = df.observe(seen, *[value.alias(name) for name, value in measures.items()]).drop(*drop)
+    df = df.drop(*drop)
     path = path or f"{work_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     writer = observed.write.mode("overwrite")
     (writer.partitionBy(by) if by else writer).parquet(path)
@@ -96,12 +103,27 @@ def _value_size(name: str, kind: T.DataType) -> Column:
     return F.lit(16)
 
 
-def broadcast_size(table: DataFrame) -> int:
-    """Bytes that a written table would take on every executor."""
+def _row_size(schema: T.StructType) -> Column:
     size = F.lit(_ROW_BYTES)
-    for field in table.schema.fields:
+    for field in schema.fields:
         size += _value_size(field.name, field.dataType)
-    return table.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0]
+    return size.cast("long")
+
+
+def size_measure(schema: T.StructType) -> Column:
+    """Aggregate of the bytes that a table would take on every executor."""
+    return F.coalesce(F.sum(_row_size(schema)), F.lit(0))
+
+
+def broadcast_size(table: DataFrame) -> int:
+    """Bytes that a written table would take on every executor."""
+    return table.agg(size_measure(table.schema)).first()[0]
+
+
+def write_sized(df: DataFrame) -> tuple[DataFrame, int]:
+    """Write a table as :func:`materialize` does; with what it would take to broadcast it."""
+    table, seen = write_observed(df, {"bytes": size_measure(df.schema)})
+    return table, seen["bytes"]
 
 
 def _bucket(key: Column) -> Column:
@@ -145,20 +167,20 @@ def lookup_join(
     weight: str,
     row_id: Column,
     limits: JoinLimits = JoinLimits(),
-    written: bool = False,
+    size: int | None = None,
 ) -> DataFrame:
     """Left join of ``rows`` to ``lookup``, which has one row per key.
 
     ``weight`` names the lookup column that tells how many of ``rows`` carry the key; it and the
-    key are dropped from the result. ``lookup`` is written first, unless it is said to be
-    ``written`` already, so that its size is known. Up to ``limits.broadcast_bytes`` it is
+    key are dropped from the result. ``lookup`` is written first, so that its size is known; a
+    written table comes with its ``size``, as :func:`write_sized` tells it. Up to ``limits.broadcast_bytes`` it is
     broadcast and ``rows`` are not shuffled at all. Beyond, both sides are shuffled by key and slot,
     see :func:`slot_join`; nothing is broadcast there that grows with the data.
     """
-    table = lookup if written else materialize(lookup)
+    table, size = write_sized(lookup) if size is None else (lookup, size)
     table = table.withColumnRenamed(lookup_key, "_key")
     keyed = rows.withColumn("_key", key.cast(table.schema["_key"].dataType))
-    if broadcast_size(table) <= limits.broadcast_bytes:
+    if size <= limits.broadcast_bytes:
         return keyed.join(F.broadcast(table.drop(weight)), "_key", "left").drop("_key")
     payload = [c for c in table.columns if c not in ("_key", weight)]
     return slot_join(keyed, table, weight, row_id, limits).select(*rows.columns, *payload)

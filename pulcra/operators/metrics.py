@@ -40,7 +40,7 @@ from pulcra.functions.frames import as_date, text_or_null
 from pulcra.functions.literals import inline_structs, sql_literal, sql_struct
 from pulcra.operators.integrity import foreign_key_totals
 from pulcra.operators.keysets import is_whole, key_words, mark_members, set_totals, small_set
-from pulcra.operators.lookup import materialize
+from pulcra.operators.lookup import materialize, write_sized
 
 METRIC_KEY = ["scope", "table", "column", "metric_name"]
 COUNTS = "count"  # scope of counts beside the metrics, which are no metrics of the long form
@@ -233,8 +233,10 @@ def key_pass(parents: DataFrame, children: DataFrame, limits: JoinLimits = JoinL
     of_parents = _key_records(PARENT_TABLE, "_p_keys", "_p_groups", "_p_rows")
     of_children = _key_records(CHILD_TABLE, "_c_keys", "_c_groups", "_c_rows")
     of_children += _foreign_key_records(CHILD_TABLE, "_valid", "_given")
-    words = materialize(key_words(parents, PARENT_KEY)) if is_whole(parents, PARENT_KEY) else None
-    known = small_set(words, limits) if words is not None else None
+    known = None
+    if is_whole(parents, PARENT_KEY):
+        words, size = write_sized(key_words(parents, PARENT_KEY))
+        known = small_set(words, limits, size)
     if known is None:
         return _meeting_keys(parents, children).select(inline_structs(of_parents + of_children))
     marked = mark_members(children.select(CHILD_KEY, PARENT_KEY), PARENT_KEY, known, "_member")
@@ -312,10 +314,14 @@ def quality_metrics(tables: Mapping[str, DataFrame], settings: Settings = Settin
     return add_up(dataset_measures(tables, settings))
 
 
+def _side_measures(sides: Mapping[str, Mapping[str, DataFrame]], settings: Settings) -> DataFrame:
+    measured = [dataset_measures(tables, settings).withColumn("side", F.lit(side)) for side, tables in sides.items()]
+    return reduce(DataFrame.unionByName, measured)
+
+
 def measure_states(sides: Mapping[str, Mapping[str, DataFrame]], settings: Settings = Settings()) -> DataFrame:
     """Written sums of every measure of each named side: ``side``, the metric's key, ``num, den``."""
-    measured = [dataset_measures(tables, settings).withColumn("side", F.lit(side)) for side, tables in sides.items()]
-    sums = reduce(DataFrame.unionByName, measured).groupBy("side", *METRIC_KEY, "is_share")
+    sums = _side_measures(sides, settings).groupBy("side", *METRIC_KEY, "is_share")
     return materialize(sums.agg(F.sum("num").alias("num"), F.sum("den").alias("den")))
 
 
@@ -335,7 +341,7 @@ def compare_metrics(
     after: Mapping[str, DataFrame],
     settings: Settings = Settings(),
 ) -> DataFrame:
-    return compare_states(measure_states({"before": before, "after": after}, settings))
+    return compare_states(_side_measures({"before": before, "after": after}, settings))
 
 
 def completeness_counts(measures: DataFrame, *by: str) -> DataFrame:

@@ -37,7 +37,7 @@ from pulcra.functions.literals import (
     sql_struct,
 )
 from pulcra.operators.keysets import is_whole, key_words, set_totals
-from pulcra.operators.lookup import lookup_join, write_observed
+from pulcra.operators.lookup import lookup_join, size_measure, write_observed
 
 Check = Callable[[Column], Column]
 COUNTED = ("row_count", "missing_counts", "format_anomalies")
@@ -148,27 +148,32 @@ def repeated_wide_rows(
         return df.agg(F.greatest(F.count(F.lit(1)) - 1, F.lit(0)).alias(name))
     first, second = fingerprint(columns)
     marked = df.select(*columns, F.struct(first.alias("a"), second.alias("b")).alias("_print"))
+    # A group's rows are counted in the table that its rows are looked up in.
     prints = marked.groupBy("_print").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    prints, seen = write_observed(prints, {"rows": F.count(F.lit(1)), "beyond": F.sum(F.col("n") - 1)})
+    prints = prints.withColumn("_again", F.lit(True))
+    measures = {"rows": F.count(F.lit(1)), "beyond": F.sum(F.col("n") - 1), "size": size_measure(prints.schema)}
+    prints, seen = write_observed(prints, measures)
     if not seen["rows"]:
         return df.sparkSession.range(1).select(F.lit(0).cast("long").alias(name))
 
-    def members(of: DataFrame) -> DataFrame:
-        known = of.select(F.col("_print").alias("_known"), "n", F.lit(True).alias("_again"))
-        spread = F.monotonically_increasing_id()
-        joined = lookup_join(marked, known, key=F.col("_print"), lookup_key="_known", weight="n", row_id=spread, limits=limits)
+    def members(of: DataFrame, size: int) -> DataFrame:
+        known = of.withColumnRenamed("_print", "_known")
+        joined = lookup_join(
+            marked, known, key=F.col("_print"), lookup_key="_known", weight="n",
+            row_id=F.monotonically_increasing_id(), limits=limits, size=size,
+        )
         return joined.where("_again").drop("_again")
 
     differs = F.lit(False)
     for c in columns:
         given = F.count(c)
         differs |= (given > 0) & (given < F.count(F.lit(1))) | F.coalesce(F.min(c) != F.max(c), F.lit(False))
-    looked = members(prints).groupBy("_print").agg(F.count(F.lit(1)).alias("n"), differs.alias("_differs"))
-    odd, found = write_observed(looked.where("_differs").select("_print", "n"), {"rows": F.count(F.lit(1)), "beyond": F.sum(F.col("n") - 1)})
+    looked = members(prints, seen["size"]).groupBy("_print").agg(F.count(F.lit(1)).alias("n"), differs.alias("_differs"))
+    odd, found = write_observed(looked.where("_differs").select("_print", "n", F.lit(True).alias("_again")), measures)
     equal = seen["beyond"] - (found["beyond"] or 0)
     if not found["rows"]:
         return df.sparkSession.range(1).select(F.lit(equal).cast("long").alias(name))
-    exact = repeated_rows(members(odd), columns, "_exact")
+    exact = repeated_rows(members(odd, found["size"]), columns, "_exact")
     return exact.select((F.col("_exact") + F.lit(equal)).cast("long").alias(name))
 
 

@@ -105,6 +105,11 @@ def appointment_rows(
     return rows.withColumn("_issues", violated(violations, only))
 
 
+def issue_entries(df: DataFrame) -> int:
+    """Entries of ``_issues`` in the rows of :func:`appointment_rows`: one a rule that can apply."""
+    return 3 + ("estado_cita" in df.columns) + 2 * ("costo" in df.columns)
+
+
 def compared_columns(df: DataFrame) -> list[str]:
     """Columns that decide whether two rows of one key are equal; trimmed texts compare trimmed."""
     return [

@@ -70,13 +70,13 @@ def clean_tables(
     spark = raw_parents.sparkSession
     resolved_parents, seen_parents = write_observed(
         resolve_patients(raw_parents, settings, limits=limits),
-        resolved_measures(PARENT_TABLE, patients.KEY_VIOLATIONS, patients.REJECTS),
+        resolved_measures(patients.issue_entries(raw_parents), patients.KEY_VIOLATIONS, patients.REJECTS),
     )
     sex_given = "sexo" in raw_parents.columns
     parents = split_patients(resolved_parents, settings, sex_given=sex_given)
     resolved_children, seen_children = write_observed(
         resolve_appointments(raw_children, settings, limits=limits),
-        resolved_measures(CHILD_TABLE, appointments.KEY_VIOLATIONS, appointments.REJECTS),
+        resolved_measures(appointments.issue_entries(raw_children), appointments.KEY_VIOLATIONS, appointments.REJECTS),
     )
     children = split_appointments(resolved_children, settings)
     checked = validate_cross_references(parents.clean, children.clean, limits)

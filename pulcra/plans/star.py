@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulcra.catalogs import CHILD_KEY, PARENT_KEY, ROW_ID
 from pulcra.config import JoinLimits
 from pulcra.functions import date_key, date_key_parts, text_normalize
 from pulcra.functions.frames import as_date
-from pulcra.operators.lookup import lookup_join, materialize, write_observed
+from pulcra.operators.keysets import key_words, mark_members, small_set
+from pulcra.operators.lookup import lookup_join, materialize, write_observed, write_sized
 from pulcra.operators.numbering import number_rows
 
 UNKNOWN = "UNKNOWN"
@@ -46,23 +48,35 @@ def patient_dim(parents: DataFrame) -> DataFrame:
     )
 
 
-def catalog_names(children: DataFrame, columns: list[str]) -> DataFrame:
-    """``column, name, n``: known names of each column with usage, written. One look at the rows."""
-    pairs = [F.struct(F.lit(c).alias("column"), text_normalize(F.col(c)).alias("name")) for c in columns]
-    named = children.select(F.inline(F.array(*pairs)))
-    known = named.where(F.col("name").isNotNull() & (F.col("name") != UNKNOWN))
-    return materialize(known.groupBy("column", "name").agg(F.count(F.lit(1)).alias("n")))
+class Members(NamedTuple):
+    """``column, key, name, n``: names of several columns with their surrogate keys and usage, and
+    what it takes to broadcast them."""
 
+    names: DataFrame
+    size: int
 
-def numbered_members(names: DataFrame, column: str) -> DataFrame:
-    """``key, name, n``: the names of one column numbered from 1 in code-point order, written."""
-    of_column = names.where(F.col("column") == column).select("name", "n")
-    return materialize(number_rows(of_column, ["name"], "key").select(F.col("key").cast("int"), "name", "n"))
+    def of(self, column: str) -> DataFrame:
+        return self.names.where(F.col("column") == column).drop("column")
 
 
-def catalog_members(children: DataFrame, column: str) -> DataFrame:
-    """``key, name, n`` of one column, written."""
-    return numbered_members(catalog_names(children, [column]), column)
+def catalog_members(children: DataFrame, *columns: str, limits: JoinLimits = JoinLimits()) -> Members:
+    """The known names of each column, numbered from 1 in code-point order.
+
+    One look at the children, whose names are counted and written. Names that may be broadcast are
+    numbered in a window per column, more of them by a distributed sort.
+    """
+    pairs = [F.struct(F.lit(c).alias("column"), text_normalize(F.col(c)).alias("name")) for c in columns]
+    named = children.select(F.inline(F.array(*pairs)))
+    known = named.where(F.col("name").isNotNull() & (F.col("name") != UNKNOWN))
+    names, size = write_sized(known.groupBy("column", "name").agg(F.count(F.lit(1)).alias("n")))
+    if size <= limits.broadcast_bytes:
+        key = F.row_number().over(Window.partitionBy("column").orderBy("name"))
+        return Members(names.select("column", key.alias("key"), "name", "n"), size)
+    numbered = number_rows(names, ["column", "name"], "_number")
+    first = F.broadcast(numbered.groupBy("column").agg(F.min("_number").alias("_first")))  # a row per column
+    key = (F.col("_number") - F.col("_first") + 1).cast("int")
+    numbered = numbered.join(first, "column").select("column", key.alias("key"), "name", "n")
+    return Members(materialize(numbered), size)
 
 
 def catalog_dim(members: DataFrame, key: str, name: str) -> DataFrame:
@@ -91,28 +105,26 @@ def date_dim(children: DataFrame) -> DataFrame:
 
 
 def with_catalog_key(
-    children: DataFrame, column: str, members: DataFrame, key: str, limits: JoinLimits
+    children: DataFrame, column: str, members: Members, key: str, limits: JoinLimits
 ) -> DataFrame:
     """Add the surrogate key of a name, 0 where it is null or not a member."""
     found = lookup_join(
         children,
-        members.select("name", F.col("key").alias("_found"), "n"),
+        members.of(column).select("name", F.col("key").alias("_found"), "n"),
         key=text_normalize(F.col(column)),
         lookup_key="name",
         weight="n",
         row_id=F.col(ROW_ID) if ROW_ID in children.columns else F.col(CHILD_KEY),
         limits=limits,
-        written=True,
+        size=members.size,
     )
     return found.withColumn(key, F.coalesce("_found", F.lit(0))).drop("_found")
 
 
-def appointment_fact(
-    children: DataFrame, doctors: DataFrame, specialties: DataFrame, limits: JoinLimits = JoinLimits()
-) -> DataFrame:
+def appointment_fact(children: DataFrame, members: Members, limits: JoinLimits = JoinLimits()) -> DataFrame:
     rows = children.withColumn("fecha_key", date_key(as_date(children, "fecha_cita")))
-    rows = with_catalog_key(rows, "medico", doctors, "medico_key", limits)
-    rows = with_catalog_key(rows, "especialidad", specialties, "especialidad_key", limits)
+    rows = with_catalog_key(rows, "medico", members, "medico_key", limits)
+    rows = with_catalog_key(rows, "especialidad", members, "especialidad_key", limits)
     return rows.select(
         CHILD_KEY,
         "fecha_key",
@@ -125,14 +137,13 @@ def appointment_fact(
 
 
 def build_star(parents: DataFrame, children: DataFrame, limits: JoinLimits = JoinLimits()) -> Star:
-    names = catalog_names(children, ["medico", "especialidad"])
-    doctors, specialties = numbered_members(names, "medico"), numbered_members(names, "especialidad")
+    members = catalog_members(children, "medico", "especialidad", limits=limits)
     return Star(
         dim_paciente=patient_dim(parents),
-        dim_medico=catalog_dim(doctors, "medico_key", "medico_nombre"),
-        dim_especialidad=catalog_dim(specialties, "especialidad_key", "especialidad_nombre"),
+        dim_medico=catalog_dim(members.of("medico"), "medico_key", "medico_nombre"),
+        dim_especialidad=catalog_dim(members.of("especialidad"), "especialidad_key", "especialidad_nombre"),
         dim_fecha=date_dim(children),
-        fact_citas=appointment_fact(children, doctors, specialties, limits),
+        fact_citas=appointment_fact(children, members, limits),
     )
 
 
@@ -192,44 +203,47 @@ class BrokenStar(ValueError):
     """A star schema that does not keep its keys."""
 
 
-def broken_keys(star: Star) -> list[str]:
-    """What is wrong with a star's keys, in words: at most one entry per key."""
-    lost = unmatched_facts(star).where("orphan_rows > 0").collect()
-    again = repeated_keys(star).where("duplicate_rows > 0").collect()
-    missing = _missing_keys(star).where("null_rows > 0").collect()
-    return (
-        [f"{r['orphan_rows']} facts without a row of {r['dimension']}" for r in lost]
-        + [f"{r['duplicate_rows']} repeated {r['columns']} in {r['table']}" for r in again]
-        + [f"{r['null_rows']} rows of {r['table']} without {r['columns']}" for r in missing]
-    )
-
-
-def _missing_keys(star: Star) -> DataFrame:
-    """``table, columns, null_rows`` of every primary key."""
-    parts = []
-    for name, keys in UNIQUE.items():
-        column = keys[0][0]
-        empty = getattr(star, name).agg(F.count(F.when(F.col(column).isNull(), 1)).alias("null_rows"))
-        parts.append(empty.select(F.lit(name).alias("table"), F.lit(column).alias("columns"), "null_rows"))
-    return _union(parts)
-
-
-def publish_star(spark: SparkSession, star: Star, folder: str) -> tuple[Star, dict[str, int]]:
+def publish_star(
+    spark: SparkSession, star: Star, folder: str, limits: JoinLimits = JoinLimits()
+) -> tuple[Star, dict[str, int]]:
     """Load a star into ``folder`` if its keys hold; the star as loaded and its rows per table.
 
-    The tables go to a folder of their own below ``versions``, where their keys are checked as
-    written. Only then ``CURRENT`` is made to name that folder, in one step, so a reader sees the old
-    star or the new one. A star with broken keys raises :class:`BrokenStar` and leaves ``CURRENT``
-    as it was. Earlier versions stay; readers that have them open can go on.
+    The tables go to a folder of their own below ``versions``. Rows, missing keys and facts without
+    a dimension row are counted while they are written, repeated keys in the tables as written. Only
+    then ``CURRENT`` is made to name that folder, in one step, so a reader sees the old star or the
+    new one. A star with broken keys raises :class:`BrokenStar` and leaves ``CURRENT`` as it was.
+    Earlier versions stay; readers that have them open can go on.
     """
     version = f"versions/{uuid.uuid4().hex}"
-    loaded, rows = {}, {}
-    for name, df in star._asdict().items():
-        path = f"{folder}/{version}/{name}"
-        loaded[name], seen = write_observed(df, {"rows": F.count(F.lit(1))}, path=path)
+    loaded, rows, broken, known = {}, {}, [], {}
+
+    def load(name: str, df: DataFrame, lost: Mapping[str, Column]) -> dict[str, int]:
+        key = UNIQUE[name][0][0]
+        measures = {"rows": F.count(F.lit(1)), "missing": F.count(F.when(F.col(key).isNull(), 1)), **lost}
+        path, marks = f"{folder}/{version}/{name}", [f"_in_{dimension}" for dimension in lost]
+        loaded[name], seen = write_observed(df, measures, path=path, drop=marks)
         rows[name] = seen["rows"]
+        if seen["missing"]:
+            broken.append(f"{seen['missing']} rows of {name} without {key}")
+        return seen
+
+    for name, key in KEYS.items():
+        load(name, getattr(star, name), {})
+        known[name] = small_set(key_words(loaded[name], key), limits)
+    facts = star.fact_citas
+    for name, key in KEYS.items():
+        if known[name] is not None:
+            facts = mark_members(facts, key, known[name], f"_in_{name}")
+    lost = {name: F.count(F.when(~F.col(f"_in_{name}"), 1)) for name in KEYS if known[name] is not None}
+    seen = load("fact_citas", facts, lost)
     written = Star(**loaded)
-    if broken := broken_keys(written):
+    orphans = {name: seen[name] for name in lost}
+    if len(lost) < len(KEYS):
+        orphans |= {r["dimension"]: r["orphan_rows"] for r in unmatched_facts(written).collect()}
+    again = repeated_keys(written).where("duplicate_rows > 0").collect()
+    broken += [f"{n} facts without a row of {name}" for name, n in orphans.items() if n]
+    broken += [f"{r['duplicate_rows']} repeated {r['columns']} in {r['table']}" for r in again]
+    if broken:
         raise BrokenStar("; ".join(broken))
     _swap_text(spark, f"{folder}/{MANIFEST}", version)
     return written, rows

@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulcra.catalogs import ISSUE_ORDER, ROW_ID, Rule
+from pulcra.catalogs import ROW_ID, Rule
 from pulcra.functions.literals import lookup_constant
 from pulcra.operators.numbering import number_rows
 from pulcra.operators.rules import Violation, trail_measures, violated
@@ -32,9 +32,9 @@ def with_row_id(df: DataFrame, order_by: list[str] | None = None) -> DataFrame:
     return number_rows(df, order_by, ROW_ID, start=0)
 
 
-def resolved_measures(table: str, of_keys: list[Violation], rejects: list[Rule]) -> dict[str, Column]:
-    """Aggregates of a resolved table: its rows, those to keep, those to reject, issues by rule."""
-    rules = sum(owner == table for owner, _ in ISSUE_ORDER)
+def resolved_measures(rules: int, of_keys: list[Violation], rejects: list[Rule]) -> dict[str, Column]:
+    """Aggregates of a resolved table whose ``_issues`` have so many entries: its rows, those to
+    keep, those to reject, and its issues by rule."""
     keys = violated(of_keys)
     records = [F.get("_issues", F.lit(k)) for k in range(rules)]
     records += [F.get(keys, F.lit(k)) for k in range(len(of_keys))]
