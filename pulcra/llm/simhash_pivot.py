@@ -1,14 +1,17 @@
 """SimHash near-duplicates by distances to reference fingerprints.
 
 By the triangle inequality two fingerprints within ``radius`` bits differ by at most ``radius`` in
-their Hamming distance to any reference. The first references' distances, cut into ranges, form the
-cells in which partners are looked for; the distances to all of them discard most pairs of a cell,
-and the fingerprints themselves decide the rest.
+their Hamming distance to any reference. References that differ from a first one in one block of bits
+each say more: the difference of the two distances tells in how many bits of the block a fingerprint
+differs from the first, and over all blocks these coordinates of near fingerprints differ by
+``radius`` in sum. So at most ``radius`` of them differ at all, and of ``radius + 1`` groups of
+coordinates one agrees. Fingerprints meet in one cell for each group, so there are as many rows a
+fingerprint at any size. In a cell the distances to further references discard most pairs, and the
+fingerprints themselves decide the rest.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
@@ -21,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from pulcra.llm.common import components, in_small_batches, table
-from pulcra.llm.tiles import smallest_reachable, tiles
+from pulcra.llm.tiles import self_tiles, smallest_reachable
 from pulcra.operators.lookup import lookup_join, materialize
 
 
@@ -29,8 +32,9 @@ from pulcra.operators.lookup import lookup_join, materialize
 class Settings:
     shingle: int = 3
     radius: int = 2
-    pivots: int = 24
-    cell_rows: int = 2000  # fingerprints that a cell should hold, about
+    pivots: int = 24  # that discard pairs of a cell
+    bits: int = 2  # of a block, by which a reference of a coordinate differs from the first
+    cell_rows: int = 1000  # fingerprints that a cell should hold, about
     block: int = 2048
 
 
@@ -68,23 +72,31 @@ def distances(fps: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.bitwise_count(fps.view(np.uint64)[:, None] ^ pivots[None, :]).astype(np.int8)
 
 
-def _tabled(classes: DataFrame, cells: int, s: Settings, probes: bool) -> DataFrame:
-    """Cells of each fingerprint: its own, or all that hold a distance within the radius."""
-    width = 2 * s.radius + 1  # then a range around a distance touches two cells at most
+def coordinates(fps: np.ndarray, s: Settings = Settings()) -> np.ndarray:
+    """For each fingerprint and block the number of bits in which it differs from the first reference
+    there, taken from the distances to that and to the block's own reference."""
+    first = references(1)
+    masks = [((1 << s.bits) - 1) << at & 2**64 - 1 for at in range(0, 64, s.bits)]
+    widths = np.array([m.bit_count() for m in masks], np.int64)
+    table = distances(fps, np.concatenate([first, first ^ np.array(masks, np.uint64)])).astype(np.int64)
+    return (table[:, :1] - table[:, 1:] + widths) // 2
+
+
+def _tabled(classes: DataFrame, cells: int, s: Settings) -> DataFrame:
+    """The cells of each fingerprint, one for each group of coordinates."""
+    groups = s.radius + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pivots = references(cells)
         for batch in batches:
             fps = batch.column(0).to_numpy(zero_copy_only=False)
-            own = distances(fps, pivots).astype(np.int64)
-            rows, cell = np.arange(len(fps)), np.zeros(len(fps), np.int64)
-            for k in range(cells):
-                low = (own[rows, k] - s.radius * probes + width) // width
-                high = (own[rows, k] + s.radius * probes + width) // width
-                both = high > low
-                cell = np.concatenate([cell * 16 + low, (cell * 16 + high)[both]])
-                rows = np.concatenate([rows, rows[both]])
-            yield pa.record_batch([pa.array(cell), pa.array(fps[rows])], ["_cell", "node"])
+            own = coordinates(fps, s).astype(np.uint64)
+            for group in range(groups):
+                code = np.full(len(fps), group, np.uint64)
+                for k in range(group, own.shape[1], groups):
+                    code = code * np.uint64(s.bits + 1) + own[:, k]
+                mixed = (code ^ code >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+                cell = (mixed >> np.uint64(20)) % np.uint64(cells)
+                yield pa.record_batch([pa.array(cell.astype(np.int64)), pa.array(fps)], ["_cell", "node"])
 
     return classes.select("node").mapInArrow(run, "_cell long, node long")
 
@@ -92,14 +104,13 @@ def _tabled(classes: DataFrame, cells: int, s: Settings, probes: bool) -> DataFr
 def linked(classes: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Edges (u, v) that join all fingerprints within the radius: of every tile, each node and the
     smallest node that it reaches there."""
-    count = classes.count()
-    cells = min(12, max(1, round(math.log(max(count, 2) / s.cell_rows, 2.8)))) if count > s.cell_rows else 1
+    cells = max(1, -(-(s.radius + 1) * classes.count() // s.cell_rows))
 
-    def compare(key: tuple, home: pa.Table, probe: pa.Table) -> pa.Table:
-        a, b = home["node"].to_numpy(), probe["node"].to_numpy()
+    def compare(key: tuple, rows: pa.Table) -> pa.Table:
+        nodes, own = rows["node"].to_numpy(), rows["_own"].to_numpy()
+        a, b = (nodes[own == side.as_py()] for side in key[1:])
         pivots = references(s.pivots)
-        # References that do not form the cells discard most; they come first.
-        da, db = distances(a, np.roll(pivots, -cells)), distances(b, np.roll(pivots, -cells))
+        da, db = distances(a, pivots), distances(b, pivots)
         near = np.ones((len(a), len(b)), bool)
         for k in range(3):
             near &= np.abs(da[:, None, k] - db[None, :, k]) <= s.radius
@@ -112,8 +123,8 @@ def linked(classes: DataFrame, s: Settings = Settings()) -> DataFrame:
         u, v = np.concatenate([a, b]), np.concatenate([low_a, low_b])
         return pa.table({"u": u[u != v], "v": v[u != v]})
 
-    found = tiles(_tabled(classes, cells, s, False), _tabled(classes, cells, s, True), s.block)
-    return found.applyInArrow(compare, "u long, v long")
+    rows = _tabled(classes, cells, s)
+    return self_tiles(rows, rows.select("_cell"), s.block).applyInArrow(compare, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
