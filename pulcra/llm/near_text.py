@@ -2,17 +2,18 @@
 
 Texts that share 0.8 of their shingles differ in up to about eighteen fingerprint bits. At that radius
 distances to references no longer tell texts apart, as they differ by less between any two texts. So
-besides the pivot cells of ``simhash_pivot``, which find the closest texts, fingerprints meet in
-tables of sampled bits. Every pair of a cell within the radius is looked at there by signatures of
-minimal shingle hashes, unless both are already joined by way of others: clearly similar texts are
-joined, clearly other ones are not, and pairs near the threshold are decided by their shingles. Of
-those a tile first passes on a few a text; where more are left it is looked at again, with a larger
-allowance and what has been joined meanwhile, until none is left. So no partner is left out.
+besides the pivot cells of ``simhash_pivot``, which find the closest texts, texts meet in tables by
+bands of their minimal shingle hashes: as many rows a text at any size, and pairs at the threshold
+are missed by all tables 4 times in 1000. Every pair of a cell within the radius is looked at there by
+signatures of minimal shingle hashes, unless both are already joined by way of others: clearly similar
+texts are joined, clearly other ones are not, and pairs near the threshold are decided by their
+shingles. Of those a tile first passes on a few a text; where more are left it is looked at again, with
+a larger allowance and what has been joined meanwhile, until none is left. So no partner is left out.
 """
 
 from __future__ import annotations
 
-import math
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -28,7 +29,7 @@ from pulcra.llm.common import components, in_small_batches, without
 from pulcra.llm.simhash_pivot import Settings as PivotSettings
 from pulcra.llm.simhash_pivot import fingerprint, linked
 from pulcra.llm.tiles import self_tiles
-from pulcra.operators.lookup import lookup_join, materialize
+from pulcra.operators.lookup import lookup_join, materialize, work_folder, work_tables, write_observed
 
 
 @dataclass(frozen=True)
@@ -37,9 +38,9 @@ class Settings:
     similarity: float = 0.8
     margin: float = 0.15  # five standard errors of an estimate; pairs nearer are decided by shingles
     radius: int = 18
-    cell_rows: int = 1000  # fingerprints that a cell of a table should hold, about
-    same_bit: float = 0.8486  # chance of one bit to agree at a similarity of 0.8: 1 - acos(2s / (1 + s)) / pi
-    recall: float = 0.99  # of such pairs within the radius meet in a table; sets the number of tables
+    bands: int = 25  # tables; each takes its cells from so many
+    hashes: int = 10  # minimal hashes of the signature
+    cell_rows: int = 1000  # texts that a cell of a table should hold, about
     block: int = 2048
     pairs: int = 2  # near the threshold that a tile passes on at first, for each text
 
@@ -97,39 +98,28 @@ def similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return 1 - other / HASHES / 0.75
 
 
-def missed(bits: int, count: int, s: Settings) -> float:
-    """Share of the pairs within the radius that meet in none of ``count`` tables of ``bits`` sampled
-    bits, over the binomial distribution of differing bits at the threshold."""
-    differ = range(min(s.radius, 64) + 1)
-    chance = np.array([math.comb(64, d) * (1 - s.same_bit) ** d * s.same_bit ** (64 - d) for d in differ])
-    meet = np.array([math.comb(64 - d, bits) / math.comb(64, bits) for d in differ])
-    return float(chance @ (1 - meet) ** count / chance.sum())
+def missed(similarity: float, s: Settings) -> float:
+    """Chance that two texts of that similarity meet in no table. Two bits of a hash agree by chance
+    in a quarter of the cases; the number of texts does not matter."""
+    agree = similarity + (1 - similarity) / 4
+    return (1 - agree**s.hashes) ** s.bands
 
 
-def table_count(bits: int, s: Settings) -> int:
-    """The smallest number of tables that gives the recall."""
-    low, high = 0, 1
-    while missed(bits, high, s) > 1 - s.recall:
-        low, high = high, 2 * high
-    while high - low > 1:
-        half = (low + high) // 2
-        low, high = (half, high) if missed(bits, half, s) > 1 - s.recall else (low, half)
-    return high
-
-
-def _tables(classes: DataFrame, bits: int, count: int) -> DataFrame:
-    """The rows of ``classes`` (node first) once for each table, with ``_cell``: table number and
-    sampled bits."""
+def _tables(classes: DataFrame, cells: int, s: Settings) -> DataFrame:
+    """The rows of ``classes`` (node, sig first) once for each table, with ``_cell``: a band of the
+    signature, hashed into one of so many cells of the table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        picks = [np.random.default_rng(1000 + t).permutation(64)[:bits].astype(np.uint64) for t in range(count)]
         for batch in batches:
-            fps = batch.column(0).to_numpy(zero_copy_only=False)
-            for t, pick in enumerate(picks):
-                cell = np.full(len(fps), t, np.int64)
-                for bit in pick:
-                    cell = cell * 2 + ((fps.view(np.uint64) >> bit) & np.uint64(1)).astype(np.int64)
-                yield pa.record_batch([pa.array(cell), *batch.columns], ["_cell", *batch.schema.names])
+            held = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, SIGNATURE)
+            two = (held[:, :, None] >> np.array([0, 2, 4, 6], np.uint8) & 3).reshape(len(held), HASHES).astype(np.uint64)
+            for band in range(s.bands):
+                code = np.full(len(two), band, np.uint64)
+                for k in range(band * s.hashes, (band + 1) * s.hashes):
+                    code = code * np.uint64(4) + two[:, k]
+                mixed = (code ^ code >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+                cell = np.uint64(band * cells) + (mixed >> np.uint64(20)) % np.uint64(cells)
+                yield pa.record_batch([pa.array(cell.astype(np.int64)), *batch.columns], ["_cell", *batch.schema.names])
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in classes.schema)
     return classes.mapInArrow(run, f"_cell long, {fields}")
@@ -196,8 +186,7 @@ def groups_in_tile(nodes: np.ndarray, sigs: np.ndarray, home: np.ndarray, probe:
 
 def table_pairs(classes: DataFrame, s: Settings, allowed: int, cells: DataFrame | None = None) -> DataFrame:
     """(u, v, kind) of what meets in a table, in all cells or in ``cells``; ``classes``: node, sig, root."""
-    bits = max(1, round(math.log2(max(classes.count(), 2) / s.cell_rows)))
-    count = table_count(bits, s)
+    count = max(1, -(-classes.count() // s.cell_rows))
 
     def compare(tile: pa.Table) -> pa.Table:
         tile = tile.sort_by("node")
@@ -211,7 +200,8 @@ def table_pairs(classes: DataFrame, s: Settings, allowed: int, cells: DataFrame
         kinds = np.repeat(np.array([SURE, NEAR, LEFT], np.int32), [len(moved), len(low), len(cell)])
         return pa.table({"u": np.concatenate([nodes[moved], high, cell]), "v": np.concatenate([nodes[roots[moved]], low, cell]), "kind": kinds})
 
-    rows, sizes = _tables(classes, bits, count), _tables(classes.select("node"), bits, count)
+    rows = _tables(classes, count, s)
+    sizes = rows.select("_cell")
     if cells is not None:
         rows, sizes = (x.join(cells, "_cell", "left_semi") for x in (rows, sizes))
     return self_tiles(rows, sizes, s.block).applyInArrow(compare, "u long, v long, kind int")
@@ -309,6 +299,10 @@ def keep_first(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
 
     Rows of one doc_id are one document. A null doc_id stays only if its component has no other.
     """
-    found = near_texts(docs, s)
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id")
+    spark = docs.sparkSession
+    path = f"{work_folder(spark)}/{uuid.uuid4().hex}"
+    with work_tables(spark):  # of all that was written only the ids to drop are kept
+        found = near_texts(docs, s)
+        gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+        gone, _ = write_observed(gone, {"rows": F.count(F.lit(1))}, path=path)
     return without(docs, F.col("doc_id"), gone)

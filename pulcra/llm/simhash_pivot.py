@@ -83,7 +83,7 @@ def coordinates(fps: np.ndarray, s: Settings = Settings()) -> np.ndarray:
 
 
 def _tabled(classes: DataFrame, cells: int, s: Settings) -> DataFrame:
-    """The cells of each fingerprint, one for each group of coordinates."""
+    """The cells of each fingerprint, one of so many for each group of coordinates."""
     groups = s.radius + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,7 +95,7 @@ def _tabled(classes: DataFrame, cells: int, s: Settings) -> DataFrame:
                 for k in range(group, own.shape[1], groups):
                     code = code * np.uint64(s.bits + 1) + own[:, k]
                 mixed = (code ^ code >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
-                cell = (mixed >> np.uint64(20)) % np.uint64(cells)
+                cell = np.uint64(group * cells) + (mixed >> np.uint64(20)) % np.uint64(cells)
                 yield pa.record_batch([pa.array(cell.astype(np.int64)), pa.array(fps)], ["_cell", "node"])
 
     return classes.select("node").mapInArrow(run, "_cell long, node long")
@@ -104,7 +104,7 @@ def _tabled(classes: DataFrame, cells: int, s: Settings) -> DataFrame:
 def linked(classes: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Edges (u, v) that join all fingerprints within the radius: of every tile, each node and the
     smallest node that it reaches there."""
-    cells = max(1, -(-(s.radius + 1) * classes.count() // s.cell_rows))
+    cells = max(1, -(-classes.count() // s.cell_rows))
 
     def compare(key: tuple, rows: pa.Table) -> pa.Table:
         nodes, own = rows["node"].to_numpy(), rows["_own"].to_numpy()

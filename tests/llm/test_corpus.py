@@ -198,12 +198,22 @@ def test_many_pairs_near_the_threshold_are_passed_on_in_turns():
     assert len(set(map(tuple, np.sort(pairs, axis=0).T.tolist()))) == len(nodes) * (len(nodes) - 1) // 2
 
 
-@pytest.mark.parametrize("n", [10**k for k in range(3, 10)])
-def test_number_of_tables_gives_the_recall(n):
+def test_tables_miss_few_pairs_at_the_threshold():
+    """The chance to meet in no table, by formula and for signatures of texts with 0.8 in common."""
     s = near_text.Settings()
-    bits = max(1, round(math.log2(n / s.cell_rows)))
-    count = near_text.table_count(bits, s)
-    assert near_text.missed(bits, count, s) <= 1 - s.recall < near_text.missed(bits, count - 1, s)
+    assert near_text.missed(0.8, s) < 0.005 and near_text.missed(0.9, s) < 1e-5 and near_text.missed(0.1, s) > 0.99
+    rng = np.random.default_rng(4)
+    same = rng.random((20_000, near_text.HASHES)) < 0.8 + 0.2 / 4
+    bands = same[:, : s.bands * s.hashes].reshape(len(same), s.bands, s.hashes).all(axis=2)
+    assert abs((~bands.any(axis=1)).mean() - near_text.missed(0.8, s)) < 0.002
+
+
+def test_coordinates_are_differing_bits_of_blocks():
+    s = simhash_pivot.Settings()
+    fps = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 500)
+    first = int(simhash_pivot.references(1)[0])
+    plain = [[((int(f) ^ first) >> at & 3).bit_count() for at in range(0, 64, 2)] for f in fps]
+    assert (simhash_pivot.coordinates(fps, s) == np.array(plain)).all()
 
 
 @pytest.mark.parametrize("block", [2048, 16])
@@ -221,9 +231,9 @@ def test_no_partner_is_left_out(spark, block):
     own, least = groups(len(nodes), links), {}
     for i, r in enumerate(own):
         least.setdefault(r, nodes[i])
-    # One sampled bit and many tables: every pair meets.
+    # One cell a table: every pair meets.
     classes = spark.createDataFrame([(n, sig[n]) for n in nodes], "node long, sig binary")
-    edges = near_text.table_edges(classes, near_text.Settings(same_bit=0.2, block=block))
+    edges = near_text.table_edges(classes, near_text.Settings(block=block))
     assert edges.where("u = v").count() == 0
     found = {r["node"]: r["root"] for r in components(edges).collect()}
     assert [found.get(n, n) for n in nodes] == [least[r] for r in own]
