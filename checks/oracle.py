@@ -531,6 +531,8 @@ GENERIC_RESOLVED = f"""(SELECT t.*, CASE WHEN g.sigs > 1 THEN 'conflict' WHEN g.
 BODIES: dict[str, str] = {
     "src_row_provenance": "SELECT row_number() OVER (ORDER BY source_row_id) - 1 AS source_row_id, source_row_id AS input_key, id_cita FROM raw_c",
     "src_limit_first_n": "SELECT * FROM typed_c ORDER BY source_row_id LIMIT 500",
+    "src_read_tables": "SELECT * FROM typed_c",
+    "src_document": "SELECT * REPLACE (row_number() OVER (ORDER BY source_row_id) - 1 AS source_row_id) FROM typed_c",
     "src_key_typing_double": "SELECT o_orderkey AS source_row_id, CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey * 1000 END AS id_paciente FROM orders",
     "fn_phone_digits_double": "SELECT o_orderkey AS source_row_id, CAST(o_orderkey + 3170000000 AS VARCHAR) AS value FROM orders",
     "src_numbered_table": "SELECT file_row_number AS source_row_id, o_orderkey, o_custkey FROM (SELECT row_number() OVER () - 1 AS file_row_number, o_orderkey, o_custkey FROM orders) o",

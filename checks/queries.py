@@ -105,6 +105,38 @@ def src_numbered_table(spark, sf_dir):
     return readers.number_parquet_rows(spark, path).select(ROW, "o_orderkey", "o_custkey")
 
 
+@query("src_read_tables")
+def src_read_tables(spark, sf_dir):
+    """Children of tables written as Parquet and read through the table source."""
+    folder = f"{work_folder(spark)}/tables-{uuid.uuid4().hex}"
+    paths = {k.PARENT_TABLE: f"{folder}/p", k.CHILD_TABLE: f"{folder}/c"}
+    dirty.raw_parents(spark, sf_dir).write.parquet(paths[k.PARENT_TABLE])
+    dirty.raw_children(spark, sf_dir).write.parquet(paths[k.CHILD_TABLE])
+    return readers.read_tables(spark, paths)[k.CHILD_TABLE]
+
+
+@query("src_document")
+def src_document(spark, sf_dir):
+    """Children of one JSON document of a single line, read through the document source."""
+    raw = (dirty.raw_parents(spark, sf_dir), dirty.raw_children(spark, sf_dir))
+    lines = None
+    for n, (table, df) in enumerate(zip((k.PARENT_TABLE, k.CHILD_TABLE), raw)):
+        row = F.to_json(F.struct(*[c for c in df.columns if c != ROW]), {"ignoreNullFields": "false"})
+        rows = df.select(F.lit(2 * n + 1).alias("part"), F.col(ROW).alias("at"), F.concat(F.lit(","), row).alias("value"))
+        least = df.agg(F.min(ROW).alias("least"))
+        first = rows.join(F.broadcast(least), rows["at"] == least["least"], "left")
+        rows = first.select("part", "at", F.when(F.col("least").isNotNull(), F.substring("value", 2, 1 << 30)).otherwise(F.col("value")).alias("value"))
+        opening = ("{" if n == 0 else "],") + f'"{table}":['
+        head = spark.range(1).select(F.lit(2 * n).alias("part"), F.lit(0).cast("long").alias("at"), F.lit(opening).alias("value"))
+        lines = head.unionByName(rows) if lines is None else lines.unionByName(head).unionByName(rows)
+    end = spark.range(1).select(F.lit(9).alias("part"), F.lit(0).cast("long").alias("at"), F.lit("]}").alias("value"))
+    path = f"{work_folder(spark)}/document-{uuid.uuid4().hex}"
+    # A document is one file, so one task writes it; many read it.
+    ordered = lines.unionByName(end).orderBy("part", "at").select("value").coalesce(1)
+    ordered.write.option("lineSep", " ").text(path)
+    return readers.read_document(spark, path)[k.CHILD_TABLE]
+
+
 @query("sink_read_back")
 def sink_read_back(spark, sf_dir):
     """Rows of an exported table after it was written as CSV and read again."""

@@ -6,7 +6,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pulcra.catalogs import (
     CHILD_COLUMNS,
@@ -21,6 +20,7 @@ from pulcra.catalogs import (
 from pulcra.functions import strip, try_int
 from pulcra.functions.frames import as_text
 from pulcra.operators.lookup import lookup_join
+from pulcra.sources.document import read_rows, split_document
 
 _COLUMN_ORDER = {PARENT_TABLE: PARENT_COLUMNS, CHILD_TABLE: CHILD_COLUMNS}
 
@@ -88,31 +88,20 @@ def contract_report(tables: Mapping[str, DataFrame]) -> DataFrame:
 def read_document(spark: SparkSession, path: str, *, limit: int = 0) -> dict[str, DataFrame]:
     """Tables of one JSON object ``{table: [row objects]}``; ``source_row_id`` is the array place.
 
-    A single JSON document cannot be split, so one task parses it. Use ``read_tables`` for data
-    that does not fit that.
+    The document is split between tasks whether it has lines or not, see ``sources.document``.
     """
-    # One character of the first line that is not blank; a document may be a single line.
-    start = F.substring(F.regexp_replace(F.substring("value", 1, 4096), r"^[\ufeff\s]+", ""), 1, 1)
-    lines = spark.read.text(path).select(start.alias("value"), F.input_file_name().alias("file"))
-    opening = lines.where("value != ''").first()
-    if lines.select("file").distinct().limit(2).count() > 1:
-        raise ValueError("a document is one file; use read_tables for folders")
-    if opening is None or opening["value"] != "{":
-        raise ValueError("the document must be one JSON object with a key per table")
-    document = spark.read.json(path, multiLine=True, primitivesAsString=True)
+    document = split_document(spark, path, list(REQUIRED_COLUMNS))
     tables = {}
     for table in REQUIRED_COLUMNS:
-        if table not in document.columns:
+        if table not in document.keys:
             raise ValueError(f"the document has no table {table!r}")
-        kind = document.schema[table].dataType
-        if not isinstance(kind, T.ArrayType):
-            raise ValueError(f"table {table!r} must be an array of row objects")
-        found = kind.elementType.names if isinstance(kind.elementType, T.StructType) else []
+        if table not in document.lines:
+            raise ValueError(f"table {table!r} has no rows to take columns from")
+        rows = read_rows(spark, document, table)
+        found = rows.schema["row"].dataType.names
         order = _COLUMN_ORDER[table]
         names = [c for c in order if c in found] + [c for c in found if c not in order]
-        rows = document.select(F.posexplode(table).alias(ROW_ID, "_row")).select(
-            F.col(ROW_ID).cast("bigint"), *[F.col(f"_row.{c}") for c in names]
-        )
+        rows = rows.select(F.col("place").cast("bigint").alias(ROW_ID), *[F.col(f"row.`{c}`") for c in names])
         tables[table] = type_keys(first_rows(rows, limit), table)
     check_contract(tables)
     return tables

@@ -134,7 +134,7 @@ def test_appointments(visits):
 
 def test_cleaning_again_changes_nothing(patients):
     df = patients(
-        (1, "A", "2 nov 1977", "10", "male", " A@B.CO ", "317-123-4567", "X"),
+        (1, "Nora", "7 ago 1984", "11", "male", " Nora@Correo.ORG ", "605-555-0102", "Tunja"),
         (2, "B", "1850-01-01", "200", "X", "bad", "1", None),
     )
     once = clean_patients(df).clean
