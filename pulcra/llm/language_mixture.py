@@ -7,6 +7,7 @@ one with the largest penalised likelihood.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -179,5 +180,6 @@ def op1_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_identified(spark: SparkSession, docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Documents with an identified language, however many share the text; those without a letter go."""
     model = learn(training_rows(docs), settings)
-    marked = docs.withColumn("_found", identify(spark, F.col("text"), model, settings))
-    return marked.where(F.col("_found.lang_pred") != UNKNOWN).drop("_found")
+    own = f"found_{uuid.uuid4().hex}"  # no name of the documents'
+    marked = docs.withColumn(own, identify(spark, F.col("text"), model, settings))
+    return marked.where(F.col(own)["lang_pred"] != UNKNOWN).drop(own)

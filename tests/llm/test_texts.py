@@ -154,6 +154,8 @@ def test_language_of_odd_texts(spark, odd_documents):
     nothing = lang.learn(odd_documents.limit(0))
     assert {r["p"]["lang_pred"] for r in odd_documents.select(lang.identify(spark, F.col("text"), nothing).alias("p")).collect()} == {"und"}
     assert lang.keep_identified(spark, odd_documents).columns == odd_documents.columns
+    named = odd_documents.withColumn("_found", F.lit("own"))
+    assert {r["_found"] for r in lang.keep_identified(spark, named).collect()} == {"own"}
 
 
 def test_trigrams_of_a_long_text_do_not_depend_on_pieces(monkeypatch):
