@@ -45,7 +45,8 @@ class Encoder:
         self.chunks = re.compile(chunks).findall
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.lowers = self.tokenizer.normalizer is not None and self.tokenizer.normalizer.normalize_str("A") == "a"
-        self.remembered, self.known = remembered, {}
+        # What is asked for again moves on to the newer half, so common words are kept.
+        self.remembered, self.known, self.earlier = remembered, {}, {}
         # Tokens that end a word, or else that begin with its blank: where words of letters part.
         suffix = self.tokenizer.model.end_of_word_suffix
         self.ends = bool(suffix)
@@ -68,9 +69,8 @@ class Encoder:
         data = ids.tobytes()
         return [data[4 * a : 4 * b] for a, b in zip(bounds, bounds[1:])]
 
-    def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
+    def _prepared(self, text: str) -> str | None:
+        """The text whose chunks are looked up; nothing if it holds a special token's string."""
         given = text
         if self.lowers:
             # The tokenizer lowers A-Z itself, behind its normal form. If that changes nothing either
@@ -78,23 +78,49 @@ class Encoder:
             lowered = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
             if is_normalized("NFC", text) and is_normalized("NFC", lowered):
                 text = lowered
-        if any(s in given or s in text for s in self.special):
-            return self._ids([given])[0]
-        parts, known = self.chunks(text), self.known
-        try:
-            return b"".join(map(known.__getitem__, parts))
-        except KeyError:
-            pass
-        if len(known) > self.remembered:
-            known.clear()
-        missing = {p for p in parts if p not in known}
+        return None if any(s in given or s in text for s in self.special) else text
+
+    def _remember(self, chunks: set[str]) -> None:
+        if len(self.known) > self.remembered // 2:
+            self.earlier, self.known = self.known, {}
+        known, earlier = self.known, self.earlier
+        asked = chunks.difference(known)
+        missing = [p for p in asked if p not in earlier]
+        known.update((p, earlier[p]) for p in asked.difference(missing))
         words = [p for p in missing if self.word(p)]
-        others = list(missing.difference(words))
+        others = list(set(missing).difference(words))
         for some, ids in ((words, self._words), (others, self._ids)):
             for at in range(0, len(some), 1000):
                 part = some[at : at + 1000]
                 known.update(zip(part, ids(part)))
-        return b"".join(map(known.__getitem__, parts))
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text. Texts of known chunks are joined at once; the unknown chunks of all
+        others are encoded together, before those are joined."""
+        out, waiting, asked = [b""] * len(texts), [], set()
+        find = self.known.__getitem__
+        for at, given in enumerate(texts):
+            if not given:
+                continue
+            text = self._prepared(given)
+            if text is None:
+                out[at] = self._ids([given])[0]
+                continue
+            chunks = self.chunks(text)
+            try:
+                out[at] = b"".join(map(find, chunks))
+            except KeyError:
+                waiting.append((at, chunks))
+                asked.update(chunks)
+        if waiting:
+            self._remember(asked)
+            find = self.known.__getitem__
+            for at, chunks in waiting:
+                out[at] = b"".join(map(find, chunks))
+        return out
+
+    def encode(self, text: str | None) -> bytes:
+        return self.encode_all([text])[0]
 
 
 @cache

@@ -86,13 +86,13 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, chunks: str
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, files, total = TaskContext.get().partitionId(), None, 0
-        encode = encoder(tokenizer, chunks).encode
+        encode = encoder(tokenizer, chunks).encode_all
         for batch in batches:
             if files is None:
                 files = [_Writer(folder, part(number, what)) for what in ("ids", "docs", "lengths")]
             lengths = []
-            for text in batch.column(1).to_pylist():
-                ids = encode(text) + mark
+            for ids in encode(batch.column(1).to_pylist()):
+                ids += mark
                 lengths.append(len(ids) // 4)
                 files[0].stream.write(np.frombuffer(ids, "<u4").astype(kind).tobytes())
             files[1].stream.write(batch.column(0).fill_null(NO_ID).to_numpy().astype("<i8").tobytes())
