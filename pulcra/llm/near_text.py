@@ -4,7 +4,7 @@ Texts that share 0.8 of their shingles differ in up to about eighteen fingerprin
 distances to references no longer tell texts apart, as they differ by less between any two texts. So
 besides the pivot cells of ``simhash_pivot``, which find the closest texts, texts meet in tables by
 bands of their minimal shingle hashes: as many rows a text at any size, and pairs at the threshold
-are missed by all tables 4 times in 1000. Every pair of a cell within the radius is looked at there by
+are missed by all tables 9 times in 1000. Every pair of a cell within the radius is looked at there by
 signatures of minimal shingle hashes, unless both are already joined by way of others: clearly similar
 texts are joined, clearly other ones are not, and pairs near the threshold are decided by their
 shingles. Of those a tile first passes on a few a text; where more are left it is looked at again, with
@@ -38,8 +38,8 @@ class Settings:
     similarity: float = 0.8
     margin: float = 0.15  # five standard errors of an estimate; pairs nearer are decided by shingles
     radius: int = 18
-    bands: int = 25  # tables; each takes its cells from so many
-    hashes: int = 10  # minimal hashes of the signature
+    bands: int = 18  # tables; each takes its cells from so many
+    hashes: int = 9  # minimal hashes of the signature; together 1 in 100 pairs at 0.8 is missed
     cell_rows: int = 1000  # texts that a cell of a table should hold, about
     block: int = 2048
     pairs: int = 2  # near the threshold that a tile passes on at first, for each text

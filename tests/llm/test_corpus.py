@@ -201,7 +201,7 @@ def test_many_pairs_near_the_threshold_are_passed_on_in_turns():
 def test_tables_miss_few_pairs_at_the_threshold():
     """The chance to meet in no table, by formula and for signatures of texts with 0.8 in common."""
     s = near_text.Settings()
-    assert near_text.missed(0.8, s) < 0.005 and near_text.missed(0.9, s) < 1e-5 and near_text.missed(0.1, s) > 0.99
+    assert near_text.missed(0.8, s) < 0.01 and near_text.missed(0.9, s) < 1e-4 and near_text.missed(0.1, s) > 0.99
     rng = np.random.default_rng(4)
     same = rng.random((20_000, near_text.HASHES)) < 0.8 + 0.2 / 4
     bands = same[:, : s.bands * s.hashes].reshape(len(same), s.bands, s.hashes).all(axis=2)
