@@ -312,3 +312,22 @@ def test_whole_run(spark, tmp_path):
     summary = spark.read.json(f"{out}/reports/quality_summary_json").first()
     assert summary["severity_by_rule"]["R_ORPHAN_CITA"] == "error"
     assert read_star(spark, f"{out}/star").fact_citas.where(F.col("medico_key") == 1).count() == 4
+
+
+def test_document_of_one_line_is_read_by_splits(spark, tmp_path):
+    """No split reads the line to its end: bytes read stay within a few times the document's."""
+    rows = [{**SAMPLE["citas_medicas"][0], "id_cita": f"k{i}", "medico": "x" * 100} for i in range(20_000)]
+    content = json.dumps({**SAMPLE, "citas_medicas": rows})
+    path = document(tmp_path, content)
+    files = spark._jvm.org.apache.hadoop.fs.FileSystem
+    bytes_read = lambda: sum(s.getBytesRead() for s in files.getAllStatistics())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        before = bytes_read()
+        document_source.split_document(spark, path, [PARENT_TABLE, CHILD_TABLE])
+        read = bytes_read() - before
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert read < 10 * len(content), read / len(content)
