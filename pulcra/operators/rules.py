@@ -22,6 +22,7 @@ ISSUE_COLUMNS = [
     "table", "row_id", "rule_id", "severity", "column", "original_value", "clean_value", "detail",
 ]
 _RECORD = "struct<rule_id:string,original_value:string,clean_value:string>"
+_NO_ROW = -(1 << 63)
 
 
 @dataclass(frozen=True)
@@ -51,6 +52,14 @@ def violated(violations: Iterable[Violation], only: Collection[str] | None = Non
     return F.expr(f"CAST(array({', '.join(chosen)}) AS array<{_RECORD}>)")
 
 
+def without_empty(df: DataFrame, rules: int) -> DataFrame:
+    """Rows whose ``_issues`` hold no record get an empty array, which takes no room when written; the
+    places in the others stay."""
+    ids = [F.get("_issues", F.lit(k))["rule_id"] for k in range(rules)]
+    empty = F.expr(f"CAST(array() AS array<{_RECORD}>)")
+    return df.withColumn("_issues", F.when(F.coalesce(*ids).isNotNull(), F.col("_issues")).otherwise(empty))
+
+
 def with_rule_texts(
     records: DataFrame, table: str, key_column: str, settings: Settings, keep: Collection[str] = ()
 ) -> DataFrame:
@@ -110,21 +119,40 @@ def issue_rows(
 
 
 def trail_measures(records: list[Column], row_id: str = ROW_ID) -> dict[str, Column]:
-    """Aggregates over rows: for each record column how many rows have one, and the first of them.
+    """Aggregates over rows: for each record column how many rows have one, and the least row of
+    them; rows without a number come first.
 
-    A record column belongs to one rule; so there are two values a rule, whatever the rows.
+    A record column belongs to one rule; so there are two values a rule, whatever the rows. Both are
+    whole numbers; :func:`first_records` then looks at those few rows.
     """
     measures = {}
+    row = F.coalesce(F.col(row_id).cast("bigint"), F.lit(_NO_ROW))
     for k, record in enumerate(records):
-        first = F.struct(F.col(row_id).cast("bigint").alias("row"), record.alias("record"))
         measures[f"issues_{k}"] = F.count(record)
-        measures[f"first_{k}"] = F.min(F.when(record.isNotNull(), first))
+        measures[f"row_{k}"] = F.min(F.when(record.isNotNull(), row))
     return measures
 
 
+def first_records(table: DataFrame, records: list[Column], seen: Mapping[str, Any], row_id: str = ROW_ID) -> dict[str, Any]:
+    """``seen``, the values of :func:`trail_measures` of a written table, with the first ``(row,
+    record)`` of each record column."""
+    found = {k: seen[f"row_{k}"] for k in range(len(records)) if seen[f"issues_{k}"]}
+    if not found:
+        return dict(seen)
+    row = F.col(row_id).cast("bigint")
+    chosen = row.isin(sorted(set(found.values())))
+    if _NO_ROW in found.values():
+        chosen = chosen | row.isNull()
+    firsts = []
+    for k in found:
+        first = F.struct(row.alias("row"), records[k].alias("record"))
+        firsts.append(F.min(F.when(records[k].isNotNull(), first)).alias(f"first_{k}"))
+    return {**seen, **table.where(chosen).agg(*firsts).first().asDict()}
+
+
 def seen_totals(seen: Mapping[str, Any], table: str) -> list[tuple]:
     """``(table, rule_id, row, original_value, clean_value, count)`` of the values that
-    :func:`trail_measures` gave, for rules with an issue."""
+    :func:`first_records` gave, for rules with an issue."""
     found = []
     for name, count in seen.items():
         if name.startswith("issues_") and count:

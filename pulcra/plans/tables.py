@@ -32,12 +32,15 @@ def with_row_id(df: DataFrame, order_by: list[str] | None = None) -> DataFrame:
     return number_rows(df, order_by, ROW_ID, start=0)
 
 
-def resolved_measures(rules: int, of_keys: list[Violation], rejects: list[Rule]) -> dict[str, Column]:
-    """Aggregates of a resolved table whose ``_issues`` have so many entries: its rows, those to
-    keep, those to reject, and its issues by rule."""
+def resolved_records(rules: int, of_keys: list[Violation]) -> list[Column]:
+    """The records of a resolved table whose ``_issues`` have so many entries, one column a rule."""
     keys = violated(of_keys)
     records = [F.get("_issues", F.lit(k)) for k in range(rules)]
-    records += [F.get(keys, F.lit(k)) for k in range(len(of_keys))]
+    return records + [F.get(keys, F.lit(k)) for k in range(len(of_keys))]
+
+
+def resolved_measures(records: list[Column], rejects: list[Rule]) -> dict[str, Column]:
+    """Aggregates of a resolved table: its rows, those to keep, those to reject, and its issues by rule."""
     rejected = F.col("drop_rule").isin([rule.rule_id for rule in rejects])
     return {
         "rows": F.count(F.lit(1)),

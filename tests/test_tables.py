@@ -331,3 +331,15 @@ def test_document_of_one_line_is_read_by_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert read < 10 * len(content), read / len(content)
+
+
+def test_children_are_judged_while_written(spark, patients, visits, monkeypatch):
+    """Children are written once, and no judged table is written beside it."""
+    monkeypatch.setattr(integrity, "write_observed", lambda *_, **__: pytest.fail("children written again"))
+    kids = visits(visit("a", 1), visit("b", 9), visit("c", 1, cost="-1"), visit("d", 1, state="Rara"))
+    done = clean_tables({PARENT_TABLE: patients(GOOD), CHILD_TABLE: kids})
+    assert sorted(r["id_cita"] for r in done.children.collect()) == ["a", "d"]
+    found = as_dict(done.children_rejected, "id_cita", "rejection_rule_id")
+    assert found == {("b",): "R_ORPHAN_CITA", ("c",): "R_COST_NEGATIVE"}
+    assert done.after[CHILD_TABLE] == 2 and done.rejected[CHILD_TABLE] == 2
+    assert "_verdict" not in done.children.columns + done.children_rejected.columns
