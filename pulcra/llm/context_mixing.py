@@ -1,19 +1,21 @@
 """Log probabilities of texts by logistic mixing of hashed-context bit predictors.
 
-A text is its tokens in lower case; a token is coded byte by byte and bit by bit, each word closed by
-a blank, the end of a text being one byte of its own. Several contexts (the last bytes of the token,
-or all of it so far) are hashed into tables of bit counts. Their predictions are stretched and added
-with weights that a gate selects; the weights are learned online, and an adaptive table refines the
-mixed probability. A token's probability depends on the token alone, so each distinct token is
-scored once, and a text's score is a join with the vocabulary and a sum.
+A text is its tokens in lower case; it is coded byte by byte and bit by bit, each word closed by a
+blank, the end of a text being one byte of its own. Several contexts (the last bytes of the text
+across words, the word so far, and that with the word before) are hashed into tables of bit counts.
+Their predictions are stretched and added with weights that a gate selects; the weights are learned
+online over the training texts, and an adaptive table refines the mixed probability. Every text is
+read three times, byte by byte: counted, learned from and scored. Long ones are read in pieces, which
+begin with what their contexts reach back to, so that a piece says the same as the whole text.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,15 +30,19 @@ from pulcra.operators.lookup import materialize
 END = b"\xff"  # no byte of a word
 LEVELS = 6  # of how often a context was seen
 BLOCK = 1 << 14  # slots whose counts travel together
+REACH = 7  # bytes that a piece of a text repeats at least; it begins with a whole word before them
+WORD, PAIR = 99, 100  # orders: the word so far, and with the word before
 
 
 @dataclass(frozen=True)
 class Settings:
-    orders: tuple[int, ...] = (1, 2, 3, 4, 6, 99)  # bytes before a byte, in its token
-    slots: int = 1 << 20  # of each order's table: the model's size does not grow with the corpus
+    orders: tuple[int, ...] = (1, 2, 3, 4, 6, WORD, PAIR)  # bytes before a byte, across words
+    slots: int = 1 << 21  # of each order's table: the model's size does not grow with the corpus
     prior: float = 0.4
     rate: float = 0.3
-    batch: int = 256  # tokens of one online step
+    step: int = 1 << 12  # bytes of one online step, about
+    chunk: int = 1 << 14  # bytes looked at together
+    tasks: int = 4  # that count for an order, at most: each passes a whole table on
     refine: int = 33  # steps of the adaptive table
     vocabulary: int = 200_000  # distinct tokens a task counts before it passes them on
 
@@ -70,62 +76,114 @@ def vocabulary(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     return counted.groupBy("token").agg(F.sum("n").alias("n"))
 
 
+def pieces(text: str | None, size: int = 1 << 16) -> Iterator[tuple[bytes, int]]:
+    """A text's tokens, closed by blanks and the end, in pieces of about ``size`` bytes, each with the
+    number of bytes in front that only repeat what the contexts of its first bytes reach back to."""
+    words = tokens(text)
+    given = b" ".join(words[:-1]) + b" " * (len(words) > 1) + END
+    at = 0
+    while at < len(given):
+        end = given.find(b" ", at + size - 1) + 1 or len(given)
+        start = at
+        while start > 0 and at - start < REACH:
+            start = given.rfind(b" ", 0, start - 1) + 1
+        yield given[start:end], at - start
+        at = end
+
+
+_times = np.uint64(0x100000001B3)
+_back = np.uint64(pow(0x100000001B3, -1, 1 << 64))
+
+
+@cache
+def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
+    ones = lambda base: np.cumprod(np.concatenate([[np.uint64(1)], np.full(count, base, np.uint64)]), dtype=np.uint64)
+    return ones(_times), ones(_back)
+
+
+# The nodes of a half byte's tree on the way to it.
+_NODES = (np.arange(16)[:, None] | 16) >> np.arange(4, 0, -1)
+
+
 class Bits:
-    """All bits of some tokens: for each the token, the slots of its contexts, and the bit.
+    """All bits of some runs of text: for each the slots of its contexts, and the bit.
 
-    A context has a line of sixteen slots for the upper half of the next byte and one for the lower
-    half: a tree of four bits each.
+    A run is closed by a blank, unless it ends with one or with the end of a text. The first ``skip``
+    bytes of a run are context only. A context has a line of sixteen slots for the upper half of the
+    next byte and one for the lower half: a tree of four bits each. ``run`` has the run of each byte.
     """
 
-    def __init__(self, words: list[bytes], s: Settings):
-        ends = [w if w == END else w + b" " for w in words]
+    def __init__(self, runs: list[bytes], s: Settings, skip: np.ndarray | None = None, only: int | None = None):
+        ends = [w if w[-1:] in (END, b" ") else w + b" " for w in runs]
         lengths = np.array([len(w) for w in ends])
         data = np.frombuffer(b"".join(ends), np.uint8)
         starts = np.repeat(np.cumsum(lengths) - lengths, lengths)
+        self.run = np.repeat(np.arange(len(runs)), lengths)
         place = np.arange(len(data)) - starts
-        self.token = np.repeat(np.repeat(np.arange(len(words)), lengths), 8)
-        wide = data.astype(np.int32)
-        self.bit = np.unpackbits(data)
-        # The bits of the byte so far, with a leading one: a node of the byte's tree.
-        self.node = ((wide[:, None] | 256) >> np.arange(8, 0, -1, dtype=np.int32)).ravel()
-        upper = ((wide[:, None] >> 4 | 16) >> np.arange(4, 0, -1, dtype=np.int32)).reshape(-1, 4)
-        lower = ((wide[:, None] & 15 | 16) >> np.arange(4, 0, -1, dtype=np.int32)).reshape(-1, 4)
-        half = (data >> 4).astype(np.uint64) + np.uint64(1)
-        slots = np.empty((len(s.orders), len(data), 2, 4), np.int32)
-        lines = np.uint64(64 - (int(s.slots).bit_length() - 5))
-        for k, order in enumerate(s.orders):
-            hashed = self._hashed(data, place, order)
-            for part, (salt, nodes) in enumerate(((np.uint64(0), upper), (half, lower))):
-                mixed = (hashed + salt) * np.uint64(0x9E3779B97F4A7C15)
-                mixed ^= mixed >> np.uint64(29)
-                mixed *= np.uint64(0xBF58476D1CE4E5B9)
-                line = (mixed >> lines).astype(np.int32) * 16 + k * s.slots
-                np.add(line[:, None], nodes, out=slots[k, :, part])
-        self.slots = slots.reshape(len(s.orders), -1)
+        contexts = self._hashed(data, place, s.orders if only is None else s.orders[only : only + 1])
+        if skip is not None and skip.any():
+            kept = place >= skip[self.run]
+            data, self.run, contexts = data[kept], self.run[kept], [x[kept] for x in contexts]
+        if only is not None:
+            contexts = [None] * only + contexts
+        self.contexts, self.s = contexts, s
+        self.data, self.bit = data, np.unpackbits(data)
+        self.upper, self.lower = _NODES.take(data >> 4, axis=0, mode="clip"), _NODES.take(data & 15, axis=0, mode="clip")
+        self.half = ((data >> 4).astype(np.uint32) + np.uint32(1)) * np.uint32(0x9E3779B1)
+
+    def nodes(self) -> np.ndarray:
+        """The bits of each byte so far, with a leading one: a node of the byte's tree."""
+        return ((self.data.astype(np.int64)[:, None] | 256) >> np.arange(8, 0, -1)).ravel()
+
+    def slots(self, k: int) -> np.ndarray:
+        """The slot of every bit in the table of an order, behind the tables before it."""
+        s, hashed = self.s, self.contexts[k]
+        out = np.empty((len(hashed), 2, 4), np.int64)
+        lines = np.uint32(32 - (int(s.slots).bit_length() - 5))
+        for part, (mixed, nodes) in enumerate(((hashed.copy(), self.upper), (hashed + self.half, self.lower))):
+            mixed ^= mixed >> np.uint32(15)
+            mixed *= np.uint32(0x85EBCA77)
+            mixed ^= mixed >> np.uint32(13)
+            mixed *= np.uint32(0xC2B2AE3D)
+            mixed >>= lines
+            np.add((mixed.astype(np.int64) * 16 + k * s.slots)[:, None], nodes, out=out[:, part])
+        return out.ravel()
 
     @staticmethod
-    def _hashed(data: np.ndarray, place: np.ndarray, order: int) -> np.ndarray:
-        """Hash of the last ``order`` bytes of the token before each byte, and how many they are."""
-        out = np.minimum(place, order).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-        if order > 8:  # the whole token so far: a polynomial, one step per place over all tokens
-            steps = np.zeros(len(data), np.uint64)
-            for at in range(1, int(place.max(initial=0)) + 1):
-                rows = np.flatnonzero(place == at) if at < 3 else rows[np.flatnonzero(place[np.minimum(rows + 1, len(data) - 1)] == at)] + 1
-                steps[rows] = (steps[rows - 1] + data[rows - 1] + np.uint64(1)) * np.uint64(0x100000001B3)
-            return out + steps * np.uint64(0xC2B2AE3D27D4EB4F)
-        for back in range(1, order + 1):
-            seen = np.zeros(len(data), np.uint64)
-            seen[back:] = data[:-back].astype(np.uint64) + np.uint64(1)
+    def _hashed(data: np.ndarray, place: np.ndarray, orders: tuple[int, ...]) -> list[np.ndarray]:
+        """For each of the orders a hash of what lies before each byte."""
+        out: dict[int, np.ndarray] = {}
+        given = data.astype(np.uint32) + np.uint32(1)
+        nearest = [k for k in orders if k < WORD]
+        last = np.zeros(len(data), np.uint32)
+        for back in range(1, max(nearest, default=0) + 1):
+            seen = np.zeros(len(data), np.uint32)
+            seen[back:] = given[:-back]
             seen[place < back] = 0
-            out = (out ^ seen) * np.uint64(0x100000001B3)
-            out ^= out >> np.uint64(31)
-        return out
+            last = (last ^ seen) * np.uint32(0x01000193)
+            last ^= last >> np.uint32(15)
+            out[back] = last
+        if max(orders) >= WORD:
+            at = np.arange(len(data))
+            first = place == 0
+            opens = first.copy()
+            opens[1:] |= data[:-1] == 32
+            start = np.maximum.accumulate(np.where(opens, at, 0))
+            # A sum over the word so far, times a power that does not depend on where it stands.
+            up, down = (x[: len(data)] for x in _powers(1 << max(16, len(data).bit_length())))
+            sums = np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up)
+            before = np.concatenate([[np.uint64(0)], sums[:-1]])
+            word = (before - before[start]) * down[start] * np.uint64(0x9E3779B97F4A7C15)
+            out[WORD] = (word >> np.uint64(32)).astype(np.uint32)
+            # The hash at the blank before is that of the whole word before.
+            ended = np.where(first[start], np.uint32(0), out[WORD][np.maximum(start - 1, 0)] + np.uint32(1))
+            out[PAIR] = (out[WORD] ^ ended * np.uint32(0x27D4EB2F)) * np.uint32(0x165667B1)
+        return [out[k] for k in orders]
 
 
 @dataclass
 class Model:
-    stretched: np.ndarray  # (order * slot): prediction of the training tokens
-    levels: np.ndarray  # (order * slot): how often it was seen, 0 for never
+    known: np.ndarray  # (order * slot): prediction of the training texts; its last three bits: how often it was seen
     weights: np.ndarray  # (gate, order)
     refined: np.ndarray  # (node, step): probability of a one
 
@@ -146,17 +204,15 @@ def _level(total: np.ndarray) -> np.ndarray:
     return out
 
 
-def _gate(levels: np.ndarray) -> np.ndarray:
-    """How many contexts are known, and how often the longest of them was seen."""
-    known = (levels > 0).sum(axis=0)
-    longest = levels[np.maximum(known - 1, 0), np.arange(levels.shape[1])]
-    return known * LEVELS + np.maximum(longest, 1) - 1
+def _gate(longest: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """How often the two longest contexts were seen."""
+    return other.astype(np.int64) * (LEVELS + 1) + longest
 
 
 def _mixed(weights: np.ndarray, gate: np.ndarray, inputs: np.ndarray) -> np.ndarray:
     out = np.zeros(len(gate), np.float32)
     for k, row in enumerate(inputs):
-        out += weights[:, k].astype(np.float32)[gate] * row
+        out += weights[:, k].astype(np.float32).take(gate, mode="clip") * row
     return out
 
 
@@ -164,11 +220,11 @@ def _refine_place(x: np.ndarray, s: Settings) -> np.ndarray:
     return np.rint((np.clip(x, -8, 8) + 8) * ((s.refine - 1) / 16)).astype(np.int32)
 
 
-def bit_counts(words: list[bytes], n: np.ndarray, sums: np.ndarray, s: Settings) -> None:
-    bits = Bits(words, s)
-    weight = n[bits.token]
-    for k, order in enumerate(bits.slots):
-        both = np.bincount((order - k * s.slots) * 2 + bits.bit, weight, minlength=2 * s.slots)
+def bit_counts(runs: list[bytes], n: np.ndarray, sums: np.ndarray, s: Settings, skip: np.ndarray | None = None) -> None:
+    bits = Bits(runs, s, skip)
+    weight = np.repeat(n[bits.run], 8)
+    for k in range(len(s.orders)):
+        both = np.bincount((bits.slots(k) - k * s.slots) * 2 + bits.bit, weight, minlength=2 * s.slots)
         sums[:, k * s.slots : (k + 1) * s.slots] += both.reshape(-1, 2).T
 
 
@@ -182,29 +238,73 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(data[1:]), f"<u{data[:1].decode()}").reshape(2, -1).astype(np.float64)
 
 
-def count_bits(words: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """(block, counts): zeros and ones of a block of slots over the training tokens, weighted by how
+Runs = tuple[list[bytes], np.ndarray, np.ndarray]  # with how often each occurs, and how much of it is context
+
+
+def given_runs(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Runs]:
+    """Rows (run, n) as they are."""
+    for batch in batches:
+        given, n = batch.column(0).to_pylist(), batch.column(1).to_numpy().astype(np.float64)
+        for at in range(0, len(given), max(1, size // 8)):
+            part = given[at : at + max(1, size // 8)]
+            yield part, n[at : at + len(part)], np.zeros(len(part), int)
+
+
+def text_runs(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Runs]:
+    """Pieces of the texts of rows (text), about so many bytes at a time."""
+    for batch in batches:
+        for held, _, skip in placed_pieces(batch.column(0).to_pylist(), size):
+            yield held, np.ones(len(held)), skip
+
+
+def placed_pieces(texts: list[str | None], size: int) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
+    """Pieces, the place of each one's text, and how much of it is context."""
+    held, of, skip, room = [], [], [], size
+    for place, text in enumerate(texts):
+        for piece, repeated in pieces(text, size):
+            held.append(piece)
+            of.append(place)
+            skip.append(repeated)
+            room -= len(piece)
+            if room <= 0:
+                yield held, np.array(of), np.array(skip)
+                held, of, skip, room = [], [], [], size
+    if held:
+        yield held, np.array(of), np.array(skip)
+
+
+def count_bits(rows: DataFrame, s: Settings = Settings(), runs: Callable[[Iterator, int], Iterator[Runs]] = given_runs) -> DataFrame:
+    """(block, counts): zeros and ones of a block of slots over the training runs, weighted by how
     often each occurs, as packed unsigned integers.
 
-    A task adds up all of its tokens, and passes on each block once.
+    Each order has tasks of its own. A task adds up all of its runs in the order's table, and passes
+    on each block once.
     """
     size = len(s.orders) * s.slots
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, size))
+        sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            given, n = batch.column(0).to_pylist(), batch.column(1).to_numpy().astype(np.float64)
-            for at in range(0, len(given), 50_000):
-                bit_counts(given[at : at + 50_000], n[at : at + 50_000], sums, s)
-        for at in range(0, size, BLOCK):
-            if (own := sums[:, at : at + BLOCK]).any():
-                yield pa.record_batch([pa.array([at // BLOCK]), pa.array([_packed(own)], pa.binary())], ["block", "counts"])
+            k = batch.column(batch.num_columns - 1)[0].as_py() if batch.num_rows else 0
+            # Whole blocks, which the tables of other orders may share.
+            low, high = k * s.slots // BLOCK * BLOCK, min(size, -(-(k + 1) * s.slots // BLOCK) * BLOCK)
+            own = sums.setdefault(low, np.zeros(2 * (high - low), np.int64))
+            for part, n, skip in runs(iter([batch]), s.chunk):
+                bits = Bits(part, s, skip, only=k)
+                weight = n.astype(np.int64)
+                each = np.int64(1) if (weight == 1).all() else np.repeat(weight[bits.run], 8)
+                np.add.at(own, (bits.slots(k) - low) * 2 + bits.bit, each)
+        for low, own in sums.items():
+            for at in range(0, len(own) // 2, BLOCK):
+                if (part := own[2 * at : 2 * (at + BLOCK)]).any():
+                    yield pa.record_batch([pa.array([(low + at) // BLOCK]), pa.array([_packed(part.reshape(-1, 2).T)], pa.binary())], ["block", "counts"])
 
     def add(group: pa.Table) -> pa.Table:
         total = sum(_unpacked(x) for x in group["counts"].to_pylist())
         return pa.table({"block": group["block"].slice(0, 1), "counts": pa.array([_packed(total)], pa.binary())})
 
-    found = words.where("n > 0").mapInArrow(run, "block long, counts binary")
+    tagged = [rows.coalesce(s.tasks).withColumn("_order", F.lit(k)) for k in range(len(s.orders))]
+    found = reduce(DataFrame.unionByName, tagged).mapInArrow(run, "block long, counts binary")
     return found.groupBy("block").applyInArrow(add, "block long, counts binary")
 
 
@@ -217,15 +317,21 @@ class Mixer:
         self.uses = np.zeros(_gates(s))
         self.tried, self.ones = np.zeros((256, s.refine)), np.zeros((256, s.refine))
 
-    def learn(self, words: list[bytes], n: np.ndarray, counts: np.ndarray) -> None:
-        """One step over a few tokens that occur ``n`` times. One occurrence of each is taken out of
+    def learn(self, runs: list[bytes], n: np.ndarray, counts: np.ndarray, skip: np.ndarray | None = None) -> None:
+        """One step over a few runs that occur ``n`` times. One occurrence of each is taken out of
         the counts, so that weights are not learned from what has been counted already."""
-        bits = Bits(words, self.s)
-        often, ones = n[bits.token], bits.bit.astype(np.float32)
-        zero, one = counts[0][bits.slots] - (1 - ones), counts[1][bits.slots] - ones
-        inputs, gate = _stretched(zero, one, self.s), _gate(_level(zero + one))
+        bits = Bits(runs, self.s, skip)
+        often, ones = np.repeat(n[bits.run], 8), bits.bit.astype(np.float32)
+        inputs, levels = np.empty((len(self.s.orders), len(ones)), np.float32), []
+        for k in range(len(inputs)):
+            slots = bits.slots(k)
+            zero, one = counts[0].take(slots, mode="clip") - (1 - ones), counts[1].take(slots, mode="clip") - ones
+            inputs[k] = _stretched(zero, one, self.s)
+            if k >= len(inputs) - 2:
+                levels.append(_level(zero + one))
+        gate = _gate(levels[-1], levels[0])
         mixed = _mixed(self.weights, gate, inputs)
-        place, cells = bits.node * self.s.refine + _refine_place(mixed, self.s), self.tried.size
+        place, cells = bits.nodes() * self.s.refine + _refine_place(mixed, self.s), self.tried.size
         self.tried += np.bincount(place, often, minlength=cells).reshape(self.tried.shape)
         self.ones += np.bincount(place, often * ones, minlength=cells).reshape(self.ones.shape)
         # A step along the mean gradient of each gate, scaled by the inputs' squares.
@@ -238,20 +344,18 @@ class Mixer:
 
 
 def _gates(s: Settings) -> int:
-    return LEVELS * (len(s.orders) + 1)
+    return (LEVELS + 1) ** 2
 
 
-def _learn_mix(words: DataFrame, shared, s: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and refinement: every task learns online over its tokens, and the tasks' results are
+def _learn_mix(rows: DataFrame, shared, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and refinement: every task learns online over its texts, and the tasks' results are
     averaged by the bits they saw."""
     gates, orders = _gates(s), len(s.orders)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mixer = Mixer(s)
-        for batch in batches:
-            given, n = batch.column(0).to_pylist(), batch.column(1).to_numpy().astype(np.float64)
-            for at in range(0, len(given), s.batch):
-                mixer.learn(given[at : at + s.batch], n[at : at + s.batch], shared.value)
+        for part in text_runs(batches, s.step):
+            mixer.learn(part[0], part[1], shared.value, part[2])
         g, k = (x.ravel() for x in np.indices((gates, orders)))
         r = np.flatnonzero(mixer.tried)
         names = ["w"] * len(g) + ["r"] * len(r)
@@ -261,7 +365,7 @@ def _learn_mix(words: DataFrame, shared, s: Settings) -> tuple[np.ndarray, np.nd
         kept = totals > 0
         yield pa.record_batch([pa.array(names, pa.string()), pa.array(places), pa.array(sums), pa.array(totals)], ["kind", "place", "x", "n"]).filter(pa.array(kept))
 
-    parts = words.where("n > 0").mapInArrow(run, "kind string, place long, x double, n double")
+    parts = rows.mapInArrow(run, "kind string, place long, x double, n double")
     # Rounded before they are summed, so that the sum does not depend on the order.
     exact = [F.sum(F.col(c).cast("decimal(38,6)")).cast("double").alias(c) for c in ("x", "n")]
     weights, refined = np.full(gates * orders, 1.0 / orders), np.zeros((2, 256 * s.refine))
@@ -278,44 +382,56 @@ def refine_table(ones: np.ndarray, tried: np.ndarray, s: Settings) -> np.ndarray
     return (ones + 20 * _squash(np.linspace(-8, 8, s.refine))) / (tried + 20)
 
 
-def learn(words: DataFrame, s: Settings = Settings()) -> Model:
-    """Model of a written vocabulary. Its tables have a fixed number of slots; the counts of those
-    and the weights are what reaches the driver."""
+def learn(rows: DataFrame, s: Settings = Settings()) -> Model:
+    """Model of the texts of rows (text). Its tables have a fixed number of slots; the counts of
+    those and the weights are what reaches the driver."""
+    rows = rows.select("text")
     counts = np.zeros((2, len(s.orders) * s.slots), np.float32)
-    for block, data in count_bits(words, s).toLocalIterator():
+    for block, data in count_bits(rows, s, text_runs).toLocalIterator():
         own = _unpacked(data)
         counts[:, block * BLOCK : block * BLOCK + own.shape[1]] = own
-    shared = words.sparkSession.sparkContext.broadcast(counts)
-    return model_of(counts, *_learn_mix(words, shared, s), s)
+    shared = rows.sparkSession.sparkContext.broadcast(counts)
+    mix = _learn_mix(rows, shared, s)
+    shared.destroy()
+    return model_of(counts, *mix, s)
 
 
 def model_of(counts: np.ndarray, weights: np.ndarray, refined: np.ndarray, s: Settings) -> Model:
-    return Model(_stretched(*counts.astype(np.float32), s), _level(counts.sum(axis=0)), weights, refined)
-
-
-def token_scores(words: list[bytes], model: Model, s: Settings = Settings()) -> np.ndarray:
-    """log10 probability of each token."""
-    bits = Bits(words, s)
-    mixed = _mixed(model.weights, _gate(model.levels[bits.slots]), model.stretched[bits.slots])
+    known = np.empty(counts.shape[1], np.float32)
+    for at in range(0, len(known), BLOCK):
+        own = counts[:, at : at + BLOCK].astype(np.float32)
+        bits = _stretched(*own, s).view(np.uint32) & ~np.uint32(7) | _level(own.sum(axis=0))
+        known[at : at + BLOCK] = bits.view(np.float32)
+    return Model(known, weights, refined)
+
+
+def token_scores(runs: list[bytes], model: Model, s: Settings = Settings(), skip: np.ndarray | None = None) -> np.ndarray:
+    """log10 probability of each run."""
+    bits = Bits(runs, s, skip)
+    inputs = np.empty((len(s.orders), len(bits.bit)), np.float32)
+    for k in range(len(inputs)):
+        inputs[k] = model.known.take(bits.slots(k), mode="clip")
+    mixed = _mixed(model.weights, _gate(*(inputs[k].view(np.uint32) & 7 for k in (-1, -2))), inputs)
     first = _squash(mixed)
-    second = model.refined[bits.node, _refine_place(mixed, s)]
+    second = model.refined.ravel().take(bits.nodes() * s.refine + _refine_place(mixed, s), mode="clip")
     ones = np.clip((first + second) / 2, 1e-6, 1 - 1e-6)
     logs = np.log10(np.where(bits.bit, ones, 1 - ones))
-    return np.bincount(bits.token, logs, minlength=len(words))
+    return np.bincount(bits.run, logs.reshape(-1, 8).sum(axis=1), minlength=len(runs))
 
 
-def scored_vocabulary(words: DataFrame, model: Model, s: Settings = Settings()) -> DataFrame:
-    shared = words.sparkSession.sparkContext.broadcast(model)
+def text_scores(docs: DataFrame, model: Model, s: Settings = Settings()) -> DataFrame:
+    """(row, doc_id, held_out, score): log10 probability of the text of every row."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 10_000):
-                part = batch.slice(at, 10_000)
-                given = part.column(0).to_pylist()
-                keys = [xxhash.xxh64_intdigest(w) - (1 << 63) for w in given]
-                yield pa.record_batch([pa.array(keys, pa.int64()), part.column(1), pa.array(token_scores(given, shared.value, s))], ["key", "c", "score"])
+            scores = np.zeros(batch.num_rows)
+            for held, of, skip in placed_pieces(batch.column(0).to_pylist(), s.chunk):
+                np.add.at(scores, of, token_scores(held, shared.value, s, skip))
+            yield pa.record_batch([*batch.columns[1:], pa.array(scores)], ["row", "doc_id", "held_out", "score"])
 
-    return words.mapInArrow(run, "key long, c long, score double")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("text", "row", "doc_id", "held_out").mapInArrow(run, f"row long, doc_id {kind}, held_out boolean, score double")
 
 
 def document_terms(docs: DataFrame) -> DataFrame:
@@ -329,10 +445,10 @@ def document_terms(docs: DataFrame) -> DataFrame:
                 for text, row in zip(texts[at : at + 256], rows[at : at + 256]):
                     found = Counter(tokens(text))
                     own.append((row, len(found)))
-                    keys += [xxhash.xxh64_intdigest(w) for w in found]
+                    keys += [xxhash.xxh64_intdigest(w, 42) for w in found]  # as Spark hashes them
                     times += found.values()
                 names = np.repeat(np.array([r for r, _ in own], np.int64), [n for _, n in own])
-                hashed = (np.array(keys, np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
+                hashed = np.array(keys, np.uint64).view(np.int64)
                 yield pa.record_batch([pa.array(names), pa.array(hashed), pa.array(times, pa.int32())], ["row", "key", "k"])
 
     return docs.select("text", "row").mapInArrow(run, "row long, key long, k int")
@@ -352,8 +468,9 @@ def score_documents(docs: DataFrame, s: Settings = Settings(), limits: JoinLimit
     words = materialize(vocabulary(rows, s))
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1)), F.count(F.lit(1))).first()
     total, distinct, size = (int(x) for x in sums)
-    scored = materialize(scored_vocabulary(words, learn(words, s), s))
-    known = F.broadcast(scored) if size * ID_BYTES <= limits.broadcast_bytes else scored.hint("merge")
+    scored = materialize(text_scores(rows, learn(rows.where("train"), s), s))
+    counted = words.select(F.xxhash64("token").alias("key"), F.col("n").alias("c"))
+    known = F.broadcast(counted) if size * ID_BYTES <= limits.broadcast_bytes else counted.hint("merge")
     joined = document_terms(rows).join(known, "key")
     k = F.col("k").cast("long")
     base = F.log10((F.col("c") + 1) / F.lit(float(total + distinct + 1)))
@@ -361,13 +478,12 @@ def score_documents(docs: DataFrame, s: Settings = Settings(), limits: JoinLimit
         F.sum(k).alias("n_tokens"),
         F.sum(F.when(F.col("c") > 0, k).otherwise(0)).alias("n_known"),
         F.sum(k * base).alias("base_score"),
-        F.sum(k * F.col("score")).alias("score"),
     )
-    # Equal rows share a key and were added up together.
-    copies = rows.groupBy("row", "doc_id", "held_out").agg(F.count(F.lit(1)).alias("copies"))
+    # Equal rows share a key: their terms were added up together, their scores agree.
+    copies = scored.groupBy("row", "doc_id", "held_out").agg(F.count(F.lit(1)).alias("copies"), F.min("score").alias("score"))
     out = copies.join(values, "row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     share = lambda c, kind: (F.col(c) / F.col("copies")).cast(kind).alias(c)
-    return out.select("doc_id", "held_out", share("n_tokens", "long"), share("n_known", "long"), F.lit(total).cast("long").alias("train_tokens"), share("base_score", "double"), share("score", "double"))
+    return out.select("doc_id", "held_out", share("n_tokens", "long"), share("n_known", "long"), F.lit(total).cast("long").alias("train_tokens"), share("base_score", "double"), "score")
 
 
 def op10_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

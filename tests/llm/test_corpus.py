@@ -410,6 +410,54 @@ def test_held_out_score_per_known_token_is_near_the_base(spark):
     assert rows[1] > 1.3 * rows[0]
 
 
+def small_model(texts, s):
+    counts, one = np.zeros((2, len(s.orders) * s.slots)), lambda x: np.ones(len(x))
+    parts = list(mixing.placed_pieces(texts, 1 << 20))
+    for runs, _, skip in parts:
+        mixing.bit_counts(runs, one(runs), counts, s, skip)
+    mixer = mixing.Mixer(s)
+    for _ in range(20):
+        for runs, _, skip in parts:
+            mixer.learn(runs, one(runs), counts.astype(np.float32), skip)
+    return mixing.model_of(counts, mixer.weights, mixing.refine_table(mixer.ones, mixer.tried, s), s)
+
+
+def test_contexts_reach_over_words():
+    """The same words in another order are another text, also in the next word but one's last bytes."""
+    s = mixing.Settings(slots=1 << 14)
+    model = small_model(["red fox runs to the blue house"] * 30 + ["the red house"] * 5, s)
+
+    def score(text):
+        (runs, _, skip), = mixing.placed_pieces([text], 1 << 20)
+        return mixing.token_scores(runs, model, s, skip).sum()
+
+    assert score("red fox runs to the blue house") > score("house blue the to runs fox red") + 5
+
+
+def test_pieces_say_what_the_whole_text_says():
+    rng = random.Random(4)
+    text = " ".join("".join(rng.choices("abcd", k=rng.choice([1, 2, 9, 300]))) for _ in range(400)) + " \n"
+    s = mixing.Settings(slots=1 << 14)
+    model = small_model([text[:3000], "a b"], s)
+    whole, cut = (list(mixing.pieces(text, size)) for size in (1 << 20, 50))
+    assert len(whole) == 1 and len(cut) > 100
+    assert b"".join(x[k:] for x, k in cut) == whole[0][0]
+    score = lambda found: mixing.token_scores([x for x, _ in found], model, s, np.array([k for _, k in found])).sum()
+    assert score(cut) == pytest.approx(score(whole), rel=1e-6)
+    assert list(mixing.pieces(None)) == list(mixing.pieces(" ")) == [(mixing.END, 0)]
+
+
+def test_scores_depend_on_the_order_of_words(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").where("doc_id < 60")
+    rows = [tuple(r) for r in docs.collect()]
+    held = next(t for d, t in rows if zlib.crc32(str(d).encode()) % 7 == 2 and len((t or "").split()) > 30)
+    fold = [d for d in range(10_000, 10_200) if zlib.crc32(str(d).encode()) % 7 == 2][:2]
+    rows += [(fold[0], held), (fold[1], " ".join(reversed(held.split())))]
+    found = {r["doc_id"]: r for r in mixing.score_documents(spark.createDataFrame(rows, "doc_id long, text string")).where(F.col("doc_id").isin(fold)).collect()}
+    assert found[fold[0]]["base_score"] == pytest.approx(found[fold[1]]["base_score"])
+    assert abs(found[fold[0]]["score"] - found[fold[1]]["score"]) > 1
+
+
 def test_pipeline(spark, docs, tmp_path):
     docs.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
     now = spark.read.parquet(f"{tmp_path}/documents.parquet")
