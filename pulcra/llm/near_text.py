@@ -28,7 +28,7 @@ from pyspark.sql.functions import arrow_udf
 from pulcra.llm.common import components, in_small_batches, without
 from pulcra.llm.simhash_pivot import Settings as PivotSettings
 from pulcra.llm.simhash_pivot import fingerprint, linked
-from pulcra.llm.tiles import self_tiles
+from pulcra.llm.tiles import TILE, self_tiles
 from pulcra.operators.lookup import lookup_join, materialize, work_folder, work_tables, write_observed
 
 
@@ -43,6 +43,7 @@ class Settings:
     cell_rows: int = 1000  # texts that a cell of a table should hold, about
     block: int = 2048
     pairs: int = 2  # near the threshold that a tile passes on at first, for each text
+    sets: int = 256  # shingle sets of either side of a tile where pairs are decided
 
 
 HASHES = 256  # in a signature, two bits of each
@@ -216,28 +217,44 @@ def _row_key() -> Column:
     return F.xxhash64("doc_id", F.col("doc_id").isNull(), "text")
 
 
+def tiled_pairs(pairs: DataFrame, s: Settings) -> DataFrame:
+    """Written pairs (u, v) with the tile where they are decided: two blocks of the texts that hang
+    together by pairs, so that a text goes to few tiles, whatever the number of its pairs."""
+    others = components(pairs)  # without the roots themselves
+    roots = others.unionByName(others.select("root", F.col("root").alias("node")).distinct())
+    blocks = roots.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / s.sets).alias("_blocks")).where("_blocks > 1")
+    own = F.pmod(F.xxhash64("node"), F.coalesce("_blocks", F.lit(1))).cast("int")
+    placed = materialize(roots.join(blocks, "root", "left").select("node", F.col("root").alias("_cell"), own.alias("_own")))
+    sides = {"u": ["_cell"], "v": []}
+    for side, kept in sides.items():
+        pairs = pairs.join(placed.select(F.col("node").alias(side), *kept, F.col("_own").alias(f"_{side}")), side)
+    return pairs.select("u", "v", "_cell", F.least("_u", "_v").alias("_home"), F.greatest("_u", "_v").alias("_probe"))
+
+
 def similar_pairs(pairs: DataFrame, docs: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
     """Of written pairs (u, v) of classes those whose texts share enough shingles.
 
-    The shingles of each class in question are written once, those of the row that stands for it.
+    The shingles of each class in question, those of the row that stands for it, go once to each tile
+    that has a pair of it.
     """
-    nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-    asked = materialize(nodes.join(classes.select("node", F.col("found.key").alias("_key")), "node"))
+    tiled = materialize(tiled_pairs(pairs, s))
+    ends = tiled.select(F.explode(F.array("u", "v")).alias("node"), F.struct(*TILE).alias("_tile"))
+    needed = ends.groupBy("node").agg(F.collect_set("_tile").alias("_tiles"))
+    asked = materialize(needed.join(classes.select("node", F.col("found.key").alias("_key")), "node"))
 
     @arrow_udf("binary")
     def sets(texts: pa.Array) -> pa.Array:
         return pa.array([shingle_set(t, s) for t in texts.to_pylist()], pa.binary())
 
-    @arrow_udf("double")
-    def share(a: pa.Array, b: pa.Array) -> pa.Array:
-        return pa.array([exact_similarity(x, y) for x, y in zip(a.to_pylist(), b.to_pylist())], pa.float64())
+    def decide(given: pa.Table, held: pa.Table) -> pa.Table:
+        of = dict(zip(held["node"].to_pylist(), held["held"].to_pylist()))  # equal rows of one doc_id are the same text
+        alike = [exact_similarity(of[a], of[b]) >= s.similarity for a, b in zip(given["u"].to_pylist(), given["v"].to_pylist())]
+        return given.select(["u", "v"]).filter(pa.array(alike, pa.bool_()))
 
     own = in_small_batches(docs).select("text", _row_key().alias("_key")).join(asked, "_key")
-    # Equal rows of one doc_id are the same text.
-    held = materialize(own.select("node", sets("text").alias("held")).groupBy("node").agg(F.any_value("held").alias("held")))
-    for side in ("u", "v"):
-        pairs = pairs.join(held.select(F.col("node").alias(side), F.col("held").alias(f"held_{side}")), side)
-    return pairs.where(share("held_u", "held_v") >= s.similarity).select("u", "v")
+    held = own.select("node", "_tiles", sets("text").alias("held")).select("node", "held", F.explode("_tiles").alias("_tile"))
+    held = held.select("_tile.*", "node", "held")
+    return tiled.groupBy(*TILE).cogroup(held.groupBy(*TILE)).applyInArrow(decide, "u long, v long")
 
 
 def near_texts(docs: DataFrame, s: Settings = Settings()) -> DataFrame:

@@ -181,6 +181,27 @@ def test_pairs_near_the_threshold_are_decided_by_shingles(spark, allowed):
     assert sum(found[i] != least[own[i]] for i, _ in rows) <= 0.02 * len(rows)
 
 
+def test_shingles_travel_by_tile_and_not_by_pair(spark):
+    """All pairs of one group and some chains: decided as by brute force, with few sets on the way."""
+    rng, count = random.Random(5), 40
+    texts = {n: " ".join(rng.choices("abcdefghijkl", k=9)) for n in range(count + 20)}
+    for n in range(0, count, 2):
+        texts[n + 1] = texts[n]
+    links = [(i, j) for i in range(count) for j in range(i)] + [(i, i - 1) for i in range(count + 1, count + 20)]
+    docs = spark.createDataFrame([(n, t) for n, t in texts.items()], "doc_id long, text string")
+    keyed = docs.select(F.col("doc_id").alias("node"), F.struct(near_text._row_key().alias("key")).alias("found"))
+    pairs = spark.createDataFrame(links, "u long, v long")
+    s = near_text.Settings(sets=10, shingle=2)
+    held = {n: set(zip(t.split(), t.split()[1:])) for n, t in texts.items()}
+    alike = {(i, j) for i, j in links if len(held[i] & held[j]) >= 0.8 * len(held[i] | held[j])}
+    found = [tuple(r) for r in near_text.similar_pairs(pairs, docs, keyed, s).collect()]
+    assert sorted(found) == sorted(alike) and len(alike) >= 20
+    tiled = near_text.tiled_pairs(pairs, s).collect()
+    sent = {(r["_cell"], r["_home"], r["_probe"], r[side]) for r in tiled for side in "uv"}
+    assert len(tiled) == len(links) and len(sent) <= 4 * count + 2 * 20
+    assert max(Counter(t[:3] for t in sent).values()) <= 40
+
+
 def test_many_pairs_near_the_threshold_are_passed_on_in_turns():
     """Unlike texts with similar signatures: every pair is passed on in the end, none twice a turn."""
     rng = np.random.default_rng(4)
