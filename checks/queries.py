@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,8 +44,13 @@ def dates_as_text(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("string") for c in kinds}) if kinds else df
 
 
-def outcome(spark: SparkSession, sf_dir: str) -> whole.Outcome:
-    return whole.clean_tables(dirty.tables(spark, sf_dir), SETTINGS)
+def outcome(spark: SparkSession, sf_dir: str, values: Collection[str] | None = None) -> whole.Outcome:
+    return whole.clean_tables(dirty.tables(spark, sf_dir), SETTINGS, values=values)
+
+
+def totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit trail's totals; no value of a row is read for them."""
+    return outcome(spark, sf_dir, values=()).totals
 
 
 def before_after(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -599,12 +604,12 @@ def issues_all(spark, sf_dir):
 
 @query("issues_by_severity")
 def issues_by_severity(spark, sf_dir):
-    return audit.issues_by_severity(outcome(spark, sf_dir).totals)
+    return audit.issues_by_severity(totals(spark, sf_dir))
 
 
 @query("issues_by_rule")
 def issues_by_rule(spark, sf_dir):
-    return audit.issues_by_rule(outcome(spark, sf_dir).totals)
+    return audit.issues_by_rule(totals(spark, sf_dir))
 
 
 @query("rejected_counts")
@@ -625,18 +630,17 @@ def report_top_nulls(spark, sf_dir):
 
 @query("report_top_rules")
 def report_top_rules(spark, sf_dir):
-    totals = audit.rule_totals(outcome(spark, sf_dir).totals)
-    return audit.top_rules(totals).select("rank", "rule_id", "count")
+    return audit.top_rules(audit.rule_totals(totals(spark, sf_dir))).select("rank", "rule_id", "count")
 
 
 @query("report_evidence")
 def report_evidence(spark, sf_dir):
-    return audit.evidence(audit.rule_totals(outcome(spark, sf_dir).totals))
+    return audit.evidence(audit.rule_totals(totals(spark, sf_dir)))
 
 
 @query("report_rule_impact")
 def report_rule_impact(spark, sf_dir):
-    return audit.rule_impact(audit.rule_totals(outcome(spark, sf_dir).totals))
+    return audit.rule_impact(audit.rule_totals(totals(spark, sf_dir)))
 
 
 @query("report_completeness_delta")

@@ -30,12 +30,12 @@ def _iso(text: Column) -> Column:
 def _spanish(text: Column) -> Column:
     day, month, year = (F.regexp_extract(text, SPANISH_DATE_PATTERN, i) for i in (1, 2, 3))
     number = lookup_constant(SPANISH_MONTHS, F.lower(month))
-    return _calendar_date(year, number.cast("string"), day)
+    return F.when(text.rlike(SPANISH_DATE_PATTERN), _calendar_date(year, number.cast("string"), day))
 
 
 def _swapped(text: Column) -> Column:
     year, day, month = (F.regexp_extract(text, SWAPPED_DATE_PATTERN, i) for i in (1, 2, 3))
-    return _calendar_date(year, month, day)
+    return F.when(text.rlike(SWAPPED_DATE_PATTERN), _calendar_date(year, month, day))
 
 
 def parse_date(value: Column) -> Column:

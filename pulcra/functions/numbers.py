@@ -13,6 +13,10 @@ from pulcra.catalogs import DECIMAL_PATTERN, INFINITY_PATTERN, INTEGER_PATTERN
 from pulcra.functions.text import strip
 
 
+def _without_groups(text: Column) -> Column:
+    return F.replace(text, F.lit("_"), F.lit(""))
+
+
 def try_int(value: Column) -> Column:
     """Whole number as bigint.
 
@@ -20,8 +24,8 @@ def try_int(value: Column) -> Column:
     text in the source document.
     """
     text = strip(value.cast("string"))
-    whole = F.regexp_replace(F.regexp_replace(text, r"\.0+$", ""), "_", "")
-    return F.when(text.rlike(INTEGER_PATTERN), whole.try_cast("bigint"))
+    whole = F.when(text.contains("."), F.regexp_replace(text, r"\.0+$", "")).otherwise(text)
+    return F.when(text.rlike(INTEGER_PATTERN), _without_groups(whole).try_cast("bigint"))
 
 
 def int_text(value: Column) -> Column:
@@ -33,4 +37,4 @@ def try_double(value: Column) -> Column:
     """Decimal or scientific text as double; infinities are numbers, ``nan`` is null."""
     text = strip(value.cast("string"))
     numeric = text.rlike(DECIMAL_PATTERN) | text.rlike(INFINITY_PATTERN)
-    return F.when(numeric, F.regexp_replace(text, "_", "").try_cast("double"))
+    return F.when(numeric, _without_groups(text).try_cast("double"))

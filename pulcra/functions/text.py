@@ -12,12 +12,20 @@ from pulcra.functions.literals import lookup_constant
 
 
 def strip(value: Column) -> Column:
-    """Trim all Unicode whitespace; Spark's plain ``trim`` removes spaces only."""
-    return F.btrim(value, F.lit(WHITESPACE))
+    """Trim all Unicode whitespace; Spark's plain ``trim`` removes spaces only.
+
+    Most texts begin and end with a visible ASCII character, which two comparisons of bytes tell.
+    Those are taken as they are: ``btrim`` looks every outer character up in a list and copies it.
+    """
+    text = value.cast("string")
+    last = F.substring(text, -1, 1)
+    plain = (text >= "!") & (text < "\x7f") & (last >= "!") & (last < "\x7f")
+    return F.when(plain, text).otherwise(F.btrim(text, F.lit(WHITESPACE)))
 
 
 def text_normalize(value: Column) -> Column:
-    return F.nullif(strip(value), F.lit(""))
+    text = strip(value)
+    return F.when(text != "", text)
 
 
 def normalize_catalog(value: Column, catalog: Mapping[str, str]) -> Column:

@@ -150,7 +150,7 @@ def split_appointments(resolved: DataFrame, settings: Settings = Settings()) ->
     Rejected rows show what the rule that dropped them saw: raw values where the key is missing,
     the raw amount, and texts before trimming where they were dropped earlier than that step.
     """
-    trimmed = [c for c in TRIMMED if c in resolved.columns]
+    trimmed = [c for c in TRIMMED if f"_{c}" in resolved.columns]
     scratch = ["_issues", "drop_rule", *[f"_{c}" for c in trimmed]]
     clean = resolved.where("drop_rule IS NULL").drop(*scratch)
 
@@ -200,7 +200,9 @@ def clean_appointments(
 
 def rejected_appointments(initial: DataFrame, orphans: DataFrame) -> DataFrame:
     """All rejected children, those of cleaning and those without a parent, by column name."""
-    as_text = {"fecha_cita": F.col("fecha_cita").cast("string")}
+    as_text = {}
+    if "fecha_cita" in orphans.columns:
+        as_text["fecha_cita"] = F.col("fecha_cita").cast("string")
     if "costo_original" in orphans.columns:
         as_text["costo"] = F.col("costo_original")
     return initial.unionByName(orphans.withColumns(as_text), allowMissingColumns=True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from functools import reduce
 from typing import NamedTuple
 
@@ -17,6 +17,7 @@ from pulcra.catalogs import (
     PARENT_EXPORT_COLUMNS,
     PARENT_KEY,
     PARENT_TABLE,
+    ROW_ID,
     SEX_MISSING,
 )
 from pulcra.config import JoinLimits, Settings
@@ -64,13 +65,27 @@ class Outcome(NamedTuple):
     rejected: dict[str, int]
 
 
+# What judging, counting and the audit trail read of a resolved table.
+_JUDGED = (ROW_ID, PARENT_KEY, CHILD_KEY, "estado_cita", "_issues", "drop_rule")
+
+
+def _with_values(resolved: DataFrame, values: Collection[str] | None) -> DataFrame:
+    if values is None:
+        return resolved
+    return resolved.select([c for c in resolved.columns if c in _JUDGED or c in values])
+
+
 def clean_tables(
     tables: Mapping[str, DataFrame],
     settings: Settings = Settings(),
     limits: JoinLimits = JoinLimits(),
+    values: Collection[str] | None = None,
 ) -> Outcome:
     """Clean both tables and reject children without a clean parent.
 
+    ``values`` names the clean values that the caller reads; all rows are cleaned, judged and counted,
+    but other values (and raw ones, kept for rejects) are not written. Counts and totals need none.
+
     Each table is resolved once and written; clean rows, rejects and issues read that table, and
     what a run counts of them is counted in the same pass. Children are judged in it as well, as long
     as the parents' keys may be broadcast as bits; else their clean rows are judged and written again.
@@ -80,7 +95,7 @@ def clean_tables(
     rules = patients.issue_entries(raw_parents)
     records = resolved_records(rules, patients.KEY_VIOLATIONS)
     resolved_parents, seen_parents = write_observed(
-        without_empty(resolve_patients(raw_parents, settings, limits=limits), rules),
+        _with_values(without_empty(resolve_patients(raw_parents, settings, limits=limits), rules), values),
         resolved_measures(records, patients.REJECTS),
     )
     seen_parents = first_records(resolved_parents, records, seen_parents)
@@ -88,7 +103,7 @@ def clean_tables(
     parents = split_patients(resolved_parents, settings, sex_given=sex_given)
     rules = appointments.issue_entries(raw_children)
     records = resolved_records(rules, appointments.KEY_VIOLATIONS)
-    resolved = without_empty(resolve_appointments(raw_children, settings, limits=limits), rules)
+    resolved = _with_values(without_empty(resolve_appointments(raw_children, settings, limits=limits), rules), values)
     marked = mark_by_set(resolved, PARENT_KEY, parents.clean, PARENT_KEY, limits)
     counts = {}
     if marked is not None:

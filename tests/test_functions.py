@@ -94,3 +94,9 @@ def test_row_comparison(spark):
     assert signatures == ["a|b", "ab|", "|ab", "ab|"]
     prints = [tuple(r) for r in df.select(*fn.row_fingerprint(["x", "y"])).collect()]
     assert prints[1] == prints[3] and len(set(prints)) == 3
+
+
+def test_strip_takes_the_short_way_for_plain_texts_only(evaluate):
+    edges = {"a": "a", "~!": "~!", "": "", " ": "", "\u00a0x\u3000": "x", "x\u2003": "x", "\x1cx": "x", "é ": "é", "\x7fx\x85": "\x7fx", "a\U0001f600 ": "a\U0001f600"}
+    assert evaluate(lambda c: fn.strip(c), list(edges)) == list(edges.values())
+    assert evaluate(lambda c: fn.text_normalize(c), ["\u2003", None, " a "]) == [None, None, "a"]

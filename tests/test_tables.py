@@ -343,3 +343,19 @@ def test_children_are_judged_while_written(spark, patients, visits, monkeypatch)
     assert found == {("b",): "R_ORPHAN_CITA", ("c",): "R_COST_NEGATIVE"}
     assert done.after[CHILD_TABLE] == 2 and done.rejected[CHILD_TABLE] == 2
     assert "_verdict" not in done.children.columns + done.children_rejected.columns
+
+
+def test_counts_write_no_values(spark, patients, visits):
+    """Totals and counts are the same when no value of a row is kept for a reader, and those are not written."""
+    rows = [GOOD, GOOD, (2, None, "bad", "200", "X", "bad", "1", None), (None, "n", None, None, None, None, None, None)]
+    kids = [visit("a", 1), visit("a", 1), visit("b", 9), visit("c", 1, cost="-1"), visit("d", 1, day="2040-01-01"), visit("f", 1), visit("f", 1, kind="Otra")]
+    given = {PARENT_TABLE: patients(*rows), CHILD_TABLE: visits(*kids)}
+    whole, few = clean_tables(given), clean_tables(given, values=())
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(audit.rule_totals(few.totals)) == key(audit.rule_totals(whole.totals))
+    assert key(few.issues) == key(whole.issues)
+    assert (few.before, few.after, few.rejected) == (whole.before, whole.after, whole.rejected)
+    assert {PARENT_TABLE: few.parents_rejected.count(), CHILD_TABLE: few.children_rejected.count()} == whole.rejected
+    assert not {"costo", "costo_original", "medico", "_medico"} & set(few.children.columns + few.children_rejected.columns)
+    some = clean_tables(given, values=CHILD_EXPORT_COLUMNS)
+    assert key(some.children) == key(whole.children.select(some.children.columns)) and set(CHILD_EXPORT_COLUMNS) <= set(some.children.columns)
