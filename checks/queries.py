@@ -614,7 +614,7 @@ def issues_by_rule(spark, sf_dir):
 
 @query("rejected_counts")
 def rejected_counts(spark, sf_dir):
-    done = outcome(spark, sf_dir)
+    done = outcome(spark, sf_dir, values=())
     return audit.rejected_counts(done.parents_rejected, done.children_rejected)
 
 
