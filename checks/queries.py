@@ -54,7 +54,7 @@ def totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def before_after(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = outcome(spark, sf_dir)
+    done = outcome(spark, sf_dir, values={*k.PARENT_COLUMNS, *k.CHILD_COLUMNS})
     after = {k.PARENT_TABLE: done.parents, k.CHILD_TABLE: done.children}
     return metrics.compare_metrics(dirty.tables(spark, sf_dir), after, SETTINGS)
 
