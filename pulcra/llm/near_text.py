@@ -29,6 +29,7 @@ from pulcra.llm.common import components, in_small_batches, without
 from pulcra.llm.simhash_pivot import Settings as PivotSettings
 from pulcra.llm.simhash_pivot import fingerprint, linked
 from pulcra.llm.tiles import TILE, self_tiles
+from pulcra.operators.keysets import key_words, mark_members
 from pulcra.operators.lookup import lookup_join, materialize, work_folder, work_tables, write_observed
 
 
@@ -44,6 +45,7 @@ class Settings:
     block: int = 2048
     pairs: int = 2  # near the threshold that a tile passes on at first, for each text
     sets: int = 256  # shingle sets of either side of a tile where pairs are decided
+    asked_bits: int = 1 << 24  # of the set that tells which texts those are, about
 
 
 HASHES = 256  # in a signature, two bits of each
@@ -231,6 +233,14 @@ def tiled_pairs(pairs: DataFrame, s: Settings) -> DataFrame:
     return pairs.select("u", "v", "_cell", F.least("_u", "_v").alias("_home"), F.greatest("_u", "_v").alias("_probe"))
 
 
+def maybe_asked(rows: DataFrame, asked: DataFrame, s: Settings) -> DataFrame:
+    """Rows whose ``_key`` is in ``asked``, and few others. Every task gets the keys as at most
+    ``asked_bits`` bits, so texts that are not asked for stay where they are, at any size."""
+    bit = F.pmod("_key", F.lit(s.asked_bits)).alias("_bit")
+    known = materialize(key_words(asked.select(bit), "_bit"))
+    return mark_members(rows.select("*", bit), "_bit", known, "_maybe").where("_maybe").drop("_bit", "_maybe")
+
+
 def similar_pairs(pairs: DataFrame, docs: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
     """Of written pairs (u, v) of classes those whose texts share enough shingles.
 
@@ -251,7 +261,7 @@ def similar_pairs(pairs: DataFrame, docs: DataFrame, classes: DataFrame, s: Sett
         alike = [exact_similarity(of[a], of[b]) >= s.similarity for a, b in zip(given["u"].to_pylist(), given["v"].to_pylist())]
         return given.select(["u", "v"]).filter(pa.array(alike, pa.bool_()))
 
-    own = in_small_batches(docs).select("text", _row_key().alias("_key")).join(asked, "_key")
+    own = maybe_asked(in_small_batches(docs).select("text", _row_key().alias("_key")), asked, s).join(asked, "_key")
     held = own.select("node", "_tiles", sets("text").alias("held")).select("node", "held", F.explode("_tiles").alias("_tile"))
     held = held.select("_tile.*", "node", "held")
     return tiled.groupBy(*TILE).cogroup(held.groupBy(*TILE)).applyInArrow(decide, "u long, v long")

@@ -202,6 +202,40 @@ def test_shingles_travel_by_tile_and_not_by_pair(spark):
     assert max(Counter(t[:3] for t in sent).values()) <= 40
 
 
+def shuffled_bytes(df):
+    """What the executed plan of a collected frame has shuffled."""
+
+    def below(plan):
+        if plan.nodeName() == "AdaptiveSparkPlan":
+            return below(plan.executedPlan())
+        if "QueryStage" in plan.nodeName():
+            return below(plan.plan())
+        own = plan.metrics().get("shuffleBytesWritten")
+        inner = plan.children()
+        own = own.get().value() if plan.nodeName() == "Exchange" and own.isDefined() else 0
+        return own + sum(below(inner.apply(i)) for i in range(inner.size()))
+
+    return below(df._jdf.queryExecution().executedPlan())
+
+
+def test_only_texts_in_question_are_shuffled(spark):
+    """Also where their keys are too many for Spark to broadcast them by itself."""
+    rng = random.Random(12)
+    words = ["%05x" % rng.randrange(1 << 20) for _ in range(300)]
+    rows = [(0, " ".join(words)), (1, " ".join([*words, "more"]))]
+    rows += [(i, " ".join("%05x" % rng.randrange(1 << 20) for _ in range(300))) for i in range(2, 600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    keyed = docs.select(F.col("doc_id").alias("node"), F.struct(near_text._row_key().alias("key")).alias("found"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = near_text.similar_pairs(spark.createDataFrame([(1, 0)], "u long, v long"), docs, keyed, near_text.Settings())
+        assert [tuple(r) for r in found.collect()] == [(1, 0)]
+        assert 0 < shuffled_bytes(found) < 50_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_many_pairs_near_the_threshold_are_passed_on_in_turns():
     """Unlike texts with similar signatures: every pair is passed on in the end, none twice a turn."""
     rng = np.random.default_rng(4)
