@@ -11,11 +11,11 @@ begin with what their contexts reach back to, so that a piece says the same as t
 
 from __future__ import annotations
 
-import zlib
+import struct
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import cache, reduce
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +41,8 @@ class Settings:
     prior: float = 0.4
     rate: float = 0.3
     step: int = 1 << 12  # bytes of one online step, about
-    chunk: int = 1 << 14  # bytes looked at together
-    tasks: int = 4  # that count for an order, at most: each passes a whole table on
+    chunk: int = 1 << 16  # bytes whose slots are looked up together, one order after the other
+    tasks: int = 24  # that count, at most: each passes all tables on
     refine: int = 33  # steps of the adaptive table
     vocabulary: int = 200_000  # distinct tokens a task counts before it passes them on
 
@@ -101,83 +101,84 @@ def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
     return ones(_times), ones(_back)
 
 
-# The nodes of a half byte's tree on the way to it.
+# The nodes of a half byte's tree on the way to it; and with the bits that follow, a pair of places a node.
 _NODES = (np.arange(16)[:, None] | 16) >> np.arange(4, 0, -1)
+_TAKEN = (np.arange(16)[:, None] | 16) >> np.arange(3, -1, -1)
 
 
 class Bits:
-    """All bits of some runs of text: for each the slots of its contexts, and the bit.
+    """All bytes of some runs of text: for each the lines of its contexts, and its bits.
 
     A run is closed by a blank, unless it ends with one or with the end of a text. The first ``skip``
     bytes of a run are context only. A context has a line of sixteen slots for the upper half of the
     next byte and one for the lower half: a tree of four bits each. ``run`` has the run of each byte.
     """
 
-    def __init__(self, runs: list[bytes], s: Settings, skip: np.ndarray | None = None, only: int | None = None):
+    def __init__(self, runs: list[bytes], s: Settings, skip: np.ndarray | None = None):
         ends = [w if w[-1:] in (END, b" ") else w + b" " for w in runs]
-        lengths = np.array([len(w) for w in ends])
+        lengths = np.array([len(w) for w in ends], np.int64)
         data = np.frombuffer(b"".join(ends), np.uint8)
-        starts = np.repeat(np.cumsum(lengths) - lengths, lengths)
+        starts = np.cumsum(lengths) - lengths
         self.run = np.repeat(np.arange(len(runs)), lengths)
-        place = np.arange(len(data)) - starts
-        contexts = self._hashed(data, place, s.orders if only is None else s.orders[only : only + 1])
+        contexts = self._hashed(data, starts, s.orders)
         if skip is not None and skip.any():
-            kept = place >= skip[self.run]
+            kept = np.arange(len(data)) >= np.repeat(starts + skip, lengths)
             data, self.run, contexts = data[kept], self.run[kept], [x[kept] for x in contexts]
-        if only is not None:
-            contexts = [None] * only + contexts
-        self.contexts, self.s = contexts, s
-        self.data, self.bit = data, np.unpackbits(data)
-        self.upper, self.lower = _NODES.take(data >> 4, axis=0, mode="clip"), _NODES.take(data & 15, axis=0, mode="clip")
-        self.half = ((data >> 4).astype(np.uint32) + np.uint32(1)) * np.uint32(0x9E3779B1)
-
-    def nodes(self) -> np.ndarray:
-        """The bits of each byte so far, with a leading one: a node of the byte's tree."""
-        return ((self.data.astype(np.int64)[:, None] | 256) >> np.arange(8, 0, -1)).ravel()
-
-    def slots(self, k: int) -> np.ndarray:
-        """The slot of every bit in the table of an order, behind the tables before it."""
-        s, hashed = self.s, self.contexts[k]
-        out = np.empty((len(hashed), 2, 4), np.int64)
-        lines = np.uint32(32 - (int(s.slots).bit_length() - 5))
-        for part, (mixed, nodes) in enumerate(((hashed.copy(), self.upper), (hashed + self.half, self.lower))):
+        self.data, self.contexts, self.s = data, contexts, s
+        self.upper, self.lower = data >> 4, data & 15
+        self.half = (self.upper.astype(np.uint32) + np.uint32(1)) * np.uint32(0x9E3779B1)
+
+    def leaves(self, k: int) -> np.ndarray:
+        """(byte, half): sixteen times the line in the table of an order, and the half byte."""
+        out = np.empty((len(self.data), 2), np.intp)
+        lines = np.uint32(32 - (int(self.s.slots).bit_length() - 5))
+        for part, (mixed, own) in enumerate(((self.contexts[k].copy(), self.upper), (self.contexts[k] + self.half, self.lower))):
             mixed ^= mixed >> np.uint32(15)
             mixed *= np.uint32(0x85EBCA77)
             mixed ^= mixed >> np.uint32(13)
             mixed *= np.uint32(0xC2B2AE3D)
             mixed >>= lines
-            np.add((mixed.astype(np.int64) * 16 + k * s.slots)[:, None], nodes, out=out[:, part])
-        return out.ravel()
+            mixed <<= np.uint32(4)
+            mixed |= own
+            out[:, part] = mixed
+        return out
 
     @staticmethod
-    def _hashed(data: np.ndarray, place: np.ndarray, orders: tuple[int, ...]) -> list[np.ndarray]:
+    def _hashed(data: np.ndarray, starts: np.ndarray, orders: tuple[int, ...]) -> list[np.ndarray]:
         """For each of the orders a hash of what lies before each byte."""
         out: dict[int, np.ndarray] = {}
         given = data.astype(np.uint32) + np.uint32(1)
         nearest = [k for k in orders if k < WORD]
-        last = np.zeros(len(data), np.uint32)
+        last, seen = np.zeros(len(data), np.uint32), np.empty(len(data), np.uint32)
         for back in range(1, max(nearest, default=0) + 1):
-            seen = np.zeros(len(data), np.uint32)
             seen[back:] = given[:-back]
-            seen[place < back] = 0
-            last = (last ^ seen) * np.uint32(0x01000193)
+            first = (starts[:, None] + np.arange(back)).ravel()
+            seen[first[first < len(data)]] = 0
+            last ^= seen
+            last *= np.uint32(0x01000193)
             last ^= last >> np.uint32(15)
-            out[back] = last
+            if back in nearest:
+                out[back] = last.copy()
         if max(orders) >= WORD:
-            at = np.arange(len(data))
-            first = place == 0
-            opens = first.copy()
-            opens[1:] |= data[:-1] == 32
-            start = np.maximum.accumulate(np.where(opens, at, 0))
+            # Where words begin, and how often each one's values are repeated.
+            opens = np.zeros(len(data), bool)
+            opens[1:] = data[:-1] == 32
+            opens[starts] = True
+            begins = np.flatnonzero(opens)
+            lengths = np.diff(begins, append=len(data))
             # A sum over the word so far, times a power that does not depend on where it stands.
             up, down = (x[: len(data)] for x in _powers(1 << max(16, len(data).bit_length())))
-            sums = np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up)
-            before = np.concatenate([[np.uint64(0)], sums[:-1]])
-            word = (before - before[start]) * down[start] * np.uint64(0x9E3779B97F4A7C15)
-            out[WORD] = (word >> np.uint64(32)).astype(np.uint32)
+            sums = (data.astype(np.uint64) + np.uint64(1)) * up
+            before = np.cumsum(sums)
+            before -= sums
+            word = before - np.repeat(before[begins], lengths)
+            word *= np.repeat(down[begins] * np.uint64(0x9E3779B97F4A7C15), lengths)
+            word >>= np.uint64(32)
+            out[WORD] = word.astype(np.uint32)
             # The hash at the blank before is that of the whole word before.
-            ended = np.where(first[start], np.uint32(0), out[WORD][np.maximum(start - 1, 0)] + np.uint32(1))
-            out[PAIR] = (out[WORD] ^ ended * np.uint32(0x27D4EB2F)) * np.uint32(0x165667B1)
+            ended = out[WORD][np.maximum(begins - 1, 0)] + np.uint32(1)
+            ended[np.searchsorted(begins, starts)] = 0
+            out[PAIR] = (out[WORD] ^ np.repeat(ended * np.uint32(0x27D4EB2F), lengths)) * np.uint32(0x165667B1)
         return [out[k] for k in orders]
 
 
@@ -187,9 +188,65 @@ class Model:
     weights: np.ndarray  # (gate, order)
     refined: np.ndarray  # (node, step): probability of a one
 
+    @cached_property
+    def paths(self) -> np.ndarray:
+        """(line * 16 + half byte, bit): what is known of the nodes on the way to a half byte, side by side."""
+        return self.known.reshape(-1, 16).take(_NODES.ravel(), axis=1).reshape(-1, 4)
 
-def _squash(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -20, 20)))
+
+@dataclass
+class LeftOut:
+    """Predictions and levels of counts from which the bit that follows has been taken out once."""
+
+    counts: np.ndarray  # (bit, order * slot)
+    s: Settings
+
+    @cached_property
+    def paths(self) -> np.ndarray:
+        """(line * 16 + half byte, bit): the predictions on the way to a half byte, side by side."""
+        out = np.empty((self.counts.shape[1], 4), np.float32)
+        for at in range(0, len(out), BLOCK):
+            zeros, ones = self.counts[:, at : at + BLOCK]
+            both = np.empty((len(zeros), 2), np.float32)
+            # Places that no text has taken are not looked at.
+            both[:, 0] = _stretched(np.maximum(zeros - np.float32(1), 0), ones, self.s)
+            both[:, 1] = _stretched(zeros, np.maximum(ones - np.float32(1), 0), self.s)
+            out[at : at + BLOCK] = both.reshape(-1, 32).take(_TAKEN.ravel(), axis=1).reshape(-1, 4)
+        return out
+
+    @cached_property
+    def gates(self) -> np.ndarray:
+        """(order, line * 16 + half byte, bit): what the last two orders add to the gate."""
+        out = np.empty((2, self.s.slots, 4), np.uint8)
+        for which, (k, times) in enumerate(((-2, LEVELS + 1), (-1, 1))):
+            low = (len(self.s.orders) + k) * self.s.slots
+            for at in range(0, self.s.slots, BLOCK):
+                zeros, ones = self.counts[:, low + at : low + min(at + BLOCK, self.s.slots)]
+                levels = _level(np.maximum(zeros + ones - np.float32(1), 0)) * np.uint8(times)
+                out[which, at : at + len(levels)] = levels.reshape(-1, 16).take(_NODES.ravel(), axis=1).reshape(-1, 4)
+        return out
+
+
+def _inputs(bits: Bits, paths: np.ndarray, gates: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(order, bit): what the tables predict; and the gate of each bit, by the inputs' last bits unless ``gates`` has them."""
+    s, n = bits.s, len(bits.data)
+    inputs, parts = np.empty((len(s.orders), n * 8), np.float32), []
+    for k in range(len(inputs)):
+        leaves = bits.leaves(k).ravel()
+        paths[k * s.slots : (k + 1) * s.slots].take(leaves, axis=0, out=inputs[k].reshape(-1, 4), mode="clip")
+        if gates is not None and k >= len(inputs) - 2:
+            parts.append(gates[k - len(inputs)].take(leaves, axis=0, mode="clip").ravel())
+    if gates is None:
+        other, longest = (inputs[k].view(np.uint32) & np.uint32(7) for k in (-2, -1))
+        return inputs, (other * np.uint32(LEVELS + 1) + longest).astype(np.intp)
+    return inputs, (parts[0] + parts[1]).astype(np.intp)
+
+
+def _squash(x: np.ndarray, whole: float = 1) -> np.ndarray:
+    out = np.clip(x, -20, 20)
+    np.exp(np.negative(out, out=out), out=out)
+    out += 1
+    return np.divide(whole, out, out=out)
 
 
 def _stretched(zeros: np.ndarray, ones: np.ndarray, s: Settings) -> np.ndarray:
@@ -204,38 +261,64 @@ def _level(total: np.ndarray) -> np.ndarray:
     return out
 
 
-def _gate(longest: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """How often the two longest contexts were seen."""
-    return other.astype(np.int64) * (LEVELS + 1) + longest
+def _mixed(weights: np.ndarray, gate: np.ndarray, inputs: np.ndarray) -> np.ndarray:
+    parts = np.ascontiguousarray(weights.T, np.float32).take(gate, axis=1, mode="clip")
+    parts *= inputs
+    return parts.sum(axis=0)
 
 
-def _mixed(weights: np.ndarray, gate: np.ndarray, inputs: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(gate), np.float32)
-    for k, row in enumerate(inputs):
-        out += weights[:, k].astype(np.float32).take(gate, mode="clip") * row
-    return out
+@cache
+def _cells(refine: int) -> np.ndarray:
+    """(byte, bit): twice the first place of its node in the adaptive table, and the bit."""
+    byte = np.arange(256)[:, None]
+    return ((byte | 256) >> np.arange(8, 0, -1)) * (2 * refine) + (byte >> np.arange(7, -1, -1) & 1)
+
+
+# (byte, bit): what a probability of a one lacks to be that of the bit, but for the sign.
+_ZERO = 1.0 - np.unpackbits(np.arange(256, dtype=np.uint8)).reshape(256, 8)
 
 
 def _refine_place(x: np.ndarray, s: Settings) -> np.ndarray:
-    return np.rint((np.clip(x, -8, 8) + 8) * ((s.refine - 1) / 16)).astype(np.int32)
+    out = np.clip(x, -8, 8)
+    out += 8
+    out *= (s.refine - 1) / 16
+    return np.rint(out, out=out).astype(np.intp)
+
+
+def leaf_counts(bits: Bits, n: np.ndarray | None, sums: np.ndarray) -> None:
+    """Adds to (order * slot) how often a line was followed by a half byte: once, or by the runs' ``n``."""
+    for k in range(len(bits.s.orders)):
+        own = sums[k * bits.s.slots : (k + 1) * bits.s.slots]
+        np.add.at(own, bits.leaves(k).ravel(), own.dtype.type(1) if n is None else np.repeat(n[bits.run].astype(own.dtype), 2))
+
+
+def node_counts(leaves: np.ndarray) -> np.ndarray:
+    """(bit, slot): zeros and ones that followed the nodes of each line, by its half bytes."""
+    out, lines = np.zeros((2, len(leaves) // 16, 16), leaves.dtype), leaves.reshape(-1, 16)
+    for bit in range(4):
+        nodes = 1 << bit
+        split = lines.reshape(-1, nodes, 2, 8 // nodes).sum(axis=3, dtype=leaves.dtype)
+        out[:, :, nodes : 2 * nodes] = split.transpose(2, 0, 1)
+    return out.reshape(2, -1)
 
 
 def bit_counts(runs: list[bytes], n: np.ndarray, sums: np.ndarray, s: Settings, skip: np.ndarray | None = None) -> None:
-    bits = Bits(runs, s, skip)
-    weight = np.repeat(n[bits.run], 8)
-    for k in range(len(s.orders)):
-        both = np.bincount((bits.slots(k) - k * s.slots) * 2 + bits.bit, weight, minlength=2 * s.slots)
-        sums[:, k * s.slots : (k + 1) * s.slots] += both.reshape(-1, 2).T
+    leaves = np.zeros(len(s.orders) * s.slots, np.int64)
+    leaf_counts(Bits(runs, s, skip), n, leaves)
+    sums += node_counts(leaves)
 
 
 def _packed(counts: np.ndarray) -> bytes:
-    """The width of an integer, then the integers: four bytes each, or eight where a count needs them."""
-    width = b"4" if counts.max() < 2**32 else b"8"
-    return width + zlib.compress(counts.astype(f"<u{width.decode()}").tobytes(), 1)
+    """The width of an integer and the number of bytes, then the integers, as narrow as the largest allows."""
+    width = next(w for w in (1, 2, 4, 8) if w == 8 or counts.max() < 256**w)
+    plain = counts.astype(f"<u{width}").tobytes()
+    return struct.pack("<BQ", width, len(plain)) + pa.compress(plain, codec="zstd", asbytes=True)
 
 
-def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(data[1:]), f"<u{data[:1].decode()}").reshape(2, -1).astype(np.float64)
+def _unpacked(data: bytes, rows: int = 2) -> np.ndarray:
+    width, size = struct.unpack_from("<BQ", data)
+    plain = pa.decompress(data[9:], decompressed_size=size, codec="zstd", asbytes=True)
+    return np.frombuffer(plain, f"<u{width}").reshape(rows, -1).astype(np.int64)
 
 
 Runs = tuple[list[bytes], np.ndarray, np.ndarray]  # with how often each occurs, and how much of it is context
@@ -277,34 +360,33 @@ def count_bits(rows: DataFrame, s: Settings = Settings(), runs: Callable[[Iterat
     """(block, counts): zeros and ones of a block of slots over the training runs, weighted by how
     often each occurs, as packed unsigned integers.
 
-    Each order has tasks of its own. A task adds up all of its runs in the order's table, and passes
-    on each block once.
+    A task reads its runs once for all orders. It adds up which half byte followed which line, from
+    which the counts of the bits on the way follow, and passes on each block once.
     """
-    size = len(s.orders) * s.slots
+    size, plain = len(s.orders) * s.slots, runs is text_runs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            k = batch.column(batch.num_columns - 1)[0].as_py() if batch.num_rows else 0
-            # Whole blocks, which the tables of other orders may share.
-            low, high = k * s.slots // BLOCK * BLOCK, min(size, -(-(k + 1) * s.slots // BLOCK) * BLOCK)
-            own = sums.setdefault(low, np.zeros(2 * (high - low), np.int64))
-            for part, n, skip in runs(iter([batch]), s.chunk):
-                bits = Bits(part, s, skip, only=k)
-                weight = n.astype(np.int64)
-                each = np.int64(1) if (weight == 1).all() else np.repeat(weight[bits.run], 8)
-                np.add.at(own, (bits.slots(k) - low) * 2 + bits.bit, each)
-        for low, own in sums.items():
-            for at in range(0, len(own) // 2, BLOCK):
-                if (part := own[2 * at : 2 * (at + BLOCK)]).any():
-                    yield pa.record_batch([pa.array([(low + at) // BLOCK]), pa.array([_packed(part.reshape(-1, 2).T)], pa.binary())], ["block", "counts"])
+        def out() -> Iterator[pa.RecordBatch]:
+            for at in range(0, size, BLOCK):
+                if (part := own[at : at + BLOCK]).any():
+                    yield pa.record_batch([pa.array([at // BLOCK]), pa.array([_packed(part)], pa.binary())], ["block", "counts"])
+
+        # Texts count once: narrow sums stay in the caches, and are passed on before one could overflow.
+        own, seen = np.zeros(size, np.uint32 if plain else np.int64), 0
+        for part, n, skip in runs(batches, s.chunk):
+            bits = Bits(part, s, skip)
+            if plain and seen + len(bits.data) >= 1 << 31:
+                yield from out()
+                own[:], seen = 0, 0
+            leaf_counts(bits, None if plain else n.astype(np.int64), own)
+            seen += len(bits.data)
+        yield from out()
 
     def add(group: pa.Table) -> pa.Table:
-        total = sum(_unpacked(x) for x in group["counts"].to_pylist())
-        return pa.table({"block": group["block"].slice(0, 1), "counts": pa.array([_packed(total)], pa.binary())})
+        total = sum(_unpacked(x, 1)[0] for x in group["counts"].to_pylist())
+        return pa.table({"block": group["block"].slice(0, 1), "counts": pa.array([_packed(node_counts(total))], pa.binary())})
 
-    tagged = [rows.coalesce(s.tasks).withColumn("_order", F.lit(k)) for k in range(len(s.orders))]
-    found = reduce(DataFrame.unionByName, tagged).mapInArrow(run, "block long, counts binary")
+    found = rows.coalesce(s.tasks).mapInArrow(run, "block long, counts binary")
     return found.groupBy("block").applyInArrow(add, "block long, counts binary")
 
 
@@ -320,27 +402,43 @@ class Mixer:
     def learn(self, runs: list[bytes], n: np.ndarray, counts: np.ndarray, skip: np.ndarray | None = None) -> None:
         """One step over a few runs that occur ``n`` times. One occurrence of each is taken out of
         the counts, so that weights are not learned from what has been counted already."""
-        bits = Bits(runs, self.s, skip)
-        often, ones = np.repeat(n[bits.run], 8), bits.bit.astype(np.float32)
-        inputs, levels = np.empty((len(self.s.orders), len(ones)), np.float32), []
-        for k in range(len(inputs)):
-            slots = bits.slots(k)
-            zero, one = counts[0].take(slots, mode="clip") - (1 - ones), counts[1].take(slots, mode="clip") - ones
-            inputs[k] = _stretched(zero, one, self.s)
-            if k >= len(inputs) - 2:
-                levels.append(_level(zero + one))
-        gate = _gate(levels[-1], levels[0])
+        bits, left = Bits(runs, self.s, skip), LeftOut(counts, self.s)
+        often = np.repeat(n[bits.run], 8).astype(float)
+        self._tried(self._step(bits.data, *_inputs(bits, left.paths, left.gates), often), often)
+
+    def learn_steps(self, groups: list[Runs], left: LeftOut) -> None:
+        """A step for each of some groups of runs that occur once. What is looked up does not depend
+        on the weights: this is done for all of them, one order after the other."""
+        skips = [skip for _, _, skip in groups]
+        bits = Bits([w for part, _, _ in groups for w in part], self.s, np.concatenate(skips))
+        inputs, gate = _inputs(bits, left.paths, left.gates)
+        ends = np.searchsorted(bits.run, np.cumsum([len(x) for x in skips]))
+        cells = [self._step(bits.data[low:high], inputs[:, 8 * low : 8 * high], gate[8 * low : 8 * high]) for low, high in zip([0, *ends], ends)]
+        self._tried(np.concatenate(cells))
+
+    def _tried(self, cells: np.ndarray, often: np.ndarray | None = None) -> None:
+        found = np.bincount(cells, often, minlength=2 * self.tried.size).reshape(*self.tried.shape, 2)
+        self.tried += found[:, :, 0] + found[:, :, 1]
+        self.ones += found[:, :, 1]
+
+    def _step(self, data: np.ndarray, inputs: np.ndarray, gate: np.ndarray, often: np.ndarray | None = None) -> np.ndarray:
+        """Learns the weights; returns the places of the bits in the adaptive table, twice, and the bits."""
         mixed = _mixed(self.weights, gate, inputs)
-        place, cells = bits.nodes() * self.s.refine + _refine_place(mixed, self.s), self.tried.size
-        self.tried += np.bincount(place, often, minlength=cells).reshape(self.tried.shape)
-        self.ones += np.bincount(place, often * ones, minlength=cells).reshape(self.ones.shape)
         # A step along the mean gradient of each gate, scaled by the inputs' squares.
-        error = often * (ones - _squash(mixed))
+        error = (np.unpackbits(data) - _squash(mixed)).astype(float)
+        squares = np.einsum("kb,kb->b", inputs, inputs)
+        if often is not None:
+            error, squares = error * often, squares * often
         count = len(self.uses)
-        size = np.bincount(gate, often * (1.0 + (inputs**2).mean(axis=0)), minlength=count)
+        uses = np.bincount(gate, often, minlength=count)
+        size = np.maximum(uses + np.bincount(gate, squares, minlength=count) / len(inputs), 1e-9)
         for k, row in enumerate(inputs):
-            self.weights[:, k] += self.s.rate * np.bincount(gate, error * row, minlength=count) / np.maximum(size, 1e-9)
-        self.uses += np.bincount(gate, often, minlength=count)
+            self.weights[:, k] += self.s.rate * np.bincount(gate, error * row, minlength=count) / size
+        self.uses += uses
+        cells = _refine_place(mixed, self.s)
+        cells += cells
+        cells += _cells(self.s.refine).take(data, axis=0).ravel()
+        return cells
 
 
 def _gates(s: Settings) -> int:
@@ -353,9 +451,15 @@ def _learn_mix(rows: DataFrame, shared, s: Settings) -> tuple[np.ndarray, np.nda
     gates, orders = _gates(s), len(s.orders)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer = Mixer(s)
+        mixer, held, room = Mixer(s), [], s.chunk
         for part in text_runs(batches, s.step):
-            mixer.learn(part[0], part[1], shared.value, part[2])
+            held.append(part)
+            room -= sum(map(len, part[0]))
+            if room <= 0:
+                mixer.learn_steps(held, shared.value)
+                held, room = [], s.chunk
+        if held:
+            mixer.learn_steps(held, shared.value)
         g, k = (x.ravel() for x in np.indices((gates, orders)))
         r = np.flatnonzero(mixer.tried)
         names = ["w"] * len(g) + ["r"] * len(r)
@@ -390,7 +494,7 @@ def learn(rows: DataFrame, s: Settings = Settings()) -> Model:
     for block, data in count_bits(rows, s, text_runs).toLocalIterator():
         own = _unpacked(data)
         counts[:, block * BLOCK : block * BLOCK + own.shape[1]] = own
-    shared = rows.sparkSession.sparkContext.broadcast(counts)
+    shared = rows.sparkSession.sparkContext.broadcast(LeftOut(counts, s))
     mix = _learn_mix(rows, shared, s)
     shared.destroy()
     return model_of(counts, *mix, s)
@@ -408,15 +512,24 @@ def model_of(counts: np.ndarray, weights: np.ndarray, refined: np.ndarray, s: Se
 def token_scores(runs: list[bytes], model: Model, s: Settings = Settings(), skip: np.ndarray | None = None) -> np.ndarray:
     """log10 probability of each run."""
     bits = Bits(runs, s, skip)
-    inputs = np.empty((len(s.orders), len(bits.bit)), np.float32)
-    for k in range(len(inputs)):
-        inputs[k] = model.known.take(bits.slots(k), mode="clip")
-    mixed = _mixed(model.weights, _gate(*(inputs[k].view(np.uint32) & 7 for k in (-1, -2))), inputs)
-    first = _squash(mixed)
-    second = model.refined.ravel().take(bits.nodes() * s.refine + _refine_place(mixed, s), mode="clip")
-    ones = np.clip((first + second) / 2, 1e-6, 1 - 1e-6)
-    logs = np.log10(np.where(bits.bit, ones, 1 - ones))
-    return np.bincount(bits.run, logs.reshape(-1, 8).sum(axis=1), minlength=len(runs))
+    inputs, gate = _inputs(bits, model.paths)
+    logs, refined = np.empty(len(bits.data)), np.repeat(model.refined.ravel() / 2, 2)
+    for at in range(0, len(logs), s.step):
+        data, own = bits.data[at : at + s.step], slice(8 * at, 8 * (at + s.step))
+        mixed = _mixed(model.weights, gate[own], inputs[:, own])
+        cells = _refine_place(mixed, s)
+        cells += cells
+        cells += _cells(s.refine).take(data, axis=0).ravel()
+        ones = refined.take(cells, mode="clip")
+        ones += _squash(mixed, 0.5)
+        np.clip(ones, 1e-6, 1 - 1e-6, out=ones)
+        each = ones.reshape(-1, 8)
+        each -= _ZERO.take(data, axis=0)
+        np.abs(each, out=each)
+        each = each[:, :4] * each[:, 4:]
+        each = each[:, :2] * each[:, 2:]
+        np.log(each[:, 0] * each[:, 1], out=logs[at : at + s.step])
+    return np.bincount(bits.run, logs, minlength=len(runs)) / np.log(10)
 
 
 def text_scores(docs: DataFrame, model: Model, s: Settings = Settings()) -> DataFrame:

@@ -489,6 +489,63 @@ def test_contexts_reach_over_words():
     assert score("red fox runs to the blue house") > score("house blue the to runs fox red") + 5
 
 
+def test_texts_are_read_once_to_be_counted(spark):
+    """For all orders in one pass; the counts are those of every bit on its own."""
+    s, texts = mixing.Settings(slots=1 << 12), ["red fox", None, "x" * 300, " a b  c " * 50, "Red fox runs"] * 4
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3).mapInArrow(seen, "text string")
+    found = {block: mixing._unpacked(data) for block, data in mixing.count_bits(rows, s, mixing.text_runs).collect()}
+    assert read.value == len(texts)
+    given = [p for t in texts for p in mixing.pieces(t)]
+    size = len(s.orders) * s.slots
+    expected = np.zeros((2, size), int)
+    for run, _ in given:
+        bits = mixing.Bits([run], s)
+        for k in range(len(s.orders)):
+            for (upper, lower), byte in zip(bits.leaves(k).tolist(), run):
+                for leaf, half in ((upper, byte >> 4), (lower, byte & 15)):
+                    assert leaf % 16 == half
+                    node = 1
+                    for place in (3, 2, 1, 0):
+                        bit = half >> place & 1
+                        expected[bit, k * s.slots + leaf - half + node] += 1
+                        node = 2 * node + bit
+    assert expected.sum() == 8 * len(s.orders) * sum(len(run) for run, _ in given)
+    for block, own in found.items():
+        at = block * mixing.BLOCK
+        assert (own == expected[:, at : at + mixing.BLOCK]).all()
+        expected[:, at : at + mixing.BLOCK] = 0
+    assert not expected.any()
+
+
+def test_steps_looked_up_together_learn_what_single_ones_do():
+    rng = random.Random(6)
+    texts = [" ".join(rng.choices(["a", "bc", "red", "house", "x" * 90], k=rng.randrange(1, 400))) for _ in range(30)] + [None, ""]
+    s = mixing.Settings(slots=1 << 14, step=1 << 9)
+    groups = [(runs, np.ones(len(runs)), skip) for runs, _, skip in mixing.placed_pieces(texts, s.step)]
+    assert len(groups) > 20 and any(skip.any() for _, _, skip in groups)
+    counts = np.zeros((2, len(s.orders) * s.slots))
+    for runs, n, skip in groups:
+        mixing.bit_counts(runs, n, counts, s, skip)
+    counts = counts.astype(np.float32)
+    one, all_ = mixing.Mixer(s), mixing.Mixer(s)
+    for runs, n, skip in groups:
+        one.learn(runs, n, counts, skip)
+    left = mixing.LeftOut(counts, s)
+    for at in range(0, len(groups), 7):
+        all_.learn_steps(groups[at : at + 7], left)
+    assert not np.allclose(one.weights, 1 / len(s.orders))
+    assert all_.weights == pytest.approx(one.weights, rel=1e-6)
+    for name in ("uses", "tried", "ones"):
+        assert (getattr(all_, name) == getattr(one, name)).all()
+
+
 def test_pieces_say_what_the_whole_text_says():
     rng = random.Random(4)
     text = " ".join("".join(rng.choices("abcd", k=rng.choice([1, 2, 9, 300]))) for _ in range(400)) + " \n"
